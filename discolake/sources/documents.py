@@ -80,7 +80,7 @@ def read_documents(
 
     A value that does not fit its type becomes null.  With ``corrupt`` the
     text of such a document is kept in the column ``_corrupt``, so that the
-    loss can be counted.  With ``ordered`` the column ``ord`` sorts in file
+    loss can be counted; under ``array`` it marks every row of the file.  With ``ordered`` the column ``ord`` sorts in file
     order, for operators that ask for the first row.
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

@@ -1,0 +1,62 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from discolake.session import build_session
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        **{
+            "spark.master": "local[4]",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def frame(spark):
+    """Documents under a declared schema, as a JSON scan would give them."""
+
+    def build(schema, docs):
+        lines = spark.createDataFrame([(json.dumps(doc),) for doc in docs], "value string")
+        return lines.select(F.from_json("value", schema).alias("d")).select("d.*")
+
+    return build
+
+
+@pytest.fixture
+def write_json(tmp_path):
+    """A JSON file as the crawlers write it, indented by two spaces."""
+
+    def write(name, value, indent=2):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(json.dumps(value, ensure_ascii=False, indent=indent))
+        return str(path)
+
+    return write
+
+
+def order(row):
+    """A sort key for rows of mixed values; nulls come first."""
+    return tuple("" if v is None else f"{v:020}" if type(v) is int else str(v) for v in row)
+
+
+def rows(df, *names):
+    """The rows as tuples, sorted by ``order``."""
+    picked = df.select(*names) if names else df
+    return sorted((tuple(r) for r in picked.collect()), key=order)
+
+
+def by_key(df, key):
+    return {r[key]: r for r in df.collect()}

@@ -1,0 +1,101 @@
+import pytest
+
+from discolake.operators.joins import attach
+from discolake.plans import gold
+from tests.conftest import by_key, rows
+
+TRACKS = "id string, album_id string, artist_ids string, duration_ms long, popularity long"
+
+
+@pytest.fixture
+def tracks(spark):
+    return spark.createDataFrame(
+        [
+            ("t1", "a1", "x,y", 1500, 10),
+            ("t2", "a1", "x,x", 500, 20),
+            ("t3", "a2", "", None, None),
+            ("t4", "a2", None, None, None),
+            (None, "a1", "y", 1, 40),
+            ("t6", None, "z", 7, 1),
+            ("t7", "a9", "z", 7, 1),
+        ],
+        TRACKS,
+    )
+
+
+@pytest.fixture
+def albums(spark):
+    names = ["album_id", "name", "album_type", "total_tracks", "release_date", "artist_ids", "genres", "label", "popularity"]
+    data = [
+        ("a1", "one", "album", 9, "2020", "x", "g", "l", 50),
+        ("a2", "two", "single", 1, None, "y", None, "l", None),
+        ("a2", "two again", "single", 1, None, "y", None, "l", None),
+        ("a5", "unused", "single", 1, None, "y", None, "l", None),
+    ]
+    return spark.createDataFrame(data, "album_id string, name string, album_type string, total_tracks long,"
+        " release_date string, artist_ids string, genres string, label string, popularity long").select(names)
+
+
+@pytest.fixture
+def artists(spark):
+    return spark.createDataFrame(
+        [("x", "X", "g", 5, 50, "artist"), ("y", "Y", None, None, None, "artist"), ("q", "Q", "", 1, 1, "artist")],
+        "artist_id string, name string, genres string, followers_total long, popularity long, type string",
+    )
+
+
+def test_artists_stats(tracks, artists):
+    table = by_key(gold.artists_stats(tracks, artists), "artist_id")
+    assert set(table) == {"x", "y", "z", ""}
+    assert tuple(table["x"]) == ("x", 3, pytest.approx(50 / 3), 20, "X", "g", 5, 50)
+    assert tuple(table["y"]) == ("y", 1, 25.0, 40, "Y", None, None, None)
+    assert tuple(table[""]) == ("", 1, None, None, None, None, None, None)
+    assert table["z"].track_count == 2
+
+
+def test_albums_stats(tracks, albums):
+    stats = gold.albums_stats(tracks, albums)
+    got = rows(stats, "album_id", "track_count_in_tracks", "avg_track_popularity", "total_duration_sec", "album_name")
+    assert got == [
+        ("a1", 2, pytest.approx(70 / 3), 2.001, "one"),
+        ("a2", 2, None, 0.0, "two"),
+        ("a2", 2, None, 0.0, "two again"),
+        ("a9", 1, 1.0, 0.007, None),
+    ]
+
+
+def test_schema_matches_the_gold_tables(tracks, albums, artists):
+    assert gold.artists_stats(tracks, artists).columns == [
+        "artist_id", "track_count", "avg_track_popularity", "max_track_popularity", "artist_name",
+        "genres", "followers_total", "artist_popularity",
+    ]
+    assert gold.albums_stats(tracks, albums).columns == [
+        "album_id", "track_count_in_tracks", "avg_track_popularity", "total_duration_sec", "album_name",
+        "album_type", "total_tracks", "release_date", "artist_ids", "genres", "label", "album_popularity",
+    ]
+
+
+def test_missing_columns_raise(tracks, artists, albums):
+    with pytest.raises(ValueError, match="artist_ids"):
+        gold.artists_stats(tracks.drop("artist_ids"), artists)
+    with pytest.raises(ValueError, match="album_id"):
+        gold.albums_stats(tracks.drop("album_id"), albums)
+
+
+def test_heavy_attribute_keys_give_the_same_rows(spark, tracks, albums):
+    groups = gold.album_groups(tracks)
+    copies = albums.select("album_id", "name")
+    for _ in range(6):
+        copies = copies.unionByName(copies.where("album_id <> 'a5'"))
+    plain = attach(groups, copies, "album_id")
+    split = attach(groups, copies, "album_id", heavy_rows=64)
+    assert split.columns == plain.columns
+    assert rows(split) == rows(plain)
+    assert split.count() == 64 + 128 + 1
+
+
+def test_ranked_views_are_ordered_with_nulls_last(tracks, albums, artists):
+    order = [r.artist_id for r in gold.ranked_artists(gold.artists_stats(tracks, artists)).collect()]
+    assert order == ["x", "z", "y", ""]
+    order = [r.album_id for r in gold.ranked_albums(gold.albums_stats(tracks, albums)).collect()]
+    assert order == ["a1", "a2", "a2", "a9"]

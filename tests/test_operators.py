@@ -1,0 +1,142 @@
+import pytest
+from pyspark.sql import functions as F
+
+from discolake.operators import dedup, filters, generators, joins, projection, quality, ranking, skew
+from tests.conftest import rows
+
+
+def test_select_present_keeps_list_order(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert projection.select_present(df, ["b", "c", "a"]).columns == ["b", "a"]
+
+
+def test_with_optional(spark):
+    df = spark.createDataFrame([("x",)], "a string")
+    assert projection.with_optional(df, "up", "a", F.upper).first()["up"] == "X"
+    absent = projection.with_optional(df, "up", "z", F.upper, missing="long")
+    assert absent.schema["up"].dataType.simpleString() == "bigint"
+    assert projection.with_optional(df, "up", "z", F.upper, missing=None).columns == ["a"]
+
+
+def test_item_filters_count_what_they_drop(spark):
+    df = spark.createDataFrame(
+        [(("1", "a"),), (None,), ((None, "b"),), (("2", None),), (("", "c"),)],
+        "item struct<id: string, name: string>",
+    )
+    assert tuple(filters.reject_counts(df, "item").first()) == (5, 1, 2, 2)
+    assert filters.usable_items(df, "item").count() == 2
+
+
+def test_truthy_id(spark):
+    df = spark.createDataFrame([(("1",),), (("",),), ((None,),), (None,)], "owner struct<id: string>")
+    assert rows(filters.with_truthy_id(df, "owner"), "owner.id") == [("1",)]
+
+
+def test_generators(spark):
+    df = spark.createDataFrame([(1, "a,,a"), (2, ""), (3, None)], "id int, csv string")
+    out = generators.split_explode(df, "csv", "v")
+    assert rows(out, "id", "v") == [(1, ""), (1, "a"), (1, "a"), (2, "")]
+    lists = spark.createDataFrame([(1, [1, 2]), (2, []), (3, None)], "id int, xs array<int>")
+    assert rows(generators.explode_array(lists, "xs", "x"), "id", "x") == [(1, 1), (1, 2)]
+
+
+def test_flatten_map_keeps_positions(spark):
+    df = spark.createDataFrame(
+        [({"Rock": [("1",), ("2",)], "Empty": [], "Pop": [("1",)]},)],
+        "m map<string, array<struct<id: string>>>",
+    )
+    assert rows(generators.flatten_map(df, "m")) == [("Pop", 0, "1"), ("Rock", 0, "1"), ("Rock", 1, "2")]
+
+
+def test_keep_first_follows_the_order(spark):
+    df = spark.createDataFrame([("a", 2, "late"), ("a", 1, "first"), ("b", 3, "only")], "id string, ord int, v string")
+    assert rows(dedup.keep_first(df, "id", ["ord"])) == [("a", 1, "first"), ("b", 3, "only")]
+
+
+def test_append_new_keeps_stored_rows_and_skips_known_ids(spark):
+    stored = spark.createDataFrame([("a", "old"), ("a", "old twice")], "id string, v string")
+    fresh = spark.createDataFrame(
+        [("a", "no", 1), ("b", "second", 2), ("b", "first", 1), (None, "no id", 0)],
+        "id string, v string, ord int",
+    )
+    out = dedup.append_new(stored, fresh, "id", ["ord"])
+    assert out.columns == ["id", "v"]
+    assert rows(out) == [("a", "old"), ("a", "old twice"), ("b", "first")]
+
+
+def test_union_pages_fills_missing_columns(spark):
+    a = spark.createDataFrame([(1, 2)], "x int, y int")
+    b = spark.createDataFrame([(3,)], "y int")
+    assert rows(dedup.union_pages(a, b, b), "x", "y") == [(None, 3), (None, 3), (1, 2)]
+
+
+def test_semi_and_anti_joins(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("a", 4)], "id string, v int")
+    keys = spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "id string")
+    assert rows(joins.matching(df, keys, "id")) == [("a", 1), ("a", 4)]
+    assert rows(joins.excluding(df, keys, "id")) == [(None, 3), ("b", 2)]
+
+
+def test_thin_bounds_the_copies_of_a_key(spark):
+    keys = spark.range(0, 10_000, numPartitions=8).select(F.lit("hot").alias("id"))
+    copies = skew.thin(keys, "id", slices=3).count()
+    assert copies <= 3
+
+
+def test_heavy_keys_are_bounded_and_ordered(spark):
+    keys = spark.range(100).select(F.when(F.col("id") < 40, "a").when(F.col("id") < 70, "b").otherwise("c").alias("k"))
+    assert skew.heavy_keys(keys, "k", rows=31) == ["a"]
+    assert skew.heavy_keys(keys, "k", rows=30) == ["a", "b", "c"]
+    assert skew.heavy_keys(keys, "k", rows=1, most=2) == ["a", "b"]
+
+
+def test_inherit_keeps_children_without_a_parent(spark):
+    children = spark.createDataFrame([("t", "a"), ("u", "z"), ("v", None)], "id string, album_id string")
+    albums = spark.createDataFrame([("a", "2020", 1)], "album_id string, release_date string, x int")
+    out = joins.inherit(children, albums, "album_id", "release_date")
+    assert rows(out, "id", "release_date") == [("t", "2020"), ("u", None), ("v", None)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_first_n_per_parent(spark, n, monkeypatch):
+    df = spark.range(30).select((F.col("id") % 4).alias("p"), "id")
+    want = [(p, p + 4 * i) for p in range(4) for i in range(n)]
+    assert rows(ranking.first_n_per_parent(df, "p", ["id"], n)) == want
+    monkeypatch.setattr(ranking, "PLANNED_LIMIT", 0)
+    assert rows(ranking.first_n_per_parent(df.repartition(3), "p", ["id"], n)) == want
+
+
+def test_poll_size_and_first_n(spark):
+    df = spark.range(9, -1, -1)
+    assert [r.id for r in ranking.first_n(df, ["id"], 3).collect()] == [0, 1, 2]
+    sizes = spark.createDataFrame([(3,), (70,)], "total long").select(ranking.poll_size("total", 50))
+    assert [r[0] for r in sizes.collect()] == [3, 50]
+
+
+def test_seeded_sample_does_not_depend_on_the_layout(spark):
+    df = spark.range(200)
+    one = rows(ranking.seeded_sample(df.repartition(7), "id", 20))
+    assert one == rows(ranking.seeded_sample(df.coalesce(1), "id", 20))
+    assert len(one) == 20
+    assert one != rows(ranking.seeded_sample(df, "id", 20, seed=7))
+    assert ranking.seeded_sample(df, "id", 500).count() == 200
+
+
+def test_dedup_report_counts_unusable_keys_as_removed(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("",), (None,), ("b",)], "id string")
+    assert tuple(quality.dedup_report(df, F.col("id")).first()) == (5, 2, 3)
+
+
+def test_gate_names_every_failure(spark):
+    full, empty = spark.range(3), spark.range(0)
+    report = quality.completeness(spark, {"a": full, "b": empty, "c": None})
+    assert rows(report) == [("a", True, 3, True), ("b", True, 0, False), ("c", False, 0, False)]
+    with pytest.raises(quality.IncompleteLanding, match=r"b \(empty\), c \(missing\)"):
+        quality.gate(report)
+    assert len(quality.gate(quality.completeness(spark, {"a": full}))) == 1
+
+
+def test_observed_rows_counts_during_the_write(spark, tmp_path):
+    counted, observation = quality.observed_rows(spark.range(5), "step")
+    counted.write.parquet(str(tmp_path / "out"))
+    assert observation.get["rows"] == 5
