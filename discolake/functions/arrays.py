@@ -1,4 +1,8 @@
-"""Expressions over arrays of structs and arrays of scalars."""
+"""Expressions over arrays of structs and arrays of scalars.
+
+``array[field]`` takes a field out of every struct at once.  Unlike the
+lambda functions ``transform`` and ``filter`` it compiles with its stage.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,7 @@ def ids_to_csv(array: Column, field: str = "id") -> Column:
 
     Null ids are skipped.  ``concat_ws`` would turn a null array into ``''``.
     """
-    return F.array_join(F.transform(array, lambda item: item[field]), ",")
+    return F.array_join(array[field], ",")
 
 
 def values_to_csv(array: Column) -> Column:
@@ -24,7 +28,8 @@ def first_where(array: Column, field: str, value: str, out: str) -> Column:
 
     A match whose ``out`` is null ends the search with null.
     """
-    return F.get(F.filter(array, lambda item: item[field] == value), F.lit(0))[out]
+    position = F.array_position(array[field], value)  # from 1; 0 is none
+    return F.get(array[out], (position - 1).cast("int"))
 
 
 def first_field(array: Column, field: str) -> Column:

@@ -39,9 +39,12 @@ ALBUM_ATTRIBUTES = {
 
 
 def artist_groups(tracks: DataFrame) -> DataFrame:
-    """Per artist id in the comma lists: tracks, mean and highest popularity."""
+    """Per artist id in the comma lists: tracks, mean and highest popularity.
+
+    A null list has no artists; exploding it gives no rows.
+    """
     require_columns(tracks, ["artist_ids"], "tracks")
-    listed = drop_missing(tracks, ["artist_ids"]).select("id", "popularity", "artist_ids")
+    listed = tracks.select("id", "popularity", "artist_ids")
     return (
         split_explode(listed, "artist_ids", "artist_id")
         .groupBy("artist_id")

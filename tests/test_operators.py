@@ -84,10 +84,18 @@ def test_thin_bounds_the_copies_of_a_key(spark):
 
 
 def test_heavy_keys_are_bounded_and_ordered(spark):
-    keys = spark.range(100).select(F.when(F.col("id") < 40, "a").when(F.col("id") < 70, "b").otherwise("c").alias("k"))
+    share = F.when(F.col("id") < 40, "a").when(F.col("id") < 70, "b").otherwise("c")
+    keys = spark.range(100).select(F.when(F.col("id") < 99, share).alias("k"))
     assert skew.heavy_keys(keys, "k", rows=31) == ["a"]
-    assert skew.heavy_keys(keys, "k", rows=30) == ["a", "b", "c"]
+    assert skew.heavy_keys(keys, "k", rows=29) == ["a", "b", "c"]
     assert skew.heavy_keys(keys, "k", rows=1, most=2) == ["a", "b"]
+    assert skew.heavy_keys(keys.where("k is null"), "k", rows=1) == []
+
+
+def test_a_heavy_key_among_very_many_is_found(spark):
+    share = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    keys = spark.range(0, 300_000, numPartitions=8).select(share.alias("k"))
+    assert skew.heavy_keys(keys, "k", rows=50_000) == ["hot"]
 
 
 def test_inherit_keeps_children_without_a_parent(spark):
