@@ -58,6 +58,15 @@ def completeness(spark: SparkSession, datasets: Mapping[str, DataFrame | None])
     return reduce(DataFrame.unionByName, counted, spark.createDataFrame(absent, REPORT))
 
 
+PRESENCE = "dataset string, present boolean, ok boolean"
+
+
+def presence(spark: SparkSession, datasets: Mapping[str, DataFrame | None]) -> DataFrame:
+    """Like ``completeness`` without the row counts: looks for a first row only."""
+    found = [(name, df is not None, df is not None and not df.isEmpty()) for name, df in datasets.items()]
+    return spark.createDataFrame(found, PRESENCE)
+
+
 class IncompleteLanding(ValueError):
     """At least one expected dataset is missing or empty."""
 

@@ -54,7 +54,17 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, the same ones under any partitioning.
 
     The rows with the smallest MD5 of ``key:seed`` are taken, with the key as
-    tie-break.  ``n`` is the size of a work list and small beside the data.
+    tie-break.  A first pass over the keys counts how many digests start with
+    how many zeros, which is at most 33 numbers.  Rows that cannot be among
+    the first ``n`` are then filtered out before any of them are sorted.
     """
     digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    zeros = F.length(F.regexp_extract(digest, "^0*", 0))
+    counted = df.groupBy(zeros.alias("zeros")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    reach = 0
+    for row in sorted(counted, key=lambda row: -row["zeros"]):
+        reach += row["rows"]
+        if reach >= n:
+            df = df.where(digest.startswith("0" * row["zeros"]))
+            break
     return df.orderBy(digest, key).limit(n)

@@ -12,7 +12,7 @@ from discolake.functions.scalars import iso_now, truthy
 from discolake.operators.dedup import keep_first
 from discolake.operators.filters import with_truthy_id
 from discolake.operators.generators import flatten_map
-from discolake.operators.quality import completeness, gate
+from discolake.operators.quality import gate, presence
 from discolake.sinks.tables import replace_date
 from discolake.sources.documents import element_texts, if_present
 
@@ -138,7 +138,7 @@ def land(
     """
     found = crawl_output(spark, source, layout)
     if gated:
-        gate(completeness(spark, found))
+        gate(presence(spark, found))
     return {
         table: None
         if texts is None

@@ -13,9 +13,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from discolake.operators.dedup import key_set, new_rows
+from discolake.operators.dedup import key_set, new_rows, union_pages
 from discolake.operators.filters import usable_items
-from discolake.operators.ranking import first_n_per_parent
+from discolake.operators.joins import matching
+from discolake.operators.ranking import first_n_per_parent, seeded_sample
+from discolake.plans.bronze import prune_albums, prune_playlists, prune_tracks
 from discolake.sources.manifests import RETRY, settled
 
 # Children fetched per parent.
@@ -23,6 +25,9 @@ ALBUMS_PER_ARTIST = 5
 TRACKS_PER_ALBUM = 10
 PLAYLISTS_PER_ARTIST = 10
 ARTISTS_PER_GENRE = 1000
+# Artists whose albums are loaded, and the seed they are drawn with.
+SAMPLED_ARTISTS = 5000
+SAMPLE_SEED = 42
 
 
 @dataclass(frozen=True)
@@ -92,6 +97,8 @@ def load(
     offered = usable_items(listed, "item", required).join(todo.select(parent_columns), "parent_id")
     order = [f"_parent_{i}" for i in range(len(parent_order))]
     order += [f"_child_{i}" for i in range(len(child_order))]
+    if inherited:
+        offered = offered.withColumn("item", F.col("item").dropFields(*inherited))
     flat = offered.select(
         *[F.col(name) for name in order if name.startswith("_parent_")],
         *[F.col(name).alias(f"_child_{i}") for i, name in enumerate(child_order)],
@@ -103,6 +110,46 @@ def load(
     return Load(new=fresh, outcomes=key_status(todo, listed, retry_limited))
 
 
+def load_albums(
+    artists: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame,
+    sample: int = SAMPLED_ARTISTS,
+) -> Load:
+    """Albums of a fixed sample of the artists.
+
+    Here and below ``found`` is what a fetch brought: ``parent_id``, ``ord``
+    and the raw document ``item``; parents have the order column ``ord``.
+    """
+    drawn = seeded_sample(artists, "id", sample, SAMPLE_SEED)
+    run = load(
+        drawn, found, stored, keys, parent_order=["ord"], child_order=["ord"],
+        per_parent=ALBUMS_PER_ARTIST, required=["id"],
+    )
+    return Load(prune_albums(run.new), run.outcomes)
+
+
+def load_tracks(albums: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame) -> Load:
+    """Tracks of all albums; each takes the release date of its album."""
+    run = load(
+        albums, found, stored, keys, parent_order=["ord"], child_order=["ord"],
+        per_parent=TRACKS_PER_ALBUM, inherited=["release_date"], required=["id"],
+    )
+    return Load(prune_tracks(run.new), run.outcomes)
+
+
+def load_playlists(
+    artists: DataFrame, album_keys: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame
+) -> Load:
+    """Playlists of the artists whose albums were processed.
+
+    A rate-limited search is not tried again.
+    """
+    run = load(
+        matching(artists, settled(album_keys), "id"), found, stored, keys,
+        parent_order=["ord"], child_order=["ord"], per_parent=PLAYLISTS_PER_ARTIST, retry_limited=False,
+    )
+    return Load(prune_playlists(run.new), run.outcomes)
+
+
 def run_manifest(
     parents: DataFrame, outcomes: DataFrame, children: DataFrame, last_update=None
 ) -> DataFrame:
@@ -111,14 +158,17 @@ def run_manifest(
     ``children`` are all children stored after the run.  The processed keys
     themselves are rows of the key table, never a list in one place.
     """
-    totals = children.agg(F.count_distinct("id").alias("total_children"))
-    settled_now = F.count_if(F.col("status") != RETRY)
-    done = outcomes.agg(settled_now.alias("total_processed"), F.count(F.lit(1)).alias("_pending"))
-    known = parents.agg(F.count_distinct("id").alias("_parents"))
+    totals = union_pages(
+        children.agg(F.count_distinct("id").alias("total_children")),
+        outcomes.agg(
+            F.count_if(F.col("status") != RETRY).alias("total_processed"),
+            F.count(F.lit(1)).alias("_pending"),
+        ),
+        parents.agg(F.count_distinct("id").alias("_parents")),
+    )
+    names = ["total_children", "total_processed", "_pending", "_parents"]
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-    one = F.lit(1).alias("_one")
-    row = totals.select("*", one).join(done.select("*", one), "_one").join(known.select("*", one), "_one")
-    return row.select(
+    return totals.agg(*[F.max(name).alias(name) for name in names]).select(
         "total_children",
         "total_processed",
         (F.col("_parents") - F.col("_pending")).alias("total_skipped"),

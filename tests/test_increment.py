@@ -110,3 +110,56 @@ def test_a_crash_between_data_and_keys_adds_nothing_twice(spark, tmp_path, paren
     increment.commit(again, children, keys)
     assert spark.read.parquet(children).groupBy("id").count().where("count > 1").count() == 0
     assert read_keys(spark, keys).where(F.col("id") == "a").count() == 1
+
+
+def found(frame, schema, *rows_):
+    """What a fetch brought: parent, position and raw document."""
+    return frame(
+        f"parent_id string, ord int, item struct<{schema}>",
+        [{"parent_id": parent, "ord": ord, "item": item} for parent, ord, item in rows_],
+    )
+
+
+def empty(spark, schema):
+    return spark.createDataFrame([], schema)
+
+
+def test_load_albums_takes_five_per_sampled_artist(spark, frame):
+    artists = spark.range(40).selectExpr("cast(id as string) as id", "id as ord")
+    items = found(
+        frame, schemas.ALBUM,
+        *[(str(a), i, {"id": f"{a}-{i}", "name": None, "genres": None}) for a in range(40) for i in range(7)],
+    )
+    run = increment.load_albums(artists, items, empty(spark, schemas.ALBUM), empty(spark, schemas.KEYS), sample=10)
+    assert run.outcomes.count() == 10 and run.new.count() == 50
+    assert set(run.new.columns) == set(empty(spark, schemas.ALBUM).columns)
+    assert run.new.first()["genres"] == []
+
+
+def test_load_tracks_inherits_the_release_date(spark, frame):
+    albums = spark.createDataFrame([("a", 1, "2020"), ("b", 2, None)], "id string, ord int, release_date string")
+    items = found(
+        frame, schemas.TRACK,
+        *[("a", i, {"id": f"t{i}", "release_date": "from the item"}) for i in range(12)],
+        ("b", 0, {"id": "u", "album": {"id": "b"}}), ("b", 1, None), ("b", 2, {"id": None}),
+    )
+    run = increment.load_tracks(albums, items, empty(spark, schemas.TRACK), empty(spark, schemas.KEYS))
+    want = [(f"t{i}", "2020") for i in range(10)] + [("u", None)]
+    assert rows(run.new, "id", "release_date") == want
+
+
+def test_load_playlists_follows_the_album_keys(spark, frame):
+    artists = spark.createDataFrame(
+        [("x", 1, None), ("y", 2, "rate_limited"), ("z", 3, None)], "id string, ord int, outcome string"
+    )
+    album_keys = spark.createDataFrame([("x", "done"), ("y", "empty"), ("z", "retry")], schemas.KEYS)
+    items = found(
+        frame, schemas.PLAYLIST,
+        ("x", 1, {"id": "p", "name": "P", "owner": {"id": "o"}}), ("x", 2, {"id": "q"}),
+        ("z", 1, {"id": "r", "name": "R"}),
+    )
+    run = increment.load_playlists(
+        artists, album_keys, items, empty(spark, schemas.PLAYLIST), empty(spark, schemas.KEYS)
+    )
+    assert rows(run.new, "id", "owner.id") == [("p", "o")]
+    assert rows(run.outcomes, "id", "status") == [("x", "done"), ("y", "failed")]

@@ -58,6 +58,19 @@ def test_overwrite_by_year_keeps_dates_and_nulls(spark, tmp_path):
     assert rows(back.select("id", "release_date")) == rows(df)
 
 
+def test_a_hot_year_is_written_by_several_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000")
+    try:
+        year = F.when(F.col("id") % 3 == 0, 1990 + F.col("id") % 30).otherwise(2020)
+        day = F.make_date(year.cast("int"), F.lit(1), F.lit(1))
+        df = spark.range(0, 20_000, numPartitions=8).select(F.md5(F.col("id").cast("string")).alias("id"), day.alias("release_date"))
+        tables.overwrite_by_year(df, str(tmp_path / "t"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t" / "release_year=2020").glob("*.parquet"))) > 3
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 20_000
+
+
 def test_csv_export_has_a_header(spark, tmp_path):
     df = spark.createDataFrame([("a", 'x "q", y', None), ("b", "", 2.5)], "id string, name string, v double")
     exports.export_csv(df.coalesce(1), str(tmp_path / "csv"))
