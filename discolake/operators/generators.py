@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def explode_array(df: DataFrame, array: str, out: str) -> DataFrame:
@@ -30,3 +33,19 @@ def flatten_map(df: DataFrame, mapping: str, key: str = "category", pos: str = "
         .select(key, F.posexplode("_list").alias(pos, "_item"))
         .select(key, pos, "_item.*")
     )
+
+
+def expand_json(
+    df: DataFrame,
+    text: str,
+    schema: str | T.StructType,
+    keep: Sequence[str] = (),
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One row per JSON text, its fields as columns, behind the kept columns.
+
+    The fields come out of a generator.  A plain selection would let Spark
+    push a filter on a field below it, and parse the text again for that.
+    """
+    parsed = F.from_json(F.col(text).cast("string"), schema, dict(options or {}))
+    return df.select(*keep, F.inline(F.array(parsed)))

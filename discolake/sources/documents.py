@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from discolake.operators.generators import expand_json
 from discolake.schemas import CATEGORY_MAP
 
 # Fixed by the two-space layout.  A line break inside a JSON string is always
@@ -88,9 +89,8 @@ def read_documents(
         fields = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
         options = {**options, "columnNameOfCorruptRecord": CORRUPT}
     if layout == "indented":
-        parsed = F.from_json("value", fields, options).alias("doc")
         texts = element_texts(spark, path, layout, ordered)
-        return texts.select(parsed, *([ORD] if ordered else [])).select("doc.*", *([ORD] if ordered else []))
+        return expand_json(texts, "value", fields, [ORD] if ordered else [], options)
     if layout not in ("array", "lines"):
         raise ValueError(f"unknown layout {layout!r}")
     reader = spark.read.schema(fields).options(**options).option("multiLine", layout == "array")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from discolake.functions.scalars import truthy
+from discolake.operators.generators import expand_json
 from discolake.schemas import EVENT
 
 # Tasks that share the copies of one event in the first dedup step.
@@ -20,8 +21,7 @@ def decode(messages: DataFrame, schema: str = EVENT) -> DataFrame:
 
     There is no state here, so nothing is dropped for being late.
     """
-    event = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(event.alias("event")).select("event.*").where(truthy(F.col("id")))
+    return expand_json(messages, "value", schema).where(truthy(F.col("id")))
 
 
 def deduplicate(
