@@ -43,13 +43,16 @@ def pending(parents: DataFrame, keys: DataFrame, order: Sequence[str]) -> DataFr
     return new_rows(parents, settled(keys), "id", order)
 
 
-def key_status(parents: DataFrame, children: DataFrame, retry_limited: bool = True) -> DataFrame:
-    """The status each parent gets from this run.
+def key_status(
+    parents: DataFrame, children: DataFrame, per_parent: int, retry_limited: bool = True
+) -> DataFrame:
+    """The status each parent gets from this run, and its children among the first N.
 
-    ``children`` has a ``parent_id``; the optional parent column ``outcome``
-    tells ``failed`` and ``rate_limited`` fetches.  Failed and empty parents
-    are settled like done ones.  Rate-limited parents are left for the next
-    run, unless ``retry_limited`` is off.
+    ``children`` has a ``parent_id`` and is only counted, so the first N need
+    not be picked again.  The optional parent column ``outcome`` tells
+    ``failed`` and ``rate_limited`` fetches.  Failed and empty parents are
+    settled like done ones.  Rate-limited parents are left for the next run,
+    unless ``retry_limited`` is off.
     """
     counts = (
         children.where(F.col("parent_id").isNotNull())
@@ -58,7 +61,7 @@ def key_status(parents: DataFrame, children: DataFrame, retry_limited: bool = Tr
     )
     outcome = F.col("outcome") if "outcome" in parents.columns else F.lit(None).cast("string")
     fetched = parents.select("id", outcome.alias("outcome")).join(counts, "id", "left")
-    children_found = F.coalesce("children", F.lit(0))
+    children_found = F.least(F.coalesce("children", F.lit(0)), F.lit(per_parent))
     status = (
         F.when(F.col("outcome") == "rate_limited", RETRY if retry_limited else "failed")
         .when(F.col("outcome") == "failed", "failed")
@@ -107,7 +110,7 @@ def load(
         *[F.col(f"_inherited_{name}").alias(name) for name in inherited],
     )
     fresh = new_rows(flat, stored, "id", order).drop(*order)
-    return Load(new=fresh, outcomes=key_status(todo, listed, retry_limited))
+    return Load(new=fresh, outcomes=key_status(todo, candidates, per_parent, retry_limited))
 
 
 def load_albums(
