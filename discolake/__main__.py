@@ -12,7 +12,7 @@ from discolake.plans import bronze, layers
 from discolake.schemas import PLAYLIST
 from discolake.session import build_session
 from discolake.sinks.exports import export_csv, export_tables, write_documents
-from discolake.sources.documents import ORD, read_documents
+from discolake.sources.documents import ORD, read_category_map, read_documents
 from discolake.sources.tables import read_date
 from discolake.sources.topics import TOPIC, read_topic
 from discolake.streaming import events
@@ -30,9 +30,14 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--layout", default=layout, choices=["lines", "indented", "array"])
         return sub
 
-    step("validate", "source", layout="indented")
-    step("land", "source", "bronze", "date", layout="indented").add_argument("--ungated", action="store_true")
+    validate = step("validate", "source", layout="indented")
+    land = step("land", "source", "bronze", "date", layout="indented")
+    for sub in (validate, land):
+        sub.add_argument("--lines", nargs="*", default=[], help="tables with one document per line")
+    land.add_argument("--ungated", action="store_true")
     step("owners", "playlists", "target", layout="indented")
+    artists = step("artists", "categories", "target")
+    artists.add_argument("--layout", default="indented", choices=["indented", "whole"])
     step("silver", "bronze", "silver", "date", layout="lines")
     step("links", "bronze", "silver", "date", layout="lines")
     step("gold", "silver", "gold", "date")
@@ -48,15 +53,20 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     match args.step:
         case "validate":
-            report = gate(completeness(spark, bronze.crawl_output(spark, args.source, args.layout)))
-            print(*report, sep="\n")
+            found = bronze.crawl_output(spark, args.source, args.layout, args.lines)
+            print(*gate(completeness(spark, found)), sep="\n")
         case "land":
-            landed = bronze.land(spark, args.source, args.bronze, args.date, args.layout, not args.ungated)
+            landed = bronze.land(
+                spark, args.source, args.bronze, args.date, args.layout, not args.ungated, args.lines
+            )
             for table, rows in landed.items():
                 print(f"{table}: {'missing, skipped' if rows is None else rows}")
         case "owners":
             docs = read_documents(spark, args.playlists, PLAYLIST, args.layout, ordered=True)
             write_documents(bronze.owners_from_playlists(docs, [ORD]), args.target)
+        case "artists":
+            categories = read_category_map(spark, args.categories, args.layout)
+            write_documents(bronze.artists_from_categories(categories), args.target)
         case "silver":
             print(*layers.build_silver(spark, args.bronze, args.silver, args.date, args.layout), sep="\n")
         case "links":

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +69,15 @@ def flatten_categories(categories: DataFrame, column: str = "categories") -> Dat
     return flatten_map(categories, column)
 
 
+def artists_from_categories(categories: DataFrame, column: str = "categories") -> DataFrame:
+    """The flat artist documents of a category map, one per id.
+
+    An artist under several categories is taken from the first by name.
+    """
+    flat = flatten_categories(categories, column)
+    return keep_first(flat.where(truthy(F.col("id"))), "id", ["category", "pos"]).drop("category", "pos")
+
+
 def normalize_events(docs: DataFrame, stamp: Column | None = None) -> DataFrame:
     """Playlist items to flat events; items without a track id are dropped.
 
@@ -103,11 +112,13 @@ EXPECTED_FILES = {
 
 
 def crawl_output(
-    spark: SparkSession, source: str, layout: str = "indented"
+    spark: SparkSession, source: str, layout: str = "indented", lines: Collection[str] = ()
 ) -> dict[str, DataFrame | None]:
     """The expected datasets of a crawl as JSON texts; None where missing.
 
-    A manifest is one small object, kept whole on one line.
+    The tables named in ``lines`` have one document per line, such as owners
+    and artists that Spark has derived; the others have ``layout``.  A
+    manifest is one small object, kept whole on one line.
     """
     found = {}
     for table, file in EXPECTED_FILES.items():
@@ -117,7 +128,7 @@ def crawl_output(
             line = F.regexp_replace("value", r"\s*\n\s*", "").alias("value")
             found[table] = None if whole is None else whole.select(line).where(F.trim("value") != "")
         else:
-            found[table] = if_present(element_texts, spark, path, layout)
+            found[table] = if_present(element_texts, spark, path, "lines" if table in lines else layout)
     return found
 
 
@@ -128,6 +139,7 @@ def land(
     ingest_date: str,
     layout: str = "indented",
     gated: bool = True,
+    lines: Collection[str] = (),
 ) -> dict[str, int | None]:
     """Land the crawl output under ``<table>/ingest_date=<date>/``.
 
@@ -136,7 +148,7 @@ def land(
     every expected dataset has rows; without, a missing one is skipped and
     reported as None.
     """
-    found = crawl_output(spark, source, layout)
+    found = crawl_output(spark, source, layout, lines)
     if gated:
         gate(presence(spark, found))
     return {

@@ -37,30 +37,27 @@ def _position() -> Column:
     ).alias(ORD)
 
 
-def _element_text(chunk: Column) -> Column:
-    """The document text of one chunk of an indented array."""
-    body = F.regexp_replace(chunk, r"^\s*\[\n  \{", "")
-    body = F.regexp_replace(body, r"\n  \}\n\]\s*$", "")
+def _indented_chunks(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    """The elements of an array indented by two spaces, as written."""
+    chunks = spark.read.option("lineSep", ELEMENT_BOUNDARY).text(path)
+    if ordered:
+        chunks = chunks.select("value", _position())
+    body = F.regexp_replace(F.regexp_replace("value", r"^\s*\[\n  \{", ""), r"\n  \}\n\]\s*$", "")
     # Inside a document every line is indented by four spaces or more.
-    foreign = body.rlike(r"^\s*\[") | body.rlike(r"\n {0,3}\S")
-    return F.when(
-        foreign, F.raise_error(F.lit("not an array indented by two spaces; read it as layout 'array'"))
-    ).otherwise(F.concat(F.lit("{"), body, F.lit("\n  }")))
+    foreign = body.rlike(r"^\s*\[|\n {0,3}\S")
+    refusal = F.raise_error(F.lit("not an array indented by two spaces; read it as layout 'array'"))
+    text = F.when(foreign, refusal).otherwise(F.concat(F.lit("{"), body, F.lit("\n  }")))
+    empty = F.col("value").rlike(r"^\s*(\[\s*\]\s*)?$")
+    return chunks.where(~empty).withColumn("value", text)
 
 
-def element_texts(
-    spark: SparkSession, path: str, layout: str, ordered: bool = False
-) -> DataFrame:
+def element_texts(spark: SparkSession, path: str, layout: str) -> DataFrame:
     """One row per document with its unparsed JSON ``value`` on one line."""
     if layout == "lines":
         return spark.read.text(path).where(F.trim("value") != "")
     if layout == "indented":
-        chunks = spark.read.option("lineSep", ELEMENT_BOUNDARY).text(path)
-        if ordered:
-            chunks = chunks.select("value", _position())
-        chunks = chunks.where(~F.col("value").rlike(r"^\s*(\[\s*\]\s*)?$"))
-        text = _element_text(F.col("value"))
-        return chunks.withColumn("value", F.regexp_replace(text, r"\n *", ""))
+        chunks = _indented_chunks(spark, path)
+        return chunks.withColumn("value", F.regexp_replace("value", r"\n *", ""))
     if layout == "array":
         whole = spark.read.option("multiLine", True).option("singleVariantColumn", "doc").json(path)
         item = spark.tvf.variant_explode(F.col("doc").outer())
@@ -89,7 +86,7 @@ def read_documents(
         fields = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
         options = {**options, "columnNameOfCorruptRecord": CORRUPT}
     if layout == "indented":
-        texts = element_texts(spark, path, layout, ordered)
+        texts = _indented_chunks(spark, path, ordered)
         return expand_json(texts, "value", fields, [ORD] if ordered else [], options)
     if layout not in ("array", "lines"):
         raise ValueError(f"unknown layout {layout!r}")

@@ -49,7 +49,7 @@ def write_json(tmp_path):
 
 def order(row):
     """A sort key for rows of mixed values; nulls come first."""
-    return tuple("" if v is None else f"{v:020}" if type(v) is int else str(v) for v in row)
+    return tuple((v is not None, f"{v:020}" if type(v) is int else str(v)) for v in row)
 
 
 def rows(df, *names):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from discolake import schemas
 from discolake.operators.quality import IncompleteLanding
 from discolake.plans import bronze
-from discolake.sources.documents import ORD, read_documents, read_domain
+from discolake.sources.documents import ORD, read_category_map, read_documents, read_domain
 from tests.conftest import by_key, rows
 
 RAW_ALBUM = (
@@ -55,6 +55,16 @@ def test_owners_come_first_in_file_order(spark, write_json):
         assert owners.columns == ["display_name", "id", "type"]
 
 
+def test_artists_from_categories(spark, write_json):
+    categories = {"Rock": [{"id": "1", "name": "in rock"}, {"id": "2"}], "None": [],
+                  "Pop": [{"id": "3"}, {"id": "1", "name": "in pop"}, {"id": None}]}
+    path = write_json("categories.json", categories)
+    for layout in ("whole", "indented"):
+        artists = bronze.artists_from_categories(read_category_map(spark, path, layout))
+        assert rows(artists, "id", "name") == [("1", "in pop"), ("2", None), ("3", None)]
+        assert artists.columns == ["id", "name", "genres", "followers", "popularity", "type"]
+
+
 ITEM = (
     "items array<struct<track: struct<id: string, name: string, artists: array<struct<name: string>>,"
     " album: struct<name: string, release_date: string>, duration_ms: bigint, popularity: bigint>>>, total long"

@@ -2,6 +2,8 @@ import pytest
 
 from discolake import __main__ as cli
 from discolake.plans import layers
+from discolake.schemas import ARTIST
+from discolake.sources.documents import read_domain
 from tests.conftest import rows
 from tests.test_bronze import crawl  # noqa: F401
 
@@ -57,6 +59,19 @@ def test_the_whole_chain_from_the_command_line(spark, tmp_path, crawl, capsys):
     assert rows(spark.read.json(str(tmp_path / "owners")), "id") == [("o",)]
 
 
+def test_derived_owners_and_artists_can_be_landed(spark, tmp_path, crawl, write_json):  # noqa: F811
+    categories = write_json("categories.json", {"Rock": [{"id": "x", "name": "X"}, {"id": "y"}], "Pop": []})
+    for name in ("owners", "artists"):
+        (crawl / f"{name}.json").unlink()
+    cli.main(["owners", "--playlists", str(crawl / "playlists.json"), "--target", str(crawl / "owners.json")])
+    cli.main(["artists", "--categories", categories, "--target", str(crawl / "artists.json")])
+    lines = ["--lines", "owners", "artists"]
+    cli.main(["validate", "--source", str(crawl), *lines])
+    cli.main(["land", "--source", str(crawl), "--bronze", str(tmp_path / "b"), "--date", "2024-01-31", *lines])
+    docs = read_domain(spark, str(tmp_path / "b"), "artists", "2024-01-31", ARTIST)
+    assert rows(docs, "id", "name") == [("x", "X"), ("y", None)]
+
+
 @pytest.mark.parametrize("layout", ["array", "indented"])
 def test_silver_reads_uploaded_array_files(spark, tmp_path, write_json, layout):
     for domain, doc in {

@@ -245,6 +245,20 @@ def split_explode(spark, sf_dir):
     select p_brand, 1, 'q' || p_partkey, p_name, p_size::bigint from part where p_size % 5 <> 0
 """)
 def flatten_category_map(spark, sf_dir):
+    return bronze.flatten_categories(category_maps(spark, sf_dir))
+
+
+@query("""
+    select 'p' || p_partkey as id, p_name as name, p_size::bigint as popularity from part where p_size % 5 <> 0
+    union all
+    select distinct 'q' || p_name, p_name, null::bigint from part where p_size % 5 <> 0
+""")
+def artists_from_categories(spark, sf_dir):
+    """The second artist of a part is listed under many categories."""
+    return bronze.artists_from_categories(category_maps(spark, sf_dir, shared=True))
+
+
+def category_maps(spark, sf_dir, shared=False):
     """One map per part; every fifth size has an empty category."""
 
     def artist(prefix: str):
@@ -254,10 +268,13 @@ def flatten_category_map(spark, sf_dir):
             F.col("p_size").cast("long").alias("popularity"),
         )
 
-    pair = F.array(artist("p"), artist("q"))
+    second = artist("q")
+    if shared:
+        nothing = F.lit(None).cast("long").alias("popularity")
+        second = F.struct(F.concat(F.lit("q"), "p_name").alias("id"), F.col("p_name").alias("name"), nothing)
+    pair = F.array(artist("p"), second)
     listed = F.when(F.col("p_size") % 5 != 0, pair).otherwise(F.slice(pair, 1, 0))
-    maps = table(spark, sf_dir, "part").select(F.create_map("p_brand", listed).alias("categories"))
-    return bronze.flatten_categories(maps)
+    return table(spark, sf_dir, "part").select(F.create_map("p_brand", listed).alias("categories"))
 
 
 @query(f"select * from ({EVENTS_SQL}) where id is not null and id <> ''")

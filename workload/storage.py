@@ -130,15 +130,14 @@ def scan_parquet_partition(spark, sf_dir):
 @query(f"""
     select id, name, total_tracks, ingest_date from ({DATED_ALBUMS}) where ingest_date <> '1998-01-01'
     union all
-    select id, name, total_tracks + 100, '1998-01-01'::date from ({DATED_ALBUMS})
-    where total_tracks < 5
+    select id, name, total_tracks + 100, ingest_date from ({DATED_ALBUMS}) where ingest_date = '1998-01-01'
 """)
 def overwrite_ingest_date(spark, sf_dir):
     """All dates are written, then one of them is replaced."""
     path = f"{new_folder(spark, 'silver')}/albums"
     rows = dated_albums(spark, sf_dir)
     rows.write.partitionBy("ingest_date").parquet(path)
-    again = rows.where("total_tracks < 5").withColumn("total_tracks", F.col("total_tracks") + 100)
+    again = rows.where("ingest_date = '1998-01-01'").withColumn("total_tracks", F.col("total_tracks") + 100)
     replace_date(again.drop("ingest_date"), path, "1998-01-01")
     return spark.read.parquet(path)
 
