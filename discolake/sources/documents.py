@@ -2,7 +2,8 @@
 
 A file may hold its documents in one of three layouts:
 
-``array``     one JSON array, formatted in any way; one task reads the file.
+``array``     one JSON array, formatted in any way; one task reads the file,
+              which may have up to 2 GB.  A file that does not parse raises.
 ``indented``  one JSON array indented by two spaces, as the crawlers write it.
               The text is cut at the boundaries between top-level elements,
               so one large file is read by many tasks.
@@ -28,20 +29,37 @@ CORRUPT = "_corrupt"
 ORD = "ord"
 
 
-def _position() -> Column:
-    """Where a row stands in its file; sorts in file order within a file."""
+def _position(row: Column) -> Column:
+    """Where a document stands in its file; sorts in file order."""
     return F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+        row.cast("long").alias("row"),
     ).alias(ORD)
 
 
+def _array_elements(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    """The elements of an array in any format; a lone object counts as one.
+
+    The JSON reader is not used here: one null element makes it give a single
+    empty row for the whole file.
+    """
+    whole = spark.read.text(path, wholetext=True).where(F.trim("value") != "")
+    listed = F.when(F.col("value").rlike(r"^\s*\{"), F.concat(F.lit("["), "value", F.lit("]")))
+    elements = F.from_json(F.coalesce(listed, "value"), "array<variant>", {"mode": "FAILFAST"})
+    where = [_position(F.lit(0))] if ordered else []
+    items = whole.select(elements.alias("elements"), *where)
+    items = items.select(F.posexplode("elements").alias("pos", "element"), *([ORD] if ordered else []))
+    if ordered:
+        items = items.withColumn(ORD, F.col(ORD).withField("row", F.col("pos").cast("long")))
+    return items.withColumn("value", F.to_json("element")).drop("pos", "element")
+
+
 def _indented_chunks(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
     """The elements of an array indented by two spaces, as written."""
     chunks = spark.read.option("lineSep", ELEMENT_BOUNDARY).text(path)
     if ordered:
-        chunks = chunks.select("value", _position())
+        chunks = chunks.select("value", _position(F.monotonically_increasing_id()))
     body = F.regexp_replace(F.regexp_replace("value", r"^\s*\[\n  \{", ""), r"\n  \}\n\]\s*$", "")
     # Inside a document every line is indented by four spaces or more.
     foreign = body.rlike(r"^\s*\[|\n {0,3}\S")
@@ -59,9 +77,7 @@ def element_texts(spark: SparkSession, path: str, layout: str) -> DataFrame:
         chunks = _indented_chunks(spark, path)
         return chunks.withColumn("value", F.regexp_replace("value", r"\n *", ""))
     if layout == "array":
-        whole = spark.read.option("multiLine", True).option("singleVariantColumn", "doc").json(path)
-        item = spark.tvf.variant_explode(F.col("doc").outer())
-        return whole.lateralJoin(item).select(F.to_json("value").alias("value"))
+        return _array_elements(spark, path)
     raise ValueError(f"unknown layout {layout!r}")
 
 
@@ -78,21 +94,21 @@ def read_documents(
 
     A value that does not fit its type becomes null.  With ``corrupt`` the
     text of such a document is kept in the column ``_corrupt``, so that the
-    loss can be counted; under ``array`` it marks every row of the file.  With ``ordered`` the column ``ord`` sorts in file
+    loss can be counted.  A null element is a row of nulls.  With ``ordered`` the column ``ord`` sorts in file
     order, for operators that ask for the first row.
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if corrupt:
         fields = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
         options = {**options, "columnNameOfCorruptRecord": CORRUPT}
-    if layout == "indented":
-        texts = _indented_chunks(spark, path, ordered)
-        return expand_json(texts, "value", fields, [ORD] if ordered else [], options)
-    if layout not in ("array", "lines"):
+    if layout == "lines":
+        docs = spark.read.schema(fields).options(**options).json(path)
+        return docs.select("*", _position(F.monotonically_increasing_id())) if ordered else docs
+    if layout not in ("array", "indented"):
         raise ValueError(f"unknown layout {layout!r}")
-    reader = spark.read.schema(fields).options(**options).option("multiLine", layout == "array")
-    docs = reader.json(path)
-    return docs.select("*", _position()) if ordered else docs
+    scan = _array_elements if layout == "array" else _indented_chunks
+    texts = scan(spark, path, ordered)
+    return expand_json(texts, "value", fields, [ORD] if ordered else [], options)
 
 
 def read_domain(

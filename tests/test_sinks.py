@@ -63,7 +63,8 @@ def test_a_hot_year_is_written_by_several_tasks(spark, tmp_path):
     try:
         year = F.when(F.col("id") % 3 == 0, 1990 + F.col("id") % 30).otherwise(2020)
         day = F.make_date(year.cast("int"), F.lit(1), F.lit(1))
-        df = spark.range(0, 20_000, numPartitions=8).select(F.md5(F.col("id").cast("string")).alias("id"), day.alias("release_date"))
+        rows_ = spark.range(0, 20_000, numPartitions=8)
+        df = rows_.select(F.md5(F.col("id").cast("string")).alias("id"), day.alias("release_date"))
         tables.overwrite_by_year(df, str(tmp_path / "t"))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
