@@ -26,10 +26,12 @@ def flatten_map(df: DataFrame, mapping: str, key: str = "category", pos: str = "
     """A map of lists of structs to one row per struct.
 
     The map key and the position in its list stay as columns, so that "first
-    in the file" can be asked for later.
+    in the file" can be asked for later.  The outer explode saves the filter
+    that Spark adds to the inner one, which evaluates the map again; its rows
+    for empty maps end in the second explode.
     """
     return (
-        df.select(F.explode(mapping).alias(key, "_list"))
+        df.select(F.explode_outer(mapping).alias(key, "_list"))
         .select(key, F.posexplode("_list").alias(pos, "_item"))
         .select(key, pos, "_item.*")
     )

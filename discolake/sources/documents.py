@@ -49,7 +49,9 @@ def _array_elements(spark: SparkSession, path: str, ordered: bool = False) -> Da
     elements = F.from_json(F.coalesce(listed, "value"), "array<variant>", {"mode": "FAILFAST"})
     where = [_position(F.lit(0))] if ordered else []
     items = whole.select(elements.alias("elements"), *where)
-    items = items.select(F.posexplode("elements").alias("pos", "element"), *([ORD] if ordered else []))
+    # The outer form: for the inner one Spark adds a filter that parses again.
+    exploded = F.posexplode_outer("elements").alias("pos", "element")
+    items = items.select(exploded, *([ORD] if ordered else [])).where(F.col("pos").isNotNull())
     if ordered:
         items = items.withColumn(ORD, F.col(ORD).withField("row", F.col("pos").cast("long")))
     return items.withColumn("value", F.to_json("element")).drop("pos", "element")

@@ -36,6 +36,8 @@ def deduplicate(
     expected lateness; ``late_rows`` tells how many were lost.  Copies are
     removed within input slices first: an event sent very many times is then
     spread over ``slices`` tasks and reaches the exact step in few copies.
+    The price is a second state, of up to ``slices`` entries per key; with
+    ``slices=1`` there is only the exact step.
     An event whose time cannot be read counts as happening now.
     """
     moment = F.coalesce(F.col("timestamp").try_cast("timestamp"), F.current_timestamp())

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from discolake.operators import dedup, filters, joins, ranking
 from discolake.plans import gold, silver
+from discolake.plans.bronze import artists_from_categories
+from discolake.schemas import TRACK
 from discolake.sinks.tables import replace_date
+from discolake.sources.documents import read_category_map, read_documents
 from discolake.sources.tables import read_date
 from workload import QUERIES
 from workload.inputs import lineitem_tracks
@@ -48,6 +51,19 @@ def test_key_filters_reach_the_scan(silver_tables):
     assert "PushedFilters: [IsNotNull(id), IsNotNull(album_id)]" in text
 
 
+@pytest.mark.parametrize("layout", ["array", "indented"])
+def test_documents_are_parsed_once(spark, write_json, layout):
+    path = write_json("tracks.json", [{"id": "t", "album": {"id": "a"}, "artists": [{"id": "x"}]}])
+    text = plan(silver.track_artists(read_documents(spark, path, TRACK, layout)))
+    assert text.count("from_json(StructField") == 1
+    assert text.count("from_json(ArrayType") == (layout == "array")
+
+
+def test_category_maps_are_parsed_once(spark, write_json):
+    path = write_json("categories.json", {"Rock": [{"id": "1"}]})
+    assert plan(artists_from_categories(read_category_map(spark, path))).count("from_json(") == 1
+
+
 def test_keep_first_cuts_each_group_before_the_shuffle(silver_tables):
     text = plan(dedup.keep_first(silver_tables, "id", ["duration_ms"]))
     partial = [m.start() for m in re.finditer("WindowGroupLimit", text)]
