@@ -91,7 +91,7 @@ def mark_copies(
     """One row for each row of docs: id, keep_id, group_size, kept, text_sha256."""
     narrow = docs.select(F.col(id_col), F.col(text_col).alias("__given"))
     rows = runs(narrow, F.col("__given"), id_col, keep).drop("__given")
-    done = settled(stored(rows, "content-runs"), keep)
+    done = settled(stored(rows, "content-runs", narrow=True), keep)
     return done.select(
         id_col, "keep_id", "group_size", "kept", F.col("__sha").alias("text_sha256")
     )

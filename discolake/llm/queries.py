@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from discolake.llm import bpe, token_frames
 from discolake.llm.content_sort import mark_copies
 from discolake.llm.tables import documents
 
@@ -13,6 +15,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    manifest = token_frames.write_token_files(documents(spark, sf_dir), path, end_id=2)
+    return token_frames.read_token_files(manifest, digests=True)
+
+
+QUERIES["op5_token_files"] = op5_token_files
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.encode(documents(spark, sf_dir), path, digests=True)
+
+
+QUERIES["op9_bpe"] = op9_bpe
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(documents(spark, sf_dir), keep="largest")
 
