@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from discolake.llm import bpe, token_frames
+from discolake.llm import bpe, mixing, token_frames
 from discolake.llm.content_sort import mark_copies
 from discolake.llm.tables import documents
 
@@ -43,3 +43,10 @@ select doc_id, max(doc_id) over copies as keep_id, count(*) over copies as group
 from documents
 window copies as (partition by coalesce(text, ''))
 """
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(documents(spark, sf_dir))
+
+
+QUERIES["op8_mix_sources"] = op8_mix_sources
