@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from discolake.llm import bpe, mixing, token_frames
+from discolake.llm import bpe, mixing, quality_rules, token_frames
 from discolake.llm.content_sort import mark_copies
 from discolake.llm.tables import documents
 
@@ -50,3 +50,12 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_mix_sources"] = op8_mix_sources
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality_rules.classify(documents(spark, sf_dir), labels)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+QUERIES["op4_quality"] = op4_quality
