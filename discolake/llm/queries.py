@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from discolake.llm import bpe, mixing, quality_rules, token_frames
+from discolake.llm import bpe, byte_cnn, html_layout, mixing, quality_rules, token_frames
 from discolake.llm.content_sort import mark_copies
-from discolake.llm.tables import documents
+from discolake.llm.tables import documents, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +60,19 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_quality"] = op4_quality
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = byte_cnn.identify(docs, byte_cnn.learn(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES["op6_language"] = op6_language
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_layout.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+QUERIES["op3_html_text"] = op3_html_text
