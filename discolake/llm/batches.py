@@ -9,7 +9,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; a longer text is a piece of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+#: Pieces that are encoded in one call.
+ENCODE_ROWS = 10_000
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -35,20 +37,38 @@ def gather(blob: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np
 
 
 class PieceIds:
-    """Ids of pieces of text, each encoded once while it is remembered."""
+    """Ids of pieces of text, each encoded once while it is remembered.
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], width: int, most: int = 300_000):
+    Two generations are remembered: when the young one is full it becomes the old one, so
+    pieces that keep coming back stay and others are forgotten.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], width: int, most: int = 250_000):
         self.encode, self.width, self.most = encode, width, most
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def find(self, piece: str) -> bytes | None:
+        return self.young.get(piece) or self.old.get(piece)
 
     def of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces side by side, and how many each has."""
-        missing = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(missing) > self.most:
-            self.known.clear()
-            missing = pieces
-        self.known.update(zip(missing, self.encode(missing), strict=True))
-        parts = [self.known[p] for p in pieces]
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        parts = list(map(self.young.get, pieces))
+        absent = [i for i, part in enumerate(parts) if part is None]
+        missing = []
+        for i in absent:
+            parts[i] = part = self.old.get(pieces[i])
+            if part is None:
+                missing.append(i)
+            else:
+                self.young[pieces[i]] = part
+        for start in range(0, len(missing), ENCODE_ROWS):
+            some = missing[start : start + ENCODE_ROWS]
+            words = [pieces[i] for i in some]
+            for i, word, part in zip(some, words, self.encode(words), strict=True):
+                parts[i] = self.young[word] = part
         lengths = np.fromiter(map(len, parts), "i8", len(parts)) // self.width
         return np.frombuffer(b"".join(parts), f"<u{self.width}"), lengths
 

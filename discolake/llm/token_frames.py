@@ -45,35 +45,89 @@ LEVEL = 3
 #: Documents that a reading task holds at once.
 READ_ROWS = 2_000
 
+#: Words that are encoded as one text.
+GROUP = 50
+STOPS = ".,"
+#: Letters below this one are the same in every normal form, but for the dotted capital I.
+LATIN_END, DOTTED = "\u0250", "\u0130"
+
 ENCODED = "doc_id long, n_tokens long, frame binary, raw_bytes long, checksum long"
 MANIFEST = "shard int, path string, n_docs long, n_tokens long"
 DIGESTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 TOKENS = "doc_id long, start long, n_tokens long, ids array<int>"
 
 
-@functools.cache
-def piece_ids(tokenizer_path: str) -> PieceIds:
-    """Encodes words that white space parts, which this tokenizer never joins."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class WordEncoder:
+    """Encodes words that white space parts, which this tokenizer never joins.
 
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
+    Words of plain letters are one pre-token each, and so are the stops after them: they
+    are encoded many at a time, and the tokens that end a word tell them apart.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.suffixed = bool(suffix)
+        self.pieces = PieceIds(self.encode, self.width)
+
+    def packed(self, ids) -> bytes:
+        return np.array(ids, f"<u{self.width}").tobytes()
+
+    def one_by_one(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [self.packed(x.ids) for x in found]
+
+    def together(self, words: list[str]) -> list[bytes]:
+        rows = [" ".join(words[i : i + GROUP]) for i in range(0, len(words), GROUP)]
+        found = self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)
+        ids = np.array([i for x in found for i in x.ids], f"<u{self.width}")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):
+            return self.one_by_one(words)
+        raw, cuts = ids.tobytes(), [0, *(stops * self.width).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        cores = [w.rstrip(STOPS) for w in words]
+        known: dict[str, bytes | None] = {}
+        for i, core in enumerate(cores):
+            if self.suffixed and core.isalpha() and max(core) < LATIN_END and DOTTED not in core:
+                known.setdefault(core, self.pieces.find(core))
+                known.setdefault(words[i][len(core) :], None)
+            else:
+                cores[i] = words[i]
+                known.setdefault(words[i], None)
+        absent = [w for w, ids in known.items() if ids is None]
+        plain = [w for w in absent if w.isalpha() and max(w) < LATIN_END and DOTTED not in w] if self.suffixed else []
+        known.update(zip(plain, self.together(plain), strict=True))
+        rest = [w for w, ids in known.items() if ids is None]
+        known.update(zip(rest, self.one_by_one(rest), strict=True))
+        return [known[c] + known[w[len(c) :]] if len(c) < len(w) else known[c] for c, w in zip(cores, words, strict=True)]
 
-    def encode(words: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, f"<u{width}").tobytes() for x in found]
 
-    return PieceIds(encode, width)
+@functools.cache
+def encoder(tokenizer_path: str) -> WordEncoder:
+    return WordEncoder(tokenizer_path)
 
 
 def encode_batches(tokenizer_path: str, end_id: int, batches: Iterator[pa.RecordBatch]):
-    words = piece_ids(tokenizer_path)
+    words = encoder(tokenizer_path).pieces
     end = np.array([end_id], f"<u{words.width}").tobytes()
     squeeze = zstandard.ZstdCompressor(level=LEVEL)
     for batch in batches:
         for part in slices(batch, "text"):
-            lists = pc.ascii_split_whitespace(pc.fill_null(part.column("text"), ""))
+            texts = pc.fill_null(part.column("text"), "")
+            # The tokenizer ignores case but in special tokens; without it more words are equal.
+            lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+            lists = pc.ascii_split_whitespace(lower)
             ends = lists.offsets.to_numpy()
             ids, stops = words.joined(lists.flatten(), ends - ends[0])
             rows = []
