@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from discolake.llm import bpe, byte_cnn, html_layout, mixing, quality_rules, token_frames
+from discolake.llm import bpe, byte_cnn, cross_polytope, html_layout, mixing, quality_rules, token_frames
 from discolake.llm.content_sort import mark_copies
 from discolake.llm.tables import documents, held_out
 
@@ -76,3 +76,10 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_html_text"] = op3_html_text
+
+
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES["op10_near_vectors"] = op10_near_vectors
