@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from discolake.llm import bpe, byte_cnn, cross_polytope, html_layout, mixing, quality_rules, token_frames
+from discolake.llm import bpe, byte_cnn, cross_polytope, html_layout, mixing, ngram_join, quality_rules, token_frames
 from discolake.llm.content_sort import mark_copies
 from discolake.llm.tables import documents, held_out
 
@@ -83,3 +83,11 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_near_vectors"] = op10_near_vectors
+
+
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.similar_documents(documents(spark, sf_dir), words=3, percent=90)
+    return found.select("doc_id", F.col("n_grams").alias("n_shingles"), "component_id")
+
+
+QUERIES["op1_ngram_join"] = op1_ngram_join
