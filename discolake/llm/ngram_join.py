@@ -285,3 +285,15 @@ def similar_documents(
         F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce("rep", "doc_id").alias("class_id"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, words: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id"
+) -> DataFrame:
+    """The rows of docs without those that links lead to a smaller id."""
+    found = similar_documents(docs, words, percent, text_col, id_col)
+    drop = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__drop")).distinct()
+    drop = stored(drop, "gram-drop", narrow=True)
+    if drop.count() <= BROADCAST_IDS:
+        drop = F.broadcast(drop)
+    return docs.join(drop, F.col(id_col) == F.col("__drop"), "left_anti")

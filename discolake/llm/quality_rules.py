@@ -13,6 +13,7 @@ are left out.  Without labelled rows every score is 0.5.  An empty table gives n
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from discolake.llm.batches import slices
 from discolake.llm.tables import held_out, stored
@@ -59,6 +61,10 @@ MEASURES = [
 ]
 
 
+#: Their names as columns beside those of the documents.
+COLUMNS = [f"__{m}" for m in MEASURES]
+
+
 def measure(texts: pa.Array) -> np.ndarray:
     """One row of MEASURES for each text, each a number that does not grow with the text but words."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
@@ -104,19 +110,25 @@ def measure(texts: pa.Array) -> np.ndarray:
     return np.stack(columns, 1)
 
 
-def measure_batches(batches: Iterator[pa.RecordBatch]):
+def measure_batches(kept: tuple[str, ...], batches: Iterator[pa.RecordBatch]):
+    """Adds the measures of column __text to the columns that are kept."""
     for batch in batches:
-        for part in slices(batch, "text"):
-            found = measure(pc.fill_null(part.column("text"), ""))
+        for part in slices(batch, "__text"):
+            found = measure(pc.fill_null(part.column("__text"), ""))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), *(pa.array(c) for c in found.T)], ["doc_id", *MEASURES]
+                [*(part.column(c) for c in kept), *(pa.array(c) for c in found.T)],
+                [*kept, *COLUMNS],
             )
 
 
-def measures(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = ", ".join(["doc_id long", *(f"{m} double" for m in MEASURES)])
-    return given.mapInArrow(measure_batches, schema)
+def measured(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns to keep (all without keep), and the measures of the text."""
+    kept = docs.columns if keep is None else keep
+    given = docs.select(*kept, F.col(text_col).alias("__text"))
+    schema = StructType([given.schema[c] for c in kept])
+    for name in COLUMNS:
+        schema = schema.add(name, "double")
+    return given.mapInArrow(functools.partial(measure_batches, tuple(kept)), schema)
 
 
 @dataclass(frozen=True)
@@ -173,7 +185,7 @@ class RuleModel:
     bias: float
     weights: tuple[tuple[Rule, float], ...]
 
-    def score(self, names: list[str] = MEASURES) -> Column:
+    def score(self, names: list[str] = COLUMNS) -> Column:
         total = F.lit(self.bias)
         for rule, weight in self.weights:
             total = total + F.when(rule.column(names), F.lit(weight)).otherwise(F.lit(0.0))
@@ -225,26 +237,36 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 5) -> RuleModel:
     return RuleModel(bias, tuple(used))
 
 
-def train(rows: DataFrame, labels: DataFrame, label: str = "quality") -> RuleModel:
-    """rows: doc_id and MEASURES.  Rows whose id is held out are never learned from."""
-    given = labels.select(F.col("doc_id").alias("labelled"), F.col(label).cast("int").alias("label"))
-    learn = rows.filter(~held_out(F.col("doc_id"))).join(
-        given.filter("label IN (0, 1)"), F.col("doc_id") == F.col("labelled")
+def train(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality") -> RuleModel:
+    """rows: ids and measures.  Rows whose id is held out are never learned from."""
+    given = labels.select(F.col("doc_id").alias("__labelled"), F.col(label).cast("int").alias("__label"))
+    learn = rows.filter(~held_out(F.col(id_col))).join(
+        given.filter("__label IN (0, 1)"), F.col(id_col) == F.col("__labelled")
     )
-    order = F.xxhash64("doc_id", F.lit(11))
-    some = learn.orderBy(order, "label", *MEASURES).limit(TRAIN_ROWS).select("label", *MEASURES).collect()
+    order = F.xxhash64(F.col(id_col), F.lit(11))
+    some = learn.orderBy(order, "__label", *COLUMNS).limit(TRAIN_ROWS).select("__label", *COLUMNS).collect()
     table = np.array(some, "f8").reshape(len(some), len(MEASURES) + 1)
     return fit(table[:, 1:], table[:, 0])
 
 
 def classify(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row for each row of docs: doc_id, held_out, score, predicted and the measures."""
-    rows = stored(measures(docs, text_col, id_col), "quality-measures", narrow=True)
-    score = train(rows, labels).score()
+    """One row for each row of docs: id, held_out, score, predicted."""
+    rows = stored(measured(docs, text_col, [id_col]), "quality-measures", narrow=True)
+    score = train(rows, labels, id_col).score()
     return rows.select(
-        "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
+        id_col,
+        held_out(F.col(id_col)).alias("held_out"),
         score.alias("score"),
         (score >= THRESHOLD).cast("int").alias("predicted"),
-        *MEASURES,
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows of docs that the classifier, fitted on their labelled ones, does not reject."""
+    given = labels.filter("quality IN (0, 1)").select(F.col("doc_id").alias("__labelled")).distinct()
+    known = docs.select(id_col).filter(~held_out(F.col(id_col))).join(given, F.col(id_col) == F.col("__labelled"), "left_semi")
+    # TRAIN_ROWS ids at most.
+    chosen = known.orderBy(F.xxhash64(F.col(id_col), F.lit(11)), id_col).limit(TRAIN_ROWS)
+    sample = docs.join(F.broadcast(chosen.select(F.col(id_col).alias("__chosen")).distinct()), F.col(id_col) == F.col("__chosen"), "left_semi")
+    model = train(measured(sample, text_col, [id_col]), labels, id_col)
+    return measured(docs, text_col).filter(model.score() >= THRESHOLD).select(*docs.columns)

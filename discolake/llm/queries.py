@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from discolake.llm import bpe, byte_cnn, cross_polytope, html_layout, mixing, ngram_join, quality_rules, token_frames
+from discolake.llm import bpe, byte_cnn, cross_polytope, html_layout, mixing, ngram_join, pii, quality_rules, token_frames
 from discolake.llm.content_sort import mark_copies
 from discolake.llm.tables import documents, held_out
 
@@ -55,8 +55,7 @@ QUERIES["op8_mix_sources"] = op8_mix_sources
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality_rules.classify(documents(spark, sf_dir), labels)
-    return scored.select("doc_id", "held_out", "score", "predicted")
+    return quality_rules.classify(documents(spark, sf_dir), labels)
 
 
 QUERIES["op4_quality"] = op4_quality
@@ -91,3 +90,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_ngram_join"] = op1_ngram_join
+
+
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
+QUERIES["op2_personal_data"] = op2_personal_data
