@@ -51,8 +51,8 @@ class PieceIds:
     def find(self, piece: str) -> bytes | None:
         return self.young.get(piece) or self.old.get(piece)
 
-    def of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all pieces side by side, and how many each has."""
+    def each(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece."""
         if len(self.young) > self.most:
             self.young, self.old = {}, self.young
         parts = list(map(self.young.get, pieces))
@@ -69,6 +69,11 @@ class PieceIds:
             words = [pieces[i] for i in some]
             for i, word, part in zip(some, words, self.encode(words), strict=True):
                 parts[i] = self.young[word] = part
+        return parts
+
+    def of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces side by side, and how many each has."""
+        parts = self.each(pieces)
         lengths = np.fromiter(map(len, parts), "i8", len(parts)) // self.width
         return np.frombuffer(b"".join(parts), f"<u{self.width}"), lengths
 

@@ -16,6 +16,7 @@ import hashlib
 import heapq
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,10 @@ RUN = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Characters that stand for themselves in the vocabulary file; other bytes follow from 256 on.
 PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
+#: Bytes of a word up to which all its ranks are looked through for each merge.
+SHORT = 100
 NEVER = np.iinfo("i8").max
+PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 TOKENS = "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string"
 
@@ -68,16 +72,19 @@ class Bpe:
         self.rank = np.full(self.size, -1)
         self.left, self.right = np.zeros((2, self.size), "i8")
         self.merge: dict[tuple[int, int], tuple[int, int]] = {}
+        self.made: list[int] = []
         for rank, pair in enumerate(given["model"]["merges"]):
             a, b = (vocabulary[x] for x in (pair.split(" ") if isinstance(pair, str) else pair))
             made = self.id_of[self.bytes_of[a] + self.bytes_of[b]]
             self.merge[a, b] = (rank, made)
+            self.made.append(made)
             if self.rank[made] < 0:
                 self.rank[made], self.left[made], self.right[made] = rank, a, b
         keys = np.array([a * self.size + b for a, b in self.merge], "i8")
         order = np.argsort(keys)
         self.pair_keys = keys[order]
         self.pair_ranks = np.array([r for r, _ in self.merge.values()], "i8")[order]
+        self.words = PieceIds(self.pack_words, 4)
         self.own = np.full(self.size, -1, "i1")
         split = [regex.escape(x) for x in self.special]
         self.special_pattern = regex.compile(f"({'|'.join(split)})") if split else None
@@ -117,6 +124,8 @@ class Bpe:
     def merged(self, word: bytes) -> list[int]:
         """The exact encoding: always the merge of lowest rank, the leftmost of equals."""
         ids = [self.single[b] for b in word]
+        if len(ids) <= SHORT:
+            return self.merged_short(ids)
         after = [*range(1, len(ids)), -1]
         before = list(range(-1, len(ids) - 1))
         heap = [(*m, i) for i, p in enumerate(zip(ids, ids[1:])) if (m := self.merge.get(p))]
@@ -135,6 +144,23 @@ class Bpe:
                     heapq.heappush(heap, (m[0], k, m[1]))
         return [i for i in ids if i >= 0]
 
+    def merged_short(self, ids: list[int]) -> list[int]:
+        """The same for few bytes: looks through all ranks for the lowest each time."""
+        get, none = self.merge.get, (NEVER, -1)
+        ranks = [get(p, none)[0] for p in zip(ids, ids[1:])]
+        while ranks:
+            rank = min(ranks)
+            if rank == NEVER:
+                break
+            i = ranks.index(rank)
+            ids[i : i + 2] = [self.made[rank]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((ids[i - 1], ids[i]), none)[0]
+            if i < len(ranks):
+                ranks[i] = get((ids[i], ids[i + 1]), none)[0]
+        return ids
+
     def proposed(self, word: bytes) -> list[int]:
         """The longest vocabulary entry at each place, from the left."""
         out, at, end, known = [], 0, len(word), self.id_of
@@ -163,12 +189,16 @@ class Bpe:
             found[w] = self.merged(words[w])
         return found
 
+    def pack_words(self, words: list[str]) -> list[bytes]:
+        found = self.encode_words([w.encode() for w in words])
+        return [PACK[len(x)](*x) if len(x) < len(PACK) else np.array(x, "<u4").tobytes() for x in found]
+
     def encode_runs(self, runs: list[str]) -> list[bytes]:
         """Ids of runs of text, as little-endian 32-bit integers."""
         parts = [WORD.findall(r) for r in runs]
         words = list(dict.fromkeys(w for p in parts for w in p))
-        ids = dict(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
-        return [np.array([i for w in p for i in ids[w]], "<u4").tobytes() for p in parts]
+        ids = dict(zip(words, self.words.each(words), strict=True))
+        return [ids[p[0]] if len(p) == 1 else b"".join([ids[w] for w in p]) for p in parts]
 
     def runs(self, text: str) -> list[str]:
         """The runs of a text; special tokens stay whole and part the text."""
