@@ -58,7 +58,7 @@ def runs(docs: DataFrame, text: Column, id_col: str, keep: str) -> DataFrame:
 
 
 def settled(rows: DataFrame, keep: str) -> DataFrame:
-    """Add up the runs that go on over several ranges; adds group_size, keep_id, kept."""
+    """Add up the runs that go on over several ranges; adds __group_size, __keep_id, __kept."""
     pick = F.max if keep == "largest" else F.min
     owner = F.max_by if keep == "largest" else F.min_by
     edges = rows.filter("__edge").select("__range", "__sha", "__size", "__keep").distinct()
@@ -78,9 +78,9 @@ def settled(rows: DataFrame, keep: str) -> DataFrame:
     alone = F.col("__all").isNull()
     return joined.withColumns(
         {
-            "group_size": F.coalesce("__all", "__size"),
-            "keep_id": F.when(alone, F.col("__keep")).otherwise(F.col("__best")),
-            "kept": F.col("__last") & (alone | (F.col("__owner") == F.col("__range"))),
+            "__group_size": F.coalesce("__all", "__size"),
+            "__keep_id": F.when(alone, F.col("__keep")).otherwise(F.col("__best")),
+            "__kept": F.col("__last") & (alone | (F.col("__owner") == F.col("__range"))),
         }
     )
 
@@ -93,7 +93,11 @@ def mark_copies(
     rows = runs(narrow, F.col("__given"), id_col, keep).drop("__given")
     done = settled(stored(rows, "content-runs", narrow=True), keep)
     return done.select(
-        id_col, "keep_id", "group_size", "kept", F.col("__sha").alias("text_sha256")
+        id_col,
+        F.col("__keep_id").alias("keep_id"),
+        F.col("__group_size").alias("group_size"),
+        F.col("__kept").alias("kept"),
+        F.col("__sha").alias("text_sha256"),
     )
 
 
@@ -103,4 +107,4 @@ def drop_copies(
     """The rows of docs that stay, with their own columns."""
     rows = runs(docs, F.col(text_col), id_col, keep).filter("__last OR __edge")
     done = settled(stored(rows, "content-last"), keep)
-    return done.filter("kept").select(*docs.columns)
+    return done.filter("__kept").select(*docs.columns)

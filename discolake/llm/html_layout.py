@@ -59,6 +59,8 @@ CLOSES = {
 }
 #: End tags do not reach out of these.
 SCOPES = frozenset("table td th caption html template".split())
+#: Their end tags close no block: a block that began inside goes on.
+FORMATTING = frozenset("a b big code em font i nobr s small span strike strong sub sup tt u".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -171,7 +173,12 @@ class Tree:
     def end(self, tag: str) -> None:
         if not self.count.get(tag):
             return
-        bounds = frozenset() if tag in SCOPES or tag in SECTIONS or tag == "tr" else SCOPES
+        if tag in FORMATTING:
+            bounds = SCOPES | BLOCKS
+        elif tag in SCOPES or tag in SECTIONS or tag == "tr":
+            bounds = frozenset()
+        else:
+            bounds = SCOPES
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
                 while len(self.open) > i:
@@ -402,6 +409,7 @@ def render(root: Node) -> str:
             flow.indent -= int(node.attributes["by"])
         elif tag == "table":
             table, pre, lists = tables.pop()
+            flow.block(2)
             flow.put(table.laid_out())
             flow.block(2)
         elif tag in ("td", "th") and tables:

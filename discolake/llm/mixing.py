@@ -64,9 +64,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int =
     )
 
 
-def laid_out(docs: DataFrame, text_col: str, id_col: str, source_col: str) -> DataFrame:
-    """docs with __size, __start (words of the source before it), __source_size, __number, __target."""
-    spark = docs.sparkSession
+def laid_out(docs: DataFrame, text_col: str, id_col: str, source_col: str, keep: list[str]) -> DataFrame:
+    """Columns of docs with __size, __start (words of the source before it), __source_size, __number, __target."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     sized = docs.withColumns(
         {
@@ -77,7 +76,8 @@ def laid_out(docs: DataFrame, text_col: str, id_col: str, source_col: str) -> Da
             ),
         }
     )
-    sized = stored(sized, "mix-sizes", narrow=text_col not in docs.columns)
+    sized = sized.select(*keep, "__size", "__tie", "__chunk")
+    sized = stored(sized, "mix-sizes", narrow=text_col not in keep)
     chunks = sized.groupBy(F.col(source_col).alias("source"), "__chunk").agg(
         F.sum("__size").alias("words")
     )
@@ -179,8 +179,7 @@ def taken_words(
     docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source"
 ) -> DataFrame:
     """One row for each row of docs: id, size, source_size, target, taken."""
-    narrow = docs.select(F.col(id_col), F.col(source_col), F.col(text_col).alias("__given"))
-    laid = laid_out(narrow, "__given", id_col, source_col).drop("__given")
+    laid = laid_out(docs, text_col, id_col, source_col, [id_col, source_col])
     laid = stored(laid, "mix-laid", narrow=True)
     times = slots(_sources(laid)).groupBy("number", "block").agg(F.count(F.lit(1)).alias("times"))
     taken = (
@@ -204,19 +203,19 @@ def mixed_documents(
 ) -> DataFrame:
     """docs as the mix takes them: a row for each document and pass, with the words taken.
 
-    Keeps the columns of docs and adds shards, the output shards that its blocks go to.
-    The taken words keep the white space after them.
+    Keeps the columns of docs and adds mix_turn, the pass, and mix_shards, the output
+    shards that its blocks go to.  The taken words keep the white space after them.
     """
-    laid = stored(laid_out(docs, text_col, id_col, source_col), "mix-laid")
+    laid = stored(laid_out(docs, text_col, id_col, source_col, docs.columns), "mix-laid")
     narrow = laid.select("__number", "__start", "__size", "__source_size", "__target")
     # A document has a piece for each of its blocks at most, so the lists follow its length.
     chosen = (
         pieces(narrow)
         .join(slots(_sources(narrow)), ["number", "block"])
-        .groupBy(F.col("number").alias("__number"), F.col("start").alias("__start"), "turn")
+        .groupBy(F.col("number").alias("__number"), F.col("start").alias("__start"), F.col("turn").alias("__turn"))
         .agg(
             F.sort_array(F.collect_list(F.struct("low", "high"))).alias("__parts"),
-            F.sort_array(F.collect_set("shard")).alias("shards"),
+            F.sort_array(F.collect_set("shard")).alias("__shards"),
         )
     )
     words = F.regexp_extract_all(F.col(text_col), F.lit(WORD_AND_SPACE), F.lit(0))
@@ -229,5 +228,5 @@ def mixed_documents(
         .join(chosen, ["__number", "__start"])
         .withColumn("__words", words)
         .withColumn(text_col, F.array_join(cut, ""))
-        .select(*docs.columns, "shards")
+        .select(*docs.columns, F.col("__turn").alias("mix_turn"), F.col("__shards").alias("mix_shards"))
     )

@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 from discolake.llm.batches import slices
 from discolake.llm.tables import held_out, stored
 
-#: The classifier is fitted on so many labelled rows at most, those with the least hashes.
+#: The classifier is fitted on about so many labelled rows at most, those with the least hashes.
 TRAIN_ROWS = 20_000
 TREES = 40
 DEPTH = 3
@@ -237,15 +237,19 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 5) -> RuleModel:
     return RuleModel(bias, tuple(used))
 
 
+def chosen(ids: DataFrame, id_col: str) -> Column:
+    """True for the rows with the least hashes, about TRAIN_ROWS of ids; tells them apart by id alone."""
+    share = min(1.0, TRAIN_ROWS / max(1, ids.count()))
+    return F.xxhash64(F.col(id_col), F.lit(11)) <= F.lit(min(2**63 - 1, round((2 * share - 1) * 2**63)))
+
+
 def train(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality") -> RuleModel:
     """rows: ids and measures.  Rows whose id is held out are never learned from."""
     given = labels.select(F.col("doc_id").alias("__labelled"), F.col(label).cast("int").alias("__label"))
-    learn = rows.filter(~held_out(F.col(id_col))).join(
-        given.filter("__label IN (0, 1)"), F.col(id_col) == F.col("__labelled")
-    )
-    order = F.xxhash64(F.col(id_col), F.lit(11))
-    some = learn.orderBy(order, "__label", *COLUMNS).limit(TRAIN_ROWS).select("__label", *COLUMNS).collect()
-    table = np.array(some, "f8").reshape(len(some), len(MEASURES) + 1)
+    given = given.filter(F.col("__label").isin(0, 1) & ~held_out(F.col("__labelled")))
+    learn = rows.join(given.filter(chosen(given, "__labelled")), F.col(id_col) == F.col("__labelled"))
+    table = np.array(learn.select("__label", *COLUMNS).collect(), "f8").reshape(-1, len(MEASURES) + 1)
+    table = table[np.lexsort(table.T)]  # the order that rows arrive in does not matter
     return fit(table[:, 1:], table[:, 0])
 
 
@@ -263,10 +267,10 @@ def classify(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col:
 
 def accepted(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of docs that the classifier, fitted on their labelled ones, does not reject."""
-    given = labels.filter("quality IN (0, 1)").select(F.col("doc_id").alias("__labelled")).distinct()
-    known = docs.select(id_col).filter(~held_out(F.col(id_col))).join(given, F.col(id_col) == F.col("__labelled"), "left_semi")
-    # TRAIN_ROWS ids at most.
-    chosen = known.orderBy(F.xxhash64(F.col(id_col), F.lit(11)), id_col).limit(TRAIN_ROWS)
-    sample = docs.join(F.broadcast(chosen.select(F.col(id_col).alias("__chosen")).distinct()), F.col(id_col) == F.col("__chosen"), "left_semi")
+    given = labels.filter("quality IN (0, 1)").select(F.col("doc_id").alias("__labelled"))
+    given = given.filter(~held_out(F.col("__labelled")))
+    # About TRAIN_ROWS ids.
+    some = F.broadcast(given.filter(chosen(given, "__labelled")).distinct())
+    sample = docs.join(some, F.col(id_col) == F.col("__labelled"), "left_semi")
     model = train(measured(sample, text_col, [id_col]), labels, id_col)
     return measured(docs, text_col).filter(model.score() >= THRESHOLD).select(*docs.columns)
