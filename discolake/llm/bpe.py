@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from discolake.llm.batches import PieceIds, slices
+from discolake.llm.tables import in_batches
 
 # The white space of Unicode, and the pattern that parts words of this
 # kind of vocabulary before merging.
@@ -266,10 +267,10 @@ def encode(
 ) -> DataFrame:
     """doc_id, n_tokens, ids (or their ids_sha256) and decoded_sha256, the digest of the decoded text."""
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return given.mapInArrow(functools.partial(encode_batches, path, digests), DIGESTS if digests else TOKENS)
+    return in_batches(given, functools.partial(encode_batches, path, digests), DIGESTS if digests else TOKENS)
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """doc_id and text of rows with doc_id and ids; null ids give a null text."""
     work = functools.partial(decode_batches, path)
-    return tokens.select("doc_id", "ids").mapInArrow(work, "doc_id long, text string")
+    return in_batches(tokens.select("doc_id", "ids"), work, "doc_id long, text string")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from discolake.llm.batches import slices
-from discolake.llm.tables import held_out
+from discolake.llm.tables import held_out, in_batches
 
 #: The network is trained on so many texts of a language at most, those with the least hashes,
 #: and on so many windows of each.
@@ -247,4 +247,4 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text", id_co
     """One row for each row of docs: doc_id, lang_pred, score."""
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     work = functools.partial(predict_batches, net)
-    return given.mapInArrow(work, "doc_id long, lang_pred string, score double")
+    return in_batches(given, work, "doc_id long, lang_pred string, score double")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from discolake.llm.components import components
-from discolake.llm.tables import partitions, stored
+from discolake.llm.tables import in_batches, partitions, stored
 
 LEAST_COSINE = 0.95
 TURNS = 3
@@ -234,7 +234,7 @@ def near_vectors(
     count, dims = classes.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     hashes, tables, probes = plan(count, dims or 1)
     work = functools.partial(hash_batches, hashes, tables, probes)
-    inserted = stored(classes.select("rep", "size", "embedding").mapInArrow(work, INSERTED), "vector-buckets")
+    inserted = stored(in_batches(classes.select("rep", "size", "embedding"), work, INSERTED), "vector-buckets")
     full = inserted.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
     blocks = F.ceil(F.col("held") / block)
     own = F.pmod(F.xxhash64("rep", F.lit(SEED)), blocks)
@@ -247,7 +247,7 @@ def near_vectors(
         .repartition(partitions(spark), "bucket", "low", "high")
         .sortWithinPartitions("bucket", "low", "high")
     )
-    met = cells.mapInArrow(functools.partial(verify_batches, least), "rep long, links long, root long")
+    met = in_batches(cells, functools.partial(verify_batches, least), "rep long, links long, root long")
     met = stored(met, "vector-links", narrow=True)
     links = met.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(met.select(F.col("rep").alias("a"), F.col("root").alias("b")))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from discolake.llm.batches import slices
+from discolake.llm.tables import in_batches
 
 # Fixed values of HTML: kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -446,4 +447,4 @@ def extract_batches(batches: Iterator[pa.RecordBatch]):
 def extract(pages: DataFrame, html_col: str = "html", id_col: str = "page_id") -> DataFrame:
     """One row for each row of pages: page_id, text."""
     given = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"))
-    return given.mapInArrow(extract_batches, "page_id long, text string")
+    return in_batches(given, extract_batches, "page_id long, text string")

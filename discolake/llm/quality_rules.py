@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from discolake.llm.batches import slices
-from discolake.llm.tables import held_out, stored
+from discolake.llm.tables import held_out, in_batches, stored
 
 #: The classifier is fitted on about so many labelled rows at most, those with the least hashes.
 TRAIN_ROWS = 20_000
@@ -128,7 +128,7 @@ def measured(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
     schema = StructType([given.schema[c] for c in kept])
     for name in COLUMNS:
         schema = schema.add(name, "double")
-    return given.mapInArrow(functools.partial(measure_batches, tuple(kept)), schema)
+    return in_batches(given, functools.partial(measure_batches, tuple(kept)), schema)
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,19 @@ def stored(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: The folder that holds the package, for Python workers that have no installed copy.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def in_batches(df: DataFrame, work: Callable, schema) -> DataFrame:
+    """mapInArrow with this package on the workers' path."""
+    environment = df.sparkSession.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
+    return df.mapInArrow(work, schema)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

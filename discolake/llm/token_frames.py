@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from discolake.llm.batches import PieceIds, slices
-from discolake.llm.tables import partitions, range_of, splitters, stored
+from discolake.llm.tables import in_batches, partitions, range_of, splitters, stored
 from discolake.session import new_folder
 
 # Fixed values of the zstandard seekable format.
@@ -217,13 +217,13 @@ def write_token_files(
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     shards = partitions(spark)
     cuts = splitters(given, F.col("doc_id"), shards)
-    encoded = given.mapInArrow(functools.partial(encode_batches, tokenizer_path, end_id), ENCODED)
+    encoded = in_batches(given, functools.partial(encode_batches, tokenizer_path, end_id), ENCODED)
     sorted_rows = (
         encoded.withColumn("shard", range_of(F.col("doc_id"), cuts))
         .repartitionById(shards, "shard")
         .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "checksum")
     )
-    files = sorted_rows.mapInArrow(functools.partial(write_batches, folder, width), MANIFEST)
+    files = in_batches(sorted_rows, functools.partial(write_batches, folder, width), MANIFEST)
     # One row for each file: few enough for a window without a partition.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("n_tokens").over(before), F.lit(0))
@@ -291,4 +291,4 @@ def read_batches(digests: bool, batches: Iterator[pa.RecordBatch]):
 def read_token_files(manifest: DataFrame, digests: bool = False) -> DataFrame:
     """All documents of the files: doc_id, start, n_tokens and ids, or ids_crc32 of them."""
     parts = manifest.select("path", "start").repartition(partitions(manifest.sparkSession), "path")
-    return parts.mapInArrow(functools.partial(read_batches, digests), DIGESTS if digests else TOKENS)
+    return in_batches(parts, functools.partial(read_batches, digests), DIGESTS if digests else TOKENS)
