@@ -8,17 +8,20 @@ which holds more than p grams of nearly every set; a set that falls short adds i
 grams by hash.  A gram that one set alone has can match nothing, so it only counts
 as a position: a set with p of them links with nothing and is done.
 
-Equal sets are one class from the start.  Prefix grams bring classes together in two
-steps, and each pair is verified once, by the exact overlap of its whole sets:
+Equal sets are one class from the start.  Prefix grams bring classes together in three steps:
 
 1. Each class meets one hub: of the classes for which a gram of its prefix
    is most central, the one that comes up most often.  This is linear in the prefixes, and it
-   ties up a large group of near copies.
-2. All pairs that share a prefix gram and that the links so far leave in different
-   components meet, unless a filter rules them out: length, position of the shared gram, or the
-   suffix filter, which compares how many grams both have in each of 32 parts of the hash space.
+   ties up most of a large group of near copies.
+2. Of the grams that are still in the prefixes of several components, each class chooses those that most
+   classes have.  The classes with one choice are compared inside cells of bounded size, as a
+   product of matrices, which report links between components only.
+3. Pairs that share a prefix gram but no choice, and that step 1 left in different components, meet unless
+   a filter rules them out: length, position of the shared gram, or the suffix filter, which
+   compares how many grams both have in each of 32 parts of the hash space.
 
-So no link between components is lost, and pairs inside a component are not spelled out.
+A pair is verified by the exact overlap of its whole sets; a pair inside a component is
+never spelled out.
 
 Grams are words joined by 64-bit hashes.  A null or empty text, or one without words, has no
 grams and links with nothing.  A text with fewer words than a gram is one gram.  A null
@@ -41,8 +44,8 @@ from pyspark.sql import functions as F
 
 from discolake.llm.batches import slices
 from discolake.llm.components import components
-from discolake.llm.cross_polytope import mixed
-from discolake.llm.tables import stored
+from discolake.llm.cross_polytope import local_roots, mixed
+from discolake.llm.tables import in_batches, partitions, stored
 
 #: The counted part of the hash space, as a multiple of the share of a set that is its prefix.
 COUNTED = 2.5
@@ -51,6 +54,10 @@ SETS = "doc_id long, n_grams long, digest binary, counted int, grams array<long>
 WHOLE = "doc_id long, digest binary, grams array<long>"
 #: Ids that are broadcast at most (16 MB); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: Grams that a class chooses; classes of one block of a gram; columns of a matrix product.
+CHOICES = 2
+BLOCK = 128
+COLUMNS = 8192
 
 
 def least_overlap(n: int | np.ndarray, percent: int):
@@ -194,17 +201,21 @@ def enough(overlap: Column, na: Column, nb: Column, percent: int) -> Column:
     return overlap * 100 >= (na + nb - overlap) * percent
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs a, b whose whole sets reach the threshold; sets are made again for them only."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    needed = stored(needed, "gram-needed", narrow=True)
+def whole_sets(ids: DataFrame, docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """doc_id, grams: the whole sets of the classes that ids name, made again from their texts."""
+    needed = stored(ids.distinct(), "gram-needed", narrow=True)
     if needed.count() <= BROADCAST_IDS:
         needed = F.broadcast(needed)
     texts = docs.join(needed, "doc_id", "left_semi")
-    whole = texts.mapInArrow(functools.partial(whole_batches, words), WHOLE)
+    whole = in_batches(texts, functools.partial(whole_batches, words), WHOLE)
     reps = nodes.select(F.col("rep").alias("doc_id"), "digest")
     whole = whole.join(reps, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"])
-    whole = stored(whole, "gram-sets")
+    return stored(whole.select("doc_id", "grams"), "gram-sets")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs a, b whose whole sets reach the threshold."""
+    whole = whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, nodes, words)
     left = whole.select(F.col("doc_id").alias("a"), F.col("grams").alias("left"))
     right = whole.select(F.col("doc_id").alias("b"), F.col("grams").alias("right"))
     overlap = F.size(F.array_intersect("left", "right"))
@@ -216,6 +227,129 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, pe
     )
 
 
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many members each two of the sets share, as products of columns of members."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    members = np.concatenate(sets)
+    order = np.argsort(members, kind="stable")
+    owner, members = owner[order], members[order]
+    new = np.concatenate(([True], members[1:] != members[:-1]))
+    column = np.cumsum(new) - 1
+    held = np.bincount(column)
+    keep = held[column] > 1  # members of one set alone are shared with none
+    owner, column = owner[keep], column[keep]
+    column = np.cumsum(np.concatenate(([0], column[1:] != column[:-1]))) if len(column) else column
+    shared = np.zeros((len(sets), len(sets)), "f4")
+    cuts = np.searchsorted(column, np.arange(0, (column[-1] + 1 if len(column) else 0) + COLUMNS, COLUMNS))
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            part = np.zeros((len(sets), COLUMNS), "f4")
+            part[owner[a:b], column[a:b] % COLUMNS] = 1
+            shared += part @ part.T
+    return shared
+
+
+def verify_cells(percent: int, batches: Iterator[pa.RecordBatch]):
+    """Rows sorted by gram and cell -> a, b: links that join each component of a cell; a cell may
+    go on in the next batch."""
+    columns = ("gram", "low", "high", "rep", "group", "side", "grams")
+    held: list[tuple] = []
+
+    def done(rows: list[tuple]) -> list[tuple[int, int]]:
+        if len(rows) < 2:
+            return []
+        _, _, _, rep, group, side, sets = zip(*rows, strict=True)
+        order = np.argsort(np.array(rep), kind="stable")
+        rep, group, side = (np.array(x)[order] for x in (rep, group, side))
+        sets = [np.array(sets[i], "i8") for i in order]
+        open_pairs = group[:, None] != group[None, :]
+        if (side != side[0]).any():
+            open_pairs &= side[:, None] != side[None, :]
+        if not open_pairs.any():
+            return []
+        n = np.array([len(s) for s in sets])
+        shared = overlaps(sets).astype("i8")
+        near = open_pairs & (shared * 100 >= (n[:, None] + n[None, :] - shared) * percent)
+        root = local_roots(near)
+        return [(int(rep[i]), int(rep[r])) for i, r in enumerate(root.tolist()) if i != r]
+
+    def reported(links: list[tuple[int, int]]):
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], ["a", "b"])
+
+    for batch in batches:
+        found = []
+        keys = list(zip(*(batch.column(c).to_pylist() for c in columns[:-1]), strict=True))
+        lists = batch.column("grams")
+        for i, key in enumerate(keys):
+            if held and held[-1][:3] != key[:3]:
+                found += done(held)
+                held = []
+            held.append((*key, lists[i].values.to_numpy()))
+        yield from reported(found)
+    yield from reported(done(held))
+
+
+def linked_in_cells(chosen: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """chosen: gram, rep, group.  Links between groups among the classes of each gram.
+
+    The classes of a gram are split into blocks, and each two blocks are a cell.
+    """
+    held = chosen.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("held"), F.min("group").alias("least"), F.max("group").alias("most")
+    )
+    blocks = F.ceil(F.col("held") / BLOCK)
+    side = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    cells = (
+        chosen.join(held.filter("least < most").select("gram", blocks.alias("blocks")), "gram")
+        .withColumn("side", side)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("gram", "rep", "group", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
+    )
+    cells = stored(cells, "gram-cells", narrow=True)
+    whole = whole_sets(cells.select(F.col("rep").alias("doc_id")), docs, nodes, words)
+    full = (
+        cells.join(whole, F.col("rep") == F.col("doc_id"))
+        .select("gram", "low", "high", "rep", "group", "side", "grams")
+        .repartition(partitions(docs.sparkSession), "gram", "low", "high")
+        .sortWithinPartitions("gram", "low", "high")
+    )
+    return in_batches(full, functools.partial(verify_cells, percent), "a long, b long")
+
+
+def hub_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """a, b: each class with the one hub that comes up most often over its prefix grams."""
+    hubs = placed.groupBy("gram").agg(
+        F.min(F.struct("pos", "rep", "n")).alias("hub"), F.count(F.lit(1)).alias("held")
+    )
+    meet = placed.alias("x").join(hubs.filter("held > 1").select("gram", "hub.*").alias("y"), "gram")
+    meet = meet.filter((F.col("x.rep") != F.col("y.rep")) & fits("x", "y", percent))
+    often = meet.groupBy(F.col("x.rep").alias("rep"), F.col("y.rep").alias("hub")).agg(
+        F.count(F.lit(1)).alias("times")
+    )
+    best = often.groupBy("rep").agg(F.max(F.struct("times", (-F.col("hub")).alias("back"))).alias("best"))
+    hub = -F.col("best.back")
+    return best.select(F.greatest("rep", hub).alias("a"), F.least("rep", hub).alias("b")).distinct()
+
+
+def open_grams(placed: DataFrame, groups: DataFrame) -> DataFrame:
+    """The prefix rows whose gram is in several groups, with group and choices, the
+    CHOICES grams of the class that most classes have."""
+    marked = (
+        placed.join(groups, F.col("rep") == F.col("node"), "left")
+        .withColumn("group", F.coalesce("component", "rep"))
+        .drop("node", "component")
+    )
+    several = marked.groupBy("gram").agg(
+        F.min("group").alias("least"), F.max("group").alias("most"), F.count(F.lit(1)).alias("held")
+    )
+    rows = marked.join(several.filter("least < most").select("gram", "held"), "gram")
+    # As many grams as the prefix of one document has at most.
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("held")).alias("less"), "gram")))
+    choices = rows.groupBy("rep").agg(F.slice(ranked, 1, CHOICES)["gram"].alias("choices"))
+    return rows.drop("held").join(choices, "rep")
+
+
 def similar_documents(
     docs: DataFrame, words: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id"
 ) -> DataFrame:
@@ -226,55 +360,40 @@ def similar_documents(
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     highest = counted_limit(COUNTED * (100 - percent) / 100)
     work = functools.partial(set_batches, words, percent, highest)
-    sets = stored(given.mapInArrow(work, SETS), "gram-prefixes")
+    sets = stored(in_batches(given, work, SETS), "gram-prefixes")
     nodes = sets.filter("n_grams > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("digest").alias("digest"))
     classes = nodes.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = stored(classes, "gram-classes", narrow=True)
     placed = prefixes(stored(shared_grams(sets, classes), "shared-grams"), percent, highest)
     placed = stored(placed, "gram-prefix-rows", narrow=True)
 
-    hubs = placed.groupBy("gram").agg(
-        F.min(F.struct("pos", "rep", "n")).alias("hub"), F.count(F.lit(1)).alias("held")
-    )
-    meet = placed.alias("x").join(hubs.filter("held > 1").select("gram", "hub.*").alias("y"), "gram")
-    meet = meet.filter((F.col("x.rep") != F.col("y.rep")) & fits("x", "y", percent))
-    often = meet.groupBy(F.col("x.rep").alias("rep"), F.col("y.rep").alias("hub")).agg(F.count(F.lit(1)).alias("times"))
-    best = often.groupBy("rep").agg(F.max(F.struct("times", (-F.col("hub")).alias("back"))).alias("best"))
-    first = best.select(
-        F.greatest(F.col("rep"), -F.col("best.back")).alias("a"), F.least(F.col("rep"), -F.col("best.back")).alias("b")
-    ).distinct()
-    tried = stored(first, "hub-pairs", narrow=True)
+    tried = stored(hub_pairs(placed, percent), "hub-pairs", narrow=True)
     links = stored(verified(tried, given, classes, words, percent), "hub-links", narrow=True)
+    rows = stored(open_grams(placed, components(links)), "open-grams", narrow=True)
 
-    groups = stored(components(links), "hub-groups", narrow=True)
-    marked = (
-        placed.join(groups, F.col("rep") == F.col("node"), "left")
-        .withColumn("group", F.coalesce("component", "rep"))
-        .drop("node", "component")
-    )
-    several = marked.groupBy("gram").agg(F.min("group").alias("low"), F.max("group").alias("high"))
-    open_rows = marked.join(several.filter("low < high").select("gram"), "gram", "left_semi")
-    open_rows = stored(open_rows, "open-grams", narrow=True)
-    x, y = open_rows.alias("x"), open_rows.alias("y")
+    # Classes that choose one gram meet in its cells.
+    chosen = rows.select("rep", "group", F.explode("choices").alias("gram")).distinct()
+    links = links.unionByName(stored(linked_in_cells(chosen, given, classes, words, percent), "cell-links", narrow=True))
+
+    # The pairs that share a gram but no choice.
+    x, y = rows.alias("x"), rows.alias("y")
     apart = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.group") > F.col("y.group"))
+    apart &= ~F.arrays_overlap("x.choices", "y.choices")
     pairs = x.join(y, apart & fits("x", "y", percent)).select(
         F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")
     )
     pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
     bins = sets.select("doc_id", "n_grams", "bins").dropDuplicates(["doc_id"])
-    left = bins.toDF("a", "na", "left")
-    right = bins.toDF("b", "nb", "right")
     most = F.aggregate(
         F.zip_with("left", "right", lambda i, j: F.least(i, j)), F.lit(0), lambda total, i: total + i
     )
-    pairs = pairs.join(left, "a").join(right, "b").filter(enough(most, F.col("na"), F.col("nb"), percent))
-    pairs = stored(pairs.select("a", "b"), "open-pairs", narrow=True)
-    more = verified(pairs, given, classes, words, percent)
-    groups = components(links.unionByName(more))
-
-    ends = (
-        classes.join(groups, F.col("rep") == F.col("node"), "left")
-        .select(F.col("digest").alias("same"), "rep", F.coalesce("component", "rep").alias("component"))
+    pairs = pairs.join(bins.toDF("a", "na", "left"), "a").join(bins.toDF("b", "nb", "right"), "b")
+    pairs = pairs.filter(enough(most, F.col("na"), F.col("nb"), percent)).select("a", "b")
+    pairs = stored(pairs, "open-pairs", narrow=True)
+    groups = components(links.unionByName(verified(pairs, given, classes, words, percent)))
+
+    ends = classes.join(groups, F.col("rep") == F.col("node"), "left").select(
+        F.col("digest").alias("same"), "rep", F.coalesce("component", "rep").alias("component")
     )
     joined = sets.select("doc_id", "n_grams", "digest").join(
         ends, (F.col("digest") == F.col("same")) & (F.col("n_grams") > 0), "left"
