@@ -48,15 +48,15 @@ from discolake.llm.cross_polytope import local_roots, mixed
 from discolake.llm.tables import in_batches, partitions, stored
 
 #: The counted part of the hash space, as a multiple of the share of a set that is its prefix.
-COUNTED = 2.5
+COUNTED = 1.75
 BINS = 32
 SETS = "doc_id long, n_grams long, digest binary, counted int, grams array<long>, bins array<int>"
 WHOLE = "doc_id long, digest binary, grams array<long>"
 #: Ids that are broadcast at most (16 MB); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 #: Grams that a class chooses; classes of one block of a gram; columns of a matrix product.
-CHOICES = 2
-BLOCK = 128
+CHOICES = 3
+BLOCK = 256
 COLUMNS = 8192
 
 
@@ -332,9 +332,8 @@ def hub_pairs(placed: DataFrame, percent: int) -> DataFrame:
     return best.select(F.greatest("rep", hub).alias("a"), F.least("rep", hub).alias("b")).distinct()
 
 
-def open_grams(placed: DataFrame, groups: DataFrame) -> DataFrame:
-    """The prefix rows whose gram is in several groups, with group and choices, the
-    CHOICES grams of the class that most classes have."""
+def open_rows(placed: DataFrame, groups: DataFrame) -> DataFrame:
+    """The prefix rows whose gram is in several groups, with group and held, the classes of the gram."""
     marked = (
         placed.join(groups, F.col("rep") == F.col("node"), "left")
         .withColumn("group", F.coalesce("component", "rep"))
@@ -343,7 +342,11 @@ def open_grams(placed: DataFrame, groups: DataFrame) -> DataFrame:
     several = marked.groupBy("gram").agg(
         F.min("group").alias("least"), F.max("group").alias("most"), F.count(F.lit(1)).alias("held")
     )
-    rows = marked.join(several.filter("least < most").select("gram", "held"), "gram")
+    return marked.join(several.filter("least < most").select("gram", "held"), "gram")
+
+
+def with_choices(rows: DataFrame) -> DataFrame:
+    """rows with choices, the CHOICES grams of the class that most classes have."""
     # As many grams as the prefix of one document has at most.
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("held")).alias("less"), "gram")))
     choices = rows.groupBy("rep").agg(F.slice(ranked, 1, CHOICES)["gram"].alias("choices"))
@@ -369,26 +372,25 @@ def similar_documents(
 
     tried = stored(hub_pairs(placed, percent), "hub-pairs", narrow=True)
     links = stored(verified(tried, given, classes, words, percent), "hub-links", narrow=True)
-    rows = stored(open_grams(placed, components(links)), "open-grams", narrow=True)
+    rows = stored(with_choices(open_rows(placed, components(links))), "open-grams", narrow=True)
 
     # Classes that choose one gram meet in its cells.
     chosen = rows.select("rep", "group", F.explode("choices").alias("gram")).distinct()
     links = links.unionByName(stored(linked_in_cells(chosen, given, classes, words, percent), "cell-links", narrow=True))
 
-    # The pairs that share a gram but no choice.
+    # The pairs that share a gram but no choice, of groups that are still apart.
+    bins = sets.select(F.col("doc_id").alias("rep"), "bins").dropDuplicates(["rep"])
+    rows = open_rows(rows.drop("group"), components(links)).drop("held").join(bins, "rep")
+    rows = stored(rows, "apart-grams")
     x, y = rows.alias("x"), rows.alias("y")
     apart = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.group") > F.col("y.group"))
     apart &= ~F.arrays_overlap("x.choices", "y.choices")
-    pairs = x.join(y, apart & fits("x", "y", percent)).select(
-        F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")
-    )
-    pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
-    bins = sets.select("doc_id", "n_grams", "bins").dropDuplicates(["doc_id"])
     most = F.aggregate(
-        F.zip_with("left", "right", lambda i, j: F.least(i, j)), F.lit(0), lambda total, i: total + i
+        F.zip_with("x.bins", "y.bins", lambda i, j: F.least(i, j)), F.lit(0), lambda total, i: total + i
     )
-    pairs = pairs.join(bins.toDF("a", "na", "left"), "a").join(bins.toDF("b", "nb", "right"), "b")
-    pairs = pairs.filter(enough(most, F.col("na"), F.col("nb"), percent)).select("a", "b")
+    near = fits("x", "y", percent) & enough(most, F.col("x.n"), F.col("y.n"), percent)
+    pairs = x.join(y, apart & near).select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b"))
+    pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
     pairs = stored(pairs, "open-pairs", narrow=True)
     groups = components(links.unionByName(verified(pairs, given, classes, words, percent)))
 
