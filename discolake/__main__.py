@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 
 from discolake.operators.quality import completeness, gate
-from discolake.plans import bronze, layers
+from discolake.plans import bronze, increment, layers
 from discolake.schemas import PLAYLIST
 from discolake.session import build_session
 from discolake.sinks.exports import export_csv, export_tables, write_documents
@@ -41,10 +41,19 @@ def parser() -> argparse.ArgumentParser:
     step("silver", "bronze", "silver", "date", layout="lines")
     step("links", "bronze", "silver", "date", layout="lines")
     step("gold", "silver", "gold", "date")
+    for domain in increment.PARENTS:
+        load = step(f"load-{domain}", "parents", "found", "children", "keys", "summary", layout="indented")
+        load.add_argument("--per-parent", type=int, help="children of a parent at most; all without it")
+        if domain == "albums":
+            load.add_argument("--sample", type=int, help="pending parents of this run; all without it")
+        if domain == "playlists":
+            load.add_argument("--album-keys", required=True)
     step("export-csv", "silver", "target", "date")
     step("export-gold", "gold", "target")
-    step("land-events", "servers", "target", "checkpoint").add_argument("--topic", default=TOPIC)
-    step("dedup-events", "source", "target", "checkpoint").add_argument("--delay", default="1 day")
+    step("land-events", "servers", "target", "rejected", "checkpoint").add_argument("--topic", default=TOPIC)
+    dedup = step("dedup-events", "source", "target", "untimed", "checkpoint")
+    dedup.add_argument("--delay", default="1 day")
+    dedup.add_argument("--slices", type=int, default=1, help="input slices for events sent very many times")
     return root
 
 
@@ -73,17 +82,29 @@ def main(argv: list[str] | None = None) -> None:
             print(*layers.build_links(spark, args.bronze, args.silver, args.date, args.layout), sep="\n")
         case "gold":
             print(*layers.build_gold(spark, args.silver, args.gold, args.date), sep="\n")
+        case "load-albums" | "load-tracks" | "load-playlists":
+            row = increment.run(
+                spark, args.step.removeprefix("load-"), args.parents, args.found, args.children, args.keys,
+                per_parent=args.per_parent, sample=getattr(args, "sample", None),
+                album_keys=getattr(args, "album_keys", None), layout=args.layout, summary=args.summary,
+            )
+            print(row.first().asDict())
         case "export-csv":
             export_csv(read_date(spark, f"{args.silver}/tracks", args.date).drop("ingest_date"), args.target)
         case "export-gold":
             export_tables(spark, args.gold, args.target, list(layers.gold.TABLES))
         case "land-events":
             stream = read_topic(spark, args.servers, args.topic)
-            events.land(stream, args.target, args.checkpoint).awaitTermination()
+            refused = events.append_to(events.rejected(stream), args.rejected, f"{args.checkpoint}/rejected")
+            events.land(stream, args.target, f"{args.checkpoint}/landed").awaitTermination()
+            refused.awaitTermination()
         case "dedup-events":
             stream = spark.readStream.schema(events.EVENT).parquet(args.source)
-            query = events.append_to(events.deduplicate(stream, args.delay), args.target, args.checkpoint)
+            aside = events.append_to(events.untimed(stream), args.untimed, f"{args.checkpoint}/untimed")
+            kept = events.deduplicate(stream, args.delay, slices=args.slices)
+            query = events.append_to(kept, args.target, f"{args.checkpoint}/timed")
             query.awaitTermination()
+            aside.awaitTermination()
             print(f"late rows dropped: {events.late_rows(query)}")
 
 

@@ -44,5 +44,5 @@ def iso_now() -> Column:
 
 
 def json_text(*columns: str | Column) -> Column:
-    """The row as JSON text; null fields are left out."""
-    return F.to_json(F.struct(*columns))
+    """The row as JSON text; null fields are kept as null."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

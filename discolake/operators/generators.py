@@ -22,19 +22,21 @@ def split_explode(df: DataFrame, csv: str, out: str) -> DataFrame:
     return df.withColumn(out, F.explode(F.split(csv, ",")))
 
 
-def flatten_map(df: DataFrame, mapping: str, key: str = "category", pos: str = "pos") -> DataFrame:
+def flatten_map(
+    df: DataFrame, mapping: str, key: str = "category", entry: str = "entry", pos: str = "pos",
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """A map of lists of structs to one row per struct.
 
-    The map key and the position in its list stay as columns, so that "first
-    in the file" can be asked for later.  The outer explode saves the filter
-    that Spark adds to the inner one, which evaluates the map again; its rows
-    for empty maps end in the second explode.
-    """
-    return (
-        df.select(F.explode_outer(mapping).alias(key, "_list"))
-        .select(key, F.posexplode("_list").alias(pos, "_item"))
-        .select(key, pos, "_item.*")
-    )
+    The map key, the position of its entry and the position in its list stay
+    as columns, so that "first in the file" can be asked for later.  The outer
+    explode saves the filter that Spark adds to the inner one, which evaluates
+    the map again; its rows for empty maps end in the second explode.
+    """
+    entries = F.posexplode_outer(F.map_entries(mapping)).alias(entry, "_entry")
+    listed = df.select(*keep, entries)
+    item = F.posexplode("_entry.value").alias(pos, "_item")
+    return listed.select(*keep, F.col("_entry.key").alias(key), entry, item).select(*keep, key, entry, pos, "_item.*")
 
 
 def expand_json(

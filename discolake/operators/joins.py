@@ -5,29 +5,37 @@ Which side is broadcast is left to Spark, which knows the sizes.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from discolake.operators.skew import HEAVY_ROWS, heavy_keys, thin
+from discolake.operators.skew import thin
+from discolake.session import new_folder
 
 
-def attach(
-    stats: DataFrame, attributes: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS
-) -> DataFrame:
+def attach(stats: DataFrame, attributes: DataFrame, key: str, hot: Sequence = ()) -> DataFrame:
     """Left join of one-row-per-key ``stats`` with ``attributes``.
 
     Several attribute rows for a key give several result rows.  A key with
     very many of them would end in one task, since the right side of a left
-    join cannot be split: its attribute rows stay where they are and meet the
-    broadcast statistics of at most 256 such keys instead.
+    join cannot be split.  A caller who knows of such keys names them as
+    ``hot``: their statistics meet the attribute rows in an inner join that
+    adaptive execution splits.  The statistics are then written once and read
+    by both joins.
     """
-    hot = heavy_keys(attributes, key, rows=heavy_rows)
     if not hot:
         return stats.join(attributes, key, "left")
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    spark = stats.sparkSession
+    path = new_folder(spark, "stats")
+    stats.write.parquet(path)
+    stats = spark.read.schema(stats.schema).parquet(path)
+    is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
     light = stats.where(~is_hot).join(attributes.where(~is_hot), key, "left")
-    heavy = attributes.where(is_hot).join(F.broadcast(stats.where(is_hot)), key, "inner")
-    return light.unionByName(heavy)
+    heavy = stats.where(is_hot)
+    bare = heavy.join(thin(attributes.where(is_hot), key), key, "left_anti")
+    heavy = attributes.where(is_hot).join(heavy, key).select(light.columns)
+    return light.unionByName(heavy).unionByName(bare, allowMissingColumns=True)
 
 
 def inherit(children: DataFrame, parents: DataFrame, key: str, *names: str) -> DataFrame:

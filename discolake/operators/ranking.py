@@ -8,35 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Up to this N Spark cuts each group before the shuffle by itself
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-PLANNED_LIMIT = 1000
-
 
 def ranked(df: DataFrame, by: Sequence[str], key: str) -> DataFrame:
     """Order by the given columns, highest first and nulls last, then by key."""
     return df.orderBy(*[F.desc_nulls_last(name) for name in by], F.asc(key))
 
 
-def _cut(df: DataFrame, groups: Sequence, order: Sequence[str | Column], n: int) -> DataFrame:
-    window = Window.partitionBy(*groups).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n).drop("_rank")
-
-
 def first_n_per_parent(
     df: DataFrame, parent: str | Sequence[str], order: Sequence[str | Column], n: int
 ) -> DataFrame:
     """The first ``n`` rows of each parent under ``order``.
 
-    Small ``n`` are cut per input partition before the shuffle.  For larger
-    ones the same cut is spelled out: first within parent and input
-    partition, then within parent.
+    Each group is cut per input partition before the shuffle, for any ``n``
+    up to ``spark.sql.optimizer.windowGroupLimitThreshold``, which ``session.CONF`` lifts.
     """
     parents = [parent] if isinstance(parent, str) else list(parent)
-    if n > PLANNED_LIMIT:
-        sliced = df.withColumn("_slice", F.spark_partition_id())
-        df = _cut(sliced, [*parents, "_slice"], order, n).drop("_slice")
-    return _cut(df, parents, order, n)
+    window = Window.partitionBy(*parents).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n).drop("_rank")
 
 
 def first_n(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
@@ -54,17 +42,14 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, the same ones under any partitioning.
 
     The rows with the smallest MD5 of ``key:seed`` are taken, with the key as
-    tie-break.  A first pass over the keys counts how many digests start with
-    how many zeros, which is at most 33 numbers.  Rows that cannot be among
-    the first ``n`` are then filtered out before any of them are sorted.
+    tie-break.  The input is read twice within one query: a subquery counts
+    how many digests start with how many zeros, at most 33 rows, and rows that
+    cannot be among the first ``n`` are filtered out before any are sorted.
     """
     digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
     zeros = F.length(F.regexp_extract(digest, "^0*", 0))
-    counted = df.groupBy(zeros.alias("zeros")).agg(F.count(F.lit(1)).alias("rows")).collect()
-    reach = 0
-    for row in sorted(counted, key=lambda row: -row["zeros"]):
-        reach += row["rows"]
-        if reach >= n:
-            df = df.where(digest.startswith("0" * row["zeros"]))
-            break
-    return df.orderBy(digest, key).limit(n)
+    counted = df.groupBy(zeros.alias("zeros")).agg(F.count(F.lit(1)).alias("rows"))
+    reach = F.sum("rows").over(Window.orderBy(F.desc("zeros")))
+    enough = counted.withColumn("reach", reach).where(F.col("reach") >= n)
+    least = enough.agg(F.coalesce(F.max("zeros"), F.lit(0)).alias("least")).scalar()
+    return df.where(zeros >= least).orderBy(digest, key).limit(n)

@@ -5,28 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Keys with fewer rows than this fit one task whatever the data size.
-HEAVY_ROWS = 1_000_000
-# At most this many heavy keys are treated apart.
-HEAVY_KEYS = 256
-# Keys the sketch follows; one with over 0.2 % of the rows is sure to be seen.
-TRACKED = 4096
 # Copies of a key that may reach a join after thinning.
 SLICES = 64
 
 
-def heavy_keys(df: DataFrame, key: str, rows: int = HEAVY_ROWS, most: int = HEAVY_KEYS) -> list:
-    """The at most ``most`` heaviest keys with about ``rows`` rows or more.
-
-    A frequent-items sketch reads the key column once and shuffles nothing
-    but itself.  Leaving a key out only means that it takes the ordinary
-    path, so an estimate is enough and no result depends on it.
-    """
-    top = F.expr(f"approx_top_k(`{key}`, {most}, {TRACKED})")
-    items = df.where(F.col(key).isNotNull()).agg(top.alias("top")).first()["top"]
-    return [item["item"] for item in items if item["count"] >= rows]
-
-
 def thin(keys: DataFrame, key: str, slices: int = SLICES) -> DataFrame:
     """The key column with at most ``slices`` copies of each key.
 

@@ -14,7 +14,7 @@ from discolake.operators.filters import with_truthy_id
 from discolake.operators.generators import flatten_map
 from discolake.operators.quality import gate, presence
 from discolake.sinks.tables import replace_date
-from discolake.sources.documents import element_texts, if_present
+from discolake.sources.documents import ORD, element_texts, if_present
 
 
 def _structs(array: str, *fields: str) -> Column:
@@ -66,16 +66,21 @@ def owners_from_playlists(playlists: DataFrame, order: Sequence[str | Column]) -
 
 def flatten_categories(categories: DataFrame, column: str = "categories") -> DataFrame:
     """One row per category and artist, with the position in the category."""
-    return flatten_map(categories, column)
+    return flatten_map(categories, column).drop("entry")
 
 
 def artists_from_categories(categories: DataFrame, column: str = "categories") -> DataFrame:
     """The flat artist documents of a category map, one per id.
 
-    An artist under several categories is taken from the first by name.
+    An artist under several categories is taken from the first in the file:
+    by ``ord``, the place of the map, where there is one, then by the place
+    of the category in the map and of the artist in the category.
     """
-    flat = flatten_categories(categories, column)
-    return keep_first(flat.where(truthy(F.col("id"))), "id", ["category", "pos"]).drop("category", "pos")
+    place = [ORD] if ORD in categories.columns else []
+    flat = flatten_map(categories, column, keep=place)
+    order = [*place, "entry", "pos"]
+    kept = keep_first(flat.where(truthy(F.col("id"))), "id", order)
+    return kept.drop(*order, "category")
 
 
 def normalize_events(docs: DataFrame, stamp: Column | None = None) -> DataFrame:
@@ -117,16 +122,15 @@ def crawl_output(
     """The expected datasets of a crawl as JSON texts; None where missing.
 
     The tables named in ``lines`` have one document per line, such as owners
-    and artists that Spark has derived; the others have ``layout``.  A
-    manifest is one small object, kept whole on one line.
+    and artists that Spark has derived; the others have ``layout``.  The
+    lines of a manifest, whose key list may be long, are landed as they are.
     """
     found = {}
     for table, file in EXPECTED_FILES.items():
         path = f"{source}/{file}"
         if table.endswith("_manifest"):
-            whole = if_present(spark.read.text, path, wholetext=True)
-            line = F.regexp_replace("value", r"\s*\n\s*", "").alias("value")
-            found[table] = None if whole is None else whole.select(line).where(F.trim("value") != "")
+            written = if_present(spark.read.text, path)
+            found[table] = None if written is None else written.where(F.trim("value") != "")
         else:
             found[table] = if_present(element_texts, spark, path, "lines" if table in lines else layout)
     return found
@@ -143,8 +147,10 @@ def land(
 ) -> dict[str, int | None]:
     """Land the crawl output under ``<table>/ingest_date=<date>/``.
 
-    Documents are landed unparsed, one per line, so that nothing is lost and
-    later scans can split the files.  With ``gated`` nothing is landed unless
+    Documents of the layouts ``indented`` and ``lines`` are landed unparsed,
+    one per line, so that nothing is lost and later scans can split the files.
+    Those of ``array`` are parsed and written anew; see ``sources.documents``.
+    With ``gated`` nothing is landed unless
     every expected dataset has rows; without, a missing one is skipped and
     reported as None.
     """

@@ -7,6 +7,8 @@ row per task.  The stored tables are not sorted; the ranked views are.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,12 +77,12 @@ def album_groups(tracks: DataFrame) -> DataFrame:
     )
 
 
-def artists_stats(tracks: DataFrame, artists: DataFrame) -> DataFrame:
-    return attach(artist_groups(tracks), select_renamed(artists, ARTIST_ATTRIBUTES), "artist_id")
+def artists_stats(tracks: DataFrame, artists: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
+    return attach(artist_groups(tracks), select_renamed(artists, ARTIST_ATTRIBUTES), "artist_id", hot)
 
 
-def albums_stats(tracks: DataFrame, albums: DataFrame) -> DataFrame:
-    return attach(album_groups(tracks), select_renamed(albums, ALBUM_ATTRIBUTES), "album_id")
+def albums_stats(tracks: DataFrame, albums: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
+    return attach(album_groups(tracks), select_renamed(albums, ALBUM_ATTRIBUTES), "album_id", hot)
 
 
 def ranked_artists(stats: DataFrame) -> DataFrame:

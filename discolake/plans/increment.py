@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from discolake.operators.dedup import key_set, new_rows, union_pages
@@ -18,15 +18,13 @@ from discolake.operators.filters import usable_items
 from discolake.operators.joins import matching
 from discolake.operators.ranking import first_n_per_parent, seeded_sample
 from discolake.plans.bronze import prune_albums, prune_playlists, prune_tracks
-from discolake.sources.manifests import RETRY, settled
-
-# Children fetched per parent.
-ALBUMS_PER_ARTIST = 5
-TRACKS_PER_ALBUM = 10
-PLAYLISTS_PER_ARTIST = 10
-ARTISTS_PER_GENRE = 1000
-# Artists whose albums are loaded, and the seed they are drawn with.
-SAMPLED_ARTISTS = 5000
+from discolake.schemas import ALBUM, ARTIST, DOCUMENTS, KEYS
+from discolake.session import new_folder
+from discolake.sinks.exports import write_documents
+from discolake.sources.documents import read_documents, read_stored
+from discolake.sources.manifests import RETRY, read_keys, settled
+
+# The seed that a sample of parents is drawn with.
 SAMPLE_SEED = 42
 
 
@@ -44,12 +42,12 @@ def pending(parents: DataFrame, keys: DataFrame, order: Sequence[str]) -> DataFr
 
 
 def key_status(
-    parents: DataFrame, children: DataFrame, per_parent: int, retry_limited: bool = True
+    parents: DataFrame, children: DataFrame, per_parent: int | None, retry_limited: bool = True
 ) -> DataFrame:
     """The status each parent gets from this run, and its children among the first N.
 
     ``children`` has a ``parent_id`` and is only counted, so the first N need
-    not be picked again.  The optional parent column ``outcome`` tells
+    not be picked again; None counts all.  The optional parent column ``outcome`` tells
     ``failed`` and ``rate_limited`` fetches.  Failed and empty parents are
     settled like done ones.  Rate-limited parents are left for the next run,
     unless ``retry_limited`` is off.
@@ -61,7 +59,9 @@ def key_status(
     )
     outcome = F.col("outcome") if "outcome" in parents.columns else F.lit(None).cast("string")
     fetched = parents.select("id", outcome.alias("outcome")).join(counts, "id", "left")
-    children_found = F.least(F.coalesce("children", F.lit(0)), F.lit(per_parent))
+    children_found = F.coalesce("children", F.lit(0))
+    if per_parent is not None:
+        children_found = F.least(children_found, F.lit(per_parent))
     status = (
         F.when(F.col("outcome") == "rate_limited", RETRY if retry_limited else "failed")
         .when(F.col("outcome") == "failed", "failed")
@@ -79,7 +79,8 @@ def load(
     *,
     parent_order: Sequence[str],
     child_order: Sequence[str],
-    per_parent: int,
+    per_parent: int | None,
+    sample: int | None = None,
     inherited: Sequence[str] = (),
     required: Sequence[str] = ("id", "name"),
     retry_limited: bool = True,
@@ -87,13 +88,19 @@ def load(
     """One incremental run.
 
     ``parents`` has an ``id``; ``candidates`` has ``parent_id`` and the struct
-    ``item``; both have their order columns.  The first N per parent are cut
-    before any join, so a parent with very many children is small by then.
-    Null items and items without the required fields count towards N, then
-    go.  ``inherited`` parent columns are copied onto the children.
+    ``item``; both have their order columns.  A ``sample`` is drawn from the
+    parents that are pending, so later runs take up others; None takes all.
+    Candidates of settled parents go before the first N of each parent are
+    cut; with ``per_parent`` None all stay.  Null items and items without the
+    required fields count towards N, then go.  ``inherited`` parent columns
+    are copied onto the children.
     """
     todo = pending(parents, keys, parent_order)
-    listed = first_n_per_parent(candidates, "parent_id", child_order, per_parent)
+    if sample is not None:
+        todo = seeded_sample(todo, "id", sample, SAMPLE_SEED)
+    listed = matching(candidates, todo.select(F.col("id").alias("parent_id")), "parent_id")
+    if per_parent is not None:
+        listed = first_n_per_parent(listed, "parent_id", child_order, per_parent)
     parent_columns = [F.col("id").alias("parent_id")]
     parent_columns += [F.col(name).alias(f"_parent_{i}") for i, name in enumerate(parent_order)]
     parent_columns += [F.col(name).alias(f"_inherited_{name}") for name in inherited]
@@ -114,41 +121,44 @@ def load(
 
 
 def load_albums(
-    artists: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame,
-    sample: int = SAMPLED_ARTISTS,
+    artists: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame, *,
+    per_parent: int | None, sample: int | None,
 ) -> Load:
-    """Albums of a fixed sample of the artists.
+    """Albums of the artists, or of a sample of the pending ones.
 
     Here and below ``found`` is what a fetch brought: ``parent_id``, ``ord``
     and the raw document ``item``; parents have the order column ``ord``.
+    None as ``per_parent`` or ``sample`` means all.
     """
-    drawn = seeded_sample(artists, "id", sample, SAMPLE_SEED)
     run = load(
-        drawn, found, stored, keys, parent_order=["ord"], child_order=["ord"],
-        per_parent=ALBUMS_PER_ARTIST, required=["id"],
+        artists, found, stored, keys, parent_order=["ord"], child_order=["ord"],
+        per_parent=per_parent, sample=sample, required=["id"],
     )
     return Load(prune_albums(run.new), run.outcomes)
 
 
-def load_tracks(albums: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame) -> Load:
+def load_tracks(
+    albums: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame, *, per_parent: int | None
+) -> Load:
     """Tracks of all albums; each takes the release date of its album."""
     run = load(
         albums, found, stored, keys, parent_order=["ord"], child_order=["ord"],
-        per_parent=TRACKS_PER_ALBUM, inherited=["release_date"], required=["id"],
+        per_parent=per_parent, inherited=["release_date"], required=["id"],
     )
     return Load(prune_tracks(run.new), run.outcomes)
 
 
 def load_playlists(
-    artists: DataFrame, album_keys: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame
+    artists: DataFrame, album_keys: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame, *,
+    per_parent: int | None,
 ) -> Load:
     """Playlists of the artists whose albums were processed.
 
     A rate-limited search is not tried again.
-    """
+    """
     run = load(
         matching(artists, settled(album_keys), "id"), found, stored, keys,
-        parent_order=["ord"], child_order=["ord"], per_parent=PLAYLISTS_PER_ARTIST, retry_limited=False,
+        parent_order=["ord"], child_order=["ord"], per_parent=per_parent, retry_limited=False,
     )
     return Load(prune_playlists(run.new), run.outcomes)
 
@@ -158,8 +168,10 @@ def run_manifest(
 ) -> DataFrame:
     """One row about a run: totals, parents processed and skipped, status.
 
-    ``children`` are all children stored after the run.  The processed keys
-    themselves are rows of the key table, never a list in one place.
+    ``outcomes`` are the key rows of the run and ``children`` all children
+    stored after it, both read from the tables that ``commit`` wrote.  The
+    processed keys themselves are rows of the key table, never a list in one
+    place.
     """
     totals = union_pages(
         children.agg(F.count_distinct("id").alias("total_children")),
@@ -180,17 +192,58 @@ def run_manifest(
     )
 
 
-def commit(run: Load, children_table: str, key_table: str) -> None:
-    """Append the new children, then the keys of their parents.
+def commit(run: Load, children_table: str, key_table: str) -> DataFrame:
+    """Append the new children, then the keys of their parents; returns the run's key rows.
 
-    A crash in between leaves the parents pending; the next run finds their
-    children stored and adds none twice.
+    The keys are worked out before the children are stored, and staged
+    beside the key table, so that what is returned is read and not worked out
+    again.  A crash in between leaves the parents pending; the next run finds
+    their children stored and adds none twice.
     """
+    spark = run.new.sparkSession
+    staged = new_folder(spark, "outcomes")
+    run.outcomes.select("id", "status").write.parquet(staged)
+    outcomes = spark.read.schema(KEYS).parquet(staged)
     run.new.write.mode("append").parquet(children_table)
-    run.outcomes.select("id", "status").write.mode("append").parquet(key_table)
+    outcomes.write.mode("append").parquet(key_table)
+    return outcomes
+
+
+# What each domain's children are, and what its parents look like.
+PARENTS = {"albums": f"{ARTIST}, outcome string", "tracks": f"{ALBUM}, outcome string", "playlists": f"{ARTIST}, outcome string"}
+
+
+def run(
+    spark: SparkSession, domain: str, parents: str, found: str, children: str, keys: str, *,
+    per_parent: int | None = None, sample: int | None = None, album_keys: str | None = None,
+    layout: str = "indented", summary: str | None = None,
+) -> DataFrame:
+    """One incremental load of ``albums``, ``tracks`` or ``playlists`` from paths; returns its summary.
+
+    ``parents`` are documents of artists or albums, with an optional
+    ``outcome``; ``found`` has one JSON line per candidate: ``parent_id``,
+    ``ord`` and ``item``.  ``children`` and ``keys`` are the tables that grow.
+    The summary is one row, also written as a JSON document.
+    """
+    parent_docs = read_documents(spark, parents, PARENTS[domain], layout, ordered=True)
+    schema = DOCUMENTS[domain]
+    candidates = spark.read.schema(f"parent_id string, ord long, item struct<{schema}>").json(found)
+    stored = read_stored(spark, children, schema, "parquet")
+    known = read_keys(spark, keys)
+    if domain == "albums":
+        done = load_albums(parent_docs, candidates, stored, known, per_parent=per_parent, sample=sample)
+    elif domain == "tracks":
+        done = load_tracks(parent_docs, candidates, stored, known, per_parent=per_parent)
+    else:
+        listed = read_keys(spark, album_keys)
+        done = load_playlists(parent_docs, listed, candidates, stored, known, per_parent=per_parent)
+    outcomes = commit(done, children, keys)
+    row = run_manifest(parent_docs, outcomes, read_stored(spark, children, schema, "parquet"))
+    if summary is not None:
+        write_documents(row, summary)
+    return row
 
 
 def processed_keys(keys: DataFrame) -> DataFrame:
     """The distinct settled ids of the key table."""
     return key_set(settled(keys), "id")
-

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from discolake.plans import gold, silver
 from discolake.schemas import DOCUMENTS
 from discolake.sinks.tables import overwrite, overwrite_by_year, replace_date
-from discolake.sources.documents import read_domain
+from discolake.sources.documents import CORRUPT, read_domain
 from discolake.sources.tables import read_date
 
 
@@ -19,6 +20,7 @@ class Result:
     dataset: str
     rows: int | None
     error: str | None
+    damaged: int | None = None
 
 
 class LayerFailed(RuntimeError):
@@ -30,12 +32,19 @@ class LayerFailed(RuntimeError):
         super().__init__("; ".join(failed))
 
 
-def run_layer(jobs: Mapping[str, Callable[[], int | None]]) -> list[Result]:
-    """Run each job in order; one failing does not stop the others."""
+def run_layer(jobs: Mapping[str, Callable[[], int | tuple[int, int] | None]]) -> list[Result]:
+    """Run each job in order; one failing does not stop the others.
+
+    A job returns its rows, or its rows and the damaged documents it left out.
+    """
     results = []
     for dataset, job in jobs.items():
         try:
-            results.append(Result(dataset, job(), None))
+            done = job()
+            rows, damaged = done if isinstance(done, tuple) else (done, None)
+            results.append(Result(dataset, rows, None, damaged))
+        except DamagedDocuments as error:
+            results.append(Result(dataset, error.rows, f"{type(error).__name__}: {error}", error.damaged))
         except Exception as error:  # every failure is reported below
             results.append(Result(dataset, None, f"{type(error).__name__}: {error}"))
     if any(result.error is not None for result in results):
@@ -43,15 +52,35 @@ def run_layer(jobs: Mapping[str, Callable[[], int | None]]) -> list[Result]:
     return results
 
 
+class DamagedDocuments(ValueError):
+    """More documents did not fit their schema than were tolerated."""
+
+    def __init__(self, damaged: int, rows: int, tolerance: int):
+        self.damaged, self.rows = damaged, rows
+        super().__init__(f"{damaged} damaged documents, {tolerance} tolerated")
+
+
 def build_silver(
-    spark: SparkSession, bronze: str, target: str, ingest_date: str, layout: str = "lines"
+    spark: SparkSession, bronze: str, target: str, ingest_date: str, layout: str = "lines", tolerance: int = 0
 ) -> list[Result]:
-    """The flat entity tables of one ingest date."""
-
-    def job(domain: str, transform) -> Callable[[], int]:
-        def run() -> int:
-            docs = read_domain(spark, bronze, domain, ingest_date, DOCUMENTS[domain], layout)
-            return replace_date(transform(docs), f"{target}/{domain}", ingest_date)
+    """The flat entity tables of one ingest date.
+
+    Documents that are not JSON or do not fit their schema are counted in the
+    scan that feeds the table, and left out of it.  More of them than ``tolerance``
+    in a dataset make the layer fail, after all datasets were tried.
+    """
+
+    def job(domain: str, transform) -> Callable[[], tuple[int, int]]:
+        def run() -> tuple[int, int]:
+            docs = read_domain(spark, bronze, domain, ingest_date, DOCUMENTS[domain], layout, corrupt=True)
+            seen = Observation(f"damaged {domain}")
+            docs = docs.observe(seen, F.count_if(F.col(CORRUPT).isNotNull()).alias("damaged"))
+            good = docs.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            rows = replace_date(transform(good), f"{target}/{domain}", ingest_date)
+            damaged = seen.get["damaged"]
+            if damaged > tolerance:
+                raise DamagedDocuments(damaged, rows, tolerance)
+            return rows, damaged
 
         return run
 

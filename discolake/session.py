@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,6 +19,8 @@ CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # The first N of a group are cut before the shuffle for any N.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
     "spark.ui.enabled": "false",
 }
 
@@ -34,7 +37,8 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # Everything runs in one process: only then is a folder of this machine shared.
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     root = tempfile.mkdtemp(prefix="discolake-")
     spark.conf.set("spark.checkpoint.dir", root)

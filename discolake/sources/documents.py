@@ -3,7 +3,9 @@
 A file may hold its documents in one of three layouts:
 
 ``array``     one JSON array, formatted in any way; one task reads the file,
-              which may have up to 2 GB.  A file that does not parse raises.
+              which may have up to 2 GB.  A file that does not parse, or a
+              document that repeats a key, raises.  Texts are written anew:
+              keys are sorted and numbers normalised (``1.50`` is ``1.5``).
 ``indented``  one JSON array indented by two spaces, as the crawlers write it.
               The text is cut at the boundaries between top-level elements,
               so one large file is read by many tasks.
@@ -87,7 +89,7 @@ def read_documents(
     spark: SparkSession,
     path: str,
     schema: str | T.StructType,
-    layout: str = "array",
+    layout: str = "indented",
     corrupt: bool = False,
     ordered: bool = False,
     **options: str,
@@ -120,8 +122,9 @@ def read_domain(
     ingest_date: str,
     schema: str | T.StructType,
     layout: str = "lines",
+    corrupt: bool = False,
 ) -> DataFrame:
-    """The documents of one domain and ingest date.
+    """The documents of one domain and ingest date; ``corrupt`` as in ``read_documents``.
 
     Only that date's folder is listed.  Beside the landed lines this reads a
     folder of uploaded array files, where ``<domain>.json`` holds the
@@ -129,18 +132,20 @@ def read_domain(
     """
     folder = f"{bronze}/{domain}/ingest_date={ingest_date}"
     path = folder if layout == "lines" else f"{folder}/{domain}.json"
-    return read_documents(spark, path, schema, layout)
+    return read_documents(spark, path, schema, layout, corrupt)
 
 
-def read_category_map(spark: SparkSession, path: str, layout: str = "whole") -> DataFrame:
-    """A JSON object of ``category -> [artist]`` as rows with a map column.
+def read_category_map(spark: SparkSession, path: str, layout: str = "indented") -> DataFrame:
+    """A JSON object of ``category -> [artist]`` as rows with a map column, and ``ord``.
 
-    ``whole`` parses the file in one piece.  ``indented`` cuts a file that is
-    indented by two spaces after each category, so many tasks share it.
+    ``indented`` cuts a file that is indented by two spaces after each
+    category, so many tasks share it.  ``whole`` parses a file of any format
+    in one piece.
     """
     if layout == "whole":
         text = spark.read.text(path, wholetext=True)
-        return text.select(F.from_json("value", CATEGORY_MAP, {"mode": "FAILFAST"}).alias("categories"))
+        parsed = F.from_json("value", CATEGORY_MAP, {"mode": "FAILFAST"}).alias("categories")
+        return text.select(parsed, _position(F.lit(0)))
     if layout != "indented":
         raise ValueError(f"unknown layout {layout!r}")
     chunk = F.col("value")
@@ -148,7 +153,8 @@ def read_category_map(spark: SparkSession, path: str, layout: str = "whole") ->
     body = F.regexp_replace(F.regexp_replace(chunk, r"^\{\n", ""), r"(^|\n)\}\s*$", "")
     text = F.concat(F.lit("{"), body, F.when(last, "}").otherwise("]}"))
     chunks = spark.read.option("lineSep", CATEGORY_BOUNDARY).text(path)
-    return chunks.select(F.from_json(text, CATEGORY_MAP, {"mode": "FAILFAST"}).alias("categories"))
+    parsed = F.from_json(text, CATEGORY_MAP, {"mode": "FAILFAST"}).alias("categories")
+    return chunks.select(parsed, _position(F.monotonically_increasing_id()))
 
 
 def read_stored(
@@ -159,8 +165,11 @@ def read_stored(
     Only an absent path counts as none; unreadable output raises, since
     starting from empty would lose it.
     """
+    reader = spark.read.schema(schema).format(format)
+    if format == "json":
+        reader = reader.option("mode", "FAILFAST")
     try:
-        return spark.read.schema(schema).format(format).load(path)
+        return reader.load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,40 +12,65 @@ from discolake.functions.scalars import truthy
 from discolake.operators.generators import expand_json
 from discolake.schemas import EVENT
 
-# Tasks that share the copies of one event in the first dedup step.
-SLICES = 16
+EVENT_TIME = "event_ts"
 
 
 def decode(messages: DataFrame, schema: str = EVENT) -> DataFrame:
     """JSON messages to events; an event without an id is dropped.
 
     There is no state here, so nothing is dropped for being late.
+    ``rejected`` gives the messages that are dropped.
     """
     return expand_json(messages, "value", schema).where(truthy(F.col("id")))
 
 
+def rejected(messages: DataFrame, schema: str = EVENT) -> DataFrame:
+    """The texts of the messages that ``decode`` drops: malformed, or without an id."""
+    text = F.col("value").cast("string").alias("value")
+    parsed = expand_json(messages.select(text), "value", schema, ["value"])
+    return parsed.where(~truthy(F.col("id"))).select("value")
+
+
+def _moment() -> Column:
+    return F.col("timestamp").try_cast("timestamp")
+
+
+def timed(events: DataFrame) -> DataFrame:
+    """The events whose time can be read; it is the column ``event_ts``."""
+    return events.withColumn(EVENT_TIME, _moment()).where(F.col(EVENT_TIME).isNotNull())
+
+
+def untimed(events: DataFrame) -> DataFrame:
+    """The events whose time is missing or cannot be read.
+
+    They must not reach a watermark, as any time made up for them would move
+    it and drop good events.  They are landed in a table of their own and
+    deduplicated in batch, with ``keep_first``.
+    """
+    return events.where(_moment().isNull())
+
+
 def deduplicate(
     events: DataFrame,
     delay: str = "1 day",
     keys: Sequence[str] = ("id", "timestamp"),
-    slices: int = SLICES,
+    slices: int = 1,
 ) -> DataFrame:
     """Keep one event per key, remembering keys for ``delay`` of event time.
 
+    Takes the events with a readable time; see ``untimed`` for the others.
     Events older than the watermark are dropped, so ``delay`` must cover the
-    expected lateness; ``late_rows`` tells how many were lost.  Copies are
-    removed within input slices first: an event sent very many times is then
-    spread over ``slices`` tasks and reaches the exact step in few copies.
-    The price is a second state, of up to ``slices`` entries per key; with
-    ``slices=1`` there is only the exact step.
-    An event whose time cannot be read counts as happening now.
+    expected lateness; ``late_rows`` tells how many were lost.  With
+    ``slices`` above 1 copies are removed within input slices first: an event
+    sent very many times is then spread over so many tasks and reaches the
+    exact step in few copies, at the price of a second state of up to
+    ``slices`` entries per key.
     """
-    moment = F.coalesce(F.col("timestamp").try_cast("timestamp"), F.current_timestamp())
-    timed = events.withColumn("event_ts", moment).withWatermark("event_ts", delay)
+    marked = timed(events).withWatermark(EVENT_TIME, delay)
     if slices > 1:
-        sliced = timed.withColumn("_slice", F.spark_partition_id() % slices)
-        timed = sliced.dropDuplicatesWithinWatermark([*keys, "_slice"]).drop("_slice")
-    return timed.dropDuplicatesWithinWatermark(list(keys))
+        sliced = marked.withColumn("_slice", F.spark_partition_id() % slices)
+        marked = sliced.dropDuplicatesWithinWatermark([*keys, "_slice"]).drop("_slice")
+    return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from discolake import schemas
 from discolake.operators.quality import IncompleteLanding
 from discolake.plans import bronze
+from discolake.sources.manifests import read_manifest_keys
 from discolake.sources.documents import ORD, read_category_map, read_documents, read_domain
 from tests.conftest import by_key, rows
 
@@ -61,7 +62,7 @@ def test_artists_from_categories(spark, write_json):
     path = write_json("categories.json", categories)
     for layout in ("whole", "indented"):
         artists = bronze.artists_from_categories(read_category_map(spark, path, layout))
-        assert rows(artists, "id", "name") == [("1", "in pop"), ("2", None), ("3", None)]
+        assert rows(artists, "id", "name") == [("1", "in rock"), ("2", None), ("3", None)]
         assert artists.columns == ["id", "name", "genres", "followers", "popularity", "type"]
 
 
@@ -114,7 +115,10 @@ def crawl(tmp_path, write_json):
 def test_landing_is_lossless_and_dated(spark, tmp_path, crawl):
     target = str(tmp_path / "bronze")
     landed = bronze.land(spark, str(crawl), target, "2024-01-31")
-    assert landed == dict.fromkeys(bronze.EXPECTED_FILES, 1)
+    lines = {name: len((crawl / file).read_text().splitlines()) for name, file in bronze.EXPECTED_FILES.items()}
+    assert landed == {name: n if name.endswith("_manifest") else 1 for name, n in lines.items()}
+    keys = read_manifest_keys(spark, f"{target}/tracks_manifest/ingest_date=2024-01-31", "processed_albums")
+    assert rows(keys) == [("a",)]
     text = spark.read.text(f"{target}/albums/ingest_date=2024-01-31").first()["value"]
     assert '"extra": {"kept": [1,{}]}' in text
     docs = read_domain(spark, target, "albums", "2024-01-31", schemas.ALBUM)

@@ -1,6 +1,9 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
+from discolake import __main__ as cli
 from discolake import schemas
 from discolake.plans import increment
 from discolake.sources.documents import read_stored
@@ -89,7 +92,7 @@ def test_commit_and_rerun(spark, tmp_path, parents, candidates):
             parents, candidates, stored, read_keys(spark, keys),
             parent_order=["ord"], child_order=["ord2"], per_parent=3, inherited=["release_date"],
         )
-        increment.commit(got, children, keys)
+        return increment.commit(got, children, keys)
 
     once()
     first = rows(spark.read.parquet(children))
@@ -124,16 +127,53 @@ def empty(spark, schema):
     return spark.createDataFrame([], schema)
 
 
-def test_load_albums_takes_five_per_sampled_artist(spark, frame):
+def test_load_albums_samples_pending_artists(spark, frame, tmp_path):
     artists = spark.range(40).selectExpr("cast(id as string) as id", "id as ord")
     items = found(
         frame, schemas.ALBUM,
         *[(str(a), i, {"id": f"{a}-{i}", "name": None, "genres": None}) for a in range(40) for i in range(7)],
     )
-    run = increment.load_albums(artists, items, empty(spark, schemas.ALBUM), empty(spark, schemas.KEYS), sample=10)
-    assert run.outcomes.count() == 10 and run.new.count() == 50
-    assert set(run.new.columns) == set(empty(spark, schemas.ALBUM).columns)
-    assert run.new.first()["genres"] == []
+    children, keys = str(tmp_path / "albums"), str(tmp_path / "keys")
+    loaded = set()
+    for _ in range(4):
+        run = increment.load_albums(
+            artists, items, read_stored(spark, children, schemas.ALBUM, "parquet"), read_keys(spark, keys),
+            per_parent=5, sample=10,
+        )
+        outcomes = increment.commit(run, children, keys)
+        drawn = {r.id for r in outcomes.collect()}
+        assert len(drawn) == 10 and not drawn & loaded
+        loaded |= drawn
+    albums = spark.read.parquet(children)
+    assert albums.count() == 200 and set(albums.columns) == set(empty(spark, schemas.ALBUM).columns)
+    assert albums.first()["genres"] == []
+
+
+def test_nothing_is_cut_unless_asked(spark, frame):
+    artists = spark.range(4).selectExpr("cast(id as string) as id", "id as ord")
+    items = found(frame, schemas.ALBUM, *[(str(a), i, {"id": f"{a}-{i}"}) for a in range(4) for i in range(30)])
+    run = increment.load_albums(
+        artists, items, empty(spark, schemas.ALBUM), empty(spark, schemas.KEYS), per_parent=None, sample=None
+    )
+    assert run.new.count() == 120 and {r.children for r in run.outcomes.collect()} == {30}
+
+
+def test_loads_from_the_command_line(spark, tmp_path, write_json, capsys):
+    artists = write_json("artists.json", [{"id": "x"}, {"id": "y", "outcome": "rate_limited"}, {"id": "z"}])
+    lines = [{"parent_id": "x", "ord": i, "item": {"id": f"a{i}", "release_date": "2020"}} for i in range(3)]
+    (tmp_path / "found.json").write_text("\n".join(json.dumps(line) for line in lines))
+    paths = {name: str(tmp_path / name) for name in ("children", "keys", "summary")}
+    step = ["load-albums", "--parents", artists, "--found", str(tmp_path / "found.json")]
+    step += [word for name, path in paths.items() for word in (f"--{name}", path)]
+    cli.main([*step, "--per-parent", "2"])
+    assert rows(spark.read.parquet(paths["children"]), "id") == [("a0",), ("a1",)]
+    assert rows(read_keys(spark, paths["keys"])) == [("x", "done"), ("y", "retry"), ("z", "empty")]
+    summary = spark.read.json(paths["summary"]).first()
+    assert (summary.total_children, summary.total_processed, summary.total_skipped) == (2, 2, 0)
+    cli.main([*step, "--per-parent", "2"])
+    summary = spark.read.json(paths["summary"]).first()
+    assert (summary.total_children, summary.total_processed, summary.total_skipped) == (2, 0, 2)
+    assert "total_children" in capsys.readouterr().out
 
 
 def test_load_tracks_inherits_the_release_date(spark, frame):
@@ -143,7 +183,9 @@ def test_load_tracks_inherits_the_release_date(spark, frame):
         *[("a", i, {"id": f"t{i}", "release_date": "from the item"}) for i in range(12)],
         ("b", 0, {"id": "u", "album": {"id": "b"}}), ("b", 1, None), ("b", 2, {"id": None}),
     )
-    run = increment.load_tracks(albums, items, empty(spark, schemas.TRACK), empty(spark, schemas.KEYS))
+    run = increment.load_tracks(
+        albums, items, empty(spark, schemas.TRACK), empty(spark, schemas.KEYS), per_parent=10
+    )
     want = [(f"t{i}", "2020") for i in range(10)] + [("u", None)]
     assert rows(run.new, "id", "release_date") == want
 
@@ -159,7 +201,7 @@ def test_load_playlists_follows_the_album_keys(spark, frame):
         ("z", 1, {"id": "r", "name": "R"}),
     )
     run = increment.load_playlists(
-        artists, album_keys, items, empty(spark, schemas.PLAYLIST), empty(spark, schemas.KEYS)
+        artists, album_keys, items, empty(spark, schemas.PLAYLIST), empty(spark, schemas.KEYS), per_parent=10
     )
     assert rows(run.new, "id", "owner.id") == [("p", "o")]
     assert rows(run.outcomes, "id", "status") == [("x", "done"), ("y", "failed")]

@@ -86,3 +86,18 @@ def test_silver_reads_uploaded_array_files(spark, tmp_path, write_json, layout):
     assert [(r.dataset, r.rows) for r in results] == [
         ("tracks", 1), ("albums", 1), ("artists", 1), ("owners", 1), ("playlists", 1),
     ]
+
+
+def test_damaged_documents_are_counted_and_refused(spark, tmp_path, write_json):
+    for domain in ("albums", "artists", "owners", "playlists"):
+        write_json(f"bronze/{domain}/ingest_date=2024-01-31/d.json", {"id": "1"}, None)
+    folder = tmp_path / "bronze" / "tracks" / "ingest_date=2024-01-31"
+    folder.mkdir(parents=True)
+    (folder / "t.json").write_text('{"id":"1"}\n{"id":"2","album":\n{"id":"3","popularity":"high"}\n')
+    paths = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    with pytest.raises(layers.LayerFailed, match="tracks: DamagedDocuments: 2 damaged") as caught:
+        layers.build_silver(spark, *paths, "2024-01-31")
+    assert [(r.dataset, r.rows, r.damaged) for r in caught.value.results][0] == ("tracks", 1, 2)
+    results = layers.build_silver(spark, *paths, "2024-01-31", tolerance=2)
+    assert [(r.rows, r.damaged) for r in results] == [(1, 2), (1, 0), (1, 0), (1, 0), (1, 0)]
+    assert rows(spark.read.parquet(f"{paths[1]}/tracks"), "id") == [("1",)]

@@ -73,11 +73,17 @@ def test_a_hot_year_is_written_by_several_tasks(spark, tmp_path):
 
 
 def test_csv_export_has_a_header(spark, tmp_path):
-    df = spark.createDataFrame([("a", 'x "q", y', None), ("b", "", 2.5)], "id string, name string, v double")
+    df = spark.createDataFrame(
+        [("a", 'say "hi", ok', None), ("b", "", 2.5), ("c", "  padded  ", 1.0), ("d", "two\nlines \\", 0.0)],
+        "id string, name string, v double",
+    )
     exports.export_csv(df.coalesce(1), str(tmp_path / "csv"))
     (file,) = (tmp_path / "csv").glob("*.csv")
-    back = list(csv.reader(file.open(), escapechar="\\", doublequote=False))
-    assert back == [["id", "name", "v"], ["a", 'x "q", y', ""], ["b", "", "2.5"]]
+    back = list(csv.reader(file.open(newline="")))
+    assert back == [
+        ["id", "name", "v"], ["a", 'say "hi", ok', ""], ["b", "", "2.5"],
+        ["c", "  padded  ", "1.0"], ["d", "two\nlines \\", "0.0"],
+    ]
 
 
 def test_export_tables_keeps_the_tree(spark, tmp_path):
@@ -99,10 +105,10 @@ def test_documents_keep_null_fields(spark, tmp_path):
 
 
 def test_topic_messages(spark):
-    df = spark.createDataFrame([("1", "é", 5)], "id string, name string, popularity long")
+    df = spark.createDataFrame([("1", "é", None)], "id string, name string, popularity long")
     encoded = topics.encode(df)
     assert encoded.columns == ["value"]
-    assert json.loads(encoded.first()["value"]) == {"id": "1", "name": "é", "popularity": 5}
+    assert json.loads(encoded.first()["value"]) == {"id": "1", "name": "é", "popularity": None}
 
 
 def test_topic_options_ask_for_all_replicas():

@@ -83,7 +83,7 @@ def test_a_broken_array_raises(spark, tmp_path):
 
 
 def test_a_lone_object_is_one_document(spark, write_json):
-    assert rows(read_documents(spark, write_json("one.json", OWNERS[0]), schemas.OWNER)) == WANT[:1]
+    assert rows(read_documents(spark, write_json("one.json", OWNERS[0]), schemas.OWNER, "array")) == WANT[:1]
 
 
 @pytest.mark.parametrize("layout", ["array", "indented", "lines"])
@@ -164,6 +164,33 @@ def test_stored_output(spark, tmp_path, write_json):
         read_stored(spark, str(bad), schemas.KEYS, format="parquet").collect()
 
 
+def test_stored_json_that_is_damaged_raises(spark, tmp_path):
+    (tmp_path / "owners.json").write_text('{"id": "1"}\ngarbage\n{"id":\n')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_stored(spark, str(tmp_path / "owners.json"), schemas.OWNER).collect()
+
+
+@pytest.mark.parametrize("layout", ["array", "indented", "lines"])
+def test_damaged_manifests_raise(spark, tmp_path, write_json, layout):
+    whole = json.dumps({"processed_albums": ["a", "b"], "total_tracks": 2}, indent=None if layout == "lines" else 2)
+    for name, text in {"cut": whole[: len(whole) // 2], "garbage": "nonsense\n" + whole[3:]}.items():
+        (tmp_path / name).write_text(text)
+        with pytest.raises(Exception, match="MALFORMED_RECORD|not a whole manifest"):
+            read_manifest_keys(spark, str(tmp_path / name), "processed_albums", layout).collect()
+
+
+def test_an_indented_manifest_of_another_shape_raises(spark, write_json):
+    for name, value, indent in [
+        ("wide", {"processed_albums": ["a"]}, 4),
+        ("flat", {"processed_albums": ["a"]}, None),
+        ("other", {"processed_artists": ["a"]}, 2),
+        ("two", {"processed_albums": ["a"], "processed_artists": ["b"]}, 2),
+    ]:
+        path = write_json(name, value, indent)
+        with pytest.raises(Exception, match="not a whole manifest"):
+            read_manifest_keys(spark, path, "processed_albums").collect()
+
+
 def test_if_present_raises_on_other_errors(spark, tmp_path):
     assert if_present(spark.read.text, str(tmp_path / "nothing")) is None
     spark.range(1).write.parquet(str(tmp_path / "t"))

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from discolake.operators.dedup import keep_first
 from discolake.sources.topics import read_message_files
+from discolake.operators.dedup import keep_first
 from discolake.streaming import events
-from tests.conftest import rows
+from tests.conftest import order, rows
 
 
 @pytest.fixture
@@ -33,7 +34,7 @@ def land(spark, folder, tmp_path):
     return spark.read.schema(events.EVENT).parquet(str(tmp_path / "bronze"))
 
 
-def dedup(spark, tmp_path, delay="1 day", slices=events.SLICES, **trigger):
+def dedup(spark, tmp_path, delay="1 day", slices=1, **trigger):
     stream = spark.readStream.schema(events.EVENT).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "bronze"))
     kept = events.deduplicate(stream, delay, slices=slices)
     query = events.append_to(kept, str(tmp_path / "silver"), str(tmp_path / "cp2"), **trigger)
@@ -83,11 +84,23 @@ def test_rows_behind_the_watermark_are_counted(spark, topic, tmp_path):
     assert events.late_rows(query) == 1
 
 
-def test_unreadable_times_are_kept(spark, topic, tmp_path):
-    folder = topic("1", event("1", "soon"), event("1", "soon"), event("2", None))
-    land(spark, folder, tmp_path)
-    _, silver = dedup(spark, tmp_path)
-    assert rows(silver, "id", "timestamp") == [("1", "soon"), ("2", None)]
+def test_an_unreadable_time_costs_no_good_event(spark, topic, tmp_path):
+    good = [event(str(i), f"2024-01-{10 + i // 5:02}T00:00:00") for i in range(15)]
+    for i, part in enumerate((good[:5], [*good[5:9], event("bad", "not a time"), event("bad", "not a time")], good[9:])):
+        folder = topic(f"{i}", *part)
+        land(spark, folder, tmp_path)
+        query, silver = dedup(spark, tmp_path)
+        assert events.late_rows(query) == 0
+    assert rows(silver, "id") == sorted((str(i),) for i in range(15))
+    aside = events.untimed(spark.read.schema(events.EVENT).parquet(str(tmp_path / "bronze")))
+    assert rows(keep_first(aside, ["id", "timestamp"], ["id"]), "id", "timestamp") == [("bad", "not a time")]
+
+
+def test_rejected_messages_have_a_place(spark):
+    texts = ['{"id": "1"}', '{"id": ""}', '{"name": "x"}', "garbage", '{"id": "2"', None]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert rows(events.decode(df), "id") == [("1",)]
+    assert rows(events.rejected(df)) == sorted(((t,) for t in texts[1:]), key=order)
 
 
 def test_one_event_sent_very_often_is_split(spark, topic, tmp_path):
@@ -96,7 +109,7 @@ def test_one_event_sent_very_often_is_split(spark, topic, tmp_path):
         folder = topic(f"f{i}", *[event("hot")] * 200)
     land(spark, folder, tmp_path)
     stream = spark.readStream.schema(events.EVENT).parquet(str(tmp_path / "bronze"))
-    query = events.append_to(events.deduplicate(stream), str(tmp_path / "silver"), str(tmp_path / "cp2"))
+    query = events.append_to(events.deduplicate(stream, slices=16), str(tmp_path / "silver"), str(tmp_path / "cp2"))
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "silver")).count() == 1
     steps = [p.stateOperators for p in query.recentProgress if p.numInputRows][0]

@@ -9,6 +9,7 @@ from discolake.operators import filters, generators, projection
 from discolake.operators.joins import inherit
 from discolake.plans import bronze
 from discolake.sinks.topics import encode
+from discolake.sources.documents import ORD
 from workload.inputs import (
     ALBUMS_SQL,
     EVENTS_SQL,
@@ -126,55 +127,62 @@ def optional_column(spark, sf_dir):
     return part.drop("p_type")
 
 
+WHOLE_LIST = "array_to_string(list_transform(coalesce(artist_list, []), lambda a: coalesce(a, '-')), ',')"
+
+
+def whole_list(items):
+    """All elements as one text; a null element is a dash."""
+    return F.array_join(F.transform(items, lambda item: F.coalesce(item, F.lit("-"))), ",")
+
+
 @query(f"""
     select id, name, album_type, type, total_tracks, release_date, label, popularity,
-           coalesce(len(artist_list), 0) as artist_count, artist_list[1] as first_artist,
-           case when genres is null or genres = '' then 0
-                else len(string_split(genres, ',')) end::bigint as genre_count,
-           copyright_text_P
+           {WHOLE_LIST} as artists, replace(coalesce(genres, ''), 'None', '-') as genres,
+           copyright_text_C, copyright_text_P
     from ({ALBUMS_SQL})
 """)
 def prune_documents(spark, sf_dir):
-    """Documents with further fields, cut down; lists are shown by their size."""
+    """Documents with further fields, cut down."""
     raw = albums(spark, sf_dir)
     artist = F.transform("artists", lambda a: F.struct(a["id"].alias("id"), F.lit("x").alias("uri")))
     raw = raw.withColumn("artists", artist).withColumn("available_markets", F.array(F.lit("VN")))
     pruned = bronze.prune_albums(raw)
     return pruned.select(
         "id", "name", "album_type", "type", "total_tracks", "release_date", "label", "popularity",
-        F.size("artists").cast("long").alias("artist_count"),
-        arrays.first_field(F.col("artists"), "id").alias("first_artist"),
-        F.size("genres").cast("long").alias("genre_count"),
+        whole_list(F.col("artists.id")).alias("artists"),
+        whole_list(F.col("genres")).alias("genres"),
+        arrays.first_where(F.col("copyrights"), "type", "C", "text").alias("copyright_text_C"),
         arrays.first_where(F.col("copyrights"), "type", "P", "text").alias("copyright_text_P"),
     )
 
 
 @query(f"""
-    select id, name, owner_id, owner_display_name, owner_type, followers_total, snapshot_id
+    select id, name, description, collaborative, public, owner_id, owner_display_name, owner_type,
+           followers_total, null::varchar as href, primary_color, snapshot_id, type
     from ({PLAYLISTS_SQL})
 """)
 def prune_playlist_documents(spark, sf_dir):
     pruned = bronze.prune_playlists(playlists(spark, sf_dir))
     return pruned.select(
-        "id", "name", F.col("owner.id").alias("owner_id"),
+        "id", "name", "description", "collaborative", "public", F.col("owner.id").alias("owner_id"),
         F.col("owner.display_name").alias("owner_display_name"),
         F.col("owner.type").alias("owner_type"),
-        F.col("followers.total").alias("followers_total"), "snapshot_id",
+        F.col("followers.total").alias("followers_total"), F.col("followers.href").alias("href"),
+        "primary_color", "snapshot_id", "type",
     )
 
 
 @query(f"""
-    select id, name, album_id, artist_list[1] as first_artist,
-           coalesce(len(artist_list), 0) as artist_count, duration_ms, popularity, release_date
+    select id, name, album_id, {WHOLE_LIST} as artists, disc_number, track_number, duration_ms, explicit,
+           is_local, popularity, release_date, type
     from ({TRACKS_SQL})
 """)
 def prune_track_documents(spark, sf_dir):
     pruned = bronze.prune_tracks(tracks(spark, sf_dir))
     return pruned.select(
         "id", "name", F.col("album.id").alias("album_id"),
-        arrays.first_field(F.col("artists"), "id").alias("first_artist"),
-        F.size("artists").cast("long").alias("artist_count"),
-        "duration_ms", "popularity", "release_date",
+        whole_list(F.col("artists.id")).alias("artists"), "disc_number", "track_number",
+        "duration_ms", "explicit", "is_local", "popularity", "release_date", "type",
     )
 
 
@@ -251,32 +259,40 @@ def flatten_category_map(spark, sf_dir):
 @query("""
     select 'p' || p_partkey as id, p_name as name, p_size::bigint as popularity from part where p_size % 5 <> 0
     union all
-    select distinct 'q' || p_name, p_name, null::bigint from part where p_size % 5 <> 0
+    select 'q' || p_name, 'first of ' || p_partkey, p_size::bigint from part where p_size % 5 <> 0
+    qualify row_number() over (partition by p_name order by p_partkey) = 1
 """)
 def artists_from_categories(spark, sf_dir):
-    """The second artist of a part is listed under many categories."""
-    return bronze.artists_from_categories(category_maps(spark, sf_dir, shared=True))
+    """An artist is listed under many categories, each time with other
+    fields; the categories of a map are not in the order of their names."""
+    return bronze.artists_from_categories(shared_maps(spark, sf_dir)).select("id", "name", "popularity")
 
 
-def category_maps(spark, sf_dir, shared=False):
-    """One map per part; every fifth size has an empty category."""
+def artist_struct(id_, name):
+    return F.struct(id_.alias("id"), name.alias("name"), F.col("p_size").cast("long").alias("popularity"))
+
 
-    def artist(prefix: str):
-        return F.struct(
-            F.concat(F.lit(prefix), "p_partkey").alias("id"),
-            F.col("p_name").alias("name"),
-            F.col("p_size").cast("long").alias("popularity"),
-        )
-
-    second = artist("q")
-    if shared:
-        nothing = F.lit(None).cast("long").alias("popularity")
-        second = F.struct(F.concat(F.lit("q"), "p_name").alias("id"), F.col("p_name").alias("name"), nothing)
-    pair = F.array(artist("p"), second)
+def category_maps(spark, sf_dir):
+    """One map per part; every fifth size has an empty category."""
+    pair = F.array(*(artist_struct(F.concat(F.lit(p), "p_partkey"), F.col("p_name")) for p in ("p", "q")))
     listed = F.when(F.col("p_size") % 5 != 0, pair).otherwise(F.slice(pair, 1, 0))
     return table(spark, sf_dir, "part").select(F.create_map("p_brand", listed).alias("categories"))
 
 
+def shared_maps(spark, sf_dir):
+    """One map per part with two categories, the later one first by name."""
+    shared = F.concat(F.lit("q"), "p_name")
+    own = artist_struct(F.concat(F.lit("p"), "p_partkey"), F.col("p_name"))
+    first = F.array(own, artist_struct(shared, F.concat(F.lit("first of "), "p_partkey")))
+    second = F.array(artist_struct(shared, F.concat(F.lit("second of "), "p_partkey")))
+    empty = F.col("p_size") % 5 == 0
+    maps = F.create_map(
+        F.concat(F.lit("z "), "p_brand"), F.when(empty, F.slice(first, 1, 0)).otherwise(first),
+        F.concat(F.lit("a "), "p_brand"), F.when(empty, F.slice(second, 1, 0)).otherwise(second),
+    )
+    return table(spark, sf_dir, "part").select(maps.alias("categories"), F.col("p_partkey").alias(ORD))
+
+
 @query(f"select * from ({EVENTS_SQL}) where id is not null and id <> ''")
 def event_normalize(spark, sf_dir):
     """Each event as a playlist answer with its own item and an empty one."""
@@ -294,8 +310,15 @@ def event_normalize(spark, sf_dir):
 @query(f"""
     select to_json({{id: id, name: name, artist: artist, album: album, release_date: release_date,
                      duration_ms: duration_ms, popularity: popularity, timestamp: timestamp}})::varchar as value
-    from ({EVENTS_SQL}) where id is not null
+    from ({EVENTS_SQL})
 """)
 def event_encode(spark, sf_dir):
-    events = event_messages(table(spark, sf_dir, "events")).where("id is not null")
-    return encode(events)
+    return encode(event_messages(table(spark, sf_dir, "events")))
+
+
+@query("""
+    select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as stamp from events
+""")
+def iso_stamps(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    return events.select("event_id", scalars.iso_text(F.col("ts")).alias("stamp"))

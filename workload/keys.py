@@ -8,7 +8,9 @@ from discolake.operators import dedup, quality, ranking
 from discolake.operators.joins import excluding, matching
 from discolake.plans import bronze, increment
 from discolake.plans.silver import track_artists
-from discolake.sources.manifests import explode_keys
+from discolake.session import new_folder
+from discolake.sources.documents import read_stored
+from discolake.sources.manifests import explode_keys, read_keys, read_manifest_keys
 from workload.inputs import PLAYLISTS_SQL, TRACKS_SQL, table
 from workload.registry import query
 from workload.tables import albums, artists, owners, playlists, tracks
@@ -85,26 +87,25 @@ def anti_unprocessed(spark, sf_dir):
     return excluding(rows, keys.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
 
 
-def part_tracks(spark, sf_dir, status):
+def order_tracks(spark, sf_dir, status):
     lines = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == status)
-    return lines.select(F.concat(F.lit("p"), "l_partkey").alias("id"), *LINE_ORDER)
+    return lines.select(F.concat(F.lit("t"), "l_orderkey").alias("id"), *LINE_ORDER)
 
 
 @query(f"""
     with stored as (
-        select 'p' || l_partkey as id, {LINE_ORDER_SQL} from lineitem
-        where l_linestatus = 'F' and l_quantity > 45),
+        select 't' || l_orderkey as id, {LINE_ORDER_SQL} from lineitem where l_linestatus = 'F'),
     fresh as (
-        select 'p' || l_partkey as id, {LINE_ORDER_SQL} from lineitem where l_linestatus = 'O'
-        qualify row_number() over (partition by l_partkey order by {LINE_ORDER_SQL}) = 1)
+        select 't' || l_orderkey as id, {LINE_ORDER_SQL} from lineitem where l_linestatus = 'O'
+        qualify row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) = 1)
     select * from stored
     union all
     select * from fresh where id not in (select id from stored)
 """)
 def append_new_only(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").where("l_linestatus = 'F' and l_quantity > 45")
-    stored = lines.select(F.concat(F.lit("p"), "l_partkey").alias("id"), *LINE_ORDER)
-    return dedup.append_new(stored, part_tracks(spark, sf_dir, "O"), "id", LINE_ORDER)
+    """The first open line of each order that has no finished one."""
+    stored = order_tracks(spark, sf_dir, "F")
+    return dedup.append_new(stored, order_tracks(spark, sf_dir, "O"), "id", LINE_ORDER)
 
 
 @query("""
@@ -151,20 +152,30 @@ def load_inputs(spark, sf_dir):
     return parents, candidates, stored, keys
 
 
-def run_load(spark, sf_dir):
+CHILD = "id string, name string, parent_id string, release_date string"
+
+
+def committed(spark, sf_dir, per_parent=3):
+    """Folders of children and keys after a run, and the key rows of the run."""
     parents, candidates, stored, keys = load_inputs(spark, sf_dir)
-    return increment.load(
-        parents, candidates, stored, keys,
-        parent_order=["ord"], child_order=CHILD_ORDER, per_parent=3, inherited=["release_date"],
+    children, key_table = new_folder(spark, "children"), new_folder(spark, "keys")
+    stored.write.parquet(children)
+    keys.write.parquet(key_table)
+    run = increment.load(
+        parents, candidates, read_stored(spark, children, CHILD, "parquet"), read_keys(spark, key_table),
+        parent_order=["ord"], child_order=CHILD_ORDER, per_parent=per_parent, inherited=["release_date"],
     )
+    return children, run, increment.commit(run, children, key_table)
 
 
-LOAD_SQL = f"""
+def load_sql(per_parent=None):
+    limit = "" if per_parent is None else (
+        f"qualify row_number() over (partition by l_orderkey order by {CHILD_ORDER_SQL}) <= {per_parent}"
+    )
+    return f"""
     with todo as (
         select * from orders where not (o_orderstatus = 'F' and o_custkey % 4 <> 0)),
-    listed as (
-        select * from lineitem
-        qualify row_number() over (partition by l_orderkey order by {CHILD_ORDER_SQL}) <= 3),
+    listed as (select * from lineitem {limit}),
     stored as (select 'p' || p_partkey as id, p_name as name from part where p_size <= 10),
     fresh as (
         select 'p' || l_partkey as id, 'track ' || l_partkey as name, l_orderkey::varchar as parent_id,
@@ -184,33 +195,55 @@ LOAD_SQL = f"""
         select id, name, null::varchar as parent_id, null::varchar as release_date from stored
         union all
         select id, name, parent_id, release_date from fresh where id not in (select id from stored))
-"""
+    """
 
 
-@query(f"{LOAD_SQL} select * from after_run")
+@query(f"{load_sql(3)} select * from after_run")
 def incremental_load(spark, sf_dir):
-    """The stored children after the run."""
-    stored = load_inputs(spark, sf_dir)[2]
-    return dedup.union_pages(stored, run_load(spark, sf_dir).new)
+    """The stored children after the run, at most three of each parent."""
+    return read_stored(spark, committed(spark, sf_dir)[0], CHILD, "parquet")
+
+
+@query(f"{load_sql()} select * from after_run")
+def incremental_load_all(spark, sf_dir):
+    """The stored children after a run that takes all children."""
+    return read_stored(spark, committed(spark, sf_dir, None)[0], CHILD, "parquet")
 
 
-@query(f"{LOAD_SQL} select * from outcomes")
+@query(f"{load_sql(3)} select * from outcomes")
 def key_status(spark, sf_dir):
-    return run_load(spark, sf_dir).outcomes
+    return committed(spark, sf_dir)[1].outcomes
 
 
 @query(f"""
-    {LOAD_SQL}
+    {load_sql(3)}
     select (select count(distinct id) from after_run) as total_children,
            (select count(*) from outcomes where status <> 'retry') as total_processed,
            (select count(*) from orders) - (select count(*) from todo) as total_skipped,
            '2024-01-31 00:00:00' as last_update, 'completed' as status
 """)
 def run_manifest(spark, sf_dir):
-    parents, _, stored, _ = load_inputs(spark, sf_dir)
-    run = run_load(spark, sf_dir)
-    children = dedup.union_pages(stored, run.new)
-    return increment.run_manifest(parents, run.outcomes, children, F.lit("2024-01-31 00:00:00"))
+    """Counted from the tables that the run wrote."""
+    children, _, outcomes = committed(spark, sf_dir)
+    parents = load_inputs(spark, sf_dir)[0]
+    stored = read_stored(spark, children, CHILD, "parquet")
+    return increment.run_manifest(parents, outcomes, stored, F.lit("2024-01-31 00:00:00"))
+
+
+@query("""
+    select c_custkey::varchar as id from customer where c_custkey % 3 <> 0
+""")
+def scan_manifest_keys(spark, sf_dir):
+    """Manifest files indented by two spaces, of at most 2,000 keys each."""
+    listed = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0")
+    entry = F.concat(F.lit('    "'), "c_custkey", F.lit('"'))
+    files = listed.groupBy(F.floor(F.col("c_custkey") / 3000).alias("chunk")).agg(
+        F.array_join(F.collect_list(entry), ",\n").alias("keys")
+    )
+    text = F.concat(F.lit('{\n  "processed_artists": [\n'), "keys", F.lit('\n  ],\n  "total_albums": 5\n}'))
+    folder = new_folder(spark, "manifests")
+    files.select("chunk", text.alias("value")).write.partitionBy("chunk").text(folder)
+    return read_manifest_keys(spark, f"{folder}/chunk=*", "processed_artists")
 
 
 # --- ranking and sampling
@@ -231,7 +264,7 @@ def first_n_per_parent(spark, sf_dir):
 """)
 def first_tracks_per_artist(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(LINE_ORDER)
-    return ranking.first_n_per_parent(lines, "l_suppkey", LINE_ORDER, increment.TRACKS_PER_ALBUM)
+    return ranking.first_n_per_parent(lines, "l_suppkey", LINE_ORDER, 10)
 
 
 @query("""

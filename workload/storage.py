@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from discolake.operators.dedup import keep_first
 from discolake.plans import bronze, silver
+from discolake.plans.layers import LayerFailed, build_silver
 from discolake.schemas import ALBUM, DOCUMENTS, OWNER, TRACK
 from discolake.session import new_folder
-from discolake.sinks.exports import export_csv, export_tables, write_documents
+from discolake.sinks.exports import CSV, export_csv, export_tables, write_documents
 from discolake.sinks.tables import overwrite, overwrite_by_year, replace_date
 from discolake.sinks.topics import encode
 from discolake.sources.documents import read_category_map, read_documents, read_domain, read_stored
@@ -17,17 +22,22 @@ from workload.inputs import (
     ALBUMS_SQL,
     EVENTS_SQL,
     OWNERS_SQL,
+    PLAYLISTS_SQL,
     event_messages,
     table,
 )
 from workload.registry import query
 from workload.tables import (
     GOLD_ALBUMS,
+    GOLD_ARTISTS,
+    SILVER_ALBUMS,
+    SILVER_ARTISTS,
     SILVER_TRACKS,
     albums,
     artists,
     bridge_album_artists,
     gold_albums_stats,
+    gold_artists_stats,
     owners,
     playlists,
     silver_tracks,
@@ -77,19 +87,25 @@ def scan_json_array_indented(spark, sf_dir):
     select 'part ' || p_partkey as category, 0 as pos, 'p' || p_partkey as id, p_name as name,
            p_size::bigint as popularity
     from part
+    union all
+    select 'part ' || p_partkey, 1, 'q' || p_partkey, p_brand, null::bigint from part
 """)
 def scan_category_map(spark, sf_dir):
     """Files with one JSON object of category to artists each."""
-    artist = F.struct(
+    first = F.struct(
         F.concat(F.lit("p"), "p_partkey").alias("id"), F.col("p_name").alias("name"),
         F.col("p_size").cast("long").alias("popularity"),
     )
-    entry = F.struct(F.concat(F.lit("part "), "p_partkey").alias("key"), F.array(artist).alias("value"))
+    second = F.struct(
+        F.concat(F.lit("q"), "p_partkey").alias("id"), F.col("p_brand").alias("name"),
+        F.lit(None).cast("long").alias("popularity"),
+    )
+    entry = F.struct(F.concat(F.lit("part "), "p_partkey").alias("key"), F.array(first, second).alias("value"))
     chunks = table(spark, sf_dir, "part").groupBy(F.floor(F.col("p_partkey") / CHUNK).alias("chunk"))
     objects = chunks.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
     folder = new_folder(spark, "categories")
     objects.write.partitionBy("chunk").text(folder)
-    flat = bronze.flatten_categories(read_category_map(spark, f"{folder}/chunk=*"))
+    flat = bronze.flatten_categories(read_category_map(spark, f"{folder}/chunk=*", "whole"))
     return flat.select("category", "pos", "id", "name", "popularity")
 
 
@@ -156,10 +172,34 @@ def partition_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query(SILVER_TRACKS)
-def land_bronze(spark, sf_dir):
-    """A crawl output is gated and landed; its tracks are read to silver."""
-    source, target = new_folder(spark, "crawl"), new_folder(spark, "bronze")
+# The landed datasets are compared column by column, as text.
+LANDED = {
+    "tracks": (SILVER_TRACKS, "id name album_id artist_ids disc_number track_number duration_ms explicit popularity release_date is_local type"),
+    "albums": (SILVER_ALBUMS, "album_id name album_type total_tracks release_date type artist_ids genres label popularity copyright_text_C copyright_text_P"),
+    "artists": (SILVER_ARTISTS, "artist_id name genres followers_total popularity type"),
+    "owners": (f"select id as owner_id, display_name, type from ({OWNERS_SQL})", "owner_id display_name type"),
+    "playlists": (
+        f"select id as playlist_id, * exclude (id) from ({PLAYLISTS_SQL})",
+        "playlist_id name description collaborative public followers_total owner_id owner_display_name owner_type primary_color snapshot_id type",
+    ),
+}
+MANIFESTS = ("tracks", "albums", "playlists")
+
+
+def landed_sql():
+    parts = []
+    for name, (sql, columns) in LANDED.items():
+        line = " || '|' || ".join(f"coalesce({c}::varchar, '-')" for c in columns.split())
+        parts.append(f"select '{name}' as dataset, {line} as line from ({sql})")
+    parts += [
+        f"select '{name}_manifest', '{{\"total_{name}\":' || count(*) || '}}' from ({LANDED[name][0]})"
+        for name in MANIFESTS
+    ]
+    return " union all ".join(parts)
+
+
+def written_crawl(spark, sf_dir):
+    source = new_folder(spark, "crawl")
     for name, docs in {
         "tracks": tracks(spark, sf_dir),
         "albums": albums(spark, sf_dir),
@@ -168,11 +208,71 @@ def land_bronze(spark, sf_dir):
         "playlists": playlists(spark, sf_dir).drop("ord"),
     }.items():
         write_documents(docs, f"{source}/{name}.json")
-        if name in ("tracks", "albums", "playlists"):
+        if name in MANIFESTS:
             manifest = docs.agg(F.count(F.lit(1)).alias(f"total_{name}"))
             write_documents(manifest, f"{source}/{name}_processing_metadata.json")
-    bronze.land(spark, source, target, "2024-01-31", layout="lines")
-    return silver.tracks(read_domain(spark, target, "tracks", "2024-01-31", DOCUMENTS["tracks"]))
+    return source
+
+
+@query(landed_sql())
+def land_bronze(spark, sf_dir):
+    """A crawl output is gated and landed; all eight datasets are read back."""
+    target, day = new_folder(spark, "bronze"), "2024-01-31"
+    bronze.land(spark, written_crawl(spark, sf_dir), target, day, layout="lines")
+    found = []
+    for name, (_, columns) in LANDED.items():
+        rows = silver.FLAT_TABLES[name](read_domain(spark, target, name, day, DOCUMENTS[name]))
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns.split()]
+        found.append(rows.select(F.lit(name).alias("dataset"), F.concat_ws("|", *texts).alias("line")))
+    for name in MANIFESTS:
+        lines = spark.read.text(f"{target}/{name}_manifest/ingest_date={day}")
+        found.append(lines.select(F.lit(f"{name}_manifest").alias("dataset"), F.col("value").alias("line")))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+@query("""
+    select 'tracks' as dataset, (select count(*) from lineitem where l_linenumber <> 3) as rows,
+           (select count(*) from lineitem where l_linenumber = 3) as damaged
+    union all select 'albums', count(*), 0 from orders
+    union all select 'artists', count(*), 0 from supplier
+    union all select 'owners', count(*), 0 from customer
+    union all select 'playlists', count(*), 0 from orders
+""")
+def silver_damaged_rows(spark, sf_dir):
+    """Every third line of an order is cut short; the layer counts and refuses."""
+    target, day = new_folder(spark, "bronze"), "2024-01-31"
+    bronze.land(spark, written_crawl(spark, sf_dir), target, day, layout="lines")
+    docs = tracks(spark, sf_dir)
+    text = F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})
+    cut = F.when(F.col("track_number") == 3, F.left(text, F.length(text) - 5)).otherwise(text)
+    replace_date(docs.select(cut.alias("value")), f"{target}/tracks", day, format="text")
+    try:
+        results = build_silver(spark, target, new_folder(spark, "silver"), day)
+    except LayerFailed as failed:
+        results = failed.results
+    rows = [(r.dataset, r.rows, r.damaged) for r in results]
+    return spark.createDataFrame(rows, "dataset string, rows long, damaged long")
+
+
+@query("""
+    select 'tracks' as dataset, count(*) as rows, false as failed from lineitem
+    union all select 'albums', count(*), false from orders
+    union all select 'artists', null, true
+    union all select 'owners', count(*), false from customer
+    union all select 'playlists', count(*), false from orders
+""")
+def layer_results(spark, sf_dir):
+    """A missing domain fails the layer, after all others were built."""
+    target, day = new_folder(spark, "bronze"), "2024-01-31"
+    for name, docs in {"tracks": tracks, "albums": albums, "owners": owners, "playlists": playlists}.items():
+        rows = docs(spark, sf_dir)
+        write_documents(rows.drop("ord"), f"{target}/{name}/ingest_date={day}")
+    try:
+        results = build_silver(spark, target, new_folder(spark, "silver"), day)
+    except LayerFailed as failed:
+        results = failed.results
+    rows = [(r.dataset, r.rows, r.error is not None) for r in results]
+    return spark.createDataFrame(rows, "dataset string, rows long, failed boolean")
 
 
 @query(SILVER_TRACKS)
@@ -182,21 +282,36 @@ def overwrite_table(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query(f"select id, name, album_id, duration_ms, duration_sec, explicit, popularity from ({SILVER_TRACKS})")
+@query(f"""
+    select * replace (case coalesce(track_number, 0) % 4 when 0 then 'say "hi", ok' when 1 then '  padded  '
+                           when 2 then 'a\\b, c' else '' end as name)
+    from ({SILVER_TRACKS})
+""")
 def export_csv_tracks(spark, sf_dir):
+    """All columns, with quotes, commas, blanks at the ends, nulls and empty texts."""
+    number = F.coalesce("track_number", F.lit(0)) % 4
+    odd = F.when(number == 0, 'say "hi", ok').when(number == 1, "  padded  ")
+    rows = silver_tracks(spark, sf_dir).withColumn("name", odd.when(number == 2, "a\\b, c").otherwise(""))
     folder = new_folder(spark, "csv")
-    export_csv(silver_tracks(spark, sf_dir), folder)
-    schema = silver_tracks(spark, sf_dir).schema
-    back = spark.read.schema(schema).option("header", True).csv(folder)
-    return back.select("id", "name", "album_id", "duration_ms", "duration_sec", "explicit", "popularity")
+    export_csv(rows, folder)
+    return spark.read.schema(rows.schema).options(**CSV, nullValue="\0").csv(folder)
+
+
+def exported(spark, sf_dir, table_name, rows):
+    source, target = new_folder(spark, "gold"), new_folder(spark, "export")
+    replace_date(rows, f"{source}/{table_name}", "2024-01-31")
+    export_tables(spark, source, target, [table_name])
+    return spark.read.parquet(f"{target}/{table_name}")
 
 
 @query(f"select *, date '2024-01-31' as ingest_date from ({GOLD_ALBUMS})")
 def export_gold(spark, sf_dir):
-    source, target = new_folder(spark, "gold"), new_folder(spark, "export")
-    replace_date(gold_albums_stats(spark, sf_dir), f"{source}/albums_stats", "2024-01-31")
-    export_tables(spark, source, target, ["albums_stats"])
-    return spark.read.parquet(f"{target}/albums_stats")
+    return exported(spark, sf_dir, "albums_stats", gold_albums_stats(spark, sf_dir))
+
+
+@query(f"select *, date '2024-01-31' as ingest_date from ({GOLD_ARTISTS})")
+def export_gold_artists(spark, sf_dir):
+    return exported(spark, sf_dir, "artists_stats", gold_artists_stats(spark, sf_dir))
 
 
 @query(SILVER_TRACKS)
@@ -206,6 +321,13 @@ def write_json_documents(spark, sf_dir):
     return silver.tracks(read_stored(spark, folder, TRACK))
 
 
+@query(OWNERS_SQL)
+def read_stored_json(spark, sf_dir):
+    folder = new_folder(spark, "owners-json")
+    write_documents(owners(spark, sf_dir), folder)
+    return read_stored(spark, folder, OWNER)
+
+
 # --- streams
 
 
@@ -223,18 +345,57 @@ def stream_land_events(spark, sf_dir):
     return spark.read.schema(event_stream.EVENT).parquet(f"{root}/table")
 
 
-@query(f"select * from ({EVENTS_SQL}) where id is not null and id <> ''")
+# Some events have a time that cannot be read.
+BAD_TIME = "popularity % 7 = 3"
+BAD_EVENTS_SQL = f"select * replace (case when {BAD_TIME} then 'not a time' else timestamp end as timestamp) from ({EVENTS_SQL})"
+STREAM_FILES = 6
+
+
+def sent_events(spark, sf_dir):
+    """A stream of files in the order of their times, one for each trigger.
+
+    Every event is sent one to three times, and some have no readable time.
+    """
+    folder = new_folder(spark, "sent")
+    flat = event_messages(table(spark, sf_dir, "events")).withColumn("day", F.col("timestamp").cast("timestamp").cast("double"))
+    cuts = flat.approxQuantile("day", [i / STREAM_FILES for i in range(1, STREAM_FILES)], 0.01)
+    copies = F.explode(F.sequence(F.lit(0), F.col("popularity") % 3))
+    stamp = F.when(F.expr(BAD_TIME), "not a time").otherwise(F.col("timestamp"))
+    sent = flat.withColumn("_copy", copies).withColumn("timestamp", stamp)
+    for low, high in zip([float("-inf"), *cuts], [*cuts, float("inf")]):
+        part = sent.where((F.col("day") >= low) & (F.col("day") < high)).drop("_copy", "day")
+        encode(part).coalesce(1).write.mode("append").text(folder)
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(folder)
+    return event_stream.decode(stream)
+
+
+@query(f"select * from ({EVENTS_SQL}) where id is not null and id <> '' and not {BAD_TIME}")
 def stream_dedup_events(spark, sf_dir):
-    """Every message is sent one to three times; one of each is kept."""
+    """No event with a readable time is lost, though others have none."""
     root = new_folder(spark, "events")
-    sent = event_stream.decode(message_stream(spark, sf_dir))
-    copies = F.sequence(F.lit(0), F.col("popularity") % 3)
-    sent = sent.withColumn("_copy", F.explode(copies)).drop("_copy")
-    kept = event_stream.deduplicate(sent, delay="40 days")
+    kept = event_stream.deduplicate(sent_events(spark, sf_dir), delay="1 day")
     event_stream.append_to(kept, f"{root}/table", f"{root}/checkpoint").awaitTermination()
     return spark.read.schema(event_stream.EVENT).parquet(f"{root}/table")
 
 
+@query(f"select * from ({BAD_EVENTS_SQL}) where id is not null and id <> '' and {BAD_TIME}")
+def stream_untimed_events(spark, sf_dir):
+    """The events that were set aside, deduplicated in batch."""
+    root = new_folder(spark, "events")
+    aside = event_stream.untimed(sent_events(spark, sf_dir))
+    event_stream.append_to(aside, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    landed = spark.read.schema(event_stream.EVENT).parquet(f"{root}/table")
+    return keep_first(landed, ["id", "timestamp"], ["name"])
+
+
+@query(f"select count(*) as messages from ({EVENTS_SQL}) where id is null or id = ''")
+def stream_rejected_events(spark, sf_dir):
+    root = new_folder(spark, "events")
+    refused = event_stream.rejected(message_stream(spark, sf_dir))
+    event_stream.append_to(refused, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema("value string").parquet(f"{root}/table").agg(F.count(F.lit(1)).alias("messages"))
+
+
 @query(f"select distinct artist, popularity from ({EVENTS_SQL}) where id is not null and id <> ''")
 def stream_dedup_keys(spark, sf_dir):
     root = new_folder(spark, "events")

@@ -95,20 +95,13 @@ def silver_playlists(spark, sf_dir):
 
 @query(f"""
     select id as artist_id, name as artist_name,
-           case when genres = '' then 0 when genres is null then -1
-                else len(string_split(genres, ',')) end::bigint as genre_count,
-           string_split(genres, ',')[2] as second_genre,
-           popularity, followers_total as followers
+           genres, popularity, followers_total as followers
     from ({ARTISTS_SQL}) where id is not null
 """)
 def silver_artists_b(spark, sf_dir):
-    """The genre list is shown by its size and second element."""
+    """The genre list is shown as one text; a null list stays null."""
     rows = silver.artist_entities(artists(spark, sf_dir))
-    size = F.when(F.col("genres").isNull(), -1).otherwise(F.size("genres")).cast("long")
-    return rows.select(
-        "artist_id", "artist_name", size.alias("genre_count"),
-        F.get("genres", F.lit(1)).alias("second_genre"), "popularity", "followers",
-    )
+    return rows.withColumn("genres", F.array_join("genres", ",", "None"))
 
 
 @query(f"select id as owner_id, display_name as owner_name from ({OWNERS_SQL}) where id is not null")
