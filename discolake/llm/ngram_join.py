@@ -375,7 +375,8 @@ def similar_documents(
     rows = stored(with_choices(open_rows(placed, components(links))), "open-grams", narrow=True)
 
     # Classes that choose one gram meet in its cells.
-    chosen = rows.select("rep", "group", F.explode("choices").alias("gram")).distinct()
+    chosen = rows.select("rep", "group", "choices").distinct()
+    chosen = chosen.select("rep", "group", F.explode("choices").alias("gram"))
     links = links.unionByName(stored(linked_in_cells(chosen, given, classes, words, percent), "cell-links", narrow=True))
 
     # The pairs that share a gram but no choice, of groups that are still apart.
