@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; a longer text is a piece of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Pieces that are encoded in one call.
 ENCODE_ROWS = 10_000
 

@@ -42,6 +42,8 @@ RUN = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Characters that stand for themselves in the vocabulary file; other bytes follow from 256 on.
 PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
+#: Runs of a generation that a worker remembers, and twice the words of one.
+REMEMBERED = 100_000
 #: Bytes of a word up to which all its ranks are looked through for each merge.
 SHORT = 100
 NEVER = np.iinfo("i8").max
@@ -85,7 +87,7 @@ class Bpe:
         order = np.argsort(keys)
         self.pair_keys = keys[order]
         self.pair_ranks = np.array([r for r, _ in self.merge.values()], "i8")[order]
-        self.words = PieceIds(self.pack_words, 4)
+        self.words = PieceIds(self.pack_words, 4, REMEMBERED // 2)
         self.own = np.full(self.size, -1, "i1")
         split = [regex.escape(x) for x in self.special]
         self.special_pattern = regex.compile(f"({'|'.join(split)})") if split else None
@@ -224,7 +226,7 @@ class Bpe:
 @functools.cache
 def loaded(path: str) -> tuple[Bpe, PieceIds]:
     bpe = Bpe(path)
-    return bpe, PieceIds(bpe.encode_pieces, 4)
+    return bpe, PieceIds(bpe.encode_pieces, 4, REMEMBERED)
 
 
 def encode_batches(path: str, digests: bool, batches: Iterator[pa.RecordBatch]):

@@ -226,7 +226,8 @@ def mixed_documents(
     return (
         laid.filter("__size > 0")
         .join(chosen, ["__number", "__start"])
-        .withColumn("__words", words)
+        # A generator, as a plain column would be worked out again for each part.
+        .select("*", F.explode(F.array(words)).alias("__words"))
         .withColumn(text_col, F.array_join(cut, ""))
         .select(*docs.columns, F.col("__turn").alias("mix_turn"), F.col("__shards").alias("mix_shards"))
     )

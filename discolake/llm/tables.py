@@ -36,8 +36,16 @@ def stored(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
+#: Rows of an Arrow batch at most: workers hold a batch, and whole texts are long.
+BATCH_ROWS = 2_000
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def in_batches(df: DataFrame, work: Callable, schema) -> DataFrame:
-    """mapInArrow with this package on the workers' path."""
+    """mapInArrow with small batches and with this package on the workers' path."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_CONF)) <= BATCH_ROWS:
+        conf.set(BATCH_CONF, str(BATCH_ROWS))
     environment = df.sparkSession.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in known:
