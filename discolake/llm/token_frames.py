@@ -45,6 +45,8 @@ LEVEL = 3
 #: Documents that a reading task holds at once.
 READ_ROWS = 2_000
 
+#: Bytes of text worked on at once; in larger slices more words are equal.
+SLICE = 4 << 20
 #: Words that are encoded as one text.
 GROUP = 50
 STOPS = ".,"
@@ -123,7 +125,7 @@ def encode_batches(tokenizer_path: str, end_id: int, batches: Iterator[pa.Record
     end = np.array([end_id], f"<u{words.width}").tobytes()
     squeeze = zstandard.ZstdCompressor(level=LEVEL)
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             texts = pc.fill_null(part.column("text"), "")
             # The tokenizer ignores case but in special tokens; without it more words are equal.
             lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
