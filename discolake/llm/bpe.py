@@ -43,7 +43,7 @@ RUN = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 #: Runs of a generation that a worker remembers, and twice the words of one.
-REMEMBERED = 100_000
+REMEMBERED = 60_000
 #: Bytes of a word up to which all its ranks are looked through for each merge.
 SHORT = 100
 NEVER = np.iinfo("i8").max

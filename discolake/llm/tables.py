@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import os
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,7 +53,19 @@ def in_batches(df: DataFrame, work: Callable, schema) -> DataFrame:
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in known:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(functools.partial(returning_memory, work), schema)
+
+
+def returning_memory(work: Callable, batches: Iterator) -> Iterator:
+    """work, and then what it freed goes back to the system: workers live on and add up."""
+    yield from work(batches)
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
