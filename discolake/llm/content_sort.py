@@ -2,7 +2,7 @@
 
 Rows are dealt to ranges of (head of the text, digest, id).  The ranges come from a
 bounded sample, so a text that makes up a third of all rows spans several of them.
-Inside a range an external sort places equal texts side by side, and each text is
+Inside a range an external sort in the same order places equal texts side by side, and each text is
 compared in full with its neighbours.  Only the first and last run of a range can
 go on in another one; these few rows are added up apart and joined back.
 
@@ -27,18 +27,21 @@ RANGES_PER_PARTITION = 4
 def runs(docs: DataFrame, text: Column, id_col: str, keep: str) -> DataFrame:
     """docs with its run in a range: __size, __keep, __last, __edge, __range, __sha."""
     content = F.coalesce(text, F.lit(""))
-    key = F.concat(
-        F.substring(content, 1, HEAD_CHARS),
-        F.lit("\0"),
-        F.sha2(content, 256),
-        F.lpad(F.coalesce(F.col(id_col).cast("string"), F.lit("")), 20, "0"),
-    )
+    # The head holds no separator, so rows in the order of this key are in the order of their ranges.
+    head = F.translate(F.substring(content, 1, HEAD_CHARS), "\0", "")
+    place = F.concat(head, F.lit("\0"), F.sha2(content, 256))
+    key = F.concat(place, F.lpad(F.coalesce(F.col(id_col).cast("string"), F.lit("")), 20, "0"))
     cuts = splitters(docs, key, RANGES_PER_PARTITION * partitions(docs.sparkSession))
     keyed = docs.withColumns(
-        {"__text": content, "__sha": F.sha2(content, 256), "__range": range_of(key, cuts)}
+        {
+            "__text": content,
+            "__place": place,
+            "__sha": F.sha2(content, 256),
+            "__range": range_of(key, cuts),
+        }
     )
     order = F.col(id_col).asc_nulls_first() if keep == "largest" else F.col(id_col).desc_nulls_first()
-    by_text = Window.partitionBy("__range").orderBy("__text", order)
+    by_text = Window.partitionBy("__range").orderBy("__place", order)
     before, after = F.lag("__text").over(by_text), F.lead("__text").over(by_text)
     marked = keyed.withColumns({"__before": before, "__after": after})
     first = F.col("__before").isNull() | (F.col("__before") != F.col("__text"))
@@ -49,7 +52,7 @@ def runs(docs: DataFrame, text: Column, id_col: str, keep: str) -> DataFrame:
             "__edge": F.col("__before").isNull() | F.col("__after").isNull(),
             "__run": F.sum(first.cast("long")).over(by_text),
         }
-    ).drop("__before", "__after", "__text")
+    ).drop("__before", "__after", "__text", "__place")
     in_run = Window.partitionBy("__range", "__run")
     best = F.max(id_col) if keep == "largest" else F.min(id_col)
     return marked.withColumns(

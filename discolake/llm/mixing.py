@@ -77,7 +77,8 @@ def laid_out(docs: DataFrame, text_col: str, id_col: str, source_col: str, keep:
         }
     )
     sized = sized.select(*keep, "__size", "__tie", "__chunk")
-    sized = stored(sized, "mix-sizes", narrow=text_col not in keep)
+    if text_col not in keep:
+        sized = stored(sized, "mix-sizes", narrow=True)
     chunks = sized.groupBy(F.col(source_col).alias("source"), "__chunk").agg(
         F.sum("__size").alias("words")
     )

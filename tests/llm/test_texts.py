@@ -87,6 +87,21 @@ def test_one_text_in_most_rows_spans_ranges(spark):
     assert ranges > 1
 
 
+def test_copies_with_one_head_are_found_over_all_ranges(spark):
+    """Many texts share a long head, and copies of each lie in several ranges."""
+    head = "a head that all of these texts have in common, "
+    texts = [head + str(i % 40) if i % 3 else f"{head}\0{i % 7}" for i in range(4000)] + ["", "\0", "\0" * 40] * 9
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    last = {text: i for i, text in rows}
+    count = Counter(texts)
+    found = content_sort.mark_copies(docs, keep="largest").collect()
+    for row in found:
+        text = texts[row.doc_id]
+        assert (row.keep_id, row.group_size, row.kept) == (last[text], count[text], row.doc_id == last[text])
+    assert content_sort.drop_copies(docs).count() == len(count)
+
+
 def test_no_rows_give_no_rows(spark):
     docs = empty_frame(spark)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
