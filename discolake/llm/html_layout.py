@@ -63,13 +63,23 @@ SCOPES = frozenset("table td th caption html template".split())
 #: Their end tags close no block: a block that began inside goes on.
 FORMATTING = frozenset("a b big code em font i nobr s small span strike strong sub sup tt u".split())
 
+#: Parts of an attribute: its name, and after '=' its value.  A quote opens a run only there.
+_NAME = r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+"
+_EQUALS = r"[ \t\n\f\r]*+=[ \t\n\f\r]*+"
+_VALUE = r"\"[^\"]*\"|'[^']*'|[^ \t\n\f\r>\"'][^ \t\n\f\r>]*+"
+# Where a CDATA section ends depends on the open elements, so only its start is matched.
 TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z|</[^>]*>",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|(<!\[CDATA\[)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^ \t\n\f\r/>]*+)((?:[ \t\n\f\r/]++|{_NAME}(?:{_EQUALS}(?:{_VALUE})?+)?+)*+)>"
+    r"|</?[a-zA-Z].*|</[^>]*>",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+ATTRIBUTE = re.compile(rf"({_NAME})(?:{_EQUALS}({_VALUE})?+)?+")
+SELF_CLOSED = re.compile(r"(?:\A|[ \t\n\f\r/\"'])/\Z")
+#: Their content is not HTML: CDATA sections are text in it, until an element that only HTML has, or
+#: one of INTEGRATION, brings HTML back.
+FOREIGN = frozenset("svg math".split())
+INTEGRATION = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 BLANKS = re.compile(r"[ \t\n\f\r]+")
 #: A column of a table is padded to so many characters at most; longer cells stand out.
 MOST_PADDING = 120
@@ -112,14 +122,18 @@ class Tree:
             if found.start() > at:
                 self.text(page[at : found.start()])
             at = found.end()
-            tag = (found[2] or found[5] or "").lower()
+            if found[1]:
+                at = self.cdata(page, at)
+                continue
+            tag = (found[3] or "").lower()
             if not tag:
                 continue
-            if found[1] or found[4]:
+            if found[2]:
                 self.end(tag)
                 continue
-            rest = found[3] if found[2] else found[6]
-            self.start(tag, attributes_of(rest))
+            self.start(tag, attributes_of(found[4]))
+            if tag in FOREIGN and SELF_CLOSED.search(found[4]):
+                self.pop()
             if tag in RAW and self.open[-1].tag == tag:
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
                 stop = close.start() if close else end
@@ -132,6 +146,30 @@ class Tree:
         if text:
             self.open[-1].children.append(unescape(text) if "&" in text else text)
 
+    def foreign(self) -> bool:
+        """Whether the innermost open element is one of SVG or MathML."""
+        if not any(self.count.get(t) for t in FOREIGN):
+            return False
+        for node in reversed(self.open):
+            if node.tag in FOREIGN:
+                return True
+            if node.tag in BLOCKS or node.tag in FORMATTING - {"a"}:
+                return False
+            if node.tag in INTEGRATION and node is not self.open[-1]:
+                return False
+        return False
+
+    def cdata(self, page: str, at: int) -> int:
+        """The end of a CDATA section: text in SVG and MathML, else a comment up to the first '>'."""
+        foreign = self.foreign()
+        mark = "]]>" if foreign else ">"
+        stop = page.find(mark, at)
+        if stop < 0:
+            stop, mark = len(page), ""
+        if foreign and stop > at:
+            self.open[-1].children.append(page[at:stop])
+        return stop + len(mark)
+
     def push(self, tag: str, attributes: dict[str, str]) -> None:
         node = Node(tag, attributes)
         self.open[-1].children.append(node)

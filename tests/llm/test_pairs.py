@@ -213,6 +213,31 @@ def test_layout(page, text):
     assert visible_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p title='it's here'>first</p><p>second, don't go</p>", "first\n\nsecond, don't go"),
+    ("<img alt=Bob's><p>first</p><p>second isn't here</p>", "first\n\nsecond isn't here"),
+    ("<p \"x>one</p><p title = \"a > b\">two \"three\"</p>", "one\n\ntwo \"three\""),
+    ("<p a='1'b=\"2>\"c='>'>one</p><p =\">two</p>\"<i data-x=it's/hidden>three</i>", "one\n\ntwo\n\n\"three"),
+    ("<p title=\"x>one</p><p>two</p>", "one\n\ntwo"),
+    ("one<p title='a > b' ", "one"),
+    ("one</p title='a > b'> two", "one two"),
+    ("a<![CDATA[b]]>c<p>d</p>", "ac\n\nd"),
+    ("a<![CDATA[b>c<p>d</p>", "ac\n\nd"),
+    ("<svg><text><![CDATA[a > <b>]]></text></svg>c", "a > <b>c"),
+    ("<svg><foreignObject><p>a<![CDATA[b>c</p></foreignObject></svg>", "ac"),
+    ("<svg/>a<![CDATA[b>c<i>d</i>", "acd"),
+    ("<math><mi>a<![CDATA[b", "ab"),
+    ("a<!-->b<!--->c<!-- d > -->e", "abce"),
+])
+def test_ends_of_tags(page, text):
+    assert visible_text(page) == text
+
+
+def test_quotes_and_cdata_take_linear_time():
+    for piece in ("<a b='", "<a b=\"", "<a '", "<a =", "<a b= ", "<![CDATA[", "<svg><![CDATA[", "<a b='>"):
+        visible_text(piece * 20_000)
+
+
 def test_pages_of_any_depth_and_length():
     assert visible_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
     assert visible_text("<ul><li>" * 300 + "x").endswith("x")
