@@ -1,7 +1,7 @@
 """Visible text of HTML as a browser lays it out: blocks, lists, aligned tables.
 
 A tokenizer that takes any bytes of markup feeds a tree builder, which closes what
-a start tag implies (paragraphs, list items, rows, cells) and adds rows that are missing.  A
+a start tag implies (the head, paragraphs, list items, rows, cells) and adds rows that are missing.  A
 renderer walks the tree, leaves out what is not shown, and writes lines.
 
 Not shown: the head, scripts, styles, templates, comments; elements with the hidden attribute, with
@@ -58,6 +58,8 @@ CLOSES = {
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "body": ({"head"}, {"body"}),
 }
+#: Start tags that an open head keeps; any other closes it.
+HEAD_HOLDS = frozenset("head html base link meta title style script noscript noframes template".split())
 #: End tags do not reach out of these.
 SCOPES = frozenset("table td th caption html template".split())
 #: Their end tags close no block: a block that began inside goes on.
@@ -144,7 +146,10 @@ class Tree:
 
     def text(self, text: str) -> None:
         if text:
-            self.open[-1].children.append(unescape(text) if "&" in text else text)
+            text = unescape(text) if "&" in text else text
+            if self.open[-1].tag in ("head", "noscript") and text.strip(" \t\n\f\r"):
+                self.leave_head()
+            self.open[-1].children.append(text)
 
     def foreign(self) -> bool:
         """Whether the innermost open element is one of SVG or MathML."""
@@ -194,6 +199,17 @@ class Tree:
         while cut is not None and len(self.open) > cut:
             self.pop()
 
+    def leave_head(self) -> None:
+        """Close the head if it, or a noscript in it, is the innermost open element."""
+        if not self.count.get("head"):
+            return
+        at = len(self.open) - 1
+        while self.open[at].tag == "noscript":
+            at -= 1
+        if self.open[at].tag == "head":
+            while len(self.open) > at:
+                self.pop()
+
     def start(self, tag: str, attributes: dict[str, str]) -> None:
         if tag in ("html", "body") and self.count.get(tag):
             node = next(n for n in self.open if n.tag == tag)
@@ -201,8 +217,10 @@ class Tree:
             return
         if tag in ENDS_PARAGRAPH and self.count.get("p"):
             self.close({"p"}, SCOPES | {"button"})
-        if self.count.get("head") and tag in BLOCKS and tag not in ("html", "head"):
-            self.close({"head"}, {"body"})
+        if tag == "head" and self.count.get("head"):
+            return
+        if tag not in HEAD_HOLDS:
+            self.leave_head()
         if tag in CLOSES:
             self.close(*CLOSES[tag])
         if tag in ("td", "th") and self.count.get("table") and self.open[-1].tag != "tr":

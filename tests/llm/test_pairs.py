@@ -233,6 +233,23 @@ def test_ends_of_tags(page, text):
     assert visible_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<head><title>T</title>Hello <b>x</b><p>y", "Hello x\n\ny"),
+    ("<html><head>\n<title>T</title>\n<span>a</span> <a href=x>b</a><button>c</button><p>d", "a bc\n\nd"),
+    ("<head><meta charset=x><link href=y><style>s</style><my-item>a</my-item>b", "ab"),
+    ("<head><img src=x><br>a</head>b", "ab"),
+    ("<head>&nbsp;a", "\xa0a"),
+    ("<head>&#32;<title>T</title><script>s</script></head>a", "a"),
+    ("<head><noscript><style>s</style></noscript><noscript><img src=x>a</noscript><title>T</title>b", "ab"),
+    ("<head><noscript>a</noscript>b", "ab"),
+    ("<head><template><p>a</p><i>b</i>c</template><title>T</title>d", "d"),
+    ("<head><head><title>T</title>a<body>b", "a\nb"),
+    ("<head><title>T</title><body><p>a", "a"),
+])
+def test_end_of_head(page, text):
+    assert visible_text(page) == text
+
+
 def test_quotes_and_cdata_take_linear_time():
     for piece in ("<a b='", "<a b=\"", "<a '", "<a =", "<a b= ", "<![CDATA[", "<svg><![CDATA[", "<a b='>"):
         visible_text(piece * 20_000)
