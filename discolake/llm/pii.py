@@ -39,7 +39,8 @@ LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:@|\x20?[\[(]at[\])]\x20?)[A-Za-z0-9-]++(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z0-9-]++)*+",
     "ip": r"(?<![0-9A-Za-z:.])(?:[0-9]++(?:\.[0-9]++){3,5}+|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7}+)(?![0-9A-Za-z:])",
     "card": r"(?<![0-9A-Za-z.+-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z.+/-])\(?[0-9]{2,4}+\)?(?:[\x20./-]?[0-9]{2,5}+){2,5}+(?![0-9A-Za-z])",
+    # Groups give digits back, so that a bare run can be cut into them; they are bounded, and so is the work.
+    "phone": r"(?<![0-9A-Za-z.+/-])\(?[0-9]{2,4}\)?(?:[\x20./-]?[0-9]{2,5}){2,5}(?![0-9A-Za-z])",
 }
 #: Characters of context that are kept on either side.
 CONTEXT = 60

@@ -410,3 +410,15 @@ def test_contexts_of_seeds_discover_unseen_identifiers(spark):
     assert found[300].spans == "email:13:32"
     assert found[101].spans == "" and found[301].spans == ""
     assert all(r.n_found == 0 for i, r in found.items() if i not in (100, 300))
+
+
+def test_contexts_discover_numbers_of_one_and_two_groups(spark):
+    numbers = ["5551234567", "12345678", "123456789", "123456789012345", "030 123456", "030-123456", "0123 456789"]
+    numbers += ["01234 567890", "0049 30 123456", "555-1234", "(030) 1234567"]
+    rows = [(i, f"river stone please call number +1 476 555 {1000 + i} during office hours") for i in range(12)]
+    rows += [(100 + i, f"please call number {n} during office hours") for i, n in enumerate(numbers)]
+    rows += [(200, "lot 5551234567 sold for less"), (201, f"please call number {'5' * 30} during office hours")]
+    found = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, number in enumerate(numbers):
+        assert found[100 + i].spans == f"phone:19:{19 + len(number)}", number
+    assert found[200].spans == "" and found[201].spans == ""
