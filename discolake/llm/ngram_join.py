@@ -50,7 +50,7 @@ from discolake.llm.tables import in_batches, partitions, stored
 #: The counted part of the hash space, as a multiple of the share of a set that is its prefix.
 COUNTED = 1.75
 BINS = 32
-SETS = "doc_id long, n_grams long, digest binary, counted int, grams array<long>, bins array<int>"
+SETS = "doc_id long, text_hash long, n_grams long, digest binary, counted int, grams array<long>, bins array<int>"
 WHOLE = "doc_id long, digest binary, grams array<long>"
 #: Ids that are broadcast at most (16 MB); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
@@ -123,13 +123,14 @@ def set_batches(words: int, percent: int, highest: int, batches: Iterator[pa.Rec
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
+                    part.column("text_hash"),
                     pa.array(counts, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(insides, pa.int32()),
                     pa.array(grams, pa.list_(pa.int64())),
                     pa.array(bins, pa.list_(pa.int32())),
                 ],
-                ["doc_id", "n_grams", "digest", "counted", "grams", "bins"],
+                ["doc_id", "text_hash", "n_grams", "digest", "counted", "grams", "bins"],
             )
 
 
@@ -360,10 +361,16 @@ def similar_documents(
 
     Sets of grams link at a Jaccard similarity of percent / 100 or more.
     """
+    return linked_rows(docs, words, percent, text_col, id_col).drop("text_hash")
+
+
+def linked_rows(docs: DataFrame, words: int, percent: int, text_col: str, id_col: str) -> DataFrame:
+    """similar_documents with the hash of the row's text, which tells rows of one id apart."""
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     highest = counted_limit(COUNTED * (100 - percent) / 100)
     work = functools.partial(set_batches, words, percent, highest)
-    sets = stored(in_batches(given, work, SETS), "gram-prefixes")
+    hashed = given.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    sets = stored(in_batches(hashed, work, SETS), "gram-prefixes")
     nodes = sets.filter("n_grams > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("digest").alias("digest"))
     classes = nodes.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = stored(classes, "gram-classes", narrow=True)
@@ -380,7 +387,9 @@ def similar_documents(
     links = links.unionByName(stored(linked_in_cells(chosen, given, classes, words, percent), "cell-links", narrow=True))
 
     # The pairs that share a gram but no choice, of groups that are still apart.
-    bins = sets.select(F.col("doc_id").alias("rep"), "bins").dropDuplicates(["rep"])
+    reps = classes.select(F.col("rep").alias("doc_id"), "digest")
+    bins = sets.select("doc_id", "digest", "bins").join(reps, ["doc_id", "digest"], "left_semi")
+    bins = bins.select(F.col("doc_id").alias("rep"), "bins").dropDuplicates(["rep"])
     rows = open_rows(rows.drop("group"), components(links)).drop("held").join(bins, "rep")
     rows = stored(rows, "apart-grams")
     x, y = rows.alias("x"), rows.alias("y")
@@ -399,11 +408,12 @@ def similar_documents(
     ends = classes.join(groups, F.col("rep") == F.col("node"), "left").select(
         F.col("digest").alias("same"), "rep", F.coalesce("component", "rep").alias("component")
     )
-    joined = sets.select("doc_id", "n_grams", "digest").join(
+    joined = sets.select("doc_id", "text_hash", "n_grams", "digest").join(
         ends, (F.col("digest") == F.col("same")) & (F.col("n_grams") > 0), "left"
     )
     return joined.select(
         "doc_id",
+        "text_hash",
         "n_grams",
         F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce("rep", "doc_id").alias("class_id"),
@@ -413,10 +423,24 @@ def similar_documents(
 def one_of_each(
     docs: DataFrame, words: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id"
 ) -> DataFrame:
-    """The rows of docs without those that links lead to a smaller id."""
-    found = similar_documents(docs, words, percent, text_col, id_col)
-    drop = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__drop")).distinct()
-    drop = stored(drop, "gram-drop", narrow=True)
+    """The rows of docs without those that links lead to another id.
+
+    Of an id with different texts only the rows that are linked go.
+    """
+    found = linked_rows(docs, words, percent, text_col, id_col)
+    linked = F.col("component_id") != F.col("doc_id")
+    ids = found.groupBy(F.col("doc_id").alias("__drop")).agg(
+        F.bool_or(linked).alias("some"), F.bool_and(linked).alias("all")
+    )
+    ids = stored(ids.filter("some").drop("some"), "gram-drop", narrow=True)
+    drop, parted = ids.filter("all").select("__drop"), ids.filter("NOT all")
     if drop.count() <= BROADCAST_IDS:
         drop = F.broadcast(drop)
-    return docs.join(drop, F.col(id_col) == F.col("__drop"), "left_anti")
+    rest = docs.join(drop, F.col(id_col) == F.col("__drop"), "left_anti")
+    if parted.isEmpty():
+        return rest
+    rows = found.filter(linked).join(parted, F.col("doc_id") == F.col("__drop"), "left_semi")
+    rows = rows.select(F.col("doc_id").alias("__drop"), F.col("text_hash").alias("__text")).distinct()
+    rows = stored(rows, "gram-drop-rows", narrow=True)
+    same = (F.col(id_col) == F.col("__drop")) & (F.xxhash64(F.col(text_col)) == F.col("__text"))
+    return rest.join(rows, same, "left_anti")

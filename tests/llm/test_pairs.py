@@ -96,6 +96,18 @@ def test_a_large_group_of_near_copies_meets_hubs_only(spark):
     assert {r.component_id for r in found} == {0} and len(found) == 300
 
 
+def test_of_an_id_with_several_texts_only_linked_rows_go(spark):
+    base = [f"b{i}" for i in range(60)]
+    copies = [(i, " ".join([*base, f"own{i}"])) for i in range(10, 30)]
+    clean = [(i, " ".join(f"u{i}x{j}" for j in range(40))) for i in range(10, 30)]
+    docs = spark.createDataFrame([(1, " ".join(base)), *copies, *clean, *clean[:3]], SCHEMA)
+    kept = Counter(tuple(r) for r in ngram_join.one_of_each(docs, 3, 80).select("doc_id", "text").collect())
+    assert kept[1, " ".join(base)] == 1
+    assert all(kept[row] == (2 if row in clean[:3] else 1) for row in clean)
+    # An id is a node with the text of its least digest; where that is the copy, the copy goes.
+    assert 0 < sum(kept[row] for row in copies) < len(copies)
+
+
 def test_ngram_join_of_no_rows(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert ngram_join.similar_documents(docs).count() == 0
