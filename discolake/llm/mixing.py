@@ -2,8 +2,8 @@
 
 The words of a source, document after document, are packed into blocks of equal
 length.  A source gets as many slots of the mix as its target holds blocks.  Each
-slot goes to an output shard at random, so a shard's counts of a source are a
-multinomial draw, and the draws of all shards add up to the target.  Slot j
+slot is hashed to an output shard, so shards vary in size and all add up to the
+target; no counts of sources are drawn for a shard.  Slot j
 of a source with n blocks takes the block to which the permutation of pass j // n
 maps j % n, so no block is taken more often than the target's multiple of its source, rounded up.
 
