@@ -27,15 +27,6 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         yield batch.slice(start)
 
 
-def gather(blob: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Join the runs of blob that codes name; also where each run ends in the result."""
-    starts = np.concatenate(([0], np.cumsum(lengths)[:-1])) if len(lengths) else np.zeros(0, "i8")
-    counts = lengths[codes]
-    ends = np.cumsum(counts)
-    shift = np.repeat(starts[codes] - (ends - counts), counts)
-    return blob[shift + np.arange(len(shift))], ends
-
-
 class PieceIds:
     """Ids of pieces of text, each encoded once while it is remembered.
 
@@ -48,9 +39,6 @@ class PieceIds:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def find(self, piece: str) -> bytes | None:
-        return self.young.get(piece) or self.old.get(piece)
-
     def each(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece."""
         if len(self.young) > self.most:
@@ -71,15 +59,62 @@ class PieceIds:
                 parts[i] = self.young[word] = part
         return parts
 
-    def of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all pieces side by side, and how many each has."""
-        parts = self.each(pieces)
-        lengths = np.fromiter(map(len, parts), "i8", len(parts)) // self.width
-        return np.frombuffer(b"".join(parts), f"<u{self.width}"), lengths
-
     def joined(self, pieces: pa.Array, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a sequence of pieces, and where each text ends that ends after ends pieces."""
         coded = pieces.dictionary_encode()
-        blob, lengths = self.of(coded.dictionary.to_pylist())
-        ids, stops = gather(blob, lengths, coded.indices.to_numpy(zero_copy_only=False))
-        return ids, np.concatenate(([0], stops))[ends]
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
+        parts = pa.array(self.each(words), pa.large_binary())
+        blob, stops = taken(parts, coded.indices)
+        return blob.view(f"<u{self.width}"), stops[ends] // self.width
+
+
+#: Classes of bytes: ASCII white space, letters, and all other ASCII (digits and signs).
+BLANK, LETTER, SIGN = np.zeros((3, 256), bool)
+BLANK[[*range(9, 14), 32]] = True
+LETTER[[*range(65, 91), *range(97, 123)]] = True
+SIGN[33:127] = ~LETTER[33:127]
+
+
+def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an array of texts without nulls, and the offsets of its rows in them."""
+    texts = texts.cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, "i8", len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, "i8")
+    blob = np.frombuffer(data, "u1") if data is not None else np.zeros(0, "u1")
+    return blob[ends[0] : ends[-1]], ends - ends[0]
+
+
+def taken(values: pa.Array, codes) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the large binary values that codes name, joined, and where each ends (0 first)."""
+    return flat(values.take(pa.array(codes)))
+
+
+def word_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Texts cut at some borders of their words, for patterns that part blanks, letters and signs.
+
+    Cuts are before ASCII white space that follows other characters, and before an ASCII
+    digit or sign after an ASCII letter.  A byte before white space that may end
+    a character of Unicode's other white space keeps its piece whole.  A cut left out
+    makes a longer piece and no other words.
+
+    Returns the pieces of all texts side by side, and after how many of them each text
+    ends (0 first).
+    """
+    blob, ends = flat(texts)
+    if not len(blob):
+        return pa.array([], pa.large_string()), np.zeros(len(ends), "i8")
+    here = np.ones(len(blob), bool)
+    here[1:] = BLANK[blob[1:]] & ~BLANK[blob[:-1]]
+    at = np.flatnonzero(here[1:] & (blob[:-1] >= 0x80)) + 1
+    last = blob[at - 1]
+    odd = (last == 0x85) | (last == 0xA0)
+    for lead in (0xE1, 0xE2, 0xE3):
+        odd |= (blob[np.maximum(at - 3, 0)] == lead) & (at > 2)
+    here[at[odd]] = False
+    here[1:] |= SIGN[blob[1:]] & LETTER[blob[:-1]]
+    here[ends[ends < len(blob)]] = True
+    offsets = np.append(np.flatnonzero(here), len(blob))
+    pieces = pa.Array.from_buffers(
+        pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype("i8")), pa.py_buffer(blob)]
+    )
+    return pieces, np.searchsorted(offsets, ends)

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from discolake.llm import bpe, byte_cnn, cross_polytope, html_layout, mixing, ngram_join, pii, quality_rules, token_frames
+from discolake.llm import (
+    bpe,
+    byte_cnn,
+    cross_polytope,
+    html_layout,
+    mixing,
+    ngram_join,
+    pii,
+    quality_rules,
+    segment_bpe,
+    token_frames,
+)
 from discolake.llm.content_sort import mark_copies
 from discolake.llm.tables import documents, held_out
 
@@ -97,3 +108,11 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_personal_data"] = op2_personal_data
+
+
+def op12_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return segment_bpe.encode(documents(spark, sf_dir), path, digests=True)
+
+
+QUERIES["op12_segment_bpe"] = op12_segment_bpe

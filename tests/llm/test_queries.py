@@ -8,11 +8,12 @@ import zlib
 import duckdb
 import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from discolake.llm import content_sort, mixing, ngram_join
+from discolake.llm import content_sort, mixing, ngram_join, segment_bpe
 from discolake.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -28,12 +29,13 @@ COLUMNS = {
     8: "doc_id size source_size target taken",
     9: "doc_id n_tokens ids_sha256 decoded_sha256",
     10: "vec_id n_links component_id kept",
+    12: "doc_id n_tokens ids_sha256 decoded_sha256",
 }
 
 
 def test_each_operator_has_one_query():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == sorted(COLUMNS)
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -78,6 +80,20 @@ def test_token_files_and_bpe_equal_the_library(spark):
         assert row.ids_sha256 == hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()
 
 
+@needs_tables
+def test_segment_bpe_equals_the_library(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding(
+        "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=segment_bpe.read_ranks(path), special_tokens={}
+    )
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    for row in QUERIES["op12_segment_bpe"](spark, SF_DIR).collect():
+        ids = library.encode_ordinary(texts[row.doc_id])
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
 @needs_tables
 def test_stages_keep_columns_and_their_decisions_hold(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
