@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from discolake.llm.batches import PieceIds, slices
+from discolake.llm.batches import PieceIds, slices, taken, word_pieces
 from discolake.llm.tables import in_batches
 
 # The white space of Unicode, and the pattern that parts words of this
@@ -42,8 +42,8 @@ RUN = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Characters that stand for themselves in the vocabulary file; other bytes follow from 256 on.
 PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-#: Runs of a generation that a worker remembers, and twice the words of one.
-REMEMBERED = 60_000
+#: Runs of a generation that a worker remembers, and a third of the words of one.
+REMEMBERED = 100_000
 #: Bytes of a word up to which all its ranks are looked through for each merge.
 SHORT = 100
 NEVER = np.iinfo("i8").max
@@ -69,7 +69,11 @@ class Bpe:
             self.bytes_of[i] = word
         for text, i in self.special.items():
             self.bytes_of[i] = text.encode()
-        self.longest = max(map(len, self.id_of))
+        self.bytes = pa.array(self.bytes_of, pa.large_binary())
+        # The length of the longest entry by its first three bytes.
+        self.reach: dict[bytes, int] = {}
+        for word in self.id_of:
+            self.reach[word[:3]] = max(len(word), self.reach.get(word[:3], 2))
         self.single = [self.id_of.get(bytes([b]), -1) for b in range(256)]
         # How each token is made: by the merge of this rank, from these two.
         self.rank = np.full(self.size, -1)
@@ -87,7 +91,7 @@ class Bpe:
         order = np.argsort(keys)
         self.pair_keys = keys[order]
         self.pair_ranks = np.array([r for r, _ in self.merge.values()], "i8")[order]
-        self.words = PieceIds(self.pack_words, 4, REMEMBERED // 2)
+        self.words = PieceIds(self.pack_words, 4, 3 * REMEMBERED)
         self.own = np.full(self.size, -1, "i1")
         split = [regex.escape(x) for x in self.special]
         self.special_pattern = regex.compile(f"({'|'.join(split)})") if split else None
@@ -166,9 +170,9 @@ class Bpe:
 
     def proposed(self, word: bytes) -> list[int]:
         """The longest vocabulary entry at each place, from the left."""
-        out, at, end, known = [], 0, len(word), self.id_of
+        out, at, end, known, reach = [], 0, len(word), self.id_of, self.reach
         while at < end:
-            stop = min(end, at + self.longest)
+            stop = min(end, at + reach.get(word[at : at + 3], 2))
             while (i := known.get(word[at:stop])) is None:
                 stop -= 1
             out.append(i)
@@ -219,10 +223,22 @@ class Bpe:
         ids |= {p: np.array([self.special[p]], "<u4").tobytes() for p in special}
         return [ids[p] for p in pieces]
 
+    def has_special(self, texts: pa.Array) -> bool:
+        return any(pc.any(pc.match_substring(texts, x)).as_py() for x in self.special)
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def readable(raw: memoryview) -> bytes | memoryview:
+    """The UTF-8 of decoded bytes: the same where they are UTF-8 already."""
+    try:
+        str(raw, "utf-8")
+    except UnicodeDecodeError:
+        return str(raw, "utf-8", "replace").encode()
+    return raw
+
+
 @functools.cache
 def loaded(path: str) -> tuple[Bpe, PieceIds]:
     bpe = Bpe(path)
@@ -233,23 +249,30 @@ def encode_batches(path: str, digests: bool, batches: Iterator[pa.RecordBatch]):
     bpe, pieces = loaded(path)
     for batch in batches:
         for part in slices(batch, "text"):
-            runs, ends = [], [0]
-            for text in pc.fill_null(part.column("text"), "").to_pylist():
-                runs += bpe.runs(text)
-                ends.append(len(runs))
-            ids, stops = pieces.joined(pa.array(runs, pa.string()), np.array(ends))
-            counts, values, decoded = [], [], []
-            for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True):
-                own = ids[a:b]
-                counts.append(b - a)
-                values.append(hashlib.sha256(own.tobytes()).hexdigest() if digests else own.view("<i4"))
-                decoded.append(hashlib.sha256(bpe.decode(own.tolist()).encode()).hexdigest())
+            texts = pc.fill_null(part.column("text"), "")
+            if bpe.has_special(texts):
+                runs, ends = [], [0]
+                for text in texts.to_pylist():
+                    runs += bpe.runs(text)
+                    ends.append(len(runs))
+                runs, ends = pa.array(runs, pa.large_string()), np.array(ends)
+            else:
+                runs, ends = word_pieces(texts)
+            ids, stops = pieces.joined(runs, ends)
+            decoded, byte_ends = taken(bpe.bytes, ids)
+            raw, cuts = memoryview(decoded), byte_ends[stops].tolist()
+            texts_sha = [hashlib.sha256(readable(raw[a:b])).hexdigest() for a, b in zip(cuts, cuts[1:])]
+            if digests:
+                own, cuts = memoryview(ids).cast("B"), (4 * stops).tolist()
+                values = pa.array([hashlib.sha256(own[a:b]).hexdigest() for a, b in zip(cuts, cuts[1:])], pa.string())
+            else:
+                values = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(ids.view("<i4"), pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
-                    pa.array(counts, pa.int64()),
-                    pa.array(values, pa.string() if digests else pa.list_(pa.int32())),
-                    pa.array(decoded, pa.string()),
+                    pa.array(np.diff(stops), pa.int64()),
+                    values,
+                    pa.array(texts_sha, pa.string()),
                 ],
                 ["doc_id", "n_tokens", "ids_sha256" if digests else "ids", "decoded_sha256"],
             )
