@@ -16,6 +16,7 @@ empty manifest.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import struct
 import uuid
@@ -31,7 +32,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from discolake.llm.batches import PieceIds, slices
+from discolake.llm.batches import PieceIds, slices, word_pieces
 from discolake.llm.tables import in_batches, partitions, range_of, splitters, stored
 from discolake.session import new_folder
 
@@ -46,13 +47,31 @@ LEVEL = 3
 READ_ROWS = 2_000
 
 #: Bytes of text worked on at once; in larger slices more words are equal.
-SLICE = 4 << 20
+SLICE = 8 << 20
+#: Words of a generation that a worker remembers.
+REMEMBERED = 400_000
 #: Words that are encoded as one text.
 GROUP = 50
-STOPS = ".,"
+WHITE = " \t\n\v\f\r"
 #: Letters below this one are the same in every normal form, but for the dotted capital I.
 LATIN_END, DOTTED = "\u0250", "\u0130"
 
+# The form of tokenizer whose words can be encoded apart, as its file states it.
+NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+PRE_TOKENIZERS = [
+    {
+        "type": "Split",
+        "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
 ENCODED = "doc_id long, n_tokens long, frame binary, raw_bytes long, checksum long"
 MANIFEST = "shard int, path string, n_docs long, n_tokens long"
 DIGESTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -60,10 +79,11 @@ TOKENS = "doc_id long, start long, n_tokens long, ids array<int>"
 
 
 class WordEncoder:
-    """Encodes words that white space parts, which this tokenizer never joins.
+    """Encodes words apart where the tokenizer never joins them, whole texts otherwise.
 
-    Words of plain letters are one pre-token each, and so are the stops after them: they
-    are encoded many at a time, and the tokens that end a word tell them apart.
+    That it does not is known of the form above: it ignores case, drops white space
+    and parts letters from signs.  Words of plain letters are one pre-token each: they are
+    encoded many at a time, and the tokens that end a word tell them apart.
     """
 
     def __init__(self, path: str):
@@ -71,6 +91,14 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        form = json.loads(self.tokenizer.to_str())
+        self.apart = (
+            (form["normalizer"] or {}).get("normalizers") == NORMALIZERS
+            and (form["pre_tokenizer"] or {}).get("pretokenizers") == PRE_TOKENIZERS
+            and all(t["special"] and "<|" in t["content"] for t in form["added_tokens"])
+        )
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
@@ -78,7 +106,7 @@ class WordEncoder:
         if suffix:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.suffixed = bool(suffix)
-        self.pieces = PieceIds(self.encode, self.width)
+        self.pieces = PieceIds(self.encode, self.width, REMEMBERED)
 
     def packed(self, ids) -> bytes:
         return np.array(ids, f"<u{self.width}").tobytes()
@@ -97,22 +125,34 @@ class WordEncoder:
         raw, cuts = ids.tobytes(), [0, *(stops * self.width).tolist()]
         return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts side by side, and where each ends (0 first)."""
+        if not self.apart:
+            found = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+            ends = np.cumsum([0, *(len(x.ids) for x in found)])
+            return np.array([i for x in found for i in x.ids], f"<u{self.width}"), ends
+        special = pc.match_substring(texts, "<|")
+        # Without regard to case more words are equal; special tokens do have it.
+        lower = pc.if_else(special, texts, pc.ascii_lower(texts))
+        if pc.any(special).as_py():
+            lists = pc.ascii_split_whitespace(lower)
+            ends = lists.offsets.to_numpy()
+            return self.pieces.joined(lists.flatten(), ends - ends[0])
+        return self.pieces.joined(*word_pieces(lower))
+
     def encode(self, words: list[str]) -> list[bytes]:
-        cores = [w.rstrip(STOPS) for w in words]
-        known: dict[str, bytes | None] = {}
-        for i, core in enumerate(cores):
-            if self.suffixed and core.isalpha() and max(core) < LATIN_END and DOTTED not in core:
-                known.setdefault(core, self.pieces.find(core))
-                known.setdefault(words[i][len(core) :], None)
-            else:
-                cores[i] = words[i]
-                known.setdefault(words[i], None)
-        absent = [w for w, ids in known.items() if ids is None]
-        plain = [w for w in absent if w.isalpha() and max(w) < LATIN_END and DOTTED not in w] if self.suffixed else []
+        words = [w.strip(WHITE) for w in words]
+        known: dict[str, bytes] = dict.fromkeys(words, b"")
+        plain = list(filter(is_plain, known)) if self.suffixed else []
         known.update(zip(plain, self.together(plain), strict=True))
-        rest = [w for w, ids in known.items() if ids is None]
+        rest = [w for w, ids in known.items() if not ids]
         known.update(zip(rest, self.one_by_one(rest), strict=True))
-        return [known[c] + known[w[len(c) :]] if len(c) < len(w) else known[c] for c, w in zip(cores, words, strict=True)]
+        return [known[w] for w in words]
+
+
+def is_plain(word: str) -> bool:
+    """Only letters, which are the same in every normal form."""
+    return word.isalpha() and (word.isascii() or (max(word) < LATIN_END and DOTTED not in word))
 
 
 @functools.cache
@@ -121,17 +161,12 @@ def encoder(tokenizer_path: str) -> WordEncoder:
 
 
 def encode_batches(tokenizer_path: str, end_id: int, batches: Iterator[pa.RecordBatch]):
-    words = encoder(tokenizer_path).pieces
+    words = encoder(tokenizer_path)
     end = np.array([end_id], f"<u{words.width}").tobytes()
     squeeze = zstandard.ZstdCompressor(level=LEVEL)
     for batch in batches:
         for part in slices(batch, "text", SLICE):
-            texts = pc.fill_null(part.column("text"), "")
-            # The tokenizer ignores case but in special tokens; without it more words are equal.
-            lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
-            lists = pc.ascii_split_whitespace(lower)
-            ends = lists.offsets.to_numpy()
-            ids, stops = words.joined(lists.flatten(), ends - ends[0])
+            ids, stops = words.texts(pc.fill_null(part.column("text"), ""))
             rows = []
             for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True):
                 raw = ids[a:b].tobytes() + end

@@ -155,6 +155,15 @@ def test_a_document_is_read_alone_and_damage_is_seen(spark, tmp_path):
         token_frames.TokenFile(shard.path).ids(1)
 
 
+def test_token_files_take_another_tokenizer_whole(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    given = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "doc_id long, text string")
+    found = token_frames.read_token_files(token_frames.write_token_files(given, path, end_id=7)).collect()
+    ids = {i: [*library.encode(t or "", add_special_tokens=False).ids, 7] for i, t in enumerate(ODD)}
+    assert {r.doc_id: r.ids for r in found} == ids
+
+
 def test_bpe_equals_the_library_on_random_and_odd_texts(spark):
     rng = random.Random(1)
     alphabet = [*"abcdehinorst   \n\t'.,!éß日　\x1c12A", "<|endoftext|>", "'ll", "ing", "aaaa", "\r\n", "😀"]
