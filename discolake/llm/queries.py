@@ -15,9 +15,11 @@ from discolake.llm import (
     html_layout,
     mixing,
     ngram_join,
+    phrases,
     pii,
     quality_rules,
     segment_bpe,
+    spelling,
     token_frames,
 )
 from discolake.llm.content_sort import mark_copies
@@ -116,3 +118,116 @@ def op12_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op12_segment_bpe"] = op12_segment_bpe
+
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
+QUERIES["op11_spelling"] = op11_spelling
+ORACLES["op11_spelling"] = r"""
+with recursive crc_table as materialized (
+  select list(list_reduce([i::ubigint, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda x, y: case when x % 2 = 1 then xor(3988292384::ubigint, x // 2) else x // 2 end) order by i) as t
+  from range(256) r(i)
+), runs as (
+  select coalesce(doc_id::varchar, '') as id,
+         translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+  from documents
+), counted as (
+  select id, run, count(*) as times, hex(encode(id || ':' || run)) as digits
+  from runs where length(run) >= 7 group by all
+), hashed as (
+  select run, times,
+         xor(4294967295::ubigint, list_reduce(
+           list_prepend(4294967295::ubigint,
+             list_transform(range(length(digits) // 2),
+               lambda i: ('0x' || substr(digits, 2 * i + 1, 2))::ubigint)),
+           lambda x, y: xor(t[(xor(x, y) & 255)::integer + 1], x >> 8))) as h
+  from counted, crc_table
+), vocabulary as materialized (
+  select word, sum(times)::bigint as n
+  from (select times, case when h % 31 = 0
+                           then substr(run, 1, (h % length(run))::integer)
+                                || substr(run, (h % length(run))::integer + 2)
+                           else run end as word from hashed)
+  where length(word) >= 7 group by word having sum(times) >= 2
+), holes as materialized (
+  select word, n, i, substr(word, 1, i::integer) as a, substr(word, i::integer + 2) as b
+  from (select word, n, unnest(range(length(word))) as i from vocabulary)
+), near as materialized (
+  select x.word, y.word as other, y.n
+  from holes x join holes y on x.i = y.i and x.a = y.a and x.b = y.b and x.word <> y.word
+  union
+  select h.word, v.word, v.n from holes h join vocabulary v on v.word = h.a || h.b
+  union
+  select v.word, h.word, h.n from holes h join vocabulary v on v.word = h.a || h.b
+), best as (
+  select word, count(*) as n_near, first(other order by n desc, other) as form, max(n) as form_n
+  from near group by word
+), forms as materialized (
+  select v.word, v.n, coalesce(n_near, 0) as n_near,
+         case when form_n >= 10 * v.n then form end as form,
+         case when form_n >= 10 * v.n then form_n end as form_n
+  from vocabulary v left join best using (word)
+), ways as (
+  select word, form as root from forms where form is not null
+  union all
+  select w.word, f.form from ways w join forms f on f.word = w.root where f.form is not null
+), last as (
+  select w.word, w.root from ways w join forms f on f.word = w.root where f.form is null
+)
+select f.word, f.form, coalesce(l.root, f.word) as root, f.n, f.n_near, f.form_n
+from forms f left join last l using (word)
+"""
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir), first=2000, least=30)
+
+
+QUERIES["op13_collocations"] = op13_collocations
+ORACLES["op13_collocations"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) as piece
+  from documents where text is not null
+), lists as (
+  select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') as w from pieces
+), grams as (
+  select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))
+         as phrase
+  from lists, range(1, 5) lengths(k)
+), totals as (
+  select lang, count(*) as n from grams where k = 1 group by lang
+), counts as materialized (
+  select lang, k, phrase, count(*) as f from grams group by all having count(*) >= 30
+), several as materialized (
+  select lang, k, phrase, f as a, string_split(phrase, ' ') as w from counts where k > 1
+), cuts as (
+  select lang, k, phrase, a, w, unnest(range(1, k)) as cut from several
+), scores as (
+  select c.lang, c.phrase, c.a, c.cut, x.f as l, y.f as r,
+         (2000000::hugeint * c.a) // (x.f::hugeint + y.f) as score
+  from cuts c
+  join counts x on x.lang = c.lang and x.phrase = array_to_string(w[1:cut], ' ')
+  join counts y on y.lang = c.lang and y.phrase = array_to_string(w[cut + 1:c.k], ' ')
+), weakest as (
+  select * from scores qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+), inner_phrases as (
+  select lang, max(a) as outer_a, phrase from (
+    select s.lang, s.a, unnest(list_transform(range(1, s.k - m + 2), lambda i: array_to_string(s.w[i:i + m - 1], ' ')))
+           as phrase
+    from several s, range(2, 4) inner_lengths(m) where m < s.k)
+  group by lang, phrase
+), kept as (
+  select w.* from weakest w left join inner_phrases i using (lang, phrase)
+  where i.outer_a is null or 100 * i.outer_a::hugeint < 80 * w.a::hugeint
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept
+)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join totals using (lang) where rank <= 2000
+"""

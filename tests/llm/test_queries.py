@@ -29,8 +29,12 @@ COLUMNS = {
     8: "doc_id size source_size target taken",
     9: "doc_id n_tokens ids_sha256 decoded_sha256",
     10: "vec_id n_links component_id kept",
+    11: "word form root n n_near form_n",
     12: "doc_id n_tokens ids_sha256 decoded_sha256",
+    13: "lang rank phrase a l r n score",
 }
+#: Operators whose rows are not those of a table.
+OWN_ROWS = {11, 13}
 
 
 def test_each_operator_has_one_query():
@@ -40,7 +44,7 @@ def test_each_operator_has_one_query():
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(name for name in QUERIES if int(re.match(r"op(\d+)_", name)[1]) not in OWN_ROWS))
 def test_a_query_returns_a_row_for_each_row_of_its_table(spark, name):
     number = int(re.match(r"op(\d+)_", name)[1])
     found = QUERIES[name](spark, SF_DIR)

@@ -1,0 +1,103 @@
+"""Words at one edit against all pairs, and the forms they lead to."""
+
+import random
+import re
+import string
+import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from discolake.llm import spelling
+
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+def counted(rows):
+    found = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            found[run] += 1
+    return {w: n for w, n in found.items() if len(w) >= 7 and n >= 2}
+
+
+def at_one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if a == b or len(b) - len(a) > 1:
+        return False
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :]
+
+
+def expected(rows):
+    n = counted(rows)
+    out = {}
+    for w in n:
+        near = [v for v in n if at_one_edit(w, v)]
+        best = min(near, key=lambda v: (-n[v], v), default=None)
+        form = best if near and n[best] >= 10 * n[w] else None
+        out[w] = (form, n[w], len(near), n[form] if form else None)
+    result = []
+    for w, (form, *rest) in out.items():
+        root = w
+        while out[root][0]:
+            root = out[root][0]
+        result.append((w, form, root, *rest))
+    return sorted(result, key=str)
+
+
+def random_rows(count, seed=1):
+    """Texts of a few stems with errors at any place, doubled letters among them."""
+    draw = random.Random(seed)
+    stems = ["aaaaaaaa", "abababab", "weather", "Reservoir", "naïvetés", "internationally", "international", "ÀÿŸ" * 5]
+    rows = []
+    for i in range(count):
+        words = []
+        for _ in range(draw.randint(0, 30)):
+            word = draw.choices(stems, weights=[8, 3, 20, 30, 3, 9, 40, 2])[0]
+            for _ in range(draw.choices([0, 1, 2], weights=[7, 2, 1])[0]):
+                at = draw.randrange(len(word) + 1)
+                word = word[:at] + draw.choice(["", "a", "b", "é"]) + word[at + draw.randint(0, 1) :]
+            words.append(word)
+        rows.append((i, draw.choice([" ", ", ", "-", "1"]).join(words)))
+    return rows
+
+
+def found(frame, **options):
+    return sorted(map(tuple, spelling.variants(frame, **options).collect()), key=str)
+
+
+def test_variants_equal_all_pairs(spark):
+    rows = [*random_rows(1500), (None, "Weather weather"), (7, None), (8, ""), (9, "ab cd × ÷÷÷÷÷÷÷÷ ÷÷÷÷÷÷÷÷")]
+    long = "weather" * 3000
+    rows += [(10, f"{long} {long} {long}x {long}x x{long} x{long}"), *rows[:50]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("word", "n", "block", "form", "root", "run", "id", "hash", "name"):
+        frame = frame.withColumn(name, F.lit("clash"))
+    want = expected(rows)
+    assert len(want) > 300 and any(w[1] and w[1] != w[2] for w in want)
+    assert found(frame) == want
+    assert found(frame.limit(0)) == []
+
+
+def test_chunks_of_a_block_miss_and_repeat_nothing(spark):
+    rows = random_rows(800, seed=2)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    vocabulary = spelling.words(frame).cache()
+    n = {r.word: r.n for r in vocabulary.collect()}
+    assert n == counted(rows)
+    for chunk in (3, 64, 512):
+        near = {r.word: r.n_near for r in spelling.near_words(vocabulary, chunk).collect()}
+        assert near == {w: k for w in n if (k := sum(at_one_edit(w, v) for v in n))}
+
+
+def test_chains_are_followed_to_the_last(spark):
+    pairs = [(f"w{i:02}", f"w{i + 1:02}") for i in range(18)] + [("x", "w03")]
+    frame = spark.createDataFrame(pairs, "word string, form string")
+    roots = {r.word: r.root for r in spelling.roots(frame).collect()}
+    assert roots == {w: "w18" for w, _ in pairs}
