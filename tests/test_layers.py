@@ -3,6 +3,7 @@ import pytest
 from discolake import __main__ as cli
 from discolake.plans import layers
 from discolake.schemas import ARTIST
+from discolake.sinks.tables import overwrite, replace_date
 from discolake.sources.documents import read_domain
 from tests.conftest import rows
 from tests.test_bronze import crawl  # noqa: F401
@@ -101,3 +102,44 @@ def test_damaged_documents_are_counted_and_refused(spark, tmp_path, write_json):
     results = layers.build_silver(spark, *paths, "2024-01-31", tolerance=2)
     assert [(r.rows, r.damaged) for r in results] == [(1, 2), (1, 0), (1, 0), (1, 0), (1, 0)]
     assert rows(spark.read.parquet(f"{paths[1]}/tracks"), "id") == [("1",)]
+
+
+def damaged_tracks(write_json, tmp_path, good=2):
+    """Good documents of all domains, and two damaged lines among the tracks."""
+    for domain in ("albums", "artists", "owners", "playlists"):
+        folder = tmp_path / "bronze" / domain / "ingest_date=2024-01-31"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / "d.json").write_text('{"id":"1","artists":[{"id":"x"}]}\n')
+    folder = tmp_path / "bronze" / "tracks" / "ingest_date=2024-01-31"
+    folder.mkdir(parents=True, exist_ok=True)
+    lines = [f'{{"id":"{i}","album":{{"id":"a"}},"artists":[{{"id":"x"}}]}}' for i in range(good)]
+    (folder / "t.json").write_text("\n".join([*lines, '{"id":"cut","album":', '{"id":"3","popularity":"high"}', ""]))
+    return str(tmp_path / "bronze")
+
+
+def test_a_refused_layer_keeps_the_rows_it_had(spark, tmp_path, write_json):
+    """Four good rows, then a run over damaged lines; replacing before checking left one of them."""
+    source, target = damaged_tracks(write_json, tmp_path), str(tmp_path / "silver")
+    replace_date(spark.range(4).selectExpr("cast(id as string) as id"), f"{target}/tracks", "2024-01-31")
+    with pytest.raises(layers.LayerFailed, match="tracks: DamagedDocuments: 2 damaged"):
+        layers.build_silver(spark, source, target, "2024-01-31")
+    assert rows(spark.read.parquet(f"{target}/tracks"), "id") == [(str(i),) for i in range(4)]
+    assert not [p for p in (tmp_path / "silver" / "tracks").iterdir() if p.name.startswith("_")]
+    layers.build_silver(spark, source, target, "2024-01-31", tolerance=2)
+    assert rows(spark.read.parquet(f"{target}/tracks"), "id") == [("0",), ("1",)]
+
+
+def test_links_count_damage_too(spark, tmp_path, write_json):
+    source, target, metrics = damaged_tracks(write_json, tmp_path), str(tmp_path / "links"), str(tmp_path / "metrics")
+    overwrite(spark.range(4), f"{target}/track_artists")
+    with pytest.raises(layers.LayerFailed, match="track_artists: DamagedDocuments: 2 damaged"):
+        layers.build_links(spark, source, target, "2024-01-31", metrics=metrics)
+    assert spark.read.parquet(f"{target}/track_artists").count() == 4
+    layers.build_links(spark, source, target, "2024-01-31", tolerance=2, metrics=metrics)
+    assert rows(spark.read.parquet(f"{target}/track_artists"), "track_id") == [("0",), ("1",)]
+    recorded = spark.read.schema(layers.METRICS).parquet(metrics).where("dataset = 'track_artists'")
+    assert rows(recorded, "layer", "ingest_date", "rows_in", "rows", "damaged", "columns") == [
+        ("links", "2024-01-31", 4, 2, 2, None), ("links", "2024-01-31", 4, 2, 2, 8),
+    ]
+    assert {r.error is None for r in recorded.collect()} == {True, False}
+    assert spark.read.parquet(metrics).count() == 10

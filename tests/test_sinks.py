@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from discolake.sinks import exports, tables, topics
+from discolake.sinks import exports, staging, tables, topics
 from tests.conftest import rows
 
 
@@ -115,3 +115,41 @@ def test_topic_options_ask_for_all_replicas():
     options = topics.topic_options("host:9092", "t")
     assert options["kafka.acks"] == "all" and options["kafka.retries"] == "3"
     assert options["topic"] == "t"
+
+
+def test_a_failed_check_or_write_leaves_all_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert tables.overwrite(spark.range(3), path) == 3
+
+    def refuse(rows):
+        raise ValueError(f"{rows} rows")
+
+    with pytest.raises(ValueError, match="7 rows"):
+        tables.overwrite(spark.range(7), path, check=refuse)
+    with pytest.raises(Exception, match="broken"):
+        tables.overwrite(spark.range(7).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), path)
+    with pytest.raises(ValueError, match="5 rows"):
+        tables.replace_date(spark.range(5), path, "2024-01-31", check=refuse)
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_table_can_be_replaced_by_what_is_read_from_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.overwrite(spark.range(4), path)
+    assert tables.overwrite(spark.read.parquet(path).where("id > 1"), path) == 2
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3]
+
+
+def test_a_publish_that_was_cut_off_is_undone(spark, tmp_path):
+    """Between its renames a publish has moved the old table away; the next one brings it back."""
+    path = str(tmp_path / "t")
+    tables.overwrite(spark.range(4), path)
+    (tmp_path / "t").rename(tmp_path / "_old-t")
+    staging.restore(spark, path)
+    assert spark.read.parquet(path).count() == 4
+    (tmp_path / "t").rename(tmp_path / "_old-t")
+    staged = staging.stage(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 4
+    staging.publish(spark, staged)
+    assert spark.read.parquet(path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["t"]
