@@ -2,7 +2,8 @@
 
 Parents are artists or albums, children are albums, tracks or playlists.  A
 run takes the parents without a settled key, the first N children of each,
-and keeps those whose id is not stored yet.
+and keeps those whose id is not stored yet.  A parent is not settled while one of
+its candidates could not be read.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ from discolake.operators.dedup import key_set, new_rows, union_pages
 from discolake.operators.filters import usable_items
 from discolake.operators.joins import matching
 from discolake.operators.ranking import first_n_per_parent, seeded_sample
+from discolake.operators.skew import thin
 from discolake.plans.bronze import prune_albums, prune_playlists, prune_tracks
 from discolake.schemas import ALBUM, ARTIST, DOCUMENTS, KEYS
 from discolake.session import new_folder
 from discolake.sinks.exports import write_documents
-from discolake.sources.documents import read_documents, read_stored
+from discolake.sinks.tables import overwrite
+from discolake.sources.documents import CORRUPT, read_documents, read_stored
 from discolake.sources.manifests import RETRY, read_keys, settled
 
 # The seed that a sample of parents is drawn with.
@@ -41,6 +44,47 @@ def pending(parents: DataFrame, keys: DataFrame, order: Sequence[str]) -> DataFr
     return new_rows(parents, settled(keys), "id", order)
 
 
+REJECTS = "line string, parent_id string"
+
+
+class DamagedCandidates(ValueError):
+    """More candidates could not be read than were tolerated."""
+
+    def __init__(self, damaged: int, tolerance: int):
+        self.damaged = damaged
+        super().__init__(f"{damaged} damaged candidates, {tolerance} tolerated")
+
+
+def read_candidates(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Candidates of one JSON line each, and the lines that are damaged.
+
+    Damaged is what is not JSON, does not fit the schema, or names no parent.  The rejects
+    have the ``line`` and its ``parent_id`` where that can still be read.
+    """
+    fields = f"parent_id string, ord long, item struct<{schema}>, {CORRUPT} string"
+    lines = spark.read.schema(fields).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    whole = F.col(CORRUPT).isNull() & F.col("parent_id").isNotNull()
+    quoted = F.regexp_extract(CORRUPT, r'"parent_id"\s*:\s*("(?:[^"\\]|\\.)*")', 1)
+    named = F.from_json(F.concat(F.lit("["), quoted, F.lit("]")), "array<string>")
+    rejects = lines.where(~whole).select(
+        F.coalesce(CORRUPT, F.to_json(F.struct("parent_id", "ord", "item"))).alias("line"),
+        F.coalesce("parent_id", F.try_element_at(named, F.lit(1))).alias("parent_id"),
+    )
+    return lines.where(whole).drop(CORRUPT), rejects
+
+
+def hold_back(outcomes: DataFrame, rejects: DataFrame) -> DataFrame:
+    """The outcomes, where no parent is settled that may have lost a candidate.
+
+    That is each parent that a damaged line names, and all if a line names none.
+    """
+    named = thin(rejects.withColumnRenamed("parent_id", "id"), "id").distinct().withColumn("_held", F.lit(True))
+    nameless = rejects.agg(F.count_if(F.col("parent_id").isNull()).alias("rows")).scalar() > 0
+    held = outcomes.join(named, "id", "left")
+    status = F.when(F.col("_held").isNotNull() | nameless, RETRY).otherwise(F.col("status"))
+    return held.withColumn("status", status).drop("_held")
+
+
 def key_status(
     parents: DataFrame, children: DataFrame, per_parent: int | None, retry_limited: bool = True
 ) -> DataFrame:
@@ -164,14 +208,16 @@ def load_playlists(
 
 
 def run_manifest(
-    parents: DataFrame, outcomes: DataFrame, children: DataFrame, last_update=None
+    parents: DataFrame, outcomes: DataFrame, children: DataFrame, last_update=None, keys: DataFrame | None = None
 ) -> DataFrame:
     """One row about a run: totals, parents processed and skipped, status.
 
     ``outcomes`` are the key rows of the run and ``children`` all children
     stored after it, both read from the tables that ``commit`` wrote.  The
     processed keys themselves are rows of the key table, never a list in one
-    place.
+    place.  Skipped are the parents that were settled before; after a run over a sample
+    ``keys``, the key table after the run, tells them from those still pending.  Without it all
+    parents that are not among the outcomes count as skipped.
     """
     totals = union_pages(
         children.agg(F.count_distinct("id").alias("total_children")),
@@ -181,12 +227,18 @@ def run_manifest(
         ),
         parents.agg(F.count_distinct("id").alias("_parents")),
     )
+    skipped = F.col("_parents") - F.col("_pending")
     names = ["total_children", "total_processed", "_pending", "_parents"]
+    if keys is not None:
+        known = matching(parents.select("id"), settled(keys), "id")
+        totals = union_pages(totals, known.agg(F.count_distinct("id").alias("_settled")))
+        skipped = F.col("_settled") - F.col("total_processed")
+        names.append("_settled")
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
     return totals.agg(*[F.max(name).alias(name) for name in names]).select(
         "total_children",
         "total_processed",
-        (F.col("_parents") - F.col("_pending")).alias("total_skipped"),
+        skipped.alias("total_skipped"),
         (stamp if last_update is None else last_update).alias("last_update"),
         F.lit("completed").alias("status"),
     )
@@ -216,7 +268,7 @@ PARENTS = {"albums": f"{ARTIST}, outcome string", "tracks": f"{ALBUM}, outcome s
 def run(
     spark: SparkSession, domain: str, parents: str, found: str, children: str, keys: str, *,
     per_parent: int | None = None, sample: int | None = None, album_keys: str | None = None,
-    layout: str = "indented", summary: str | None = None,
+    layout: str = "indented", summary: str | None = None, rejects: str | None = None, tolerance: int | None = None,
 ) -> DataFrame:
     """One incremental load of ``albums``, ``tracks`` or ``playlists`` from paths; returns its summary.
 
@@ -224,10 +276,21 @@ def run(
     ``outcome``; ``found`` has one JSON line per candidate: ``parent_id``,
     ``ord`` and ``item``.  ``children`` and ``keys`` are the tables that grow.
     The summary is one row, also written as a JSON document.
+
+    Damaged lines of ``found`` are written to ``rejects``, beside the key table by default, and
+    their parents stay pending, so that a run over the repaired file loads what was lost.  More
+    of them than ``tolerance`` raise before anything is stored; None tolerates any number.
     """
     parent_docs = read_documents(spark, parents, PARENTS[domain], layout, ordered=True)
     schema = DOCUMENTS[domain]
-    candidates = spark.read.schema(f"parent_id string, ord long, item struct<{schema}>").json(found)
+    candidates, damaged = read_candidates(spark, found, schema)
+    rejects = rejects or f"{keys.rstrip('/')}_rejects"
+
+    def check(rows: int) -> None:
+        if tolerance is not None and rows > tolerance:
+            raise DamagedCandidates(rows, tolerance)
+
+    rejected = overwrite(damaged, rejects, check)
     stored = read_stored(spark, children, schema, "parquet")
     known = read_keys(spark, keys)
     if domain == "albums":
@@ -237,8 +300,13 @@ def run(
     else:
         listed = read_keys(spark, album_keys)
         done = load_playlists(parent_docs, listed, candidates, stored, known, per_parent=per_parent)
+    if rejected:
+        lost = spark.read.schema(REJECTS).parquet(rejects)
+        done = Load(done.new, hold_back(done.outcomes, lost))
     outcomes = commit(done, children, keys)
-    row = run_manifest(parent_docs, outcomes, read_stored(spark, children, schema, "parquet"))
+    after = read_stored(spark, children, schema, "parquet")
+    row = run_manifest(parent_docs, outcomes, after, keys=read_keys(spark, keys))
+    row = row.withColumn("total_rejected", F.lit(rejected).cast("long"))
     if summary is not None:
         write_documents(row, summary)
     return row

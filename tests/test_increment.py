@@ -205,3 +205,54 @@ def test_load_playlists_follows_the_album_keys(spark, frame):
     )
     assert rows(run.new, "id", "owner.id") == [("p", "o")]
     assert rows(run.outcomes, "id", "status") == [("x", "done"), ("y", "failed")]
+
+
+def damaged_load(spark, tmp_path, write_json, *lines, **options):
+    """One load of albums of four artists from the given lines."""
+    artists = write_json("artists.json", [{"id": x} for x in ("a", "b", "c", 'd"d')])
+    (tmp_path / "found.json").write_text("\n".join(lines) + "\n")
+    paths = [str(tmp_path / name) for name in ("children", "keys")]
+    row = increment.run(spark, "albums", artists, str(tmp_path / "found.json"), *paths, **options).first()
+    children = read_stored(spark, paths[0], schemas.ALBUM, "parquet")
+    return row, rows(children, "id"), rows(read_keys(spark, paths[1]))
+
+
+def line(parent, id):
+    return json.dumps({"parent_id": parent, "ord": 1, "item": {"id": id}})
+
+
+def test_a_damaged_candidate_never_settles_its_parent(spark, tmp_path, write_json):
+    cut, odd = line("b", "2")[:-9], line('d"d', "4").replace('"4"', '"4", "popularity": "high"')
+    row, children, keys = damaged_load(spark, tmp_path, write_json, line("a", "1"), cut, odd)
+    assert (row.total_rejected, row.total_processed, row.total_skipped) == (2, 2, 0)
+    assert children == [("1",)]
+    assert keys == [("a", "done"), ("b", "retry"), ("c", "empty"), ('d"d', "retry")]
+    rejects = spark.read.parquet(str(tmp_path / "keys_rejects"))
+    assert rows(rejects, "parent_id", "line") == [("b", cut), ('d"d', odd)]
+    row, children, keys = damaged_load(spark, tmp_path, write_json, line("a", "1"), line("b", "2"), line('d"d', "4"))
+    assert (row.total_rejected, row.total_processed, row.total_skipped) == (0, 2, 2)
+    assert children == [("1",), ("2",), ("4",)]
+    assert {k for k, status in keys if status != "retry"} == {"a", "b", "c", 'd"d'}
+    assert spark.read.parquet(str(tmp_path / "keys_rejects")).count() == 0
+
+
+def test_a_damaged_line_without_a_parent_holds_all_back(spark, tmp_path, write_json):
+    lines = line("a", "1"), '{"par', '{"ord": 1, "item": {"id": "2"}}'
+    row, children, keys = damaged_load(spark, tmp_path, write_json, *lines)
+    assert row.total_rejected == 2 and children == [("1",)]
+    assert {status for _, status in keys} == {"retry"}
+    _, children, _ = damaged_load(spark, tmp_path, write_json, line("a", "1"), line("c", "2"))
+    assert children == [("1",), ("2",)]
+
+
+def test_more_damage_than_tolerated_stores_nothing(spark, tmp_path, write_json):
+    with pytest.raises(increment.DamagedCandidates, match="2 damaged candidates, 1 tolerated"):
+        damaged_load(spark, tmp_path, write_json, line("a", "1"), "x", "y", tolerance=1)
+    assert not (tmp_path / "children").exists() and not (tmp_path / "keys").exists()
+
+
+def test_a_sample_does_not_skip_what_is_pending(spark, tmp_path, write_json):
+    row, _, keys = damaged_load(spark, tmp_path, write_json, line("a", "1"), sample=3)
+    assert len(keys) == 3 and (row.total_processed, row.total_skipped) == (3, 0)
+    row, _, keys = damaged_load(spark, tmp_path, write_json, line("a", "1"), sample=3)
+    assert len(keys) == 4 and (row.total_processed, row.total_skipped) == (1, 3)

@@ -8,7 +8,9 @@ from discolake.operators import dedup, quality, ranking
 from discolake.operators.joins import excluding, matching
 from discolake.plans import bronze, increment
 from discolake.plans.silver import track_artists
+from discolake.schemas import TRACK
 from discolake.session import new_folder
+from discolake.sinks.exports import write_documents
 from discolake.sources.documents import read_stored
 from discolake.sources.manifests import explode_keys, read_keys, read_manifest_keys
 from workload.inputs import PLAYLISTS_SQL, TRACKS_SQL, table
@@ -324,3 +326,106 @@ def step_metrics(spark, sf_dir):
     links.write.format("noop").mode("overwrite").save()
     row = ("track_artists", rows_in.get["rows"], rows_out.get["rows"])
     return spark.createDataFrame([row], "step string, rows_in long, rows_out long")
+
+
+# --- loads with damaged candidates, from files
+
+
+def track_lines(spark, sf_dir):
+    """Line items as candidates of one JSON text each; some are marked to be cut."""
+    line_id = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    line = F.struct(
+        F.col("l_orderkey").cast("string").alias("parent_id"),
+        F.col("l_linenumber").cast("long").alias("ord"),
+        F.struct(line_id.alias("id"), F.concat(F.lit("track "), "l_partkey").alias("name")).alias("item"),
+    )
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.select(F.to_json(line).alias("value"), (F.col("l_partkey") % 7 == 3).alias("cut"))
+
+
+def damaged_load(spark, sf_dir):
+    """Folders of children, keys and rejects after two runs; in the first some lines are cut."""
+    root = new_folder(spark, "damaged")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.substring(F.col("o_orderdate").cast("string"), 1, 10).alias("release_date"),
+    )
+    write_documents(orders, f"{root}/parents")
+    lines = track_lines(spark, sf_dir)
+    cut = F.when(F.col("cut"), F.left("value", F.length("value") - 12)).otherwise(F.col("value"))
+    lines.select(cut.alias("value")).write.text(f"{root}/first")
+    lines.select("value").write.text(f"{root}/repaired")
+    paths = f"{root}/children", f"{root}/keys"
+    increment.run(spark, "tracks", f"{root}/parents", f"{root}/first", *paths, layout="lines", rejects=f"{root}/rejects")
+    increment.run(spark, "tracks", f"{root}/parents", f"{root}/repaired", *paths, layout="lines")
+    return *paths, f"{root}/rejects"
+
+
+@query("""
+    select distinct l_orderkey || '-' || l_linenumber as id, strftime(o_orderdate, '%Y-%m-%d') as release_date
+    from lineitem join orders on o_orderkey = l_orderkey
+""")
+def load_with_damage(spark, sf_dir):
+    """No child is lost whose line was cut in the first run and whole in the second."""
+    children = damaged_load(spark, sf_dir)[0]
+    return read_stored(spark, children, TRACK, "parquet").select("id", "release_date")
+
+
+@query("""
+    with held as (select l_orderkey as id from lineitem group by 1 having bool_or(l_partkey % 7 = 3))
+    select o_orderkey::varchar as id, 'retry' as status from orders where o_orderkey in (select id from held)
+    union all
+    select o_orderkey::varchar,
+           case when o_orderkey in (select l_orderkey from lineitem) then 'done' else 'empty' end
+    from orders
+""")
+def load_with_damage_keys(spark, sf_dir):
+    """The parents of cut lines are tried again, and all are settled in the end."""
+    return read_keys(spark, damaged_load(spark, sf_dir)[1])
+
+
+@query("select l_orderkey::varchar as parent_id, count(*) as lines from lineitem where l_partkey % 7 = 3 group by 1")
+def load_rejects(spark, sf_dir):
+    """The lines that the first run could not read, by the parent they still name."""
+    rejects = spark.read.schema(increment.REJECTS).parquet(damaged_load(spark, sf_dir)[2])
+    return rejects.groupBy("parent_id").agg(F.count("line").alias("lines"))
+
+
+@query("select c_custkey::varchar as id from customer")
+def scan_all_manifest_keys(spark, sf_dir):
+    """Manifest files indented by two spaces that list every customer, some of them twice."""
+    listed = table(spark, sf_dir, "customer")
+    entry = F.concat(F.lit('    "'), "c_custkey", F.lit('"'))
+    copies = F.explode(F.sequence(F.lit(0), (F.col("c_custkey") % 5 == 0).cast("int")))
+    files = listed.withColumn("copy", copies).groupBy(F.floor(F.col("c_custkey") / 2000).alias("chunk"), "copy").agg(
+        F.array_join(F.collect_list(entry), ",\n").alias("keys")
+    )
+    text = F.concat(F.lit('{\n  "processed_artists": [\n'), "keys", F.lit('\n  ],\n  "status": "completed"\n}'))
+    folder = new_folder(spark, "manifests")
+    files.select("chunk", "copy", text.alias("value")).write.partitionBy("chunk", "copy").text(folder)
+    return read_manifest_keys(spark, f"{folder}/chunk=*/copy=*", "processed_artists")
+
+
+@query("""
+    select (select count(distinct id) from (
+              select 'p' || p_partkey as id from part where p_size <= 10
+              union all select 'new') t) as total_children,
+           100 as total_processed,
+           (select count(*) from orders where o_orderstatus = 'F' and o_custkey % 4 <> 0) as total_skipped
+""")
+def run_manifest_of_a_sample(spark, sf_dir):
+    """Parents that a sample passed over are not skipped ones: they are still pending."""
+    parents, candidates, stored, keys = load_inputs(spark, sf_dir)
+    parents = parents.drop("outcome")
+    one = candidates.withColumn("item", F.struct(F.lit("new").alias("id"), F.lit("name").alias("name")))
+    children, key_table = new_folder(spark, "children"), new_folder(spark, "keys")
+    stored.write.parquet(children)
+    keys.write.parquet(key_table)
+    run = increment.load(
+        parents, one, read_stored(spark, children, CHILD, "parquet"), read_keys(spark, key_table),
+        parent_order=["ord"], child_order=CHILD_ORDER, per_parent=3, inherited=["release_date"], sample=100,
+    )
+    outcomes = increment.commit(run, children, key_table)
+    after = read_stored(spark, children, CHILD, "parquet")
+    row = increment.run_manifest(parents, outcomes, after, keys=read_keys(spark, key_table))
+    return row.select("total_children", "total_processed", "total_skipped")
