@@ -9,9 +9,11 @@ import argparse
 
 from discolake.operators.quality import completeness, gate
 from discolake.plans import bronze, increment, layers
-from discolake.schemas import PLAYLIST
+from discolake.schemas import PLAYLIST, PLAYLIST_ITEMS
 from discolake.session import build_session
 from discolake.sinks.exports import export_csv, export_tables, write_documents
+from discolake.sinks.tables import overwrite
+from discolake.sinks.topics import publish
 from discolake.sources.documents import ORD, read_category_map, read_documents
 from discolake.sources.tables import read_date
 from discolake.sources.topics import TOPIC, read_topic
@@ -38,11 +40,15 @@ def parser() -> argparse.ArgumentParser:
     step("owners", "playlists", "target", layout="indented")
     artists = step("artists", "categories", "target")
     artists.add_argument("--layout", default="indented", choices=["indented", "whole"])
-    step("silver", "bronze", "silver", "date", layout="lines")
-    step("links", "bronze", "silver", "date", layout="lines")
-    step("gold", "silver", "gold", "date")
+    for name in ("silver", "links"):
+        sub = step(name, "bronze", "silver", "date", layout="lines")
+        sub.add_argument("--tolerance", type=int, default=0, help="damaged documents of a dataset at most")
+        sub.add_argument("--metrics", help="table that the results of the run are appended to")
+    step("gold", "silver", "gold", "date").add_argument("--metrics")
     for domain in increment.PARENTS:
         load = step(f"load-{domain}", "parents", "found", "children", "keys", "summary", layout="indented")
+        load.add_argument("--tolerance", type=int, help="damaged candidates at most; any number without it")
+        load.add_argument("--rejects", help="table of the damaged candidates")
         load.add_argument("--per-parent", type=int, help="children of a parent at most; all without it")
         if domain == "albums":
             load.add_argument("--sample", type=int, help="pending parents of this run; all without it")
@@ -54,6 +60,10 @@ def parser() -> argparse.ArgumentParser:
     dedup = step("dedup-events", "source", "target", "untimed", "checkpoint")
     dedup.add_argument("--delay", default="1 day")
     dedup.add_argument("--slices", type=int, default=1, help="input slices for events sent very many times")
+    again = step("rebuild-events", "source", "target", "untimed")
+    for sub in (dedup, again):
+        sub.add_argument("--skew", default=events.SKEW, help="how far the time of an event may be ahead of its arrival")
+    step("publish-events", "pages", "servers", layout="lines").add_argument("--topic", default=TOPIC)
     return root
 
 
@@ -77,16 +87,19 @@ def main(argv: list[str] | None = None) -> None:
             categories = read_category_map(spark, args.categories, args.layout)
             write_documents(bronze.artists_from_categories(categories), args.target)
         case "silver":
-            print(*layers.build_silver(spark, args.bronze, args.silver, args.date, args.layout), sep="\n")
+            paths = args.bronze, args.silver, args.date, args.layout, args.tolerance, args.metrics
+            print(*layers.build_silver(spark, *paths), sep="\n")
         case "links":
-            print(*layers.build_links(spark, args.bronze, args.silver, args.date, args.layout), sep="\n")
+            paths = args.bronze, args.silver, args.date, args.layout, args.tolerance, args.metrics
+            print(*layers.build_links(spark, *paths), sep="\n")
         case "gold":
-            print(*layers.build_gold(spark, args.silver, args.gold, args.date), sep="\n")
+            print(*layers.build_gold(spark, args.silver, args.gold, args.date, args.metrics), sep="\n")
         case "load-albums" | "load-tracks" | "load-playlists":
             row = increment.run(
                 spark, args.step.removeprefix("load-"), args.parents, args.found, args.children, args.keys,
                 per_parent=args.per_parent, sample=getattr(args, "sample", None),
                 album_keys=getattr(args, "album_keys", None), layout=args.layout, summary=args.summary,
+                rejects=args.rejects, tolerance=args.tolerance,
             )
             print(row.first().asDict())
         case "export-csv":
@@ -99,13 +112,20 @@ def main(argv: list[str] | None = None) -> None:
             events.land(stream, args.target, f"{args.checkpoint}/landed").awaitTermination()
             refused.awaitTermination()
         case "dedup-events":
-            stream = spark.readStream.schema(events.EVENT).parquet(args.source)
-            aside = events.append_to(events.untimed(stream), args.untimed, f"{args.checkpoint}/untimed")
-            kept = events.deduplicate(stream, args.delay, slices=args.slices)
-            query = events.append_to(kept, args.target, f"{args.checkpoint}/timed")
-            query.awaitTermination()
+            stream = events.with_arrival(spark.readStream.schema(events.EVENT).parquet(args.source))
+            aside = events.append_to(events.set_aside(stream, args.skew), args.untimed, f"{args.checkpoint}/untimed")
+            kept = events.deduplicate(stream, args.delay, slices=args.slices, skew=args.skew)
+            dropped = events.follow(events.append_to(kept, args.target, f"{args.checkpoint}/timed"))
             aside.awaitTermination()
-            print(f"late rows dropped: {events.late_rows(query)}")
+            print(f"late rows dropped: {sum(dropped.values())} in {len(dropped)} batches")
+        case "rebuild-events":
+            landed = events.with_arrival(spark.read.schema(events.EVENT).parquet(args.source))
+            kept = overwrite(events.rebuild(events.timed(landed, args.skew)), args.target)
+            aside = overwrite(events.rebuild(events.set_aside(landed, args.skew)), args.untimed)
+            print(f"events: {kept}, set aside: {aside}")
+        case "publish-events":
+            pages = read_documents(spark, args.pages, PLAYLIST_ITEMS, args.layout)
+            publish(bronze.normalize_events(pages), args.servers, args.topic)
 
 
 if __name__ == "__main__":

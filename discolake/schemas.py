@@ -44,6 +44,13 @@ EVENT = """
     duration_ms long, popularity long, timestamp string
 """
 
+#: Pages of playlist items, as a fetch brings them; events are made of these.
+PLAYLIST_ITEMS = """
+    items array<struct<track: struct<
+        id: string, name: string, artists: array<struct<name: string>>,
+        album: struct<name: string, release_date: string>, duration_ms: bigint, popularity: bigint>>>
+"""
+
 # The processed-key table: one row per parent and run.
 KEYS = "id string, status string"
 

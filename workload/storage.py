@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from discolake.operators.dedup import keep_first
 from discolake.plans import bronze, silver
-from discolake.plans.layers import LayerFailed, build_silver
+from discolake.plans.layers import METRICS, LayerFailed, build_links, build_silver
 from discolake.schemas import ALBUM, DOCUMENTS, OWNER, TRACK
 from discolake.session import new_folder
 from discolake.sinks.exports import CSV, export_csv, export_tables, write_documents
@@ -254,6 +254,52 @@ def silver_damaged_rows(spark, sf_dir):
     return spark.createDataFrame(rows, "dataset string, rows long, damaged long")
 
 
+def damaged_bronze(spark, sf_dir, day):
+    """Landed tracks of which some are cut short; no other domain was landed."""
+    target = new_folder(spark, "bronze")
+    docs = tracks(spark, sf_dir)
+    text = F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})
+    cut = F.when(F.col("track_number") % 5 == 3, F.left(text, F.length(text) - 5)).otherwise(text)
+    replace_date(docs.select(cut.alias("value")), f"{target}/tracks", day, format="text")
+    return target
+
+
+@query(SILVER_TRACKS)
+def silver_refused_keeps_old(spark, sf_dir):
+    """A date that was built stays as it was when a later run over damaged documents is refused."""
+    day, target = "2024-02-01", new_folder(spark, "silver")
+    replace_date(silver_tracks(spark, sf_dir), f"{target}/tracks", day)
+    try:
+        build_silver(spark, damaged_bronze(spark, sf_dir, day), target, day)
+    except LayerFailed as failed:
+        refused = [r.dataset for r in failed.results if r.damaged]
+        return read_date(spark, f"{target}/tracks", day).drop("ingest_date").where(F.lit(refused == ["tracks"]))
+    raise AssertionError("damaged documents were not refused")
+
+
+@query("""
+    with damaged as (select count(*) as rows from lineitem where l_linenumber % 5 = 3),
+    tracks as (select count(*) as rows from lineitem),
+    runs(layer, dataset, columns, refused) as (
+      values ('silver', 'tracks', 13, false), ('links', 'track_artists', null, true))
+    select layer, dataset, tracks.rows as rows_in, damaged.rows as damaged, columns, refused
+    from runs, tracks, damaged
+""")
+def run_metrics(spark, sf_dir):
+    """What two runs over damaged documents recorded, one tolerant and one not."""
+    day, metrics, target = "2024-02-01", new_folder(spark, "metrics"), new_folder(spark, "layers")
+    source = damaged_bronze(spark, sf_dir, day)
+    for build, tolerance in ((build_silver, 10**12), (build_links, 0)):
+        try:
+            build(spark, source, f"{target}/{build.__name__}", day, tolerance=tolerance, metrics=metrics)
+        except LayerFailed:
+            pass  # the other domains were not landed for this day
+    recorded = spark.read.schema(METRICS).parquet(metrics)
+    return recorded.where(F.col("dataset").isin("tracks", "track_artists")).select(
+        "layer", "dataset", "rows_in", "damaged", "columns", F.col("error").isNotNull().alias("refused")
+    )
+
+
 @query("""
     select 'tracks' as dataset, count(*) as rows, false as failed from lineitem
     union all select 'albums', count(*), false from orders
@@ -348,25 +394,35 @@ def stream_land_events(spark, sf_dir):
 # Some events have a time that cannot be read.
 BAD_TIME = "popularity % 7 = 3"
 BAD_EVENTS_SQL = f"select * replace (case when {BAD_TIME} then 'not a time' else timestamp end as timestamp) from ({EVENTS_SQL})"
-STREAM_FILES = 6
+#: Ranges of time that events are sent in, one after the other, and rows of a file.
+STREAM_PARTS = 6
+FILE_ROWS = 100_000
 
 
-def sent_events(spark, sf_dir):
-    """A stream of files in the order of their times, one for each trigger.
+def sent_events(spark, sf_dir, stamp=None, late=None):
+    """A stream of files in the order of their times, the files of one range for each trigger.
 
-    Every event is sent one to three times, and some have no readable time.
+    Every event is sent one to three times.  ``stamp`` is what stands as its time, by default
+    some that cannot be read.  Events without a time come first, ``late`` ones last of all.
     """
     folder = new_folder(spark, "sent")
     flat = event_messages(table(spark, sf_dir, "events")).withColumn("day", F.col("timestamp").cast("timestamp").cast("double"))
-    cuts = flat.approxQuantile("day", [i / STREAM_FILES for i in range(1, STREAM_FILES)], 0.01)
-    copies = F.explode(F.sequence(F.lit(0), F.col("popularity") % 3))
-    stamp = F.when(F.expr(BAD_TIME), "not a time").otherwise(F.col("timestamp"))
-    sent = flat.withColumn("_copy", copies).withColumn("timestamp", stamp)
-    for low, high in zip([float("-inf"), *cuts], [*cuts, float("inf")]):
-        part = sent.where((F.col("day") >= low) & (F.col("day") < high)).drop("_copy", "day")
-        encode(part).coalesce(1).write.mode("append").text(folder)
-    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(folder)
-    return event_stream.decode(stream)
+    cuts = flat.approxQuantile("day", [i / STREAM_PARTS for i in range(1, STREAM_PARTS)], 0.01)
+    part = F.lit(0)
+    for i, cut in enumerate(cuts, 1):
+        part = F.when(F.col("day") >= cut, i).otherwise(part)
+    if late is not None:
+        part = F.when(late, STREAM_PARTS).otherwise(part)
+    if stamp is None:
+        stamp = F.when(F.expr(BAD_TIME), "not a time").otherwise(F.col("timestamp"))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("popularity") % 3, F.lit(0))))
+    sent = flat.withColumn("_part", part).withColumn("_copy", copies).withColumn("timestamp", stamp)
+    files = max(1, -(-flat.count() // (STREAM_PARTS * FILE_ROWS)))
+    for i in range(STREAM_PARTS + (late is not None)):
+        rows = encode(sent.where(F.col("_part") == i).drop("_part", "_copy", "day"))
+        rows.repartition(files).write.mode("append").text(folder)
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", files).text(folder)
+    return event_stream.decode(event_stream.with_arrival(stream), keep=[event_stream.ARRIVAL])
 
 
 @query(f"select * from ({EVENTS_SQL}) where id is not null and id <> '' and not {BAD_TIME}")
@@ -388,6 +444,66 @@ def stream_untimed_events(spark, sf_dir):
     return keep_first(landed, ["id", "timestamp"], ["name"])
 
 
+# Times that are missing, cannot be read, or lie far ahead.
+ODD_TIME = "popularity % 7 in (1, 3, 5)"
+ODD_STAMP = """
+    case popularity % 7 when 1 then null when 3 then 'not a time' when 5 then '2999-01-01T00:00:00.000000'
+    else timestamp end
+"""
+SENT = "id is not null and id <> ''"
+
+
+@query(f"select * from ({EVENTS_SQL}) where {SENT} and not {ODD_TIME}")
+def stream_odd_times(spark, sf_dir):
+    """No event with a good time is lost, though others claim to be from another millennium."""
+    root = new_folder(spark, "events")
+    kept = event_stream.deduplicate(sent_events(spark, sf_dir, F.expr(ODD_STAMP)), delay="1 day")
+    event_stream.follow(event_stream.append_to(kept, f"{root}/table", f"{root}/checkpoint"))
+    return spark.read.schema(event_stream.EVENT).parquet(f"{root}/table")
+
+
+@query(f"""
+    select * replace ({ODD_STAMP} as timestamp), case popularity % 7 when 5 then 'ahead' else 'unreadable' end as reason
+    from ({EVENTS_SQL}) where {SENT} and {ODD_TIME}
+""")
+def stream_set_aside_events(spark, sf_dir):
+    """The events whose time is not believed, with the reason, deduplicated in batch."""
+    root = new_folder(spark, "events")
+    aside = event_stream.set_aside(sent_events(spark, sf_dir, F.expr(ODD_STAMP)))
+    event_stream.append_to(aside, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    landed = spark.read.schema(f"{event_stream.EVENT}, reason string").parquet(f"{root}/table")
+    return event_stream.rebuild(landed)
+
+
+LATE = "popularity % 5 = 2"
+
+
+@query(f"select * from ({EVENTS_SQL}) where {SENT}")
+def stream_late_rebuild(spark, sf_dir):
+    """Events that come after all others are dropped by the stream and found again in what was landed."""
+    root = new_folder(spark, "events")
+    sent = sent_events(spark, sf_dir, F.col("timestamp"), late=F.expr(LATE))
+    event_stream.append_to(sent.drop(event_stream.ARRIVAL), f"{root}/bronze", f"{root}/landed").awaitTermination()
+    kept = event_stream.deduplicate(sent, delay="1 day")
+    dropped = event_stream.follow(event_stream.append_to(kept, f"{root}/silver", f"{root}/checkpoint"))
+    silver_events = spark.read.schema(event_stream.EVENT).parquet(f"{root}/silver")
+    landed = spark.read.schema(event_stream.EVENT).parquet(f"{root}/bronze")
+    lost = event_stream.lost_events(landed, silver_events)
+    if not sum(dropped.values()):
+        raise AssertionError("nothing came late")
+    return silver_events.unionByName(lost)
+
+
+@query(f"select * from ({EVENTS_SQL}) where {SENT}")
+def rebuild_events(spark, sf_dir):
+    """Silver events worked out anew from all that was landed, copies included."""
+    root = new_folder(spark, "events")
+    landed = sent_events(spark, sf_dir, F.col("timestamp")).drop(event_stream.ARRIVAL)
+    event_stream.append_to(landed, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
+    overwrite(event_stream.rebuild(spark.read.schema(event_stream.EVENT).parquet(f"{root}/bronze")), f"{root}/silver")
+    return spark.read.schema(event_stream.EVENT).parquet(f"{root}/silver")
+
+
 @query(f"select count(*) as messages from ({EVENTS_SQL}) where id is null or id = ''")
 def stream_rejected_events(spark, sf_dir):
     root = new_folder(spark, "events")
