@@ -4,11 +4,13 @@
    whole text.  A text is split at the matches of a kind, so the lengths of the pieces
    give the positions; running sums of them are a window over one text's matches.
 2. Candidates: tokens of a looser form of each kind that overlap no seed.
-3. Patterns: the words left and right of seeds and candidates.  Seeds have score 1.  In each round a
-   pattern's confidence is the mean score of what stands in it, counted over all documents and damped by
+3. Patterns: the words left and right of seeds and candidates.  Seeds have trust 1.  In each round a
+   pattern's confidence is the share of trust in what stands in it, counted over all documents and damped by
    its support, and a candidate's score is one minus the product of the doubts of its
    patterns.
-4. Candidates that reach the least score join the seeds.  Seeds never leave.
+4. Candidates that reach the least score are accepted: they stay, with a trust of their score that
+   fades with each round, and from the next round on count as support, so their
+   contexts become patterns too.  It ends when a round accepts none, or after ROUNDS.
 
 Only matches and their contexts are shuffled, never texts.  A common context word is a hot
 key of sums that are combined before the shuffle, and of a join that adaptive execution splits.
@@ -44,8 +46,10 @@ LOOSE = {
 }
 #: Characters of context that are kept on either side.
 CONTEXT = 60
-ROUNDS = 3
-#: Seeds of different texts that a pattern needs.
+ROUNDS = 5
+#: What is left of the trust in a score for each round; keeps long chains from drifting.
+FADING = 0.97
+#: Different texts with a seed or an accepted candidate that a pattern needs.
 SUPPORT = 3
 #: A pattern of n seeds and no other match has the confidence n / (n + DAMPING).
 DAMPING = 0.25
@@ -136,10 +140,17 @@ def matches(rows: DataFrame, form: str) -> DataFrame:
 
 
 def contexts(found: DataFrame) -> DataFrame:
-    """A row for each pattern that a match stands in: the match's key and the pattern."""
+    """A row for each pattern that a match stands in: the match's key and the pattern.
+
+    A word that the end of the context cuts is not taken for a whole one.
+    """
     plain = lambda c: F.regexp_replace(F.lower(c), "[0-9]", "0")
-    left = F.filter(F.split(plain(F.col("left")), r"\s+"), lambda w: w != "")
-    right = F.filter(F.split(plain(F.col("right")), r"\s+"), lambda w: w != "")
+    cut = F.length("left") >= CONTEXT
+    before = F.when(cut, F.regexp_replace("left", r"^\S+", "")).otherwise(F.col("left"))
+    cut = F.length("right") >= CONTEXT
+    after = F.when(cut, F.regexp_replace("right", r"\S+$", "")).otherwise(F.col("right"))
+    left = F.filter(F.split(plain(before), r"\s+"), lambda w: w != "")
+    right = F.filter(F.split(plain(after), r"\s+"), lambda w: w != "")
     last, two, following = F.get(left, F.size(left) - 1), F.get(left, F.size(left) - 2), F.get(right, F.lit(0))
     named = F.array(
         F.concat(F.lit("left "), last),
@@ -156,28 +167,45 @@ def bootstrapped(seeds: DataFrame, candidates: DataFrame) -> DataFrame:
     marked = seeds.withColumn("seed", F.lit(True)).unionByName(candidates.withColumn("seed", F.lit(False)))
     graph = stored(contexts(marked), "pii-graph", narrow=True)
     key = ["id", "tie", "number", "start", "end"]
-    edges = graph.filter("NOT seed").select(*key, "kind", "pattern")
-    support = graph.filter("seed").groupBy("kind", "pattern").agg(
-        F.count(F.lit(1)).alias("seeds"), F.countDistinct("id", "tie").alias("texts")
-    )
-    # A pattern of one kind is weakened by what stands in it and is another kind's seed.
-    total = graph.groupBy("pattern").agg(F.count_if("seed").alias("all_seeds"))
-    known = support.join(total, "pattern").filter(F.col("texts") >= SUPPORT)
-    scores = None
+    accepted = None
     for step in range(ROUNDS):
-        here = edges if scores is None else edges.join(scores, [*key, "kind"], "left")
-        score = F.lit(0.0) if scores is None else F.coalesce("score", F.lit(0.0))
-        others = here.groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("others"), F.sum(score).alias("won"))
-        confidence = (F.col("seeds") + F.col("won")) / (F.col("all_seeds") + F.col("others") + DAMPING)
-        if scores is None:
-            # Before anything is known of the candidates only seeds speak for or against a pattern.
-            confidence = F.col("seeds") / (F.col("all_seeds") + DAMPING)
-        sure = known.join(others, ["kind", "pattern"]).withColumn("confidence", confidence)
-        sure = sure.filter(F.col("confidence") >= LEAST_CONFIDENCE).select("kind", "pattern", "confidence")
+        sure = confident(graph, accepted, key)
         doubt = F.sum(F.log(1 - F.least("confidence", F.lit(0.999999))))
-        scores = edges.join(sure, ["kind", "pattern"]).groupBy(*key, "kind").agg((1 - F.exp(doubt)).alias("score"))
-        scores = stored(scores, f"pii-scores-{step}", narrow=True)
-    return scores.filter(F.col("score") >= LEAST_SCORE).select(*key, "kind")
+        scores = graph.filter("NOT seed").join(sure, ["kind", "pattern"]).groupBy(*key, "kind")
+        scores = scores.agg((1 - F.exp(doubt)).alias("score")).filter(F.col("score") >= LEAST_SCORE)
+        fresh = scores.select(*key, "kind", (F.col("score") * FADING ** (step + 1)).alias("trust"))
+        if accepted is None:
+            known, accepted = 0, stored(fresh, "pii-accepted", narrow=True)
+        else:
+            known = accepted.count()
+            same = [F.col(f"f.{c}").eqNullSafe(F.col(f"a.{c}")) for c in key]
+            fresh = fresh.alias("f").join(accepted.alias("a"), same, "left_anti")
+            accepted = stored(accepted.unionByName(fresh), "pii-accepted", narrow=True)
+        if accepted.count() == known:
+            break
+    return accepted.select(*key, "kind")
+
+
+def confident(graph: DataFrame, accepted: DataFrame | None, key: list[str]) -> DataFrame:
+    """kind, pattern, confidence of the patterns that can be relied on."""
+    if accepted is None:
+        # Before anything is known of the candidates only seeds speak for or against a pattern.
+        trusted = graph.filter("seed").withColumn("trust", F.lit(1.0))
+    else:
+        same = [F.col(f"g.{c}").eqNullSafe(F.col(f"a.{c}")) for c in key]
+        own = F.when(F.col("g.seed"), F.lit(1.0)).otherwise(F.coalesce("a.trust", F.lit(0.0)))
+        trusted = graph.alias("g").join(accepted.alias("a"), same, "left").select("g.*", own.alias("trust"))
+    good = F.col("trust") > 0
+    of_kind = trusted.groupBy("kind", "pattern").agg(
+        F.sum("trust").alias("won"),
+        F.count(F.lit(1)).alias("all"),
+        F.count_distinct(F.when(good, F.struct(F.coalesce(F.col("id").cast("string"), F.lit("")), "tie"))).alias("texts"),
+    )
+    # A pattern of one kind is weakened by what stands in it and is trusted as another kind.
+    total = of_kind.groupBy("pattern").agg(F.sum("won").alias("all_won"))
+    confidence = F.col("won") / (F.col("all") + F.col("all_won") - F.col("won") + DAMPING)
+    sure = of_kind.filter(F.col("texts") >= SUPPORT).join(total, "pattern").withColumn("confidence", confidence)
+    return sure.filter(F.col("confidence") >= LEAST_CONFIDENCE).select("kind", "pattern", "confidence")
 
 
 def find(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
