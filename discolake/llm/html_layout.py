@@ -6,7 +6,9 @@ renderer walks the tree, leaves out what is not shown, and writes lines.
 
 Not shown: the head, scripts, styles, templates, comments; elements with the hidden attribute, with
 display:none or, until a child turns it back, visibility:hidden; closed dialogs, and
-closed details but their summary.  Scripts do not run, so noscript is shown.
+closed details but their summary.  These two properties are taken from style attributes and from the
+rules of style elements whose selectors are a tag, classes, an id, or these together; rules
+with other selectors or within at-rules are passed over.  Scripts do not run, so noscript is shown.
 
 A null page has a null text; an empty one, or one without visible text, has ''.  An open
 tag or comment at the end of a cut page ends there.  Nesting may be of any depth.  Repeated rows are
@@ -16,7 +18,8 @@ rendered one by one; an empty table gives no rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -31,7 +34,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
     "head script style template title meta link base iframe noembed noframes object audio video"
-    " canvas datalist param source track".split()
+    " canvas datalist param rp source track".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption"
@@ -82,6 +85,9 @@ SELF_CLOSED = re.compile(r"(?:\A|[ \t\n\f\r/\"'])/\Z")
 #: one of INTEGRATION, brings HTML back.
 FOREIGN = frozenset("svg math".split())
 INTEGRATION = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+HTML_ONLY = BLOCKS | FORMATTING - {"a"}
+#: Formatting does not end beyond these.
+BOUNDS = SCOPES | BLOCKS
 BLANKS = re.compile(r"[ \t\n\f\r]+")
 #: A column of a table is padded to so many characters at most; longer cells stand out.
 MOST_PADDING = 120
@@ -109,12 +115,18 @@ def attributes_of(text: str) -> dict[str, str]:
 
 
 class Tree:
-    """Builds the tree; open elements are kept on a stack, with counts by tag."""
+    """Builds the tree; open elements are kept on a stack, with their places by tag.
+
+    With the places an end is found without a walk down the stack, so a page takes time in
+    proportion to its length, however deep its elements are.
+    """
 
     def __init__(self, page: str):
         self.root = Node("html", {})
         self.open = [self.root]
-        self.count = {"html": 1}
+        self.at: dict[str, list[int]] = {"html": [0]}
+        self.blocks, self.scopes = [0], [0]  # places of blocks and scopes, and of scopes
+        self.styles: list[str] = []
         at, end = 0, len(page)
         while at < end:
             found = TOKEN.search(page, at)
@@ -141,6 +153,8 @@ class Tree:
                 stop = close.start() if close else end
                 if tag == "textarea":
                     self.text(page[at:stop])
+                elif tag == "style":
+                    self.styles.append(page[at:stop])
                 self.pop()
                 at = close.end() if close else end
 
@@ -151,18 +165,23 @@ class Tree:
                 self.leave_head()
             self.open[-1].children.append(text)
 
+    def innermost(self, tags: Iterable[str], below: int | None = None) -> int:
+        """The place of the innermost open element of tags, under a place; -1 if there is none."""
+        found = -1
+        for tag in tags:
+            places = self.at.get(tag)
+            if places:
+                last = len(places) if below is None else bisect_left(places, below)
+                if last and places[last - 1] > found:
+                    found = places[last - 1]
+        return found
+
     def foreign(self) -> bool:
         """Whether the innermost open element is one of SVG or MathML."""
-        if not any(self.count.get(t) for t in FOREIGN):
+        place = self.innermost(FOREIGN)
+        if place < 0:
             return False
-        for node in reversed(self.open):
-            if node.tag in FOREIGN:
-                return True
-            if node.tag in BLOCKS or node.tag in FORMATTING - {"a"}:
-                return False
-            if node.tag in INTEGRATION and node is not self.open[-1]:
-                return False
-        return False
+        return place > max(self.innermost(HTML_ONLY), self.innermost(INTEGRATION, len(self.open) - 1))
 
     def cdata(self, page: str, at: int) -> int:
         """The end of a CDATA section: text in SVG and MathML, else a comment up to the first '>'."""
@@ -179,29 +198,39 @@ class Tree:
         node = Node(tag, attributes)
         self.open[-1].children.append(node)
         if tag not in VOID:
+            place = len(self.open)
             self.open.append(node)
-            self.count[tag] = self.count.get(tag, 0) + 1
+            self.at.setdefault(tag, []).append(place)
+            if tag in BOUNDS:
+                self.blocks.append(place)
+                if tag in SCOPES:
+                    self.scopes.append(place)
 
     def pop(self) -> None:
-        self.count[self.open.pop().tag] -= 1
+        tag = self.open.pop().tag
+        self.at[tag].pop()
+        if tag in BOUNDS:
+            self.blocks.pop()
+            if tag in SCOPES:
+                self.scopes.pop()
 
     def close(self, tags: set[str] | frozenset[str], until: set[str] | frozenset[str]) -> None:
         """Close up to the outermost open element of tags that lies within until."""
-        if not any(self.count.get(t) for t in tags):
+        if not any(self.at.get(t) for t in tags):
             return
+        scope = max(self.innermost(until), 0)
         cut = None
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.open[i].tag
-            if tag in until:
-                break
-            if tag in tags:
-                cut = i
+        for tag in tags:
+            places = self.at.get(tag)
+            if places and places[-1] > scope:
+                place = places[bisect_right(places, scope)]
+                cut = place if cut is None else min(cut, place)
         while cut is not None and len(self.open) > cut:
             self.pop()
 
     def leave_head(self) -> None:
         """Close the head if it, or a noscript in it, is the innermost open element."""
-        if not self.count.get("head"):
+        if not self.at.get("head"):
             return
         at = len(self.open) - 1
         while self.open[at].tag == "noscript":
@@ -211,38 +240,116 @@ class Tree:
                 self.pop()
 
     def start(self, tag: str, attributes: dict[str, str]) -> None:
-        if tag in ("html", "body") and self.count.get(tag):
-            node = next(n for n in self.open if n.tag == tag)
+        if tag in ("html", "body") and self.at.get(tag):
+            node = self.open[self.at[tag][0]]
             node.attributes = {**attributes, **node.attributes}
             return
-        if tag in ENDS_PARAGRAPH and self.count.get("p"):
+        if tag in ENDS_PARAGRAPH and self.at.get("p"):
             self.close({"p"}, SCOPES | {"button"})
-        if tag == "head" and self.count.get("head"):
+        if tag == "head" and self.at.get("head"):
             return
         if tag not in HEAD_HOLDS:
             self.leave_head()
         if tag in CLOSES:
             self.close(*CLOSES[tag])
-        if tag in ("td", "th") and self.count.get("table") and self.open[-1].tag != "tr":
+        if tag in ("td", "th") and self.at.get("table") and self.open[-1].tag != "tr":
             self.push("tr", {})
         self.push(tag, attributes)
 
     def end(self, tag: str) -> None:
-        if not self.count.get(tag):
+        places = self.at.get(tag)
+        if not places or not places[-1]:
             return
         if tag in FORMATTING:
-            bounds = SCOPES | BLOCKS
+            bound = self.blocks[-1]
         elif tag in SCOPES or tag in SECTIONS or tag == "tr":
-            bounds = frozenset()
+            bound = 0
         else:
-            bounds = SCOPES
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                while len(self.open) > i:
-                    self.pop()
-                return
-            if self.open[i].tag in bounds:
-                return
+            bound = self.scopes[-1]
+        if bound <= places[-1]:
+            cut = places[-1]
+            while len(self.open) > cut:
+                self.pop()
+
+
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S)
+SELECTOR = re.compile(r"(\*|[a-z][a-z0-9-]*)?((?:[.#][\w-]+)*)\Z", re.I)
+#: What counts more: !important, then the style attribute, ids, classes, tags, and the place of the rule.
+Rank = tuple[bool, int, int, int, int, int]
+
+
+def declared(text: str) -> list[tuple[str, str, bool]]:
+    """display and visibility as a style declares them: property, value, whether important."""
+    found = []
+    for part in text.split(";"):
+        name, colon, value = part.partition(":")
+        name = name.strip().lower()
+        if colon and name in ("display", "visibility"):
+            value, mark, _ = value.partition("!")
+            found.append((name, value.strip().lower(), bool(mark)))
+    return found
+
+
+def rules_of(text: str) -> Iterator[tuple[str, str]]:
+    """Selectors and declarations; rules within at-rules, which may not apply, are passed over."""
+    text, at, depth, start = COMMENT.sub(" ", text), 0, 0, 0
+    for found in re.finditer(r"[{};]", text):
+        sign = found[0]
+        if sign == "{":
+            depth += 1
+            if depth == 1:
+                at = found.start()
+        elif sign == "}":
+            depth = max(0, depth - 1)
+            if not depth:
+                selector = text[start:at].strip()
+                if at >= start and selector and selector[0] != "@":
+                    yield selector, text[at + 1 : found.start()]
+                start = found.end()
+        elif not depth:
+            start = found.end()
+
+
+class Sheet:
+    """The rules of a page's style elements with simple selectors, by tag, class or id."""
+
+    def __init__(self, styles: list[str]):
+        self.rules: dict[str, list[tuple]] = {}
+        place = 0
+        for text in styles:
+            for selectors, body in rules_of(text):
+                values = declared(body)
+                for selector in selectors.split(",") if values else ():
+                    found = SELECTOR.match(selector.strip())
+                    if not found or not found[0]:
+                        continue
+                    tag = (found[1] or "*").lower()
+                    names = re.findall(r"[.#][\w-]+", found[2])
+                    ids = [n for n in names if n[0] == "#"]
+                    place += 1
+                    rank = (len(ids), len(names) - len(ids), int(tag != "*"), place)
+                    key = ids[0] if ids else names[0] if names else tag
+                    self.rules.setdefault(key, []).append((tag, frozenset(names), rank, values))
+
+    def values(self, node: Node) -> dict[str, str]:
+        """display and visibility of an element, as far as they are declared."""
+        best: dict[str, tuple[Rank, str]] = {}
+        if self.rules:
+            names = {f".{name}" for name in node.attributes.get("class", "").split()}
+            if node.attributes.get("id"):
+                names.add(f"#{node.attributes['id']}")
+            for key in ("*", node.tag, *names):
+                for tag, needed, rank, values in self.rules.get(key, ()):
+                    if tag in ("*", node.tag) and needed <= names:
+                        for name, value, important in values:
+                            one = ((important, 0, *rank), value)
+                            if name not in best or one[0] >= best[name][0]:
+                                best[name] = one
+        for name, value, important in declared(node.attributes.get("style", "")):
+            one = ((important, 1, 0, 0, 0, 0), value)
+            if name not in best or one[0] >= best[name][0]:
+                best[name] = one
+        return {name: value for name, (_, value) in best.items()}
 
 
 class Flow:
@@ -377,11 +484,14 @@ class Table:
 
 
 def span(node: Node, name: str) -> int:
+    """Columns or rows of a cell; a rowspan of 0 goes on to the end of the table."""
     value = node.attributes.get(name, "1").strip()
+    if name == "rowspan" and value == "0":
+        return MOST_SPAN
     return min(max(1, int(value)), MOST_SPAN) if value.isascii() and value.isdigit() else 1
 
 
-def shown(node: Node, parent: Node | None, seen: bool) -> tuple[bool, bool]:
+def shown(node: Node, parent: Node | None, seen: bool, sheet: Sheet) -> tuple[bool, bool]:
     """Whether the element is laid out at all, and whether its text is seen."""
     if node.tag in UNSEEN or "hidden" in node.attributes:
         return False, False
@@ -389,21 +499,27 @@ def shown(node: Node, parent: Node | None, seen: bool) -> tuple[bool, bool]:
         return False, False
     if parent is not None and parent.tag == "details" and "open" not in parent.attributes and node.tag != "summary":
         return False, False
-    style = node.attributes.get("style")
-    if style:
-        rules = dict(
-            (part.split(":", 1)[0].strip().lower(), part.split(":", 1)[1].split("!")[0].strip().lower())
-            for part in style.split(";")
-            if ":" in part
-        )
-        if rules.get("display") == "none":
+    if sheet.rules or "style" in node.attributes:
+        values = sheet.values(node)
+        if values.get("display") == "none":
             return False, False
-        if "visibility" in rules:
-            seen = rules["visibility"] not in ("hidden", "collapse")
+        if "visibility" in values:
+            seen = values["visibility"] not in ("hidden", "collapse")
     return True, seen
 
 
-def render(root: Node) -> str:
+def whole(text: str | None, otherwise: int) -> int:
+    return int(text) if text is not None and re.fullmatch(r"-?[0-9]{1,9}", text.strip()) else otherwise
+
+
+def list_start(node: Node) -> tuple[str, int, int]:
+    """The kind of a list, the number of its first item, and the step to the next one."""
+    back = node.tag == "ol" and "reversed" in node.attributes
+    items = sum(isinstance(c, Node) and c.tag == "li" for c in node.children) if back else 1
+    return node.tag, whole(node.attributes.get("start"), items), -1 if back else 1
+
+
+def render(root: Node, sheet: Sheet) -> str:
     flow = Flow()
     flows, tables, lists = [flow], [], []
     pre = 0
@@ -420,7 +536,7 @@ def render(root: Node) -> str:
         if tag in LISTS and len(lists) > leaving:
             gap = 1  # a list in a list
         if not leaving:
-            laid, seen = shown(node, parent, seen)
+            laid, seen = shown(node, parent, seen, sheet)
             if not laid:
                 continue
             if tag == "br":
@@ -440,8 +556,9 @@ def render(root: Node) -> str:
             elif gap:
                 if tag == "li" and lists:
                     flow.block(1)
-                    kind, number = lists[-1]
-                    lists[-1] = (kind, number + 1)
+                    kind, number, step = lists[-1]
+                    number = whole(node.attributes.get("value"), number) if kind == "ol" else number
+                    lists[-1] = (kind, number + step, step)
                     mark = f"{number}. " if kind == "ol" else "- "
                     flow.mark += mark
                     flow.indent += len(mark)
@@ -449,8 +566,7 @@ def render(root: Node) -> str:
                 else:
                     flow.block(gap)
                 if tag in LISTS:
-                    first = node.attributes.get("start", "1")
-                    lists.append((tag, int(first) if re.fullmatch(r"-?[0-9]{1,9}", first) else 1))
+                    lists.append(list_start(node))
                 elif tag in ("blockquote", "dd"):
                     flow.indent += 2
                 elif tag in ("pre", "textarea", "listing"):
@@ -487,7 +603,8 @@ def render(root: Node) -> str:
 
 
 def visible_text(page: str) -> str:
-    return render(Tree(page).root)
+    tree = Tree(page)
+    return render(tree.root, Sheet(tree.styles))
 
 
 def extract_batches(batches: Iterator[pa.RecordBatch]):
