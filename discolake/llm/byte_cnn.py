@@ -31,6 +31,7 @@ from discolake.llm.tables import held_out, in_batches
 
 #: The network is trained on so many texts of a language at most, those with the least hashes,
 #: and on so many windows of each.
+SPARE = 1.5
 TRAIN_TEXTS = 400
 TRAIN_WINDOWS = 4
 WINDOW = 256
@@ -217,29 +218,34 @@ def pieces(texts: list[bytes], limit: int = 64 * WINDOW) -> Iterator[list[int]]:
 
 
 def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang") -> Network | None:
-    """Train on windows from anywhere in a bounded sample of each language's rows.
+    """Train on windows from anywhere in a bounded sample of each language's texts.
 
-    Rows that are held out and rows without a language are never learned from.
+    Rows that are held out and rows without a language are never learned from.  The sample
+    is the TRAIN_TEXTS ids of a language with the least hashes, one text of each.  A bound on the hash,
+    from how many ids a language has, leaves about SPARE times as many to choose from, so
+    no language is gathered and a bounded number of rows reaches the driver.
     """
     order = F.xxhash64(F.col(id_col), F.lit(23))
     known = docs.filter(F.col(lang_col).isNotNull() & ~held_out(F.col(id_col)))
-    narrow = known.select(F.col(id_col).alias("chosen"), F.col(lang_col).alias("lang"), order.alias("order"))
-    of_language = Window.partitionBy("lang").orderBy("order", "chosen")
-    chosen = narrow.withColumn("place", F.row_number().over(of_language)).filter(
-        F.col("place") <= TRAIN_TEXTS
-    )
+    sizes = known.groupBy(F.col(lang_col).alias("__lang")).agg(F.approx_count_distinct(id_col).alias("__ids"))
+    share = F.least(F.lit(1.0), F.lit(SPARE * TRAIN_TEXTS) / F.greatest("__ids", F.lit(1)))
+    few = known.withColumn("__order", order).join(sizes, F.col(lang_col) == F.col("__lang"))
+    few = few.filter(F.col("__order") / 2.0**63 <= 2 * share - 1)
     text = F.coalesce(F.col(text_col), F.lit(""))
     room = F.greatest(F.length(text) - WINDOW, F.lit(1))
     windows = F.transform(
         F.sequence(F.lit(1), F.lit(TRAIN_WINDOWS)),
         lambda i: F.substring(text, F.pmod(F.xxhash64(F.col(id_col), i), room) + 1, F.lit(WINDOW)),
     )
-    # TRAIN_TEXTS ids for each language at most.
-    ids = F.broadcast(chosen.select("chosen").distinct())
-    rows = known.join(ids, F.col(id_col) == F.col("chosen"), "left_semi")
-    found = rows.select(F.col(lang_col), order, windows).collect()
-    found.sort(key=lambda r: (r[0], r[1], r[2]))
-    pairs = [(w.encode(), r[0]) for r in found for w in r[2] if any(c.isalpha() for c in w)]
+    one = few.groupBy("__lang", "__order", F.col(id_col).alias("__id")).agg(
+        F.min(F.struct(F.xxhash64(text).alias("hash"), windows.alias("windows"))).alias("least")
+    )
+    taken: dict[str, int] = {}
+    pairs = []
+    for lang, _, _, drawn in sorted(one.select("__lang", "__order", F.col("__id").cast("string"), "least.windows").collect()):
+        taken[lang] = taken.get(lang, 0) + 1
+        if taken[lang] <= TRAIN_TEXTS:
+            pairs += [(w.encode(), lang) for w in drawn if any(c.isalpha() for c in w)]
     return train([w for w, _ in pairs], [label for _, label in pairs])
 
 

@@ -232,6 +232,8 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 5) -> RuleModel:
             columns.setdefault(np.packbits(holds).tobytes(), (rule, holds))
     score = lambda h: -abs(np.corrcoef(h, y)[0, 1])
     chosen = sorted(columns.values(), key=lambda rh: (score(rh[1]), rh[0].parts))[:MAX_RULES]
+    if not chosen:  # nothing tells the labels apart
+        return RuleModel(float(np.log(len(many) / len(few))), ())
     bias, weights = lasso(np.stack([h for _, h in chosen], 1).astype("f8"), y.astype("f8"))
     used = [(r, round(float(w), 9)) for (r, _), w in zip(chosen, weights, strict=True) if w]
     return RuleModel(bias, tuple(used))
@@ -244,11 +246,17 @@ def chosen(ids: DataFrame, id_col: str) -> Column:
 
 
 def train(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality") -> RuleModel:
-    """rows: ids and measures.  Rows whose id is held out are never learned from."""
+    """rows: ids and measures.  Rows whose id is held out are never learned from.
+
+    At most two rows for each chosen id reach the driver: its least measures with either label.
+    """
     given = labels.select(F.col("doc_id").alias("__labelled"), F.col(label).cast("int").alias("__label"))
     given = given.filter(F.col("__label").isin(0, 1) & ~held_out(F.col("__labelled")))
-    learn = rows.join(given.filter(chosen(given, "__labelled")), F.col(id_col) == F.col("__labelled"))
-    table = np.array(learn.select("__label", *COLUMNS).collect(), "f8").reshape(-1, len(MEASURES) + 1)
+    some = given.filter(chosen(given, "__labelled")).distinct()
+    own = rows.join(some.select("__labelled").distinct(), F.col(id_col) == F.col("__labelled"), "left_semi")
+    one = own.groupBy(id_col).agg(F.min(F.struct(*COLUMNS)).alias("__least"))
+    learn = one.join(some, F.col(id_col) == F.col("__labelled")).select("__label", "__least.*")
+    table = np.array(learn.collect(), "f8").reshape(-1, len(MEASURES) + 1)
     table = table[np.lexsort(table.T)]  # the order that rows arrive in does not matter
     return fit(table[:, 1:], table[:, 0])
 
