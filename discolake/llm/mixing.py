@@ -1,15 +1,18 @@
 """Mix sources to target weights by drawing fixed-length blocks of words.
 
 The words of a source, document after document, are packed into blocks of equal
-length.  A source gets as many slots of the mix as its target holds blocks.  Each
-slot is hashed to an output shard, so shards vary in size and all add up to the
-target; no counts of sources are drawn for a shard.  Slot j
+length.  A source gets as many slots of the mix as its target holds blocks.  Each output
+shard of SHARD_SLOTS slots draws from a multinomial, seeded by its number, how many of its slots
+each source has; running sums over the shards number the slots of a source.  Slots that the
+draws leave over go to shards behind the drawn ones, and draws beyond a source's slots
+lapse, so a source gets exactly its slots.  Slot j
 of a source with n blocks takes the block to which the permutation of pass j // n
 maps j % n, so no block is taken more often than the target's multiple of its source, rounded up.
 
 Where a document's words begin in its source follows from two sums: of the hashed
 chunks of the source before its own, and of the documents before it in its chunk.
-No task holds a source.
+No task holds a source.  The driver holds a row for each source.  Texts are moved once, to the blocks
+that were chosen of them.
 
 A null or empty text has no words, takes part with size 0 and is never taken.  A null
 source is a source of its own, last in order.  Rows with one id, or wholly equal ones,
@@ -18,10 +21,16 @@ are mixed one by one.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from discolake.llm.tables import stored
+from discolake.llm.tables import in_batches, partitions, stored
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: A word with the white space after it; side by side they are the text again.
@@ -31,6 +40,9 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
+#: Shards of a running sum; counts that a task draws at once.
+CHUNK_SHARDS = 1024
+DRAWN_ROWS = 1 << 20
 CHUNK_DOCS = 5000
 #: Rounds of swap-or-not; each swaps about half of all index pairs.
 ROUNDS = 12
@@ -76,9 +88,7 @@ def laid_out(docs: DataFrame, text_col: str, id_col: str, source_col: str, keep:
             ),
         }
     )
-    sized = sized.select(*keep, "__size", "__tie", "__chunk")
-    if text_col not in keep:
-        sized = stored(sized, "mix-sizes", narrow=True)
+    sized = stored(sized.select(*keep, "__size", "__tie", "__chunk"), "mix-sizes", narrow=True)
     chunks = sized.groupBy(F.col(source_col).alias("source"), "__chunk").agg(
         F.sum("__size").alias("words")
     )
@@ -123,30 +133,77 @@ def permuted(index: Column, count: Column, *key: Column) -> Column:
     return F.aggregate(turns, index.cast("long"), swap)
 
 
-def slots(known: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """All slots of the mix: number, slot, turn (which pass), block, shard."""
+def draw_batches(shares: list[tuple[int, float]], batches: Iterator[pa.RecordBatch]):
+    """For each shard how many of its slots each source has; sources without any are left out."""
+    numbers = np.array([n for n, _ in shares], "i8")
+    odds = np.array([p for _, p in shares])
+    for batch in batches:
+        shards = batch.column("shard").to_numpy()
+        for low in range(0, len(shards), max(1, DRAWN_ROWS // len(numbers))):
+            some = shards[low : low + max(1, DRAWN_ROWS // len(numbers))]
+            drawn = [np.random.default_rng((SEED, int(x))).multinomial(SHARD_SLOTS, odds) for x in some]
+            at, source = np.nonzero(np.array(drawn))
+            columns = [some[at], numbers[source], np.array(drawn)[at, source].astype("i8")]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["shard", "number", "drawn"])
+
+
+def drawn_slots(known: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Runs of slots: number, blocks, shard, low, high (the slots low .. high - 1 of the source)."""
+    spark = known.sparkSession
     blocks = F.ceil(F.col("source_size") / block_words)
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     counted = known.select(
         "number", blocks.alias("blocks"), F.round(share * blocks).cast("long").alias("slots")
     ).filter("slots > 0")
-    everything = F.sum("slots").over(Window.partitionBy())
-    counted = counted.withColumn("shards", F.ceil(everything / SHARD_SLOTS))
-    ranges = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(SHARD_SLOTS).cast("long")))
-    parts = counted.withColumn("low", ranges)
-    parts = parts.repartition(parts.sparkSession.sparkContext.defaultParallelism, "number", "low")
-    each = F.explode(F.sequence("low", F.least(F.col("low") + SHARD_SLOTS, F.col("slots")) - 1))
-    numbered = parts.select("number", "blocks", "shards", each.alias("slot")).withColumn(
+    sources = sorted(map(tuple, counted.collect()))
+    total = sum(slots for _, _, slots in sources)
+    shards = -(-total // SHARD_SLOTS)
+    work = functools.partial(draw_batches, [(number, slots / total) for number, _, slots in sources])
+    tasks = max(1, min(partitions(spark), shards // 16))
+    numbered = spark.range(0, shards, 1, tasks).withColumnRenamed("id", "shard")
+    drawn = in_batches(numbered, work, "shard long, number long, drawn long") if sources else None
+    if drawn is None:
+        return spark.createDataFrame([], "number long, blocks long, shard long, low long, high long")
+    # Running sums in two steps, so that no task holds all shards of a source.
+    drawn = drawn.withColumn("chunk", F.floor(F.col("shard") / CHUNK_SHARDS))
+    sums = drawn.groupBy("number", "chunk").agg(F.sum("drawn").alias("sum"))
+    before = Window.partitionBy("number").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sums.withColumn("first", F.coalesce(F.sum("sum").over(before), F.lit(0)))
+    within = Window.partitionBy("number", "chunk").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    low = F.col("first") + F.coalesce(F.sum("drawn").over(within), F.lit(0))
+    placed = drawn.join(firsts.drop("sum"), ["number", "chunk"]).withColumn("low", low)
+    placed = placed.join(counted, "number").select(
+        "number", "blocks", "shard", "low", F.least(F.col("low") + F.col("drawn"), "slots").alias("high")
+    )
+    all_drawn = sums.groupBy("number").agg(F.sum("sum").alias("all"))
+    left = counted.join(all_drawn, "number", "left").withColumn("low", F.least(F.coalesce("all", F.lit(0)), "slots"))
+    left = left.withColumn("left", F.col("slots") - F.col("low"))
+    # What was left over, source after source, fills shards behind the drawn ones; one row for each source.
+    ahead = F.sum("left").over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1))
+    left = left.withColumn("ahead", F.coalesce(ahead, F.lit(0))).filter("left > 0")
+    cuts = F.sequence(F.floor(F.col("ahead") / SHARD_SLOTS), F.floor((F.col("ahead") + F.col("left") - 1) / SHARD_SLOTS))
+    left = left.withColumn("shard", F.explode(cuts))
+    begin = F.greatest(F.col("shard") * SHARD_SLOTS, "ahead") - F.col("ahead")
+    end = F.least((F.col("shard") + 1) * SHARD_SLOTS - F.col("ahead"), "left")
+    rest = left.select(
+        "number", "blocks", (F.col("shard") + shards).alias("shard"),
+        (F.col("low") + begin).alias("low"), (F.col("low") + end).alias("high"),
+    )
+    return placed.filter("low < high").unionByName(rest)
+
+
+def slots(known: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """All slots of the mix: number, slot, turn (which pass), block, shard."""
+    runs = drawn_slots(known, block_words)
+    # A shard has SHARD_SLOTS slots, so the runs of a shard are even work.
+    runs = runs.repartition(max(runs.sparkSession.sparkContext.defaultParallelism, 1), "shard")
+    each = F.explode(F.sequence("low", F.col("high") - 1))
+    numbered = runs.select("number", "blocks", "shard", each.alias("slot")).withColumn(
         "turn", F.floor(F.col("slot") / F.col("blocks"))
     )
     key = (F.lit(SEED), F.col("number"), F.col("turn"))
-    return numbered.select(
-        "number",
-        "slot",
-        "turn",
-        permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), *key).alias("block"),
-        F.pmod(F.xxhash64(F.lit(SEED), F.lit("shard"), "number", "slot"), F.col("shards")).alias("shard"),
-    )
+    block = permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), *key)
+    return numbered.select("number", "slot", "turn", block.alias("block"), "shard")
 
 
 def pieces(laid: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -199,6 +256,11 @@ def taken_words(
     )
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns, so rows that agree in it and in their id are equal."""
+    return F.xxhash64(*[f.name for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+
+
 def mixed_documents(
     docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source"
 ) -> DataFrame:
@@ -207,26 +269,34 @@ def mixed_documents(
     Keeps the columns of docs and adds mix_turn, the pass, and mix_shards, the output
     shards that its blocks go to.  The taken words keep the white space after them.
     """
-    laid = stored(laid_out(docs, text_col, id_col, source_col, docs.columns), "mix-laid")
-    narrow = laid.select("__number", "__start", "__size", "__source_size", "__target")
+    hashed = docs.withColumn("__row", row_hash(docs))
+    laid = laid_out(hashed, text_col, id_col, source_col, [id_col, source_col, "__row"])
+    laid = stored(laid, "mix-laid", narrow=True)
     # A document has a piece for each of its blocks at most, so the lists follow its length.
     chosen = (
-        pieces(narrow)
-        .join(slots(_sources(narrow)), ["number", "block"])
+        pieces(laid)
+        .join(slots(_sources(laid)), ["number", "block"])
         .groupBy(F.col("number").alias("__number"), F.col("start").alias("__start"), F.col("turn").alias("__turn"))
         .agg(
             F.sort_array(F.collect_list(F.struct("low", "high"))).alias("__parts"),
             F.sort_array(F.collect_set("shard")).alias("__shards"),
         )
     )
+    whose = laid.filter("__size > 0").select("__number", "__start", "__row", F.col(id_col).alias("__id"))
+    chosen = chosen.join(whose, ["__number", "__start"]).select("__id", "__row", "__turn", "__parts", "__shards")
+    # Equal rows share a hash: any of them stands for the others.
+    twins = laid.groupBy(id_col, "__row").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    if not twins.isEmpty():
+        hashed = hashed.dropDuplicates([id_col, "__row"])
     words = F.regexp_extract_all(F.col(text_col), F.lit(WORD_AND_SPACE), F.lit(0))
     cut = F.transform(
         "__parts",
         lambda p: F.array_join(F.slice("__words", p["low"] + 1, p["high"] - p["low"]), ""),
     )
+    mine, theirs = hashed.withColumnRenamed("__row", "__own"), chosen
+    same = (F.col("__own") == F.col("__row")) & F.col(id_col).eqNullSafe(F.col("__id"))
     return (
-        laid.filter("__size > 0")
-        .join(chosen, ["__number", "__start"])
+        mine.join(theirs, same)
         # A generator, as a plain column would be worked out again for each part.
         .select("*", F.explode(F.array(words)).alias("__words"))
         .withColumn(text_col, F.array_join(cut, ""))

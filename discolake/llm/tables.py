@@ -6,7 +6,7 @@ import ctypes
 import functools
 import gc
 import os
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +22,12 @@ SAMPLE_ROWS = 20_000
 NARROW = 8
 
 
+#: Shuffle files of a query are removed once it has ended; what it wrote needs them no more.
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: The folders that each session's operators have written, oldest first.
+WRITTEN: dict[str, list[str]] = {}
+
+
 def stored(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """Write to the shared folder and read back: no lineage, survives lost executors.
 
@@ -31,10 +37,34 @@ def stored(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     path = new_folder(spark, name)
     if narrow:
         df = df.repartition(max(1, partitions(spark) // NARROW))
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP_CONF, "false")
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_CONF, before)
+    WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written(spark: SparkSession) -> list[str]:
+    return WRITTEN.setdefault(spark.sparkContext.applicationId, [])
+
+
+def release(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
+    """Remove working tables, by default all that this session has written so far.
+
+    Whatever was made of them must be written by then: frames that still read them fail.
+    """
+    known = written(spark)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    for path in list(known if paths is None else paths):
+        place = make(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        if path in known:
+            known.remove(path)
+
+
 #: The folder that holds the package, for Python workers that have no installed copy.
 ROOT = str(Path(__file__).resolve().parents[2])
 

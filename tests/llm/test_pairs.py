@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -267,6 +268,50 @@ def test_quotes_and_cdata_take_linear_time():
         visible_text(piece * 20_000)
 
 
+def seconds(page):
+    start = time.perf_counter()
+    visible_text(page)
+    return time.perf_counter() - start
+
+
+@pytest.mark.parametrize(
+    "piece",
+    [
+        lambda n: "<i>" * n + "<b><p></b>" * n,
+        lambda n: "<font>" * n + "<li>x" * n,
+        lambda n: "<svg>" + "<x>" * n + "<![CDATA[a]]>" * n,
+        lambda n: "<i>" * n + "</u></p></td>" * n,
+        lambda n: "<i>" * n + "<body class=a>" * n,
+    ],
+)
+def test_deep_pages_take_linear_time(piece):
+    """Twice the page takes about twice the time; a walk down the stack took four times as long."""
+    visible_text(piece(500))
+    short = min(seconds(piece(8000)) for _ in range(3))
+    long = min(seconds(piece(16000)) for _ in range(3))
+    assert long < 3 * short + 0.2 and long < 5
+
+
+def test_style_elements_hide():
+    page = "<style>.x, #y{display:none} @media print{p{display:none}} i{visibility:hidden}</style>"
+    page += "<p class='a x'>no<p id=y>no<p>yes <i>no <b style='visibility:visible'>seen</b></i>"
+    assert visible_text(page) == "yes seen"
+    assert visible_text("<style>p{display:none}p.k{display:block}</style><p>no<p class=k>yes") == "yes"
+    assert visible_text("<style>p{display:none!important}</style><p style='display:block'>no") == ""
+    assert visible_text("<style>/* p{display:none} */ div > p{display:none} q{color:red}</style><div><p>yes</div>") == "yes"
+    assert visible_text("<style>.a{display:none}.a{display:block}</style><p class=a>yes") == "yes"
+    assert visible_text("<style>p{display:none</style><p>a") in ("", "a")
+
+
+def test_numbers_of_list_items_and_ruby():
+    assert visible_text("<ol><li value=5>a<li>b<li value=x>c</ol>") == "5. a\n6. b\n7. c"
+    assert visible_text("<ol reversed><li>a<li>b</ol>") == "2. a\n1. b"
+    assert visible_text("<ol reversed start=9><li>a<li>b</ol>") == "9. a\n8. b"
+    assert visible_text("<ruby>x<rp>(</rp><rt>y</rt><rp>)</rp></ruby>") == "xy"
+    tall = "<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>"
+    assert visible_text(tall) == visible_text(tall.replace("=0", "=3"))
+
+
 def test_pages_of_any_depth_and_length():
     assert visible_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
     assert visible_text("<ul><li>" * 300 + "x").endswith("x")

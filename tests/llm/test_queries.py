@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from discolake.llm import content_sort, mixing, ngram_join, segment_bpe
 from discolake.llm.queries import ORACLES, QUERIES
+from discolake.llm.tables import written
 
 SF_DIR = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.exists(SF_DIR), reason="no test tables here")
@@ -130,3 +131,43 @@ def test_stages_keep_columns_and_their_decisions_hold(spark):
 def test_run_applies_all_stages(spark):
     assert corpus_pipeline.ORACLE_SQL is None
     assert corpus_pipeline.run(spark, SF_DIR).count() > 100
+
+
+@needs_tables
+@pytest.mark.parametrize("rows", ["odd", "none"])
+def test_the_chain_takes_odd_rows(spark, tmp_path, rows):
+    """Nulls, empty and long texts, repeated rows and ids, columns with the names operators use."""
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    good = given.filter(F.length("text") > 400).limit(1)
+    odd = [(None, None, None, None, None), (1, None, "en", None, 0), (1, "", "en", "src0", 0), (2, " \t\n", None, "src1", 3)]
+    extra = spark.createDataFrame(odd, given.schema)
+    long = good.withColumn("text", F.repeat(F.concat("text", F.lit(" ")), 300)).withColumn("doc_id", F.lit(10**9))
+    docs = given.unionByName(extra).unionByName(extra).unionByName(good).unionByName(long)
+    for name in ("__row", "rep", "gram", "shard", "number", "score", "kept"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    docs = docs if rows == "odd" else docs.limit(0)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF_DIR}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    columns = docs.columns
+    for number, (_, work) in enumerate(corpus_pipeline.STAGES):
+        docs = spark.read.parquet(str(tmp_path / (f"stage-{number}" if number else "documents.parquet")))
+        kept = work(spark, docs, str(tmp_path))
+        kept.write.parquet(str(tmp_path / f"stage-{number + 1}"))
+        if number < len(corpus_pipeline.STAGES) - 1:
+            assert kept.columns == columns
+    tokens = spark.read.parquet(str(tmp_path / f"stage-{len(corpus_pipeline.STAGES)}"))
+    mixed = spark.read.parquet(str(tmp_path / f"stage-{len(corpus_pipeline.STAGES) - 1}"))
+    assert tokens.count() == mixed.count() and (tokens.count() > 0) == (rows == "odd")
+    texts = sorted(hashlib.sha256(r.text.encode()).hexdigest() for r in mixed.collect())
+    assert sorted(r.decoded_sha256 for r in tokens.collect()) == texts
+
+
+@needs_tables
+def test_a_stage_removes_the_working_tables_of_the_one_before(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    known = set(written(spark))
+    corpus_pipeline.exact_dedup(spark, docs, SF_DIR).count()
+    made = [path for path in written(spark) if path not in known]
+    assert made and all(os.path.exists(path) for path in made)
+    corpus_pipeline.quality(spark, docs, SF_DIR)
+    assert not any(os.path.exists(path) for path in made) and known <= set(written(spark))

@@ -351,6 +351,24 @@ def test_slots_of_a_pass_take_each_block_once(spark):
     assert order[:100] != sorted(order[:100]) and order[:100] != order[100:200]
 
 
+def test_each_shard_draws_its_own_counts_of_sources(spark):
+    rows = [(0, 64 * 20_000, 64 * 30_000.0), (1, 64 * 50_000, 64 * 20_000.0), (2, 640, 320.0)]
+    known = spark.createDataFrame(rows, "number int, source_size long, target double")
+    found = mixing.drawn_slots(known).collect()
+    counts = Counter()
+    for number, slots in ((0, 30_000), (1, 20_000), (2, 5)):
+        mine = sorted((r.low, r.high, r.shard) for r in found if r.number == number)
+        assert [low for low, _, _ in mine] == [0, *(high for _, high, _ in mine)][:-1] and mine[-1][1] == slots
+        for low, high, shard in mine:
+            counts[shard, number] += high - low
+    shards = {shard for shard, _ in counts}
+    assert all(sum(counts[s, n] for n in range(3)) <= mixing.SHARD_SLOTS for s in shards)
+    drawn = [counts[s, 0] for s in range(10)]
+    assert len(set(drawn)) > 5  # the draws differ from shard to shard
+    assert all(abs(d - mixing.SHARD_SLOTS * 0.6) < 6 * (mixing.SHARD_SLOTS * 0.24) ** 0.5 for d in drawn)
+    assert sorted(found) == sorted(mixing.drawn_slots(known.repartition(3)).collect())
+
+
 PRIVATE = [
     None,
     "",
@@ -431,3 +449,66 @@ def test_contexts_discover_numbers_of_one_and_two_groups(spark):
     for i, number in enumerate(numbers):
         assert found[100 + i].spans == f"phone:19:{19 + len(number)}", number
     assert found[200].spans == "" and found[201].spans == ""
+
+
+def loose_spans(row):
+    """The spans that contexts added: those that the strict forms do not give."""
+    return int(row.n_found)
+
+
+def test_what_was_found_induces_patterns_of_its_own(spark):
+    """Seeds lead to 80 numbers; these stand before 'zebra quartz', which leads to three more."""
+    rows = [(i, f"please dial +44 20 7946 0{100 + i} whenever") for i in range(12)]
+    rows += [(100 + i, f"please dial 555-867-5{100 + i} zebra quartz") for i in range(80)]
+    rows += [(300 + i, f"some other words 555-321-9{100 + i} zebra quartz") for i in range(3)]
+    rows += [(400 + i, f"order number 555-111-2{100 + i} shipped today") for i in range(20)]
+    found = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(loose_spans(found[100 + i]) == 1 for i in range(80))
+    assert all(loose_spans(found[300 + i]) == 1 for i in range(3))
+    assert all(loose_spans(found[400 + i]) == 0 for i in range(20))
+
+
+def test_added_spans_against_planted_truth(spark):
+    """Recall and precision of what contexts add, over numbers planted in and out of telling contexts."""
+    draw = random.Random(9)
+    filler = [f"word{i}" for i in range(300)]
+    some = lambda k: " ".join(draw.choices(filler, k=k))
+    number = lambda: f"{draw.randint(200, 999)}-{draw.randint(200, 999)}-{draw.randint(1000, 9999)}"
+    rows, truth = [], {}
+    for i in range(600):
+        pick = draw.random()
+        if pick < 0.15:
+            text = f"{some(20)} call me on +1 212 555 {draw.randint(1000, 9999)} tonight {some(5)}"
+        elif pick < 0.4:
+            before, value = f"{some(20)} call me on ", number()
+            text = f"{before}{value} tonight {some(5)}"
+            truth[i] = f"phone:{len(before)}:{len(before) + len(value)}"
+        elif pick < 0.7:
+            text = f"{some(20)} part {number()} in stock {some(5)}"
+        else:
+            text = some(30)
+        rows.append((i, text))
+    found = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    added = {(i, s) for i, r in found.items() if r.n_found for s in r.spans.split(",") if r.n_phone == 0}
+    right = added & set(truth.items())
+    assert len(right) >= 0.95 * len(truth) and len(right) >= 0.95 * len(added)
+
+
+def test_training_rows_are_bounded_though_one_id_repeats(spark):
+    """One id holds most rows; one of them at most reaches the driver."""
+    rows = [(7, f"text number {i} of many words here", "en", "s", 0) for i in range(900)]
+    rows += [(1000 + i, f"des mots tout autres {i} et encore", "fr" if i % 2 else "en", "s", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    net = byte_cnn.learn(docs.withColumn("turn", F.lit("mine")).withColumn("order", F.lit(1)))
+    assert net.languages == ["en", "fr"]
+    labels = spark.createDataFrame([(7, 1), (7, 0), (7, 1), *[(1000 + i, i % 2) for i in range(60)]], "doc_id long, quality int")
+    measured = quality_rules.measured(docs, "text", ["doc_id"])
+    calls, collected = quality_rules.fit, []
+    quality_rules.fit = lambda x, y: collected.append(len(x)) or calls(x, y)
+    try:
+        quality_rules.train(measured, labels)
+    finally:
+        quality_rules.fit = calls
+    assert collected[0] <= 62
+    found = byte_cnn.identify(docs.withColumn("lang_pred", F.lit("x")).withColumn("score", F.lit("x")), net)
+    assert found.count() == len(rows)
