@@ -1,15 +1,16 @@
 """Phrases whose words come together more often than apart, counted in a burst trie.
 
-A task numbers its words and counts phrases in a HAT-trie: a node for each language and
-first word, below it hash containers of the other word numbers.  A container that grows
-too large bursts into a node with a container for each next word.  When a trie holds
-too many entries, its largest subtrees leave whole, each as a sorted run of phrases and counts.
+A task numbers its words and counts phrases in a HAT-trie.  All phrases begin in one hybrid hash
+container, which their first words share.  When it grows too large it bursts: first words with many phrases get
+subtrees of their own, hash containers of the word numbers that follow, and these burst
+into a node with a container for each next word.  When a trie holds too many entries, its largest
+subtrees leave whole, each as a sorted run of phrases and counts, the shared container among them.
 The runs of all tasks are written, dealt to ranges of phrases, so that phrases with one
 beginning are neighbours and a very common beginning fills several ranges, and added up there.
 
-Longer phrases are counted in a second pass, only where every two neighbours in them are a
-frequent pair: no other phrase can be frequent.  Tasks look pairs up in a hashed set of
-at most FILTER_BITS bits, which grows with the pairs up to that bound and lets some more
+Words are counted first, then pairs of frequent words, then longer phrases in which every two
+neighbours are a frequent pair: no others can be frequent.  Tasks look up what is frequent in a hashed set of
+at most FILTER_BITS bits, which grows with its members up to that bound and lets some more
 phrases through when it is full; counts stay exact.
 
 A null text has no words, a null language is UNKNOWN.  Repeated rows count each time, texts
@@ -42,6 +43,8 @@ ID_MASK = (1 << ID_BITS) - 1
 #: Entries of a container that make it burst, and of a trie that make subtrees leave.
 BURST = 4_096
 MOST_ENTRIES = 1_000_000
+#: Bytes of a phrase in the shared container: its first word with the language, and the rest.
+KEY = np.dtype([("first", ">i8"), ("rest", ">i8")])
 #: Rows of a batch of a run.
 RUN_ROWS = 50_000
 SLICE = 4 << 20
@@ -85,20 +88,62 @@ class Node:
 
 
 class Trie:
-    """Counts of phrases: language and first word, then containers of what follows."""
+    """Counts of phrases: a shared container, and subtrees of the first words that fill it most."""
 
-    def __init__(self, burst: int = BURST):
+    def __init__(self, burst: int = BURST, longest: int = LONGEST):
         self.burst = burst
+        self.bits = (longest - 1) * ID_BITS  # of what follows a first word
+        self.shared: dict[bytes, int] = {}
+        self.room = burst
         self.under: dict[int, Node | dict[int, int]] = {}
         self.sizes: dict[int, int] = {}
+        self.heavy = np.zeros(0, "i8")
         self.entries = 0
 
     def add(self, first: np.ndarray, rest: np.ndarray, counts: np.ndarray) -> None:
         """Phrases sorted by first and rest, each once."""
+        own = np.isin(first, self.heavy) if len(self.heavy) else np.zeros(len(first), bool)
+        self.add_to_subtrees(first[own], rest[own], counts[own])
+        keys = np.empty(int((~own).sum()), KEY)
+        keys["first"], keys["rest"] = first[~own], rest[~own]
+        held, before = self.shared, len(self.shared)
+        get = held.get
+        for key, count in zip(keys.view("V16").tolist(), counts[~own].tolist()):
+            held[key] = get(key, 0) + count
+        self.entries += len(held) - before
+        if len(held) > self.room:
+            self.burst_shared()
+
+    def unpacked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys = np.frombuffer(b"".join(self.shared), KEY)
+        counts = np.fromiter(self.shared.values(), "i8", len(self.shared))
+        return keys["first"].astype("i8"), keys["rest"].astype("i8"), counts
+
+    def burst_shared(self) -> None:
+        """First words with the most phrases move to subtrees; many with few phrases stay together."""
+        first, rest, counts = self.unpacked()
+        order = np.lexsort((rest, first))
+        first, rest, counts = first[order], rest[order], counts[order]
+        words, sizes = np.unique(first, return_counts=True)
+        much = words[sizes >= max(2, self.burst // 64)]
+        moved = np.isin(first, much)
+        self.entries -= len(self.shared)
+        keys = np.empty(int((~moved).sum()), KEY)
+        keys["first"], keys["rest"] = first[~moved], rest[~moved]
+        self.shared = dict(zip(keys.view("V16").tolist(), counts[~moved].tolist()))
+        self.entries += len(self.shared)
+        self.heavy = np.union1d(self.heavy, much)
+        self.add_to_subtrees(first[moved], rest[moved], counts[moved])
+        # What could not be moved counts as room, so that it is not looked through again at once.
+        self.room = 2 * len(self.shared) + self.burst
+
+    def add_to_subtrees(self, first: np.ndarray, rest: np.ndarray, counts: np.ndarray) -> None:
+        if not len(first):
+            return
         cuts = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1]))).tolist()
         keys, rests, counts = first[cuts].tolist(), rest.tolist(), counts.tolist()
         for key, a, b in zip(keys, cuts, [*cuts[1:], len(rests)]):
-            new = self.put(self.under, key, rests[a:b], counts[a:b], (LONGEST - 1) * ID_BITS)
+            new = self.put(self.under, key, rests[a:b], counts[a:b], self.bits)
             self.sizes[key] = self.sizes.get(key, 0) + new
             self.entries += new
 
@@ -134,19 +179,23 @@ class Trie:
             start = stop
         return new
 
-    def largest(self, entries: int) -> list[int]:
-        """The largest subtrees that hold so many entries together."""
+    def largest(self, entries: int) -> list[int | None]:
+        """The largest subtrees that hold so many entries together; None is the shared container."""
         keys, held = [], 0
-        for key in sorted(self.sizes, key=self.sizes.get, reverse=True):
+        sizes = {None: len(self.shared), **self.sizes}
+        for key in sorted(sizes, key=sizes.get, reverse=True):
             if held >= entries:
                 break
             keys.append(key)
-            held += self.sizes[key]
+            held += sizes[key]
         return keys
 
-    def cut(self, keys: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def everything(self) -> list[int | None]:
+        return [None, *self.under]
+
+    def cut(self, keys: list[int | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Takes whole subtrees out: first, rest and count of their phrases."""
-        parts: list[tuple[int, np.ndarray, np.ndarray]] = []
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def walk(held, above: int, bits: int) -> None:
             if isinstance(held, Node):
@@ -155,21 +204,27 @@ class Trie:
                     walk(under, above | lead << low, low)
             else:
                 rests = np.fromiter(held, "i8", len(held)) | above
-                parts.append((key, rests, np.fromiter(held.values(), "i8", len(held))))
+                parts.append((np.full(len(held), key), rests, np.fromiter(held.values(), "i8", len(held))))
 
         for key in keys:
-            walk(self.under.pop(key), 0, (LONGEST - 1) * ID_BITS)
-            self.entries -= self.sizes.pop(key)
-        firsts = np.repeat([k for k, _, _ in parts], [len(r) for _, r, _ in parts])
-        return firsts, np.concatenate([r for _, r, _ in parts]), np.concatenate([c for _, _, c in parts])
+            if key is None:
+                parts.append(self.unpacked())
+                self.entries -= len(self.shared)
+                self.shared, self.room = {}, self.burst
+            else:
+                walk(self.under.pop(key), 0, self.bits)
+                self.entries -= self.sizes.pop(key)
+        return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 class Counter:
     """The trie of a task, with the numbers of its words and languages."""
 
-    def __init__(self, lengths: tuple[int, ...], pairs: np.ndarray | None, most: int, burst: int):
-        self.lengths, self.pairs, self.most = lengths, pairs, most
-        self.trie = Trie(burst)
+    def __init__(self, lengths: tuple[int, ...], frequent: np.ndarray | None, of: int, most: int, burst: int):
+        """frequent: the bits of the frequent phrases of ``of`` words; without it all are counted."""
+        self.lengths, self.frequent, self.of, self.most = lengths, frequent, of, most
+        self.longest = max(lengths)
+        self.trie = Trie(burst, self.longest)
         self.words: dict[str, int] = {}
         self.hashes = np.zeros(0, "u8")
         self.langs: dict[str, int] = {}
@@ -179,7 +234,7 @@ class Counter:
         known = self.words
         before = len(known)
         out = np.array([known.setdefault(w, len(known) + 1) for w in words], "i8")
-        if self.pairs is not None and len(known) > before:
+        if self.frequent is not None and len(known) > before:
             fresh = np.array([hash_of(w) for w in itertools.islice(known, before, None)], "u8")
             self.hashes = np.concatenate((self.hashes, fresh))
         return out
@@ -189,28 +244,27 @@ class Counter:
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.words) + len(distinct) > ID_MASK:
-            yield from self.leave(list(self.trie.under))
+            yield from self.leave(self.trie.everything())
+            self.words, self.trie.heavy = {}, np.zeros(0, "i8")
             self.words, self.hashes = {}, np.zeros(0, "u8")
         numbers = self.numbers(distinct)
         ids = numbers[coded.indices.to_numpy(zero_copy_only=False)]
         lang_ids = np.array([self.langs.setdefault(x, len(self.langs)) for x in langs], "i8")
-        if self.pairs is None:
+        if 1 in self.lengths:
             names = list(self.langs)
             found, counts = np.unique(lang_ids[row], return_counts=True)
             for i, count in zip(found.tolist(), counts.tolist()):
                 self.totals[names[i]] = self.totals.get(names[i], 0) + count
         first = lang_ids[row] << ID_BITS | ids
         good = None
-        if self.pairs is not None and len(ids):
-            hashes = self.hashes[ids - 1]
-            lang_hashes = np.array([hash_of(x) for x in self.langs], "u8")[lang_ids[row]]
-            good = self.frequent(lang_hashes[:-1], hashes[:-1], hashes[1:]) & (piece[1:] == piece[:-1])
+        if self.frequent is not None and len(ids):
+            good = self.good_starts(self.hashes[ids - 1], lang_ids[row], piece)
         firsts, rests = [], []
         for length in self.lengths:
             starts = self.starts(length, piece, good)
             rest = np.zeros(len(starts), "i8")
             for k in range(1, length):
-                rest |= ids[starts + k] << (LONGEST - 1 - k) * ID_BITS
+                rest |= ids[starts + k] << (self.longest - 1 - k) * ID_BITS
             firsts.append(first[starts])
             rests.append(rest)
         firsts, rests = np.concatenate(firsts), np.concatenate(rests)
@@ -223,28 +277,33 @@ class Counter:
         if self.trie.entries > self.most:
             yield from self.leave(self.trie.largest(self.trie.entries - self.most // 2))
 
+    def good_starts(self, hashes: np.ndarray, lang: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Where a frequent phrase of ``of`` words starts, as far as the hashed set tells."""
+        langs = np.array([hash_of(x) for x in self.langs], "u8")[lang]
+        if self.of == 1:
+            return is_member(self.frequent, place_of(langs, hashes))
+        same = piece[1:] == piece[:-1]
+        return is_member(self.frequent, place_of(langs[:-1], hashes[:-1], hashes[1:])) & same
+
     def starts(self, length: int, piece: np.ndarray, good: np.ndarray | None) -> np.ndarray:
-        """Where phrases of a length start: within a piece, and of frequent pairs only."""
+        """Where phrases of a length start: within a piece, and of frequent parts only."""
         count = len(piece) - length + 1
         if count <= 0:
             return np.zeros(0, "i8")
-        if good is None:
-            return np.flatnonzero(piece[:count] == piece[length - 1 :])
-        holds = good[:count].copy()
-        for k in range(1, length - 1):
-            holds &= good[k : k + count]
+        holds = piece[:count] == piece[length - 1 :]
+        if good is not None:
+            for k in range(length - self.of + 1):
+                holds &= good[k : k + count]
         return np.flatnonzero(holds)
 
-    def frequent(self, lang: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        at = pair_place(lang, a, b, len(self.pairs) * 8)
-        return (self.pairs[at >> np.uint64(3)] >> (at & np.uint64(7)).astype("u1")) & 1 == 1
-
-    def leave(self, keys: list[int]) -> Iterator[pa.RecordBatch]:
+    def leave(self, keys: list[int | None]) -> Iterator[pa.RecordBatch]:
         """Subtrees as one sorted run."""
         if not keys:
             return
         first, rest, counts = self.trie.cut(keys)
-        ids = np.stack([first & ID_MASK, *(rest >> k * ID_BITS & ID_MASK for k in range(LONGEST - 2, -1, -1))])
+        if not len(first):
+            return
+        ids = np.stack([first & ID_MASK, *(rest >> k * ID_BITS & ID_MASK for k in range(self.longest - 2, -1, -1))])
         used, places = np.unique(ids, return_inverse=True)
         names = np.array(["", *self.words], object)[used]
         texts = pa.array(names, pa.large_string())
@@ -267,7 +326,7 @@ class Counter:
             )
 
     def end(self) -> Iterator[pa.RecordBatch]:
-        yield from self.leave(list(self.trie.under))
+        yield from self.leave(self.trie.everything())
         if self.totals:
             columns = [pa.array(list(self.totals), pa.string()), pa.array([""] * len(self.totals), pa.string())]
             counts = pa.array(list(self.totals.values()), pa.int64())
@@ -278,16 +337,24 @@ def hash_of(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
-def pair_place(lang: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
-    """The bit of a pair of words in a set of a power of two of bits."""
-    mixed = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b + lang * np.uint64(0xC2B2AE3D27D4EB4F))
-    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (mixed ^ (mixed >> np.uint64(32))) & np.uint64(bits - 1)
+def place_of(lang: np.ndarray, *words: np.ndarray) -> np.ndarray:
+    """A hash of the words of a phrase, given by theirs, and its language."""
+    mixed = lang * np.uint64(0xC2B2AE3D27D4EB4F)
+    for word in words:
+        mixed = (mixed ^ word) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+    return mixed * np.uint64(0xD6E8FEB86659FD93)
+
+
+def is_member(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether the set, a power of two of bits, has a place."""
+    at = place >> np.uint64(65 - (len(bits) * 8).bit_length())
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype("u1")) & 1 == 1
 
 
-def count_batches(lengths, pairs, most: int, burst: int, batches: Iterator[pa.RecordBatch]):
-    held = None if pairs is None else np.frombuffer(pairs.value, "u1")
-    counter = Counter(lengths, held, most, burst)
+def count_batches(lengths, frequent, of: int, most: int, burst: int, batches: Iterator[pa.RecordBatch]):
+    held = None if frequent is None else np.frombuffer(frequent.value, "u1")
+    counter = Counter(lengths, held, of, most, burst)
     for batch in batches:
         for part in slices(batch, "text", SLICE):
             yield from counter.add(part.column("lang").to_pylist(), pc.fill_null(part.column("text"), ""))
@@ -295,19 +362,20 @@ def count_batches(lengths, pairs, most: int, burst: int, batches: Iterator[pa.Re
 
 
 def place_batches(bits: int, batches: Iterator[pa.RecordBatch]):
+    shift = np.uint64(65 - bits.bit_length())
     for batch in batches:
-        pairs = [p.split(" ") for p in batch.column("phrase").to_pylist()]
-        a, b = (np.array([hash_of(p[i]) for p in pairs], "u8") for i in (0, 1))
+        words = [p.split(" ") for p in batch.column("phrase").to_pylist()]
+        hashes = np.array([[hash_of(w) for w in p] for p in words], "u8").reshape(len(words), -1)
         lang = np.array([hash_of(x) for x in batch.column("lang").to_pylist()], "u8")
-        places = pair_place(lang, a, b, bits).astype("i8")
+        places = (place_of(lang, *hashes.T) >> shift).astype("i8")
         yield pa.RecordBatch.from_arrays([pa.array(places)], ["place"])
 
 
-def pair_filter(pairs: DataFrame, bounds: tuple[int, int] = FILTER_BITS) -> bytes:
-    """The set of frequent pairs as bits; built by Spark, at most bounds[1] bits reach the driver."""
+def hashed_set(phrases: DataFrame, bounds: tuple[int, int] = FILTER_BITS) -> bytes:
+    """Phrases of one number of words as bits; built by Spark, at most bounds[1] bits reach the driver."""
     least, most = bounds
-    bits = max(least, min(most, 1 << (64 * pairs.count()).bit_length()))
-    places = in_batches(pairs.select("lang", "phrase"), functools.partial(place_batches, bits), "place long")
+    bits = max(least, min(most, 1 << (64 * phrases.count()).bit_length()))
+    places = in_batches(phrases.select("lang", "phrase"), functools.partial(place_batches, bits), "place long")
     block = F.floor(F.col("place") / 32768).cast("long")
     maps = places.groupBy(block.alias("block")).agg(
         F.bitmap_construct_agg((F.col("place") % 32768).cast("long")).alias("map")
@@ -319,10 +387,10 @@ def pair_filter(pairs: DataFrame, bounds: tuple[int, int] = FILTER_BITS) -> byte
 
 
 def counted(
-    docs: DataFrame, lengths: tuple[int, ...], pairs=None, most: int = MOST_ENTRIES, burst: int = BURST
+    docs: DataFrame, lengths: tuple[int, ...], frequent=None, of: int = 0, most: int = MOST_ENTRIES, burst: int = BURST
 ) -> DataFrame:
-    """lang, phrase, f of all phrases of these lengths; phrase '' has the number of words, in the first pass."""
-    work = functools.partial(count_batches, lengths, pairs, most, burst)
+    """lang, phrase, f of all phrases of these lengths; with words phrase '' has their number."""
+    work = functools.partial(count_batches, lengths, frequent, of, most, burst)
     runs = stored(in_batches(docs, work, RUNS), "runs")
     ranges = runs.repartitionByRange(partitions(docs.sparkSession), "lang", "phrase")
     return ranges.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
@@ -340,12 +408,16 @@ def frequent_phrases(
     """lang, phrase, f of phrases of up to four words with f of at least least; phrase '' counts all words."""
     spark = docs.sparkSession
     given = docs.select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).alias("text"))
-    enough = F.col("f") >= least
-    short = stored(counted(given, (1, 2), None, most, burst).filter(enough | (F.col("phrase") == "")), "short")
-    pairs = spark.sparkContext.broadcast(pair_filter(short.filter(F.instr("phrase", " ") > 0), filter_bits))
-    long = stored(counted(given, (3, 4), pairs, most, burst).filter(enough), "long")
-    pairs.unpersist()
-    return short.unionByName(long)
+    enough = (F.col("f") >= least) | (F.col("phrase") == "")
+    found = stored(counted(given, (1,), None, 0, most, burst).filter(enough), "phrases-1", narrow=True)
+    every = found
+    for of, lengths in ((1, (2,)), (2, (3, 4))):
+        bits = hashed_set(found.filter(F.col("phrase") != ""), filter_bits)
+        frequent = spark.sparkContext.broadcast(bits)
+        found = stored(counted(given, lengths, frequent, of, most, burst).filter(enough), f"phrases-{of + 1}", narrow=True)
+        frequent.unpersist()
+        every = every.unionByName(found)
+    return every
 
 
 def exact(column: Column) -> Column:

@@ -103,7 +103,7 @@ def test_small_tries_and_full_filters_change_nothing(spark):
 def test_runs_are_sorted_and_whole(spark):
     rows = random_rows(200, seed=5)
     langs = [lang or "und" for lang, _ in rows]
-    counter = phrases.Counter((1, 2, 3, 4), None, most=2000, burst=8)
+    counter = phrases.Counter((1, 2, 3, 4), None, 0, most=2000, burst=8)
     batches = []
     for low in range(0, len(rows), 20):
         texts = pa.array([t for _, t in rows[low : low + 20]])
