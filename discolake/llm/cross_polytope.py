@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from discolake.llm.components import components
 from discolake.llm.tables import in_batches, partitions, stored
@@ -35,7 +36,7 @@ TURNS = 3
 #: Vectors of one class that a block of a bucket holds at most, about.
 BLOCK = 256
 SEED = 29
-INSERTED = "bucket long, rep long, size long, unit binary, buckets array<long>"
+INSERTED = "bucket long, rep long, size long"
 
 
 def plan(count: int, dims: int) -> tuple[int, int, int]:
@@ -105,37 +106,35 @@ def bucket_names(unit: np.ndarray, hashes: int, tables: int, probes: int) -> np.
     return np.stack(names, 1)
 
 
+def units(x: np.ndarray) -> np.ndarray:
+    """Rows at length 1 in double precision; scaled first, so that no square overflows or vanishes."""
+    x = x.astype("f8")
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def by_width(lists: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The rows of each width, and their vectors at length 1."""
+    widths = np.diff(lists.offsets.to_numpy()[: len(lists) + 1])
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(widths)
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width)
+        yield rows, units(flat[(ends[rows] - width)[:, None] + np.arange(width)])
+
+
 def hash_batches(hashes: int, tables: int, probes: int, batches: Iterator[pa.RecordBatch]):
-    """rep, size, embedding -> a row for each bucket of each vector."""
+    """rep, size, embedding -> bucket, rep, size: a row for each bucket of each vector."""
     for batch in batches:
         for start in range(0, batch.num_rows, 1024):
             part = batch.slice(start, 1024)
-            lists = part.column("embedding")
-            widths = np.diff(lists.offsets.to_numpy()[: len(lists) + 1])
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("f8")
-            ends = np.cumsum(widths)
             rep, size = (part.column(c).to_numpy() for c in ("rep", "size"))
-            for width in np.unique(widths).tolist():
-                rows = np.flatnonzero(widths == width)
-                x = flat[(ends[rows] - width)[:, None] + np.arange(width)]
-                # Scaled first, so that no square overflows or vanishes.
-                x = x / np.abs(x).max(1, keepdims=True)
-                unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+            for rows, unit in by_width(part.column("embedding")):
                 names = bucket_names(unit, hashes, tables, probes)
-                packed = [u.tobytes() for u in unit]
                 # A vector is put into a bucket once.
                 owner, place = np.nonzero(~np.triu(names[:, :, None] == names[:, None, :], 1).any(1))
-                lists_of = names.tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(names[owner, place]),
-                        pa.array(rep[rows][owner]),
-                        pa.array(size[rows][owner]),
-                        pa.array([packed[i] for i in owner.tolist()], pa.binary()),
-                        pa.array([lists_of[i] for i in owner.tolist()], pa.list_(pa.int64())),
-                    ],
-                    ["bucket", "rep", "size", "unit", "buckets"],
-                )
+                columns = [names[owner, place], rep[rows][owner], size[rows][owner]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["bucket", "rep", "size"])
 
 
 def local_roots(near: np.ndarray) -> np.ndarray:
@@ -150,7 +149,7 @@ def local_roots(near: np.ndarray) -> np.ndarray:
         roots = new
 
 
-def verify(cell: dict[str, np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+def verify(cell: dict, least: float, hashes: int, tables: int, probes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """Rows of one cell -> rep, links that count here, root; None without a link."""
     unit, side = cell["unit"], cell["side"]
     near = unit @ unit.T >= least
@@ -160,8 +159,11 @@ def verify(cell: dict[str, np.ndarray], least: float) -> tuple[np.ndarray, np.nd
     if not near.any():
         return None
     a, b = np.nonzero(np.triu(near))
-    # Of all buckets where the two meet, this one must be the first in order.
-    names = cell["buckets"]
+    # Of all buckets where the two meet, this one must be the first in order.  Names are made again for
+    # the few rows that are in a link.
+    met = np.unique(np.concatenate((a, b)))
+    names = np.zeros((len(unit), tables * (1 + probes)), "i8")
+    names[met] = bucket_names(unit[met], hashes, tables, probes)
     counts = np.zeros(len(unit), "i8")
     for start in range(0, len(a), 4096):
         i, j = a[start : start + 4096], b[start : start + 4096]
@@ -177,36 +179,38 @@ def verify(cell: dict[str, np.ndarray], least: float) -> tuple[np.ndarray, np.nd
     return cell["rep"][linked], counts[linked], roots[linked]
 
 
-def verify_batches(least: float, batches: Iterator[pa.RecordBatch]):
+def verify_batches(least: float, hashes: int, tables: int, probes: int, batches: Iterator[pa.RecordBatch]):
     """Rows sorted by bucket and cell; a cell may go on in the next batch."""
-    columns = ("bucket", "low", "high", "rep", "size", "unit", "buckets", "side")
-    held: list[tuple] = []
+    held: list[pa.RecordBatch] = []
 
-    def done(rows: list[tuple]):
+    def done(rows: pa.Table) -> list:
         if len(rows) < 2:
-            return None
-        bucket, _, _, rep, size, unit, buckets, side = zip(*rows, strict=True)
-        return verify(
-            {
-                "bucket": bucket[0],
-                "rep": np.array(rep),
-                "size": np.array(size),
-                "unit": np.frombuffer(b"".join(unit), "f8").reshape(len(rows), -1),
-                "buckets": np.array(buckets),
-                "side": np.array(side),
-            },
-            least,
-        )
+            return []
+        rows = rows.combine_chunks()
+        rep, size, side = (rows.column(c).to_numpy() for c in ("rep", "size", "side"))
+        found = []
+        # Vectors of one bucket have one width, unless the names of two buckets are equal.
+        for at, unit in by_width(rows.column("embedding").chunk(0)):
+            cell = {"bucket": rows.column("bucket")[0].as_py(), "rep": rep[at], "size": size[at], "side": side[at], "unit": unit}
+            found.append(verify(cell, least, hashes, tables, probes) if len(at) > 1 else None)
+        return found
 
     for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in ("bucket", "low", "high")])
+        starts = (np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist()
+        last = [held[-1].column(c)[-1].as_py() for c in ("bucket", "low", "high")] if held else None
         found = []
-        for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
-            if held and held[-1][:3] != row[:3]:
-                found.append(done(held))
+        for low, high in zip([0, *starts], [*starts, batch.num_rows]):
+            if held and (low or last != keys[:, 0].tolist()):
+                found += done(pa.Table.from_batches(held))
                 held = []
-            held.append(row)
+            if high > low:
+                held.append(batch.slice(low, high - low))
         yield from reported(found)
-    yield from reported([done(held)])
+    if held:
+        yield from reported(done(pa.Table.from_batches(held)))
 
 
 def reported(found: list) -> Iterator[pa.RecordBatch]:
@@ -225,7 +229,9 @@ def near_vectors(
 ) -> DataFrame:
     """One row for each row of vectors: id, n_links, component_id, kept."""
     spark = vectors.sparkSession
-    given = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("embedding"))
+    # Single precision is moved as such: its values are the same in double precision.
+    own = "array<float>" if vectors.schema[vector_col].dataType == ArrayType(FloatType()) else "array<double>"
+    given = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(own).alias("embedding"))
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = finite & F.exists("embedding", lambda x: x != 0) & F.col("id").isNotNull()
     valid = given.filter(F.coalesce(usable, F.lit(False)))
@@ -237,17 +243,18 @@ def near_vectors(
     inserted = stored(in_batches(classes.select("rep", "size", "embedding"), work, INSERTED), "vector-buckets")
     full = inserted.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
     blocks = F.ceil(F.col("held") / block)
-    own = F.pmod(F.xxhash64("rep", F.lit(SEED)), blocks)
+    side = F.pmod(F.xxhash64("rep", F.lit(SEED)), blocks)
     cells = (
         inserted.join(full, "bucket")
-        .withColumns({"blocks": blocks, "side": own})
+        .withColumns({"blocks": blocks, "side": side})
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")})
-        .select("bucket", "low", "high", "rep", "size", "unit", "buckets", "side")
+        .select("bucket", "low", "high", "rep", "size", "side")
+        .join(classes.select("rep", "embedding"), "rep")
         .repartition(partitions(spark), "bucket", "low", "high")
         .sortWithinPartitions("bucket", "low", "high")
     )
-    met = in_batches(cells, functools.partial(verify_batches, least), "rep long, links long, root long")
+    met = in_batches(cells, functools.partial(verify_batches, least, hashes, tables, probes), "rep long, links long, root long")
     met = stored(met, "vector-links", narrow=True)
     links = met.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(met.select(F.col("rep").alias("a"), F.col("root").alias("b")))

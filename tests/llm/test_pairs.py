@@ -184,6 +184,20 @@ def test_recall_at_the_least_cosine():
         assert (a[:, :, None] == b[:, None, :]).any((1, 2)).mean() >= 0.9
 
 
+@pytest.mark.parametrize("dims", [16, 256, 768])
+def test_recall_at_other_widths(dims):
+    rng = np.random.default_rng(dims)
+    x = rng.normal(size=(800, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.normal(size=x.shape)
+    away -= (away * x).sum(1, keepdims=True) * x
+    y = 0.951 * x + np.sqrt(1 - 0.951**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    for count in (1_000, 60_000, 20_000_000):
+        plan = cross_polytope.plan(count, dims)
+        a, b = (cross_polytope.bucket_names(v, *plan) for v in (x, y))
+        assert (a[:, :, None] == b[:, None, :]).any((1, 2)).mean() >= 0.9, (count, plan)
+
+
 def test_vectors_of_no_rows(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert cross_polytope.near_vectors(table).count() == 0
