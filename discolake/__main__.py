@@ -29,7 +29,7 @@ def parser() -> argparse.ArgumentParser:
         for argument in arguments:
             sub.add_argument(f"--{argument}", required=True)
         if layout:
-            sub.add_argument("--layout", default=layout, choices=["lines", "indented", "array"])
+            sub.add_argument("--layout", default=layout, choices=["lines", "indented", "array", "any"])
         return sub
 
     validate = step("validate", "source", layout="indented")
@@ -48,6 +48,7 @@ def parser() -> argparse.ArgumentParser:
     for domain in increment.PARENTS:
         load = step(f"load-{domain}", "parents", "found", "children", "keys", "summary", layout="indented")
         load.add_argument("--tolerance", type=int, help="damaged candidates at most; any number without it")
+        load.add_argument("--buckets", type=int, help="buckets of the tables that grow, the same in every run")
         load.add_argument("--rejects", help="table of the damaged candidates")
         load.add_argument("--per-parent", type=int, help="children of a parent at most; all without it")
         if domain == "albums":
@@ -99,7 +100,7 @@ def main(argv: list[str] | None = None) -> None:
                 spark, args.step.removeprefix("load-"), args.parents, args.found, args.children, args.keys,
                 per_parent=args.per_parent, sample=getattr(args, "sample", None),
                 album_keys=getattr(args, "album_keys", None), layout=args.layout, summary=args.summary,
-                rejects=args.rejects, tolerance=args.tolerance,
+                rejects=args.rejects, tolerance=args.tolerance, buckets=args.buckets,
             )
             print(row.first().asDict())
         case "export-csv":

@@ -14,22 +14,27 @@ from discolake.operators.skew import thin
 from discolake.session import new_folder
 
 
-def attach(stats: DataFrame, attributes: DataFrame, key: str, hot: Sequence = ()) -> DataFrame:
+def attach(stats: DataFrame, attributes: DataFrame, key: str, hot: Sequence | None = ()) -> DataFrame:
     """Left join of one-row-per-key ``stats`` with ``attributes``.
 
     Several attribute rows for a key give several result rows.  A key with
     very many of them would end in one task, since the right side of a left
-    join cannot be split.  A caller who knows of such keys names them as
-    ``hot``: their statistics meet the attribute rows in an inner join that
-    adaptive execution splits.  The statistics are then written once and read
-    by both joins.
+    join cannot be split.  With ``hot`` None, which needs no knowledge of the keys, the rows
+    with attributes come from an inner join, which adaptive execution splits on either side, and
+    those without from an anti join with thinned keys.  The statistics are written once
+    and read by both.  A list of ``hot`` keys does the same for these keys only, and an empty one for none:
+    a plain left join, for attributes that are known to have one row per key.
     """
-    if not hot:
+    if hot is not None and not hot:
         return stats.join(attributes, key, "left")
     spark = stats.sparkSession
     path = new_folder(spark, "stats")
     stats.write.parquet(path)
     stats = spark.read.schema(stats.schema).parquet(path)
+    columns = [*stats.columns, *(name for name in attributes.columns if name != key)]
+    if hot is None:
+        found = attributes.join(stats, key).select(columns)
+        return found.unionByName(excluding(stats, attributes, key), allowMissingColumns=True)
     is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
     light = stats.where(~is_hot).join(attributes.where(~is_hot), key, "left")
     heavy = stats.where(is_hot)

@@ -19,6 +19,7 @@ from discolake.operators.projection import select_renamed
 from discolake.operators.quality import require_columns
 from discolake.operators.ranking import ranked
 
+# The columns of the stored tables, in their order, and what they are made of.
 ARTIST_ATTRIBUTES = {
     "artist_id": "artist_id",
     "name": "artist_name",
@@ -77,11 +78,13 @@ def album_groups(tracks: DataFrame) -> DataFrame:
     )
 
 
-def artists_stats(tracks: DataFrame, artists: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
+def artists_stats(tracks: DataFrame, artists: DataFrame, hot: Sequence[str] | None = ()) -> DataFrame:
+    """``hot`` as in ``attach``; None for artists that may have very many rows of one id."""
     return attach(artist_groups(tracks), select_renamed(artists, ARTIST_ATTRIBUTES), "artist_id", hot)
 
 
-def albums_stats(tracks: DataFrame, albums: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
+def albums_stats(tracks: DataFrame, albums: DataFrame, hot: Sequence[str] | None = ()) -> DataFrame:
+    """``hot`` as in ``attach``; None for albums that may have very many rows of one id."""
     return attach(album_groups(tracks), select_renamed(albums, ALBUM_ATTRIBUTES), "album_id", hot)
 
 

@@ -22,6 +22,7 @@ from discolake.operators.skew import thin
 from discolake.plans.bronze import prune_albums, prune_playlists, prune_tracks
 from discolake.schemas import ALBUM, ARTIST, DOCUMENTS, KEYS
 from discolake.session import new_folder
+from discolake.sinks.buckets import Bucketed
 from discolake.sinks.exports import write_documents
 from discolake.sinks.tables import overwrite
 from discolake.sources.documents import CORRUPT, read_documents, read_stored
@@ -244,7 +245,7 @@ def run_manifest(
     )
 
 
-def commit(run: Load, children_table: str, key_table: str) -> DataFrame:
+def commit(run: Load, children_table: str | Bucketed, key_table: str | Bucketed) -> DataFrame:
     """Append the new children, then the keys of their parents; returns the run's key rows.
 
     The keys are worked out before the children are stored, and staged
@@ -256,11 +257,22 @@ def commit(run: Load, children_table: str, key_table: str) -> DataFrame:
     staged = new_folder(spark, "outcomes")
     run.outcomes.select("id", "status").write.parquet(staged)
     outcomes = spark.read.schema(KEYS).parquet(staged)
-    run.new.write.mode("append").parquet(children_table)
-    outcomes.write.mode("append").parquet(key_table)
+    append_to(run.new, children_table)
+    append_to(outcomes, key_table)
     return outcomes
 
 
+def append_to(rows: DataFrame, table: str | Bucketed) -> None:
+    if isinstance(table, Bucketed):
+        table.append(rows)
+    else:
+        rows.write.mode("append").parquet(table)
+
+
+def stored_rows(spark: SparkSession, table: str | Bucketed, schema: str) -> DataFrame:
+    return table.read(spark) if isinstance(table, Bucketed) else read_stored(spark, table, schema, "parquet")
+
+
 # What each domain's children are, and what its parents look like.
 PARENTS = {"albums": f"{ARTIST}, outcome string", "tracks": f"{ALBUM}, outcome string", "playlists": f"{ARTIST}, outcome string"}
 
@@ -269,6 +281,7 @@ def run(
     spark: SparkSession, domain: str, parents: str, found: str, children: str, keys: str, *,
     per_parent: int | None = None, sample: int | None = None, album_keys: str | None = None,
     layout: str = "indented", summary: str | None = None, rejects: str | None = None, tolerance: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One incremental load of ``albums``, ``tracks`` or ``playlists`` from paths; returns its summary.
 
@@ -280,6 +293,9 @@ def run(
     Damaged lines of ``found`` are written to ``rejects``, beside the key table by default, and
     their parents stay pending, so that a run over the repaired file loads what was lost.  More
     of them than ``tolerance`` raise before anything is stored; None tolerates any number.
+
+    With ``buckets`` both tables are bucketed by id, from the first run on and with the same number in
+    each: then a run moves its new rows only, however many are stored.
     """
     parent_docs = read_documents(spark, parents, PARENTS[domain], layout, ordered=True)
     schema = DOCUMENTS[domain]
@@ -291,8 +307,9 @@ def run(
             raise DamagedCandidates(rows, tolerance)
 
     rejected = overwrite(damaged, rejects, check)
-    stored = read_stored(spark, children, schema, "parquet")
-    known = read_keys(spark, keys)
+    children_table = children if buckets is None else Bucketed(children, schema, "id", buckets)
+    key_table = keys if buckets is None else Bucketed(keys, KEYS, "id", buckets)
+    stored, known = stored_rows(spark, children_table, schema), stored_rows(spark, key_table, KEYS)
     if domain == "albums":
         done = load_albums(parent_docs, candidates, stored, known, per_parent=per_parent, sample=sample)
     elif domain == "tracks":
@@ -303,9 +320,9 @@ def run(
     if rejected:
         lost = spark.read.schema(REJECTS).parquet(rejects)
         done = Load(done.new, hold_back(done.outcomes, lost))
-    outcomes = commit(done, children, keys)
-    after = read_stored(spark, children, schema, "parquet")
-    row = run_manifest(parent_docs, outcomes, after, keys=read_keys(spark, keys))
+    outcomes = commit(done, children_table, key_table)
+    after = stored_rows(spark, children_table, schema)
+    row = run_manifest(parent_docs, outcomes, after, keys=stored_rows(spark, key_table, KEYS))
     row = row.withColumn("total_rejected", F.lit(rejected).cast("long"))
     if summary is not None:
         write_documents(row, summary)

@@ -24,6 +24,7 @@ def tracks(docs: DataFrame) -> DataFrame:
         {"album_id": F.col("album.id"), "artist_ids": ids_to_csv(F.col("artists"))}
     )
     flat = with_optional(flat, "duration_sec", "duration_ms", seconds, missing=None)
+    # The columns of the stored table, in their order.
     return select_present(
         flat,
         [
@@ -46,6 +47,7 @@ def albums(docs: DataFrame) -> DataFrame:
         }
     )
     flat = with_optional(flat, "genres", "genres", values_to_csv)
+    # The columns of the stored table, in their order.
     return select_present(
         flat,
         [

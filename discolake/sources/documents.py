@@ -1,6 +1,6 @@
 """Scans of JSON documents.
 
-A file may hold its documents in one of three layouts:
+A file may hold its documents in one of four layouts:
 
 ``array``     one JSON array, formatted in any way; one task reads the file,
               which may have up to 2 GB.  A file that does not parse, or a
@@ -9,6 +9,9 @@ A file may hold its documents in one of three layouts:
 ``indented``  one JSON array indented by two spaces, as the crawlers write it.
               The text is cut at the boundaries between top-level elements,
               so one large file is read by many tasks.
+``any``       one JSON array, formatted in any way; many tasks share the file,
+              of any size (see ``sources.arrays``), at the price of shuffling its
+              text.  Otherwise as ``array``.
 ``lines``     one document per line, as the landing step writes it.
 """
 
@@ -21,6 +24,7 @@ from pyspark.sql import types as T
 
 from discolake.operators.generators import expand_json
 from discolake.schemas import CATEGORY_MAP
+from discolake.sources.arrays import element_groups
 
 # Fixed by the two-space layout.  A line break inside a JSON string is always
 # escaped, so these sequences occur nowhere but between top-level elements.
@@ -48,9 +52,21 @@ def _array_elements(spark: SparkSession, path: str, ordered: bool = False) -> Da
     """
     whole = spark.read.text(path, wholetext=True).where(F.trim("value") != "")
     listed = F.when(F.col("value").rlike(r"^\s*\{"), F.concat(F.lit("["), "value", F.lit("]")))
-    elements = F.from_json(F.coalesce(listed, "value"), "array<variant>", {"mode": "FAILFAST"})
     where = [_position(F.lit(0))] if ordered else []
-    items = whole.select(elements.alias("elements"), *where)
+    return _exploded(whole.select(F.coalesce(listed, "value").alias("value"), *where), ordered)
+
+
+def _shared_elements(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    """The elements of an array in any format, from texts of a few elements each."""
+    place = F.struct("file", F.col("part").alias("block"), F.lit(0).cast("long").alias("row")).alias(ORD)
+    groups = element_groups(spark, path).select(F.col("text").alias("value"), *([place] if ordered else []))
+    return _exploded(groups, ordered)
+
+
+def _exploded(arrays: DataFrame, ordered: bool) -> DataFrame:
+    """One row per element of the array texts ``value``."""
+    elements = F.from_json("value", "array<variant>", {"mode": "FAILFAST"})
+    items = arrays.select(elements.alias("elements"), *([ORD] if ordered else []))
     # The outer form: for the inner one Spark adds a filter that parses again.
     exploded = F.posexplode_outer("elements").alias("pos", "element")
     items = items.select(exploded, *([ORD] if ordered else [])).where(F.col("pos").isNotNull())
@@ -73,6 +89,9 @@ def _indented_chunks(spark: SparkSession, path: str, ordered: bool = False) -> D
     return chunks.where(~empty).withColumn("value", text)
 
 
+SCANS = {"array": _array_elements, "any": _shared_elements, "indented": _indented_chunks}
+
+
 def element_texts(spark: SparkSession, path: str, layout: str) -> DataFrame:
     """One row per document with its unparsed JSON ``value`` on one line."""
     if layout == "lines":
@@ -80,8 +99,8 @@ def element_texts(spark: SparkSession, path: str, layout: str) -> DataFrame:
     if layout == "indented":
         chunks = _indented_chunks(spark, path)
         return chunks.withColumn("value", F.regexp_replace("value", r"\n *", ""))
-    if layout == "array":
-        return _array_elements(spark, path)
+    if layout in ("array", "any"):
+        return SCANS[layout](spark, path)
     raise ValueError(f"unknown layout {layout!r}")
 
 
@@ -108,10 +127,9 @@ def read_documents(
     if layout == "lines":
         docs = spark.read.schema(fields).options(**options).json(path)
         return docs.select("*", _position(F.monotonically_increasing_id())) if ordered else docs
-    if layout not in ("array", "indented"):
+    if layout not in SCANS:
         raise ValueError(f"unknown layout {layout!r}")
-    scan = _array_elements if layout == "array" else _indented_chunks
-    texts = scan(spark, path, ordered)
+    texts = SCANS[layout](spark, path, ordered)
     return expand_json(texts, "value", fields, [ORD] if ordered else [], options)
 
 

@@ -92,6 +92,8 @@ def test_heavy_attribute_keys_give_the_same_rows(spark, tracks, albums):
     assert split.columns == plain.columns
     assert rows(split) == rows(plain)
     assert split.count() == 64 + 128 + 1
+    unknown = attach(groups, copies, "album_id", None)
+    assert unknown.columns == plain.columns and rows(unknown) == rows(plain)
 
 
 def test_ranked_views_are_ordered_with_nulls_last(tracks, albums, artists):

@@ -256,3 +256,18 @@ def test_a_sample_does_not_skip_what_is_pending(spark, tmp_path, write_json):
     assert len(keys) == 3 and (row.total_processed, row.total_skipped) == (3, 0)
     row, _, keys = damaged_load(spark, tmp_path, write_json, line("a", "1"), sample=3)
     assert len(keys) == 4 and (row.total_processed, row.total_skipped) == (1, 3)
+
+
+def test_bucketed_tables_hold_the_same(spark, tmp_path, write_json):
+    artists = write_json("artists.json", [{"id": str(i)} for i in range(30)])
+    first = [line(str(i % 25), f"c{i}") for i in range(60)]
+    second = [*first, *(line(str(25 + i % 5), f"c{i % 90}") for i in range(40, 120))]
+    tables = {}
+    for buckets in (None, 4):
+        paths = [str(tmp_path / f"{name}-{buckets}") for name in ("children", "keys")]
+        for lines in (first, second, second):
+            (tmp_path / "found.json").write_text("\n".join([*lines, '{"parent_id": "29", "cut'][: len(lines) + (lines is first)]))
+            row = increment.run(spark, "albums", artists, str(tmp_path / "found.json"), *paths, buckets=buckets).first()
+        children = spark.read.schema(schemas.ALBUM).parquet(paths[0])
+        tables[buckets] = (rows(children, "id"), rows(read_keys(spark, paths[1])), row.total_children, row.total_skipped)
+    assert tables[4] == tables[None] and len(tables[4][0]) == 66

@@ -12,6 +12,7 @@ from discolake.operators import dedup, filters, joins, ranking
 from discolake.plans import gold, increment, silver
 from discolake.plans.bronze import artists_from_categories
 from discolake.schemas import TRACK
+from discolake.sinks.buckets import Bucketed
 from discolake.sinks.tables import replace_date
 from discolake.sources.documents import read_category_map, read_documents
 from discolake.sources.tables import read_date
@@ -124,6 +125,27 @@ def test_new_rows_shuffle_each_side_once(spark, silver_tables):
     assert text.count("Exchange hashpartitioning") == 2
 
 
+def test_stored_rows_stay_in_their_buckets(spark, tmp_path, silver_tables):
+    """Only the candidates are shuffled; the stored ids are read bucket by bucket."""
+    table = Bucketed(str(tmp_path / "stored"), "id string, name string", "id", 8)
+    assert table.read(spark).count() == 0
+    table.append(silver_tables.where("disc_number = 1 OR id LIKE '%1'"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = dedup.new_rows(silver_tables, table.read(spark), "id", ["duration_ms"])
+        text = plan(fresh)
+        exchanges = [m.start() for m in re.finditer("Exchange hashpartitioning", text)]
+        scans = {m[1]: m.start() for m in re.finditer(r"FileScan parquet (\S*?)\[", text)}
+        stored = next(at for name, at in scans.items() if "bucketed" in name)
+        assert "Bucketed: true" in text[stored:] and "SelectedBucketsCount: 8 out of 8" in text
+        # Plans read from the bottom: no exchange lies between the stored scan and the join above it.
+        assert not any(text.index("LeftAnti") < at < stored and text[at:stored].count("FileScan") == 0 for at in exchanges)
+        plain = dedup.new_rows(silver_tables, spark.read.parquet(str(tmp_path / "stored")), "id", ["duration_ms"])
+        assert rows(fresh) == rows(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_reading_a_date_opens_no_other(spark, tmp_path):
     path = str(tmp_path / "t")
     for day in ("2024-01-30", "2024-01-31"):
@@ -172,6 +194,19 @@ def test_hot_keys_are_split_in_semi_and_anti_joins(spark, skewed, join):
     assert total == 40_000
 
 
+def test_hot_attribute_keys_are_split_without_being_named(spark, skewed):
+    """A third of the attribute rows belong to one key that nobody names."""
+    stats = spark.range(0, 50_000).select(
+        F.when(F.col("id") == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("key"), F.lit(1).alias("n")
+    )
+    joined = joins.attach(stats, skewed, "key", None)
+    assert joined.where("key = 'hot'").count() == 13_334
+    joined.collect()
+    assert "SortMergeJoin(skew=true)" in plan(joined)
+    assert joined.where("v IS NULL").count() == 50_000 - 1 - 26_666
+    assert rows(joined.groupBy("key").count()) == rows(joins.attach(stats, skewed, "key").groupBy("key").count())
+
+
 # Queries that write and read back, or run a job, before they return.
 EAGER = {"step_metrics"}
 

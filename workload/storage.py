@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from discolake.operators.dedup import keep_first
+from discolake.operators.quality import require_columns
 from discolake.plans import bronze, silver
 from discolake.plans.layers import METRICS, LayerFailed, build_links, build_silver
 from discolake.schemas import ALBUM, DOCUMENTS, OWNER, TRACK
@@ -83,6 +84,71 @@ def scan_json_array_indented(spark, sf_dir):
     return read_documents(spark, owner_files(spark, sf_dir, True), OWNER, "indented")
 
 
+@query(OWNERS_SQL)
+def scan_json_array_any(spark, sf_dir):
+    """Array files without line breaks, cut at their braces while reading."""
+    customer = table(spark, sf_dir, "customer")
+    doc = F.to_json(F.struct(
+        F.col("c_name").alias("display_name"),
+        F.when(F.col("c_custkey") % 29 != 5, F.col("c_custkey").cast("string")).alias("id"),
+        F.lit("user").alias("type"),
+    ), {"ignoreNullFields": "false"})
+    chunks = customer.groupBy(F.floor(F.col("c_custkey") / (5 * CHUNK)).alias("chunk"))
+    listed = chunks.agg(F.array_join(F.collect_list(doc), ",").alias("list"))
+    folder = new_folder(spark, "owners")
+    array = F.concat(F.lit("["), "list", F.lit("]")).alias("value")
+    listed.select("chunk", array).write.partitionBy("chunk").text(folder)
+    return read_documents(spark, f"{folder}/chunk=*", OWNER, "any")
+
+
+CATEGORIES_SQL = """
+    select 'part ' || p_partkey as category, 0 as pos, 'p' || p_partkey as id, p_name as name,
+           p_size::bigint as popularity
+    from part
+    union all
+    select 'part ' || p_partkey, 1, 'q' || p_partkey, p_brand, null::bigint from part
+"""
+
+
+@query(CATEGORIES_SQL)
+def scan_category_map_indented(spark, sf_dir):
+    """Files indented by two spaces, cut between their categories while reading."""
+    first = F.to_json(F.struct(
+        F.concat(F.lit("p"), "p_partkey").alias("id"), F.col("p_name").alias("name"),
+        F.col("p_size").cast("long").alias("popularity"),
+    ))
+    second = F.to_json(F.struct(F.concat(F.lit("q"), "p_partkey").alias("id"), F.col("p_brand").alias("name")))
+    key = F.to_json(F.array(F.concat(F.lit("part "), "p_partkey")))
+    key = F.substring(key, F.lit(2), F.length(key) - 2)
+    entry = F.concat(F.lit("  "), key, F.lit(": [\n    "), first, F.lit(",\n    "), second, F.lit("\n  ]"))
+    chunks = table(spark, sf_dir, "part").groupBy(F.floor(F.col("p_partkey") / CHUNK).alias("chunk"))
+    text = F.concat(F.lit("{\n"), F.array_join(F.collect_list(entry), ",\n"), F.lit("\n}"))
+    folder = new_folder(spark, "categories")
+    chunks.agg(text.alias("value")).write.partitionBy("chunk").text(folder)
+    flat = bronze.flatten_categories(read_category_map(spark, f"{folder}/chunk=*", "indented"))
+    return flat.select("category", "pos", "id", "name", "popularity")
+
+
+@query("""
+    select 'tracks' as dataset, count(*) as rows, null::varchar as problem from lineitem
+    union all select 'albums', null, 'albums lacks the columns rank, release_year'
+""")
+def required_columns(spark, sf_dir):
+    """A table with the columns it must have, and one without two of them."""
+    needed = {"tracks": (tracks, ["id", "album", "duration_ms"]), "albums": (albums, ["id", "rank", "release_year"])}
+    found = []
+    for name, (docs, columns) in needed.items():
+        df = docs(spark, sf_dir)
+        try:
+            require_columns(df, columns, name)
+        except ValueError as error:
+            found.append(spark.createDataFrame([(name, None, str(error))], "dataset string, rows long, problem string"))
+        else:
+            counted = df.agg(F.count(F.lit(1)).alias("rows"))
+            found.append(counted.select(F.lit(name).alias("dataset"), "rows", F.lit(None).cast("string").alias("problem")))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 @query("""
     select 'part ' || p_partkey as category, 0 as pos, 'p' || p_partkey as id, p_name as name,
            p_size::bigint as popularity
