@@ -14,14 +14,16 @@ Equal sets are one class from the start.  Prefix grams bring classes together in
    is most central, the one that comes up most often.  This is linear in the prefixes, and it
    ties up most of a large group of near copies.
 2. Of the grams that are still in the prefixes of several components, each class chooses those that most
-   classes have.  The classes with one choice are compared inside cells of bounded size, as a
-   product of matrices, which report links between components only.
+   classes have.  The classes with one choice are compared inside cells of bounded size: what the
+   length and the suffix filter leave, as a product of matrices, which reports links between components only.
+   A pair is compared in the cell of the least choice that both have.
 3. Pairs that share a prefix gram but no choice, and that step 1 left in different components, meet unless
    a filter rules them out: length, position of the shared gram, or the suffix filter, which
-   compares how many grams both have in each of 32 parts of the hash space.
+   compares how many grams both have in each of 32 parts of the hash space.  The classes of a
+   frequent gram meet in cells here too, so no task tests all pairs of one gram.
 
-A pair is verified by the exact overlap of its whole sets; a pair inside a component is
-never spelled out.
+A pair is verified by the exact overlap of its whole sets, once in steps 2 and 3, which a pair that failed as
+a hub pair may reach again; a pair inside a component is never spelled out.
 
 Grams are words joined by 64-bit hashes.  A null or empty text, or one without words, has no
 grams and links with nothing.  A text with fewer words than a gram is one gram.  A null
@@ -250,24 +252,49 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return shared
 
 
+def may_reach(sets: list[np.ndarray], open_pairs: np.ndarray, percent: int) -> np.ndarray:
+    """Length and suffix filter: the open pairs that the sizes of their sets, and of their parts, allow."""
+    n = np.array([len(x) for x in sets])
+    least, most = np.minimum.outer(n, n), np.maximum.outer(n, n)
+    open_pairs = open_pairs & (least * 100 >= most * percent)
+    if open_pairs.any():
+        bins = np.stack([np.bincount(x & (BINS - 1), minlength=BINS) for x in sets])
+        shared = sum(np.minimum.outer(bins[:, k], bins[:, k]) for k in range(BINS))
+        open_pairs &= shared * 100 >= (n[:, None] + n[None, :] - shared) * percent
+    return open_pairs
+
+
 def verify_cells(percent: int, batches: Iterator[pa.RecordBatch]):
     """Rows sorted by gram and cell -> a, b: links that join each component of a cell; a cell may
     go on in the next batch."""
-    columns = ("gram", "low", "high", "rep", "group", "side", "grams")
+    columns = ("gram", "low", "high", "rep", "group", "side", "choices", "grams")
     held: list[tuple] = []
 
     def done(rows: list[tuple]) -> list[tuple[int, int]]:
         if len(rows) < 2:
             return []
-        _, _, _, rep, group, side, sets = zip(*rows, strict=True)
+        gram, _, _, rep, group, side, choices, sets = zip(*rows, strict=True)
         order = np.argsort(np.array(rep), kind="stable")
         rep, group, side = (np.array(x)[order] for x in (rep, group, side))
         sets = [np.array(sets[i], "i8") for i in order]
         open_pairs = group[:, None] != group[None, :]
         if (side != side[0]).any():
             open_pairs &= side[:, None] != side[None, :]
-        if not open_pairs.any():
+        # Of the grams that both chose this one must be the least.
+        lower = [[c for c in choices[i] if c < gram[0]] for i in order]
+        for k in range(max(map(len, lower))):
+            mine = np.array([x[k] if k < len(x) else 0 for x in lower], "i8")
+            there = np.array([k < len(x) for x in lower])
+            for m in range(max(map(len, lower))):
+                other = np.array([x[m] if m < len(x) else 0 for x in lower], "i8")
+                known = np.array([m < len(x) for x in lower])
+                open_pairs &= ~((mine[:, None] == other[None, :]) & there[:, None] & known[None, :])
+        open_pairs = may_reach(sets, open_pairs, percent)
+        some = np.flatnonzero(open_pairs.any(1))
+        if not len(some):
             return []
+        # Only rows that are in an open pair are multiplied.
+        rep, sets, open_pairs = rep[some], [sets[i] for i in some], open_pairs[np.ix_(some, some)]
         n = np.array([len(s) for s in sets])
         shared = overlaps(sets).astype("i8")
         near = open_pairs & (shared * 100 >= (n[:, None] + n[None, :] - shared) * percent)
@@ -291,27 +318,35 @@ def verify_cells(percent: int, batches: Iterator[pa.RecordBatch]):
     yield from reported(done(held))
 
 
+def in_cells(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """rows with side, low, high: each row in the cells of its gram, of two blocks of about BLOCK rows each.
+
+    held: gram and held, how many rows have it; rows of other grams are left out.
+    """
+    blocks = F.ceil(F.col("held") / BLOCK)
+    return (
+        rows.join(held.select("gram", blocks.alias("blocks")), "gram")
+        .withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")})
+        .drop("blocks", "other")
+    )
+
+
 def linked_in_cells(chosen: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """chosen: gram, rep, group.  Links between groups among the classes of each gram.
+    """chosen: gram, rep, group, choices.  Links between groups among the classes of each gram.
 
     The classes of a gram are split into blocks, and each two blocks are a cell.
     """
     held = chosen.groupBy("gram").agg(
         F.count(F.lit(1)).alias("held"), F.min("group").alias("least"), F.max("group").alias("most")
     )
-    blocks = F.ceil(F.col("held") / BLOCK)
-    side = F.pmod(F.xxhash64("rep"), F.col("blocks"))
-    cells = (
-        chosen.join(held.filter("least < most").select("gram", blocks.alias("blocks")), "gram")
-        .withColumn("side", side)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("gram", "rep", "group", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
-    )
+    cells = in_cells(chosen, held.filter("least < most"))
     cells = stored(cells, "gram-cells", narrow=True)
     whole = whole_sets(cells.select(F.col("rep").alias("doc_id")), docs, nodes, words)
     full = (
         cells.join(whole, F.col("rep") == F.col("doc_id"))
-        .select("gram", "low", "high", "rep", "group", "side", "grams")
+        .select("gram", "low", "high", "rep", "group", "side", "choices", "grams")
         .repartition(partitions(docs.sparkSession), "gram", "low", "high")
         .sortWithinPartitions("gram", "low", "high")
     )
@@ -383,17 +418,20 @@ def linked_rows(docs: DataFrame, words: int, percent: int, text_col: str, id_col
 
     # Classes that choose one gram meet in its cells.
     chosen = rows.select("rep", "group", "choices").distinct()
-    chosen = chosen.select("rep", "group", F.explode("choices").alias("gram"))
+    chosen = chosen.select("rep", "group", "choices", F.explode("choices").alias("gram"))
     links = links.unionByName(stored(linked_in_cells(chosen, given, classes, words, percent), "cell-links", narrow=True))
 
     # The pairs that share a gram but no choice, of groups that are still apart.
     reps = classes.select(F.col("rep").alias("doc_id"), "digest")
     bins = sets.select("doc_id", "digest", "bins").join(reps, ["doc_id", "digest"], "left_semi")
     bins = bins.select(F.col("doc_id").alias("rep"), "bins").dropDuplicates(["rep"])
-    rows = open_rows(rows.drop("group"), components(links)).drop("held").join(bins, "rep")
-    rows = stored(rows, "apart-grams")
+    rows = stored(open_rows(rows.drop("group"), components(links)).join(bins, "rep"), "apart-grams")
+    held = rows.select("gram", "held").distinct()
+    rows = in_cells(rows.drop("held"), held)
     x, y = rows.alias("x"), rows.alias("y")
-    apart = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.group") > F.col("y.group"))
+    apart = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
+    # In a cell of two blocks rows of one block do not meet: they do in the cell of that block.
+    apart &= (F.col("x.group") > F.col("y.group")) & ((F.col("x.low") == F.col("x.high")) | (F.col("x.side") != F.col("y.side")))
     # Most pairs have the same first choice, which is the cheaper test.
     apart &= (F.col("x.choices")[0] != F.col("y.choices")[0]) & ~F.arrays_overlap("x.choices", "y.choices")
     most = F.aggregate(
