@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -41,6 +43,7 @@ def shared_root(spark: SparkSession) -> str:
     if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     root = tempfile.mkdtemp(prefix="discolake-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 

@@ -134,3 +134,22 @@ def test_observed_rows_counts_during_the_write(spark, tmp_path):
     counted, observation = quality.observed_rows(spark.range(5), "step")
     counted.write.parquet(str(tmp_path / "out"))
     assert observation.get["rows"] == 5
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 250, 1000, 1003, 5000])
+def test_large_samples_are_the_same_rows(spark, monkeypatch, n):
+    df = spark.range(1000).selectExpr("cast(id as string) as id", "id % 7 as v").unionByName(
+        spark.createDataFrame([("5", 1), ("5", 2), (None, 3)], "id string, v long")
+    )
+    small = ranking.seeded_sample(df, "id", n)
+    monkeypatch.setattr(ranking, "FEW", -1)
+    large = ranking.seeded_sample(df.repartition(5), "id", n)
+    assert large.columns == df.columns
+    assert rows(large, "id") == rows(small, "id") and large.count() == min(n, 1003)
+
+
+@pytest.mark.parametrize("n", [0, 1, 33, 400, 1000, 5000])
+def test_many_first_rows_are_the_first_ones(spark, n):
+    df = spark.range(1000).selectExpr("id", "id % 50 as a", "if(id % 10 = 0, null, id % 3) as b").repartition(7)
+    order = [F.desc_nulls_last("b"), "a", "id"]
+    assert rows(ranking.first_many(df, order, n)) == rows(ranking.first_n(df, order, n))
