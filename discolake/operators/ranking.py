@@ -68,16 +68,17 @@ def poll_size(total: str | Column, n: int) -> Column:
     return F.least(total, F.lit(n).cast("long"))
 
 
-def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42, few: int | None = None) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, the same ones under any partitioning.
 
     The rows with the smallest MD5 of ``key:seed`` are taken, with the key as
     tie-break.  The input is read twice within one query: a subquery counts
     how many digests start with how many zeros, at most 33 rows, and rows that
-    cannot be among the first ``n`` are filtered out before any are sorted.
+    cannot be among the first ``n`` are filtered out before any are sorted.  Samples of more
+    than ``few`` rows, FEW by default, are never put in order; the rows are the same.
     """
     digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
-    if n > FEW:
+    if n > (FEW if few is None else few):
         return _sample_by_histogram(df, digest, key, n)
     zeros = F.length(F.regexp_extract(digest, "^0*", 0))
     counted = df.groupBy(zeros.alias("zeros")).agg(F.count(F.lit(1)).alias("rows"))

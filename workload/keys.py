@@ -8,8 +8,9 @@ from discolake.operators import dedup, quality, ranking
 from discolake.operators.joins import excluding, matching
 from discolake.plans import bronze, increment
 from discolake.plans.silver import track_artists
-from discolake.schemas import TRACK
+from discolake.schemas import KEYS, TRACK
 from discolake.session import new_folder
+from discolake.sinks.buckets import Bucketed
 from discolake.sinks.exports import write_documents
 from discolake.sources.documents import read_stored
 from discolake.sources.manifests import explode_keys, read_keys, read_manifest_keys
@@ -287,6 +288,43 @@ def seeded_sample(spark, sf_dir):
     return ranking.seeded_sample(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey", 500)
 
 
+@query("""
+    select event_id, event_type from events
+    qualify row_number() over (order by md5(event_id::varchar || ':42'), event_id) <= (select count(*) // 10 from events)
+""")
+def seeded_sample_tenth(spark, sf_dir):
+    """A tenth of all events, picked without putting them in order."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return ranking.seeded_sample(events, "event_id", events.count() // 10, few=0)
+
+
+@query(f"""
+    select {LINE_ORDER_SQL} from lineitem
+    qualify row_number() over (order by l_shipdate desc, {LINE_ORDER_SQL}) <= (select count(*) // 3 from lineitem)
+""")
+def first_many_lines(spark, sf_dir):
+    """The last third of all lines by date, from whole ranges and one that is cut."""
+    lines = table(spark, sf_dir, "lineitem").select(LINE_ORDER)
+    return ranking.first_many(lines, [F.desc("l_shipdate"), *LINE_ORDER], lines.count() // 3)
+
+
+@query(f"{load_sql()} select * from after_run")
+def incremental_load_bucketed(spark, sf_dir):
+    """The stored children after a run over bucketed tables."""
+    parents, candidates, stored, keys = load_inputs(spark, sf_dir)
+    children = Bucketed(new_folder(spark, "children"), CHILD, "id", 16)
+    key_table = Bucketed(new_folder(spark, "keys"), KEYS, "id", 16)
+    none = F.lit(None).cast("string")
+    children.append(stored.withColumns({"parent_id": none, "release_date": none}))
+    key_table.append(keys)
+    run = increment.load(
+        parents, candidates, children.read(spark), key_table.read(spark),
+        parent_order=["ord"], child_order=CHILD_ORDER, per_parent=None, inherited=["release_date"],
+    )
+    increment.commit(run, children, key_table)
+    return children.read(spark)
+
+
 # --- counts
 
 
