@@ -3,8 +3,10 @@
 Rows are dealt to ranges of (head of the text, digest, id).  The ranges come from a
 bounded sample, so a text that makes up a third of all rows spans several of them.
 Inside a range an external sort in the same order places equal texts side by side, and each text is
-compared in full with its neighbours.  Only the first and last run of a range can
-go on in another one; these few rows are added up apart and joined back.
+compared in full with its neighbours.  The order is that of the first HEAD_CHARS characters, then of the
+SHA-256 of the whole text, so long texts with one beginning are not compared to be sorted.  Only
+the first and last run of a range can go on in another one; these few rows are added up apart by
+their digests, without comparing the texts again, and joined back.
 
 Nulls and ties: a null text counts as empty, and an empty text equals only other
 empty ones.  A null id is below every other.  Of rows that share text and id exactly one
