@@ -30,6 +30,6 @@ def export_tables(spark: SparkSession, source: str, target: str, tables: Sequenc
         overwrite_partitioned(rows, f"{target}/{table}", ["ingest_date"])
 
 
-def write_documents(df: DataFrame, folder: str) -> None:
-    """One JSON document per line; null fields are kept as null."""
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(folder)
+def write_documents(df: DataFrame, folder: str, **options: str) -> None:
+    """One JSON document per line; null fields are kept as null.  ``options`` such as ``PACKED`` are the writer's."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).options(**options).json(folder)

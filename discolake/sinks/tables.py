@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,10 +36,11 @@ def overwrite_partitioned(df: DataFrame, path: str, by: Sequence[str], check: Ch
 
 
 def replace_date(
-    df: DataFrame, table: str, ingest_date: str, format: str = "parquet", check: Check | None = None
+    df: DataFrame, table: str, ingest_date: str, format: str = "parquet", check: Check | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> int:
     """Replace one ingest date of a table and return the rows written; other dates stay.
 
     ``check`` gets the row count before the old files go; if it raises they stay.
-    """
-    return replace(df, f"{table}/ingest_date={ingest_date}", format, check=check)
+    """
+    return replace(df, f"{table}/ingest_date={ingest_date}", format, check=check, options=options)

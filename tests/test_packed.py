@@ -1,0 +1,24 @@
+"""Written documents take little room, and what a run reads several times is worked out once."""
+
+import gzip
+import json
+
+import pytest
+
+from discolake.plans import bronze, increment
+from discolake.sinks import exports, staging
+from discolake.sinks.topics import encode
+from tests.conftest import rows
+from workload import QUERIES, storage
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize(
+    "name", ["silver_damaged_rows"]
+)
+def test_queries_write_their_documents_packed(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(storage, "new_folder", lambda spark, kind: str(tmp_path / kind))
+    assert QUERIES[name](spark, SF).count() > 0
+    texts = [p for p in tmp_path.rglob("part-*") if p.suffix != ".parquet" and "metadata" not in str(p)]
+    assert texts and {p.suffix for p in texts} == {".gz"}

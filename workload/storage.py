@@ -14,6 +14,7 @@ from discolake.plans.layers import METRICS, LayerFailed, build_links, build_silv
 from discolake.schemas import ALBUM, DOCUMENTS, OWNER, TRACK
 from discolake.session import new_folder
 from discolake.sinks.exports import CSV, export_csv, export_tables, write_documents
+from discolake.sinks.staging import PACKED
 from discolake.sinks.tables import overwrite, overwrite_by_year, replace_date
 from discolake.sinks.topics import encode
 from discolake.sources.documents import read_category_map, read_documents, read_domain, read_stored
@@ -273,7 +274,7 @@ def written_crawl(spark, sf_dir):
         "owners": owners(spark, sf_dir),
         "playlists": playlists(spark, sf_dir).drop("ord"),
     }.items():
-        write_documents(docs, f"{source}/{name}.json")
+        write_documents(docs, f"{source}/{name}.json", **PACKED)
         if name in MANIFESTS:
             manifest = docs.agg(F.count(F.lit(1)).alias(f"total_{name}"))
             write_documents(manifest, f"{source}/{name}_processing_metadata.json")
@@ -311,7 +312,7 @@ def silver_damaged_rows(spark, sf_dir):
     docs = tracks(spark, sf_dir)
     text = F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})
     cut = F.when(F.col("track_number") == 3, F.left(text, F.length(text) - 5)).otherwise(text)
-    replace_date(docs.select(cut.alias("value")), f"{target}/tracks", day, format="text")
+    replace_date(docs.select(cut.alias("value")), f"{target}/tracks", day, format="text", options=PACKED)
     try:
         results = build_silver(spark, target, new_folder(spark, "silver"), day)
     except LayerFailed as failed:
