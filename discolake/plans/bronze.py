@@ -13,6 +13,7 @@ from discolake.operators.dedup import keep_first
 from discolake.operators.filters import with_truthy_id
 from discolake.operators.generators import flatten_map
 from discolake.operators.quality import gate, presence
+from discolake.sinks.staging import PACKED
 from discolake.sinks.tables import replace_date
 from discolake.sources.documents import ORD, element_texts, if_present
 
@@ -148,7 +149,7 @@ def land(
     """Land the crawl output under ``<table>/ingest_date=<date>/``.
 
     Documents of the layouts ``indented`` and ``lines`` are landed unparsed,
-    one per line, so that nothing is lost and later scans can split the files.
+    one per line, so that nothing is lost, in packed files of so many lines that later scans can share.
     Those of ``array`` are parsed and written anew; see ``sources.documents``.
     With ``gated`` nothing is landed unless
     every expected dataset has rows; without, a missing one is skipped and
@@ -160,6 +161,6 @@ def land(
     return {
         table: None
         if texts is None
-        else replace_date(texts, f"{bronze}/{table}", ingest_date, format="text")
+        else replace_date(texts, f"{bronze}/{table}", ingest_date, format="text", options=PACKED)
         for table, texts in found.items()
     }

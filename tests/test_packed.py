@@ -15,10 +15,23 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize(
-    "name", ["silver_damaged_rows"]
+    "name", ["silver_damaged_rows", "land_bronze"]
 )
 def test_queries_write_their_documents_packed(spark, tmp_path, monkeypatch, name):
     monkeypatch.setattr(storage, "new_folder", lambda spark, kind: str(tmp_path / kind))
     assert QUERIES[name](spark, SF).count() > 0
     texts = [p for p in tmp_path.rglob("part-*") if p.suffix != ".parquet" and "metadata" not in str(p)]
     assert texts and {p.suffix for p in texts} == {".gz"}
+
+
+def test_landed_lines_are_packed_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    docs = spark.range(25, numPartitions=1).selectExpr("cast(id as string) as id", "cast(null as string) as name")
+    for name in bronze.EXPECTED_FILES.values():
+        exports.write_documents(docs, str(tmp_path / "crawl" / name))
+    monkeypatch.setitem(staging.PACKED, "maxRecordsPerFile", "10")
+    landed = bronze.land(spark, str(tmp_path / "crawl"), str(tmp_path / "bronze"), "2024-01-31", layout="lines")
+    assert set(landed.values()) == {25}
+    files = sorted((tmp_path / "bronze" / "owners" / "ingest_date=2024-01-31").glob("part-*.gz"))
+    lines = [gzip.open(file, "rt").read().splitlines() for file in files]
+    assert [len(part) for part in lines] == [10, 10, 5]
+    assert [json.loads(line) for part in lines for line in part] == [{"id": str(i), "name": None} for i in range(25)]
