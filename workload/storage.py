@@ -379,7 +379,7 @@ def layer_results(spark, sf_dir):
     target, day = new_folder(spark, "bronze"), "2024-01-31"
     for name, docs in {"tracks": tracks, "albums": albums, "owners": owners, "playlists": playlists}.items():
         rows = docs(spark, sf_dir)
-        write_documents(rows.drop("ord"), f"{target}/{name}/ingest_date={day}")
+        write_documents(rows.drop("ord"), f"{target}/{name}/ingest_date={day}", **PACKED)
     try:
         results = build_silver(spark, target, new_folder(spark, "silver"), day)
     except LayerFailed as failed:
