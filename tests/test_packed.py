@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize(
-    "name", ["silver_damaged_rows", "land_bronze", "layer_results"]
+    "name", ["silver_damaged_rows", "land_bronze", "layer_results", "silver_refused_keeps_old", "run_metrics"]
 )
 def test_queries_write_their_documents_packed(spark, tmp_path, monkeypatch, name):
     monkeypatch.setattr(storage, "new_folder", lambda spark, kind: str(tmp_path / kind))
