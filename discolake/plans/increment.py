@@ -24,6 +24,7 @@ from discolake.schemas import ALBUM, ARTIST, DOCUMENTS, KEYS
 from discolake.session import new_folder
 from discolake.sinks.buckets import Bucketed
 from discolake.sinks.exports import write_documents
+from discolake.sinks.staging import discard
 from discolake.sinks.tables import overwrite
 from discolake.sources.documents import CORRUPT, read_documents, read_stored
 from discolake.sources.manifests import RETRY, read_keys, settled
@@ -56,14 +57,16 @@ class DamagedCandidates(ValueError):
         super().__init__(f"{damaged} damaged candidates, {tolerance} tolerated")
 
 
-def read_candidates(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+def read_candidates(spark: SparkSession, path: str, schema: str, staged: str) -> tuple[DataFrame, DataFrame]:
     """Candidates of one JSON line each, and the lines that are damaged.
 
     Damaged is what is not JSON, does not fit the schema, or names no parent.  The rejects
-    have the ``line`` and its ``parent_id`` where that can still be read.
+    have the ``line`` and its ``parent_id`` where that can still be read.  The lines are parsed
+    once, into the new folder ``staged``, which both are read from.
     """
     fields = f"parent_id string, ord long, item struct<{schema}>, {CORRUPT} string"
-    lines = spark.read.schema(fields).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    spark.read.schema(fields).option("columnNameOfCorruptRecord", CORRUPT).json(path).write.parquet(staged)
+    lines = spark.read.schema(fields).parquet(staged)
     whole = F.col(CORRUPT).isNull() & F.col("parent_id").isNotNull()
     quoted = F.regexp_extract(CORRUPT, r'"parent_id"\s*:\s*("(?:[^"\\]|\\.)*")', 1)
     named = F.from_json(F.concat(F.lit("["), quoted, F.lit("]")), "array<string>")
@@ -129,6 +132,7 @@ def load(
     inherited: Sequence[str] = (),
     required: Sequence[str] = ("id", "name"),
     retry_limited: bool = True,
+    work: str | None = None,
 ) -> Load:
     """One incremental run.
 
@@ -136,15 +140,23 @@ def load(
     ``item``; both have their order columns.  A ``sample`` is drawn from the
     parents that are pending, so later runs take up others; None takes all.
     Candidates of settled parents go before the first N of each parent are
-    cut; with ``per_parent`` None all stay.  Null items and items without the
+    cut; with ``per_parent`` None all stay, and the join with the pending parents alone
+    leaves those candidates out.  Null items and items without the
     required fields count towards N, then go.  ``inherited`` parent columns
-    are copied onto the children.
+    are copied onto the children.  With the new folder ``work`` the pending parents are worked
+    out once and written there; it must stay until the children and outcomes are stored.
     """
     todo = pending(parents, keys, parent_order)
     if sample is not None:
         todo = seeded_sample(todo, "id", sample, SAMPLE_SEED)
-    listed = matching(candidates, todo.select(F.col("id").alias("parent_id")), "parent_id")
+    if work is not None:
+        needed = {"id", "outcome", *parent_order, *inherited}
+        todo = todo.select([name for name in todo.columns if name in needed])
+        todo.write.parquet(work)
+        todo = todo.sparkSession.read.schema(todo.schema).parquet(work)
+    listed = candidates
     if per_parent is not None:
+        listed = matching(candidates, todo.select(F.col("id").alias("parent_id")), "parent_id")
         listed = first_n_per_parent(listed, "parent_id", child_order, per_parent)
     parent_columns = [F.col("id").alias("parent_id")]
     parent_columns += [F.col(name).alias(f"_parent_{i}") for i, name in enumerate(parent_order)]
@@ -167,7 +179,7 @@ def load(
 
 def load_albums(
     artists: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame, *,
-    per_parent: int | None, sample: int | None,
+    per_parent: int | None, sample: int | None, work: str | None = None,
 ) -> Load:
     """Albums of the artists, or of a sample of the pending ones.
 
@@ -177,25 +189,26 @@ def load_albums(
     """
     run = load(
         artists, found, stored, keys, parent_order=["ord"], child_order=["ord"],
-        per_parent=per_parent, sample=sample, required=["id"],
+        per_parent=per_parent, sample=sample, required=["id"], work=work,
     )
     return Load(prune_albums(run.new), run.outcomes)
 
 
 def load_tracks(
-    albums: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame, *, per_parent: int | None
+    albums: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame, *, per_parent: int | None,
+    work: str | None = None,
 ) -> Load:
-    """Tracks of all albums; each takes the release date of its album."""
+    """Tracks of all albums; each takes the release date of its album."""
     run = load(
         albums, found, stored, keys, parent_order=["ord"], child_order=["ord"],
-        per_parent=per_parent, inherited=["release_date"], required=["id"],
+        per_parent=per_parent, inherited=["release_date"], required=["id"], work=work,
     )
     return Load(prune_tracks(run.new), run.outcomes)
 
 
 def load_playlists(
     artists: DataFrame, album_keys: DataFrame, found: DataFrame, stored: DataFrame, keys: DataFrame, *,
-    per_parent: int | None,
+    per_parent: int | None, work: str | None = None,
 ) -> Load:
     """Playlists of the artists whose albums were processed.
 
@@ -203,7 +216,7 @@ def load_playlists(
     """
     run = load(
         matching(artists, settled(album_keys), "id"), found, stored, keys,
-        parent_order=["ord"], child_order=["ord"], per_parent=per_parent, retry_limited=False,
+        parent_order=["ord"], child_order=["ord"], per_parent=per_parent, retry_limited=False, work=work,
     )
     return Load(prune_playlists(run.new), run.outcomes)
 
@@ -299,34 +312,40 @@ def run(
     """
     parent_docs = read_documents(spark, parents, PARENTS[domain], layout, ordered=True)
     schema = DOCUMENTS[domain]
-    candidates, damaged = read_candidates(spark, found, schema)
     rejects = rejects or f"{keys.rstrip('/')}_rejects"
+    # What the run reads several times: the parsed candidates and the pending parents.
+    staged, todo = new_folder(spark, "candidates"), new_folder(spark, "pending")
 
     def check(rows: int) -> None:
         if tolerance is not None and rows > tolerance:
             raise DamagedCandidates(rows, tolerance)
 
-    rejected = overwrite(damaged, rejects, check)
-    children_table = children if buckets is None else Bucketed(children, schema, "id", buckets)
-    key_table = keys if buckets is None else Bucketed(keys, KEYS, "id", buckets)
-    stored, known = stored_rows(spark, children_table, schema), stored_rows(spark, key_table, KEYS)
-    if domain == "albums":
-        done = load_albums(parent_docs, candidates, stored, known, per_parent=per_parent, sample=sample)
-    elif domain == "tracks":
-        done = load_tracks(parent_docs, candidates, stored, known, per_parent=per_parent)
-    else:
-        listed = read_keys(spark, album_keys)
-        done = load_playlists(parent_docs, listed, candidates, stored, known, per_parent=per_parent)
-    if rejected:
-        lost = spark.read.schema(REJECTS).parquet(rejects)
-        done = Load(done.new, hold_back(done.outcomes, lost))
-    outcomes = commit(done, children_table, key_table)
-    after = stored_rows(spark, children_table, schema)
-    row = run_manifest(parent_docs, outcomes, after, keys=stored_rows(spark, key_table, KEYS))
-    row = row.withColumn("total_rejected", F.lit(rejected).cast("long"))
-    if summary is not None:
-        write_documents(row, summary)
-    return row
+    try:
+        candidates, damaged = read_candidates(spark, found, schema, staged)
+        rejected = overwrite(damaged, rejects, check)
+        children_table = children if buckets is None else Bucketed(children, schema, "id", buckets)
+        key_table = keys if buckets is None else Bucketed(keys, KEYS, "id", buckets)
+        stored, known = stored_rows(spark, children_table, schema), stored_rows(spark, key_table, KEYS)
+        if domain == "albums":
+            done = load_albums(parent_docs, candidates, stored, known, per_parent=per_parent, sample=sample, work=todo)
+        elif domain == "tracks":
+            done = load_tracks(parent_docs, candidates, stored, known, per_parent=per_parent, work=todo)
+        else:
+            listed = read_keys(spark, album_keys)
+            done = load_playlists(parent_docs, listed, candidates, stored, known, per_parent=per_parent, work=todo)
+        if rejected:
+            lost = spark.read.schema(REJECTS).parquet(rejects)
+            done = Load(done.new, hold_back(done.outcomes, lost))
+        outcomes = commit(done, children_table, key_table)
+        after = stored_rows(spark, children_table, schema)
+        row = run_manifest(parent_docs, outcomes, after, keys=stored_rows(spark, key_table, KEYS))
+        row = row.withColumn("total_rejected", F.lit(rejected).cast("long"))
+        if summary is not None:
+            write_documents(row, summary)
+        return row
+    finally:
+        for folder in (staged, todo):
+            discard(spark, folder)
 
 
 def processed_keys(keys: DataFrame) -> DataFrame:

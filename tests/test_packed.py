@@ -35,3 +35,25 @@ def test_landed_lines_are_packed_in_files_of_bounded_length(spark, tmp_path, mon
     lines = [gzip.open(file, "rt").read().splitlines() for file in files]
     assert [len(part) for part in lines] == [10, 10, 5]
     assert [json.loads(line) for part in lines for line in part] == [{"id": str(i), "name": None} for i in range(25)]
+
+
+def test_a_load_parses_its_candidates_once(spark, tmp_path, monkeypatch, write_json):
+    """A second parse would read the file, which is gone by then; working copies go with the run."""
+    found = tmp_path / "found.json"
+    lines = [json.dumps({"parent_id": "x", "ord": i, "item": {"id": f"a{i}"}}) for i in range(3)]
+    found.write_text("\n".join([*lines, '{"parent_id": "y", "cut']))
+    read = increment.read_candidates
+
+    def once(*args):
+        frames = read(*args)
+        found.unlink()
+        return frames
+
+    monkeypatch.setattr(increment, "read_candidates", once)
+    monkeypatch.setattr(increment, "new_folder", lambda spark, kind: str(tmp_path / "work" / kind))
+    parents = write_json("artists.json", [{"id": "x"}, {"id": "y"}, {"id": "z"}])
+    paths = [str(tmp_path / name) for name in ("children", "keys")]
+    row = increment.run(spark, "albums", parents, str(found), *paths).first()
+    assert (row.total_children, row.total_processed, row.total_rejected) == (3, 2, 1)
+    assert rows(spark.read.parquet(paths[1]), "id", "status") == [("x", "done"), ("y", "retry"), ("z", "empty")]
+    assert {p.name for p in (tmp_path / "work").iterdir()} == {"outcomes"}

@@ -12,6 +12,7 @@ from discolake.schemas import KEYS, TRACK
 from discolake.session import new_folder
 from discolake.sinks.buckets import Bucketed
 from discolake.sinks.exports import write_documents
+from discolake.sinks.staging import PACKED
 from discolake.sources.documents import read_stored
 from discolake.sources.manifests import explode_keys, read_keys, read_manifest_keys
 from workload.inputs import PLAYLISTS_SQL, TRACKS_SQL, table
@@ -391,8 +392,8 @@ def damaged_load(spark, sf_dir):
     write_documents(orders, f"{root}/parents")
     lines = track_lines(spark, sf_dir)
     cut = F.when(F.col("cut"), F.left("value", F.length("value") - 12)).otherwise(F.col("value"))
-    lines.select(cut.alias("value")).write.text(f"{root}/first")
-    lines.select("value").write.text(f"{root}/repaired")
+    lines.select(cut.alias("value")).write.options(**PACKED).text(f"{root}/first")
+    lines.select("value").write.options(**PACKED).text(f"{root}/repaired")
     paths = f"{root}/children", f"{root}/keys"
     increment.run(spark, "tracks", f"{root}/parents", f"{root}/first", *paths, layout="lines", rejects=f"{root}/rejects")
     increment.run(spark, "tracks", f"{root}/parents", f"{root}/repaired", *paths, layout="lines")
