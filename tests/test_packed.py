@@ -57,3 +57,13 @@ def test_a_load_parses_its_candidates_once(spark, tmp_path, monkeypatch, write_j
     assert (row.total_children, row.total_processed, row.total_rejected) == (3, 2, 1)
     assert rows(spark.read.parquet(paths[1]), "id", "status") == [("x", "done"), ("y", "retry"), ("z", "empty")]
     assert {p.name for p in (tmp_path / "work").iterdir()} == {"outcomes"}
+
+
+def test_the_ranges_of_a_stream_are_made_in_one_pass(spark, tmp_path, monkeypatch):
+    """Each range was worked out from the events table; now only one plan reads it."""
+    made = []
+    monkeypatch.setattr(storage, "encode", lambda df: made.append(df.inputFiles()) or encode(df))
+    monkeypatch.setattr(storage, "new_folder", lambda spark, kind: str(tmp_path / kind))
+    storage.sent_events(spark, SF)
+    assert made and not any("events.parquet" in file for files in made for file in files)
+    assert {p.name for p in tmp_path.iterdir()} == {"sent"}

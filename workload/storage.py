@@ -14,7 +14,7 @@ from discolake.plans.layers import METRICS, LayerFailed, build_links, build_silv
 from discolake.schemas import ALBUM, DOCUMENTS, OWNER, TRACK
 from discolake.session import new_folder
 from discolake.sinks.exports import CSV, export_csv, export_tables, write_documents
-from discolake.sinks.staging import PACKED
+from discolake.sinks.staging import PACKED, discard
 from discolake.sinks.tables import overwrite, overwrite_by_year, replace_date
 from discolake.sinks.topics import encode
 from discolake.sources.documents import read_category_map, read_documents, read_domain, read_stored
@@ -485,9 +485,14 @@ def sent_events(spark, sf_dir, stamp=None, late=None):
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("popularity") % 3, F.lit(0))))
     sent = flat.withColumn("_part", part).withColumn("_copy", copies).withColumn("timestamp", stamp)
     files = max(1, -(-flat.count() // (STREAM_PARTS * FILE_ROWS)))
+    # The events are made and dealt to ranges in one pass; a range is sent from what is written.
+    sent, staged = sent.drop("_copy", "day"), new_folder(spark, "ranges")
+    sent.write.partitionBy("_part").parquet(staged)
+    dealt = spark.read.schema(sent.schema).parquet(staged)
     for i in range(STREAM_PARTS + (late is not None)):
-        rows = encode(sent.where(F.col("_part") == i).drop("_part", "_copy", "day"))
+        rows = encode(dealt.where(F.col("_part") == i).drop("_part"))
         rows.repartition(files).write.mode("append").text(folder)
+    discard(spark, staged)
     stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", files).text(folder)
     return event_stream.decode(event_stream.with_arrival(stream), keep=[event_stream.ARRIVAL])
 
@@ -550,9 +555,10 @@ def stream_late_rebuild(spark, sf_dir):
     """Events that come after all others are dropped by the stream and found again in what was landed."""
     root = new_folder(spark, "events")
     sent = sent_events(spark, sf_dir, F.col("timestamp"), late=F.expr(LATE))
-    event_stream.append_to(sent.drop(event_stream.ARRIVAL), f"{root}/bronze", f"{root}/landed").awaitTermination()
+    landing = event_stream.append_to(sent.drop(event_stream.ARRIVAL), f"{root}/bronze", f"{root}/landed")
     kept = event_stream.deduplicate(sent, delay="1 day")
     dropped = event_stream.follow(event_stream.append_to(kept, f"{root}/silver", f"{root}/checkpoint"))
+    landing.awaitTermination()
     silver_events = spark.read.schema(event_stream.EVENT).parquet(f"{root}/silver")
     landed = spark.read.schema(event_stream.EVENT).parquet(f"{root}/bronze")
     lost = event_stream.lost_events(landed, silver_events)
