@@ -56,10 +56,13 @@ SETS = "doc_id long, text_hash long, n_grams long, digest binary, counted int, g
 WHOLE = "doc_id long, digest binary, grams array<long>"
 #: Ids that are broadcast at most (16 MB); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
-#: Grams that a class chooses; classes of one block of a gram; columns of a matrix product.
+#: Grams that a class chooses; classes of one block of a gram, and members that their sets have, at most about so
+#: many; columns of a matrix product; pairs of sets that are counted at once.
 CHOICES = 3
-BLOCK = 256
+BLOCK = 1024
+BLOCK_MEMBERS = 1 << 19
 COLUMNS = 8192
+PAIRS = 1 << 20
 
 
 def least_overlap(n: int | np.ndarray, percent: int):
@@ -201,7 +204,9 @@ def fits(a: str, b: str, percent: int) -> Column:
 
 
 def enough(overlap: Column, na: Column, nb: Column, percent: int) -> Column:
-    return overlap * 100 >= (na + nb - overlap) * percent
+    # overlap * 100 >= (na + nb - overlap) * percent; an overlap named twice would be worked out for every pair of
+    # a join, also for those that a cheaper test rules out.
+    return overlap * (100 + percent) >= (na + nb) * percent
 
 
 def whole_sets(ids: DataFrame, docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -231,36 +236,57 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, pe
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """How many members each two of the sets share, as products of columns of members."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    """How many members each two of the sets share; 0 for a set and itself.
+
+    Members of few sets are counted pair by pair, the others as products of columns of members.
+    """
+    rows = len(sets)
+    owner = np.repeat(np.arange(rows), [len(s) for s in sets])
     members = np.concatenate(sets)
     order = np.argsort(members, kind="stable")
     owner, members = owner[order], members[order]
-    new = np.concatenate(([True], members[1:] != members[:-1]))
-    column = np.cumsum(new) - 1
-    held = np.bincount(column)
-    keep = held[column] > 1  # members of one set alone are shared with none
-    owner, column = owner[keep], column[keep]
-    column = np.cumsum(np.concatenate(([0], column[1:] != column[:-1]))) if len(column) else column
-    shared = np.zeros((len(sets), len(sets)), "f4")
-    cuts = np.searchsorted(column, np.arange(0, (column[-1] + 1 if len(column) else 0) + COLUMNS, COLUMNS))
-    for a, b in zip(cuts, cuts[1:]):
-        if b > a:
-            part = np.zeros((len(sets), COLUMNS), "f4")
-            part[owner[a:b], column[a:b] % COLUMNS] = 1
-            shared += part @ part.T
+    first = np.flatnonzero(np.concatenate(([True], members[1:] != members[:-1]))[: len(members)])
+    held = np.diff(np.append(first, len(members)))
+    shared = np.zeros((rows, rows), "f4")
+    few = max(2, rows // 16)
+    for n in np.unique(held[(held > 1) & (held <= few)]).tolist():
+        x, y = np.triu_indices(n, 1)
+        at = first[held == n]
+        for low in range(0, len(at), max(1, PAIRS // len(x))):
+            who = owner[at[low : low + max(1, PAIRS // len(x)), None] + np.arange(n)]
+            np.add.at(shared.reshape(-1), (who[:, x] * rows + who[:, y]).reshape(-1), np.float32(1))
+    shared += shared.T
+    many = np.flatnonzero(held > few)
+    for low in range(0, len(many), COLUMNS):
+        some = many[low : low + COLUMNS]
+        column = np.repeat(np.arange(len(some)), held[some])
+        # The rows of members that stand one after another.
+        row = owner[np.repeat(first[some] - np.cumsum(held[some]) + held[some], held[some]) + np.arange(len(column))]
+        part = np.zeros((rows, len(some)), "f4")
+        part[row, column] = 1
+        shared += part @ part.T
+    np.fill_diagonal(shared, 0)
     return shared
 
 
+def lengths(sets: list[np.ndarray]) -> np.ndarray:
+    """In the narrowest type that holds any sum of two of them times 200."""
+    n = np.array([len(x) for x in sets], "i8")
+    return n.astype("i4") if not len(n) or n.max() < 2**31 // 400 else n
+
+
 def may_reach(sets: list[np.ndarray], open_pairs: np.ndarray, percent: int) -> np.ndarray:
     """Length and suffix filter: the open pairs that the sizes of their sets, and of their parts, allow."""
-    n = np.array([len(x) for x in sets])
+    n = lengths(sets)
     least, most = np.minimum.outer(n, n), np.maximum.outer(n, n)
     open_pairs = open_pairs & (least * 100 >= most * percent)
     if open_pairs.any():
         bins = np.stack([np.bincount(x & (BINS - 1), minlength=BINS) for x in sets])
-        shared = sum(np.minimum.outer(bins[:, k], bins[:, k]) for k in range(BINS))
-        open_pairs &= shared * 100 >= (n[:, None] + n[None, :] - shared) * percent
+        bins = bins.astype(np.min_scalar_type(bins.max()))
+        shared = np.zeros(open_pairs.shape, n.dtype)
+        for k in range(BINS):
+            shared += np.minimum.outer(bins[:, k], bins[:, k])
+        open_pairs &= shared * (100 + percent) >= np.add.outer(n, n) * percent
     return open_pairs
 
 
@@ -295,9 +321,9 @@ def verify_cells(percent: int, batches: Iterator[pa.RecordBatch]):
             return []
         # Only rows that are in an open pair are multiplied.
         rep, sets, open_pairs = rep[some], [sets[i] for i in some], open_pairs[np.ix_(some, some)]
-        n = np.array([len(s) for s in sets])
-        shared = overlaps(sets).astype("i8")
-        near = open_pairs & (shared * 100 >= (n[:, None] + n[None, :] - shared) * percent)
+        n = lengths(sets)
+        near = overlaps(sets).astype(n.dtype) * (100 + percent) >= np.add.outer(n, n) * percent
+        near &= open_pairs
         root = local_roots(near)
         return [(int(rep[i]), int(rep[r])) for i, r in enumerate(root.tolist()) if i != r]
 
@@ -321,9 +347,12 @@ def verify_cells(percent: int, batches: Iterator[pa.RecordBatch]):
 def in_cells(rows: DataFrame, held: DataFrame) -> DataFrame:
     """rows with side, low, high: each row in the cells of its gram, of two blocks of about BLOCK rows each.
 
-    held: gram and held, how many rows have it; rows of other grams are left out.
+    held: gram and held, how many rows have it, and members, if they come with sets, how many these have;
+    rows of other grams are left out.
     """
     blocks = F.ceil(F.col("held") / BLOCK)
+    if "members" in held.columns:
+        blocks = F.greatest(blocks, F.ceil(F.col("members") / BLOCK_MEMBERS))
     return (
         rows.join(held.select("gram", blocks.alias("blocks")), "gram")
         .withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
@@ -334,14 +363,17 @@ def in_cells(rows: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def linked_in_cells(chosen: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """chosen: gram, rep, group, choices.  Links between groups among the classes of each gram.
+    """chosen: gram, rep, n, group, choices.  Links between groups among the classes of each gram.
 
     The classes of a gram are split into blocks, and each two blocks are a cell.
     """
     held = chosen.groupBy("gram").agg(
-        F.count(F.lit(1)).alias("held"), F.min("group").alias("least"), F.max("group").alias("most")
+        F.count(F.lit(1)).alias("held"),
+        F.sum("n").alias("members"),
+        F.min("group").alias("least"),
+        F.max("group").alias("most"),
     )
-    cells = in_cells(chosen, held.filter("least < most"))
+    cells = in_cells(chosen.drop("n"), held.filter("least < most"))
     cells = stored(cells, "gram-cells", narrow=True)
     whole = whole_sets(cells.select(F.col("rep").alias("doc_id")), docs, nodes, words)
     full = (
@@ -389,6 +421,35 @@ def with_choices(rows: DataFrame) -> DataFrame:
     return rows.drop("held").join(choices, "rep")
 
 
+def apart_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """rows: gram, rep, n, pos, group, choices, held -> a, b: pairs of two groups that share a gram, but no choice, and
+    that the length and positional filters leave."""
+    cells = in_cells(rows.drop("held"), rows.select("gram", "held").distinct())
+    x, y = cells.alias("x"), cells.alias("y")
+    apart = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
+    # In a cell of two blocks rows of one block do not meet: they do in the cell of that block.
+    apart &= (F.col("x.group") > F.col("y.group")) & ((F.col("x.low") == F.col("x.high")) | (F.col("x.side") != F.col("y.side")))
+    # Most pairs have the same first choice, which is the cheaper test.
+    apart &= (F.col("x.choices")[0] != F.col("y.choices")[0]) & ~F.arrays_overlap("x.choices", "y.choices")
+    pairs = x.join(y, apart & fits("x", "y", percent))
+    return pairs.select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct()
+
+
+def alike_in_parts(pairs: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Suffix filter: the pairs a, b that the sizes of the parts of their sets allow."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    reps = nodes.join(ids, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "digest")
+    bins = sets.select("doc_id", "digest", "n_grams", "bins").join(reps, ["doc_id", "digest"], "left_semi")
+    bins = bins.dropDuplicates(["doc_id"])
+    left = bins.select(F.col("doc_id").alias("a"), F.col("n_grams").alias("na"), F.col("bins").alias("left"))
+    right = bins.select(F.col("doc_id").alias("b"), F.col("n_grams").alias("nb"), F.col("bins").alias("right"))
+    most = F.aggregate(
+        F.zip_with("left", "right", lambda i, j: F.least(i, j)), F.lit(0), lambda total, i: total + i
+    )
+    near = enough(most, F.col("na"), F.col("nb"), percent)
+    return pairs.join(left, "a").join(right, "b").filter(near).select("a", "b")
+
+
 def similar_documents(
     docs: DataFrame, words: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id"
 ) -> DataFrame:
@@ -417,29 +478,14 @@ def linked_rows(docs: DataFrame, words: int, percent: int, text_col: str, id_col
     rows = stored(with_choices(open_rows(placed, components(links))), "open-grams", narrow=True)
 
     # Classes that choose one gram meet in its cells.
-    chosen = rows.select("rep", "group", "choices").distinct()
-    chosen = chosen.select("rep", "group", "choices", F.explode("choices").alias("gram"))
+    chosen = rows.select("rep", "n", "group", "choices").distinct()
+    chosen = chosen.select("rep", "n", "group", "choices", F.explode("choices").alias("gram"))
     links = links.unionByName(stored(linked_in_cells(chosen, given, classes, words, percent), "cell-links", narrow=True))
 
     # The pairs that share a gram but no choice, of groups that are still apart.
-    reps = classes.select(F.col("rep").alias("doc_id"), "digest")
-    bins = sets.select("doc_id", "digest", "bins").join(reps, ["doc_id", "digest"], "left_semi")
-    bins = bins.select(F.col("doc_id").alias("rep"), "bins").dropDuplicates(["rep"])
-    rows = stored(open_rows(rows.drop("group"), components(links)).join(bins, "rep"), "apart-grams")
-    held = rows.select("gram", "held").distinct()
-    rows = in_cells(rows.drop("held"), held)
-    x, y = rows.alias("x"), rows.alias("y")
-    apart = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
-    # In a cell of two blocks rows of one block do not meet: they do in the cell of that block.
-    apart &= (F.col("x.group") > F.col("y.group")) & ((F.col("x.low") == F.col("x.high")) | (F.col("x.side") != F.col("y.side")))
-    # Most pairs have the same first choice, which is the cheaper test.
-    apart &= (F.col("x.choices")[0] != F.col("y.choices")[0]) & ~F.arrays_overlap("x.choices", "y.choices")
-    most = F.aggregate(
-        F.zip_with("x.bins", "y.bins", lambda i, j: F.least(i, j)), F.lit(0), lambda total, i: total + i
-    )
-    near = fits("x", "y", percent) & enough(most, F.col("x.n"), F.col("y.n"), percent)
-    pairs = x.join(y, apart & near).select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b"))
-    pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
+    rows = stored(open_rows(rows.drop("group"), components(links)), "apart-grams", narrow=True)
+    pairs = stored(apart_pairs(rows, percent).join(tried, ["a", "b"], "left_anti"), "apart-pairs", narrow=True)
+    pairs = alike_in_parts(pairs, sets, classes, percent)
     pairs = stored(pairs, "open-pairs", narrow=True)
     groups = components(links.unionByName(verified(pairs, given, classes, words, percent)))
 

@@ -366,3 +366,41 @@ def test_hub_rounds_leave_no_link_out(spark):
     for d, root in want.items():
         by_root[root].append(d)
     assert any(len(m) > 2 for m in by_root.values())
+
+
+def test_overlaps_of_members_of_few_and_of_many_sets():
+    rng = np.random.default_rng(2)
+    sets = [rng.integers(-(2**63), 2**63 - 1, 5)]
+    for i in range(70):
+        # Up to 50 members of all sets, and up to 400 that two or three of them have.
+        common, rare = rng.choice(60, rng.integers(0, 50), replace=False), rng.choice(4000, 200, replace=False) + 100
+        sets.append(np.concatenate((common, rare)).astype("i8"))
+    found = ngram_join.overlaps(sets)
+    for a, b in combinations(range(len(sets)), 2):
+        assert found[a, b] == found[b, a] == len(set(sets[a].tolist()) & set(sets[b].tolist()))
+
+
+def test_a_common_gram_is_dealt_to_few_cells(spark):
+    rows = spark.range(0, 4000).select(F.lit(7).alias("gram"), F.col("id").alias("rep"))
+    held = spark.createDataFrame([(7, 4000)], "gram int, held long")
+    cells = ngram_join.in_cells(rows, held)
+    assert cells.count() <= 4 * 4000
+    # Long sets come in smaller blocks, and each two rows meet in one cell.
+    some = rows.filter("rep < 40")
+    many = held.withColumn("members", F.lit(6 * ngram_join.BLOCK_MEMBERS).cast("long"))
+    cells = ngram_join.in_cells(some, many)
+    x, y = cells.alias("x"), cells.alias("y")
+    meet = F.expr("x.low = y.low AND x.high = y.high AND x.rep < y.rep AND (x.low = x.high OR x.side != y.side)")
+    met = Counter(tuple(r) for r in x.join(y, meet).select("x.rep", "y.rep").collect())
+    assert cells.count() == 6 * 40 and met == Counter(combinations(range(40), 2))
+
+
+def test_suffix_filter_is_left_to_pairs_that_cheaper_tests_allow(spark):
+    rows = [(1, rep, 100, rep % 2, [rep, rep + 100], rep, 40) for rep in range(40)]
+    schema = "gram long, rep long, n long, pos long, choices array<long>, group long, held long"
+    pairs = ngram_join.apart_pairs(spark.createDataFrame(rows, schema), 90)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" not in plan and "bins" not in plan
+    assert {tuple(r) for r in pairs.collect()} == {(a, b) for b, a in combinations(range(40), 2)}
+    # An expression that a join condition names twice is worked out for every pair.
+    assert str(ngram_join.enough(F.col("both"), F.col("na"), F.col("nb"), 90)).count("both") == 1
