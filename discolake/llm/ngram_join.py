@@ -47,15 +47,16 @@ from pyspark.sql import functions as F
 from discolake.llm.batches import slices
 from discolake.llm.components import components
 from discolake.llm.cross_polytope import local_roots, mixed
-from discolake.llm.tables import in_batches, partitions, stored
+from discolake.llm.tables import in_batches, partitions, perhaps_among, stored
 
 #: The counted part of the hash space, as a multiple of the share of a set that is its prefix.
 COUNTED = 1.75
 BINS = 32
 SETS = "doc_id long, text_hash long, n_grams long, digest binary, counted int, grams array<long>, bins array<int>"
 WHOLE = "doc_id long, digest binary, grams array<long>"
-#: Ids that are broadcast at most (16 MB); more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
+#: Ids that are broadcast at most, as the driver holds them several times over meanwhile; of more, rows that cannot be
+#: among them are left out first, and the others are joined by a shuffle.
+BROADCAST_IDS = 200_000
 #: Grams that a class chooses; classes of one block of a gram, and members that their sets have, at most about so
 #: many; columns of a matrix product; pairs of sets that are counted at once.
 CHOICES = 3
@@ -212,11 +213,13 @@ def enough(overlap: Column, na: Column, nb: Column, percent: int) -> Column:
 def whole_sets(ids: DataFrame, docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """doc_id, grams: the whole sets of the classes that ids name, made again from their texts."""
     needed = stored(ids.distinct(), "gram-needed", narrow=True)
+    reps = nodes.select(F.col("rep").alias("doc_id"), "digest")
     if needed.count() <= BROADCAST_IDS:
-        needed = F.broadcast(needed)
-    texts = docs.join(needed, "doc_id", "left_semi")
+        texts = docs.join(F.broadcast(needed), "doc_id", "left_semi")
+    else:
+        texts = perhaps_among(docs, F.col("doc_id"), needed).filter("__among").drop("__among")
+        reps = reps.join(needed, "doc_id", "left_semi")
     whole = in_batches(texts, functools.partial(whole_batches, words), WHOLE)
-    reps = nodes.select(F.col("rep").alias("doc_id"), "digest")
     whole = whole.join(reps, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"])
     return stored(whole.select("doc_id", "grams"), "gram-sets")
 
@@ -518,9 +521,13 @@ def one_of_each(
     )
     ids = stored(ids.filter("some").drop("some"), "gram-drop", narrow=True)
     drop, parted = ids.filter("all").select("__drop"), ids.filter("NOT all")
+    gone = F.col(id_col) == F.col("__drop")
     if drop.count() <= BROADCAST_IDS:
-        drop = F.broadcast(drop)
-    rest = docs.join(drop, F.col(id_col) == F.col("__drop"), "left_anti")
+        rest = docs.join(F.broadcast(drop), gone, "left_anti")
+    else:
+        rows = perhaps_among(docs, F.col(id_col).cast("long"), drop)
+        stay, some = (rows.filter(F.col("__among") == among).drop("__among") for among in (False, True))
+        rest = stay.unionByName(some.join(drop, gone, "left_anti"))
     if parted.isEmpty():
         return rest
     rows = found.filter(linked).join(parted, F.col("doc_id") == F.col("__drop"), "left_semi")

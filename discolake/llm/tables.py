@@ -102,6 +102,31 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Bits that a broadcast set of ids has (8 MB), and those in a row of it.
+AMONG_BITS = 1 << 26
+ROW_BITS = 1 << 15
+
+
+def perhaps_among(rows: DataFrame, key: Column, ids: DataFrame) -> DataFrame:
+    """rows with __among: False for keys that are not in the one column of ids, True for those that are, and for a few others.
+
+    Both are long.  What is broadcast is a bit for each hash, and does not grow with ids.
+    """
+
+    def place(value: Column) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(AMONG_BITS))
+
+    at = place(F.col(ids.columns[0]))
+    bits = ids.groupBy(F.floor(at / ROW_BITS).alias("__row")).agg(
+        F.bitmap_construct_agg(at % ROW_BITS).alias("__bits")
+    )
+    mine = place(key) % ROW_BITS
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(mine / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    there = F.floor(byte / F.pow(F.lit(2), mine % 8)) % 2 == 1
+    found = rows.join(F.broadcast(bits), F.floor(place(key) / ROW_BITS) == F.col("__row"), "left")
+    return found.withColumn("__among", F.coalesce(there, F.lit(False))).drop("__row", "__bits")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from discolake.llm import cross_polytope, html_layout, ngram_join
 from discolake.llm.components import components
 from discolake.llm.html_layout import visible_text
+from discolake.llm.tables import perhaps_among
 
 SCHEMA = "doc_id long, text string"
 WORDS = re.compile("[^\x20\x09-\x0d]+")
@@ -404,3 +405,28 @@ def test_suffix_filter_is_left_to_pairs_that_cheaper_tests_allow(spark):
     assert {tuple(r) for r in pairs.collect()} == {(a, b) for b, a in combinations(range(40), 2)}
     # An expression that a join condition names twice is worked out for every pair.
     assert str(ngram_join.enough(F.col("both"), F.col("na"), F.col("nb"), 90)).count("both") == 1
+
+
+def test_many_ids_are_told_from_others_by_a_broadcast_of_bounded_size(spark):
+    ids = spark.range(0, 30_000).select((F.col("id") * 7 - 50_000).alias("wanted"))
+    rows = spark.range(-100_000, 200_000).select("id", F.lit("text").alias("__bucket")).unionByName(
+        spark.createDataFrame([(None, "none")], "id long, __bucket string")
+    )
+    found = perhaps_among(rows, F.col("id"), ids)
+    assert found.columns == ["id", "__bucket", "__among"] and found.count() == 300_001
+    wanted = found.join(ids, F.col("id") == F.col("wanted"), "left_semi")
+    assert wanted.count() == wanted.filter("__among").count() == 30_000
+    assert found.filter("__among").count() < 31_000
+    assert perhaps_among(rows, F.col("id"), ids.limit(0)).filter("__among").count() == 0
+
+
+def test_ngram_join_without_a_broadcast_of_ids(spark, monkeypatch):
+    rows = [(i * 3, t) for i, t in enumerate(near_copies(4))]
+    # Of rows with one id only those go that are linked.
+    docs = spark.createDataFrame([*rows, *rows[:5], (6, "one two three of its own"), (None, "no id here")], SCHEMA)
+    want = [Counter(map(tuple, f(docs, 3, 80).collect())) for f in (ngram_join.similar_documents, ngram_join.one_of_each)]
+    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 0)
+    seen = []
+    monkeypatch.setattr(ngram_join, "perhaps_among", lambda *a: seen.append(1) or perhaps_among(*a))
+    assert [Counter(map(tuple, f(docs, 3, 80).collect())) for f in (ngram_join.similar_documents, ngram_join.one_of_each)] == want
+    assert len(seen) > 2
