@@ -60,10 +60,10 @@ BROADCAST_IDS = 200_000
 #: Grams that a class chooses; classes of one block of a gram, and members that their sets have, at most about so
 #: many; columns of a matrix product; pairs of sets that are counted at once.
 CHOICES = 3
-BLOCK = 1024
-BLOCK_MEMBERS = 1 << 19
+BLOCK = 512
+BLOCK_MEMBERS = 1 << 18
 COLUMNS = 8192
-PAIRS = 1 << 20
+PAIRS = 1 << 18
 
 
 def least_overlap(n: int | np.ndarray, percent: int):

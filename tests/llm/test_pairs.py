@@ -385,15 +385,15 @@ def test_a_common_gram_is_dealt_to_few_cells(spark):
     rows = spark.range(0, 4000).select(F.lit(7).alias("gram"), F.col("id").alias("rep"))
     held = spark.createDataFrame([(7, 4000)], "gram int, held long")
     cells = ngram_join.in_cells(rows, held)
-    assert cells.count() <= 4 * 4000
+    assert cells.count() <= 8 * 4000
     # Long sets come in smaller blocks, and each two rows meet in one cell.
     some = rows.filter("rep < 40")
-    many = held.withColumn("members", F.lit(6 * ngram_join.BLOCK_MEMBERS).cast("long"))
+    many = held.withColumn("members", F.lit(9 * ngram_join.BLOCK_MEMBERS).cast("long"))
     cells = ngram_join.in_cells(some, many)
     x, y = cells.alias("x"), cells.alias("y")
     meet = F.expr("x.low = y.low AND x.high = y.high AND x.rep < y.rep AND (x.low = x.high OR x.side != y.side)")
     met = Counter(tuple(r) for r in x.join(y, meet).select("x.rep", "y.rep").collect())
-    assert cells.count() == 6 * 40 and met == Counter(combinations(range(40), 2))
+    assert cells.count() == 9 * 40 and met == Counter(combinations(range(40), 2))
 
 
 def test_suffix_filter_is_left_to_pairs_that_cheaper_tests_allow(spark):
